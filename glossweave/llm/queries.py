@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classify, media, secret_scan
+from . import classify, media, secret_scan, suffix_sort
 from .common import table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_sort.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.features(media.store(table(spark, sf_dir, "documents"))).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
@@ -29,5 +33,5 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {q.__name__: q for q in (op3_media_columns, op4_quality_classifier, op5_toxicity, op8_secret_scan)}
+QUERIES = {q.__name__: q for q in (op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op8_secret_scan)}
 SQL: dict[str, str] = {}
