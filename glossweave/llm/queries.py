@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automata, classify, media, secret_scan, suffix_sort
+from . import automata, classify, media, secret_scan, simhash, suffix_sort
 from .common import table
 
 
@@ -29,6 +29,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.score_toxicity(docs, model).select("doc_id", classify.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automata.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -37,5 +42,5 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {q.__name__: q for q in (op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op7_substring_dedup, op8_secret_scan)}
+QUERIES = {q.__name__: q for q in (op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan)}
 SQL: dict[str, str] = {}

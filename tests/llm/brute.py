@@ -70,3 +70,31 @@ def corpus(n=120, seed=3):
     docs = list(enumerate(texts))
     rnd.shuffle(docs)
     return docs + [docs[0], (None, texts[0]), (None, texts[1])]
+
+
+def op6(docs, k=4, radius=4):
+    import xxhash
+
+    marks = []
+    for d, t in docs:
+        ws = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sh = [" ".join(ws[i : i + k]) for i in range(len(ws) - k + 1)] if len(ws) >= k else [" ".join(ws)] if ws else []
+        hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+        marks.append(sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hs) > len(hs)))
+    group = list(range(len(docs)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if (marks[i] ^ marks[j]).bit_count() <= radius:
+                a, b = root(i), root(j)
+                group[max(a, b)] = min(a, b)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least[root(i)] = min(d, least.get(root(i), d))
+    return sorted(((d, f"{m:016x}", least.get(root(i))) for i, ((d, _), m) in enumerate(zip(docs, marks))), key=str)
