@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automata, classify, media, secret_scan, simhash, suffix_sort
+from . import automata, chat, classify, media, mixing, secret_scan, simhash, suffix_sort
 from .common import table
 
 
@@ -42,5 +42,38 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {q.__name__: q for q in (op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan)}
-SQL: dict[str, str] = {}
+def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("mask", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string"))), ",")
+    return out.select("conv_id", "speaker", "part", "start", "text", spans.alias("mask"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+QUERIES = {q.__name__: q for q in (op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing)}
+SQL: dict[str, str] = {
+    "op9_chat_rotation": """
+with t as (
+  select conv_id, turn, coalesce(turn, 9223372036854775807) as ord, cast(floor(turn / 64.0) as bigint) as part,
+    replace(coalesce(role, 'unknown'), '<|', '< |') as who, replace(coalesce(text, ''), '<|', '< |') as body
+  from conversations),
+p as (select distinct conv_id, who as speaker from t where who <> 'system'),
+s as (
+  select t.conv_id, p.speaker, t.part, t.ord, t.who, t.body, t.who = p.speaker as mine,
+    '<|im_start|>' || case when t.who = p.speaker then 'assistant' when t.who = 'system' then 'system' else 'user name=' || t.who end || chr(10) as head
+  from t join p on t.conv_id is not distinct from p.conv_id),
+w as (
+  select *, coalesce(sum(length(head) + length(body) + 11) over (partition by conv_id, speaker, part order by ord, who, body rows between unbounded preceding and 1 preceding), 0) as off
+  from s),
+g as (
+  select conv_id, speaker, part, string_agg(head || body || '<|im_end|>' || chr(10), '' order by off) as text,
+    coalesce(string_agg((off + length(head))::bigint || '-' || (off + length(head) + length(body) + 10)::bigint, ',' order by off) filter (where mine), '') as mask
+  from w group by all)
+select conv_id, speaker, part,
+  cast(coalesce(sum(length(text)) over (partition by conv_id, speaker order by part nulls last rows between unbounded preceding and 1 preceding), 0) as bigint) as start, text, mask
+from g
+""",
+}
