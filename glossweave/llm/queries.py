@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automata, chat, classify, media, mixing, secret_scan, simhash, suffix_sort
+from . import automata, chat, classify, decontaminate, media, mixing, secret_scan, simhash, suffix_sort
 from .common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sort.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -53,7 +57,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
-QUERIES = {q.__name__: q for q in (op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing)}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing)}
 SQL: dict[str, str] = {
     "op9_chat_rotation": """
 with t as (
