@@ -32,8 +32,8 @@ BROADCAST_BYTES = 32 << 20
 
 RESULT = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())]
 RESULT_DDL = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-FIRST = pa.schema([("g", pa.int64()), ("row", pa.int64()), ("open", pa.bool_()), *RESULT, ("text", pa.binary()), ("units", pa.binary()), ("pos", pa.binary()), ("ref", pa.binary())])
-FIRST_DDL = f"g long, row long, open boolean, {RESULT_DDL}, text binary, units binary, pos binary, ref binary"
+FIRST = pa.schema([("g", pa.int64()), ("row", pa.int64()), ("open", pa.bool_()), *RESULT, ("text", pa.binary()), ("pos", pa.binary()), ("ref", pa.binary())])
+FIRST_DDL = f"g long, row long, open boolean, {RESULT_DDL}, text binary, pos binary, ref binary"
 HITS_DDL = "g long, row long, starts binary"
 HITS = pa.schema([("g", pa.int64()), ("row", pa.int64()), ("starts", pa.binary())])
 
@@ -97,23 +97,33 @@ def automaton_of(passages: list[np.ndarray]) -> SuffixAutomaton:
     return out
 
 
-def found(body: np.ndarray, at: np.ndarray, prefixes: Prefixes, length: int, k: int, bits: int):
-    """Anchors of rows of words: row, word position, shortened key; all words' hashes, and the rows' offsets among them."""
-    rows, poss, keys, units, edges = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
-    n = 0
+def hashed(body: np.ndarray, at: np.ndarray, prefixes: Prefixes):
+    """For ranges a..b of rows: the words' hashes and the rows' offsets among them."""
     for a, b in chunks(at):
         part = body[at[a] : at[b]]
         starts, ends, w_at = words(part, at[a : b + 1] - at[a])
-        u = prefixes.load(part).of(starts, ends)
+        yield a, b, prefixes.load(part).of(starts, ends), w_at
+
+
+def units_of(column, prefixes: Prefixes) -> list[np.ndarray]:
+    """The word hashes of each row."""
+    body, at = utf8(column)
+    return [u[s:e] for _, _, u, w_at in hashed(body, at, prefixes) for s, e in zip(w_at[:-1], w_at[1:])]
+
+
+def found(body: np.ndarray, at: np.ndarray, prefixes: Prefixes, length: int, k: int, bits: int):
+    """Anchors of rows of words: row, word position, shortened key; and the rows' word offsets."""
+    rows, poss, keys, edges = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    n = 0
+    for a, b, u, w_at in hashed(body, at, prefixes):
         pos, key = anchors(u, w_at, length, k)
         row = np.searchsorted(w_at, pos, "right") - 1
         rows.append(row + a)
         poss.append(pos - w_at[row])
         keys.append(shorten(key, bits))
-        units.append(u)
         edges.append(w_at[1:] + n)
         n += len(u)
-    return np.concatenate(rows), np.concatenate(poss), np.concatenate(keys), np.concatenate(units), np.concatenate(edges)
+    return np.concatenate(rows), np.concatenate(poss), np.concatenate(keys), np.concatenate(edges)
 
 
 def ranges(pos: np.ndarray, before: int, after: int, n: int) -> list[tuple[int, int]]:
@@ -143,7 +153,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         for b in batches:
             body, at = utf8(b.column("text"))
             doc, g = ids(b.column("doc_id")), b.column("g").to_numpy()
-            row, _, key, _, _ = found(body, at, prefixes, length, k, bits)
+            row, _, key, _ = found(body, at, prefixes, length, k, bits)
             whole = shorten(whole_keys([body[s:e].tobytes() for s, e in zip(at[:-1], at[1:])]), bits)
             row = np.concatenate([row, np.arange(len(doc)), np.arange(len(doc))])
             key = np.concatenate([key, whole[:, 0], whole[:, 1]])
@@ -154,7 +164,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         gid, owner = key[0].as_py(), Owners(right)
         body, at = utf8(left["text"])
         doc = ids(left["doc_id"])
-        row, pos, ks, units, w_at = found(body, at, Prefixes(), length, k, bits)
+        row, pos, ks, w_at = found(body, at, Prefixes(), length, k, bits)
         hit = owner.has(ks)
         row, pos, ref = row[hit], pos[hit], owner(ks[hit])
         cut, n = np.searchsorted(row, np.arange(len(doc) + 1)), np.diff(w_at)
@@ -164,29 +174,33 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
             d = int(doc[i]) if doc[i] != NO_ID else None
             who = owner(shorten(whole_keys([text])[0], bits))
             if n[i] >= length and who[0] == who[1] < doc[i]:
-                out.append((gid, i, False, *outcome(d, text, np.ones(n[i], bool)), None, None, None, None))
+                out.append((gid, i, False, *outcome(d, text, np.ones(n[i], bool)), None, None, None))
             elif cut[i] == cut[i + 1]:
-                out.append((gid, i, False, *outcome(d, text, np.zeros(n[i], bool)), None, None, None, None))
+                out.append((gid, i, False, *outcome(d, text, np.zeros(n[i], bool)), None, None, None))
             else:
                 a, b = cut[i], cut[i + 1]
-                out.append((gid, i, True, d, int(n[i]), None, None, None, text, units[w_at[i] : w_at[i + 1]].tobytes(), pos[a:b].astype(np.uint32).tobytes(), ref[a:b].tobytes()))
+                out.append((gid, i, True, d, int(n[i]), None, None, None, text, np.diff(pos[a:b], prepend=0).astype(np.uint32).tobytes(), ref[a:b].tobytes()))
         return pa.Table.from_batches([to_batch(out, FIRST)])
 
     known = owners(dealt.mapInArrow(first_anchors, ENTRY), 5)
     first = stash(dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(settle_first, FIRST_DDL), "automata1")
-    open_ = first.where("open").select("g", "row", "doc_id", "text", "units", "pos", "ref")
+    open_ = first.where("open").select("g", "row", "doc_id", "text", "pos", "ref")
+
+    def places(blob):
+        return np.cumsum(np.frombuffer(blob.as_buffer(), np.uint32), dtype=np.int64)
 
-    def rows_of(batch):
-        doc = ids(batch.column("doc_id"))
-        for i, (g, row, u, p, r) in enumerate(zip(*(batch.column(c) for c in ("g", "row", "units", "pos", "ref")))):
-            yield int(doc[i]), g.as_py(), row.as_py(), np.frombuffer(u.as_buffer(), np.uint64), np.frombuffer(p.as_buffer(), np.uint32).astype(np.int64), np.frombuffer(r.as_buffer(), np.int64)
+    def rows_of(batch, prefixes: Prefixes):
+        doc, units = ids(batch.column("doc_id")), units_of(batch.column("text"), prefixes)
+        for i, (g, row, p, r) in enumerate(zip(*(batch.column(c) for c in ("g", "row", "pos", "ref")))):
+            yield int(doc[i]), g.as_py(), row.as_py(), units[i], places(p), np.frombuffer(r.as_buffer(), np.int64)
 
     def shards(batches):
         """Reference shards: (ref, shard, passages as their lengths and units)."""
+        prefixes = Prefixes()
         schema = pa.schema([("ref", pa.int64()), ("shard", pa.int64()), ("lengths", pa.binary()), ("units", pa.binary())])
         for b in batches:
             out = []
-            for d, g, row, units, pos, ref in rows_of(b):
+            for d, g, row, units, pos, ref in rows_of(b, prefixes):
                 own = pos[ref == d]
                 if not len(own) or d == NO_ID:
                     continue
@@ -212,10 +226,11 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
 
     def passages(batches):
         """What documents have around anchors of others' references: (ref, g, row, starts and lengths of the passages, units)."""
+        prefixes = Prefixes()
         schema = pa.schema([("ref", pa.int64()), ("g", pa.int64()), ("row", pa.int64()), ("spans", pa.binary()), ("mine", pa.binary())])
         for b in batches:
             out = []
-            for d, g, row, units, pos, ref in rows_of(b):
+            for d, g, row, units, pos, ref in rows_of(b, prefixes):
                 for r, p in by_group(ref[ref < d], pos[ref < d]):
                     spans = ranges(p, reach, length, len(units))
                     out.append((r, g, row, np.array(spans, np.int64).tobytes(), b"".join(units[s:e].tobytes() for s, e in spans)))
@@ -243,9 +258,9 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
                     out.append((g.as_py(), row.as_py(), all_.astype(np.uint32).tobytes()))
             yield to_batch(out, HITS)
 
-    reference = stash(open_.select("g", "row", "doc_id", "units", "pos", "ref").mapInArrow(shards, "ref long, shard long, lengths binary, units binary"), "shards")
+    reference = stash(open_.mapInArrow(shards, "ref long, shard long, lengths binary, units binary"), "shards")
     size = reference.agg(F.coalesce(F.sum(F.octet_length("units") + F.octet_length("lengths")), F.lit(0))).first()[0]
-    streams = open_.select("g", "row", "doc_id", "units", "pos", "ref").mapInArrow(passages, "ref long, g long, row long, spans binary, mine binary")
+    streams = open_.mapInArrow(passages, "ref long, g long, row long, spans binary, mine binary")
     met = streams.join(F.broadcast(reference) if size <= BROADCAST_BYTES else reference.hint("merge"), "ref")
     if size <= BROADCAST_BYTES:
         met = met.sortWithinPartitions("ref", "shard")
@@ -255,7 +270,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         """Of a group: bytes, offsets, ids, units, their offsets, matched starts (by row), and the windows left for the exact check."""
         body, at = utf8(left["text"])
         doc = ids(left["doc_id"])
-        units = [np.frombuffer(x.as_buffer(), np.uint64) for x in left["units"]]
+        units = units_of(left["text"], Prefixes())
         w_at = np.concatenate([[0], np.cumsum([len(u) for u in units])]).astype(np.int64)
         place = {r: i for i, r in enumerate(left["row"].to_pylist())}
         matched = np.zeros(int(w_at[-1]), bool)
@@ -264,7 +279,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
                 matched[np.frombuffer(starts.as_buffer(), np.uint32).astype(np.int64) + w_at[place[row]]] = True
         lo, hi = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, (p, r) in enumerate(zip(left["pos"], left["ref"])):
-            pos, ref = np.frombuffer(p.as_buffer(), np.uint32).astype(np.int64), np.frombuffer(r.as_buffer(), np.int64)
+            pos, ref = places(p), np.frombuffer(r.as_buffer(), np.int64)
             pos = pos[ref < doc[i]]
             lo.append(np.maximum(0, pos - reach) + w_at[i])
             hi.append(pos + 1 + w_at[i])

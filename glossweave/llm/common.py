@@ -29,6 +29,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/stash-{uuid.uuid4().hex}-{name}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle files that only this table needed
     return spark.read.schema(df.schema).parquet(path)
 
 

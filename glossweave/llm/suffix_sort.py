@@ -21,17 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, arrow_limits, drop_stash, ids, narrow, stash, utf8
+from .common import NO_ID, arrow_limits, ids, narrow, stash, utf8
 from .hashing import Prefixes, chunks, gram, mix
-from .winnow import ENTRY, ENTRY_ARROW, OWNER_ARROW, Owners, anchors, by_group, cover, entries, gather, inside, owners, pack_ids, shorten, sized, to_batch, unpack_keys, whole_keys
+from .winnow import ENTRY, ENTRY_ARROW, OWNER, OWNER_ARROW, Owners, anchors, by_group, cover, entries, gather, inside, owners, pack_ids, shorten, sized, to_batch, whole_keys
 
 RESULT = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())]
-FIRST = pa.schema([("g", pa.int64()), ("row", pa.int64()), ("open", pa.bool_()), *RESULT, ("text", pa.binary()), ("pos", pa.binary()), ("keys", pa.binary())])
-FIRST_DDL = "g long, row long, open boolean, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, text binary, pos binary, keys binary"
+FIRST = pa.schema([("g", pa.int64()), ("row", pa.int64()), ("open", pa.bool_()), *RESULT, ("text", pa.binary()), ("pos", pa.binary())])
+FIRST_DDL = "g long, row long, open boolean, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, text binary, pos binary"
 CLASS_DDL = "p int, g long, keys binary, ctx binary, docs binary, base long"
 CLASS_ARROW = pa.schema([("p", pa.int32()), ("g", pa.int64()), ("keys", pa.binary()), ("ctx", pa.binary()), ("docs", pa.binary()), ("base", pa.int64())])
-KNOWN_DDL = "g long, pass int, keys binary, ctx binary, docs binary, base long, many binary"
-KNOWN_ARROW = pa.schema([("g", pa.int64()), ("pass", pa.int32()), ("keys", pa.binary()), ("ctx", pa.binary()), ("docs", pa.binary()), ("base", pa.int64()), ("many", pa.binary())])
+
+def together(keys: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    return mix(keys * np.uint64(3) + ctx)
 
 
 def found(body: np.ndarray, at: np.ndarray, table: np.ndarray, length: int, k: int, bits: int):
@@ -78,7 +79,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         doc, n = ids(left["doc_id"]), np.diff(at)
         row, pos, ks = found(body, at, table, length, k, bits)
         hit = owner.has(ks)
-        row, pos, ks = row[hit], pos[hit], ks[hit]
+        row, pos = row[hit], pos[hit]
         cut = np.searchsorted(row, np.arange(len(doc) + 1))
         out = []
         for i in range(len(doc)):
@@ -86,41 +87,41 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
             d = int(doc[i]) if doc[i] != NO_ID else None
             who = owner(shorten(whole_keys([text])[0], bits))
             if n[i] >= length and who[0] == who[1] < doc[i]:
-                out.append((gid, i, False, *outcome(d, text, None), None, None, None))
+                out.append((gid, i, False, *outcome(d, text, None), None, None))
             elif cut[i] == cut[i + 1]:
-                out.append((gid, i, False, *outcome(d, text, np.zeros(n[i], bool)), None, None, None))
+                out.append((gid, i, False, *outcome(d, text, np.zeros(n[i], bool)), None, None))
             else:
                 a, b = cut[i], cut[i + 1]
-                out.append((gid, i, True, d, int(n[i]), None, None, None, None, text, pos[a:b].astype(np.uint32).tobytes(), ks[a:b].tobytes()))
+                out.append((gid, i, True, d, int(n[i]), None, None, None, None, text, np.diff(pos[a:b], prepend=0).astype(np.uint32).tobytes()))
         return pa.Table.from_batches([to_batch(out, FIRST)])
 
     known = owners(dealt.mapInArrow(first_digits, ENTRY), 5)
     first = stash(dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(settle_first, FIRST_DDL), "radix1")
-    open_ = first.where("open").select("g", "row", "doc_id", "text", "pos", "keys")
+    open_ = first.where("open").select("g", "doc_id", "text", "pos")
 
     def surroundings(table, prefixes: Prefixes):
-        """Row, position, key and surrounding's hash of the open rows' anchors, with the surroundings' bounds, and the buffer."""
+        """The open rows' bytes with their offsets; row, key and surrounding's hash of their anchors, and the surroundings' bounds."""
         body, at = utf8(table.column("text"))
-        pos = [np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64) for x in table.column("pos")]
-        keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("keys")]
-        count = np.array([len(x) for x in pos])
-        row = np.repeat(np.arange(len(count)), count)
-        pos, keys = (np.concatenate(x) if len(x) else np.zeros(0, t) for x, t in ((pos, np.int64), (keys, np.uint64)))
+        pos = [np.cumsum(np.frombuffer(x.as_buffer(), np.uint32), dtype=np.int64) for x in table.column("pos")]
+        row = np.repeat(np.arange(len(pos)), [len(x) for x in pos])
+        pos = np.concatenate([np.zeros(0, np.int64), *pos])
         lo = np.maximum(0, pos - reach)
         hi = np.minimum(np.diff(at)[row], pos + k + reach)
-        ctx = np.zeros(len(pos), np.uint64)
+        keys, ctx = np.zeros(len(pos), np.uint64), np.zeros(len(pos), np.uint64)
         for a, b in chunks(at):
             s, e = np.searchsorted(row, (a, b))
-            prefixes.load(body[at[a] : at[b]])
+            part = body[at[a] : at[b]]
             shift = at[row[s:e]] - at[a]
+            keys[s:e] = shorten(mix(gram(prefixes.table[part], k)[pos[s:e] + shift]), bits)
+            prefixes.load(part)
             ctx[s:e] = mix(prefixes.of(lo[s:e] + shift, hi[s:e] + shift) + (pos[s:e] - lo[s:e]).astype(np.uint64))
-        return body, at, row, pos, keys, ctx, lo, hi
+        return body, at, row, keys, ctx, lo, hi
 
     def second_digits(batches):
         prefixes = Prefixes()
         for b in batches:
             doc, g = ids(b.column("doc_id")), b.column("g").to_numpy()
-            _, _, row, _, keys, ctx, _, _ = surroundings(b, prefixes)
+            _, _, row, keys, ctx, _, _ = surroundings(b, prefixes)
             for gid, ks, cs, ds in by_group(g[row], keys, ctx, doc[row]):
                 order = np.lexsort((ds, cs, ks))
                 ks, cs, ds = ks[order], cs[order], ds[order]
@@ -141,31 +142,30 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         new = new_key.copy()
         new[1:] |= ctx[1:] != ctx[:-1]
         low = np.flatnonzero(new)
-        size = np.diff(np.append(low, len(keys)))
-        least = np.repeat(np.minimum.reduceat(docs, low), size)
+        least = np.repeat(np.minimum.reduceat(docs, low), np.diff(np.append(low, len(keys))))
         at = np.flatnonzero(new_key)
         many = np.repeat(np.add.reduceat(new.astype(np.int64), at) > 1, np.diff(np.append(at, len(keys))))
+        # A group knows its own smallest id; it is told of a smaller one, or (by its own) that the key has several surroundings.
+        told = (least < docs) | many
         rows = []
-        for g, kg, cg, og, mg in by_group(gs, keys, ctx, least, many):
-            blob, base = pack_ids(og)
-            rows.append((g, 2, kg.tobytes(), cg.tobytes(), blob, base, mg.tobytes()))
-        return pa.Table.from_batches([to_batch(rows, KNOWN_ARROW)])
+        for g, joint, o in by_group(gs[told], together(keys[told], ctx[told]), least[told]):
+            blob, base = pack_ids(o)
+            rows.append((g, joint.tobytes(), blob, base))
+        return pa.Table.from_batches([to_batch(rows, OWNER_ARROW)])
 
-    second = stash(open_.mapInArrow(second_digits, CLASS_DDL).groupBy("p").applyInArrow(settle_second, KNOWN_DDL), "radix2")
+    second = stash(open_.mapInArrow(second_digits, CLASS_DDL).groupBy("p").applyInArrow(settle_second, OWNER), "radix2").withColumn("pass", F.lit(2))
 
-    def judged(left: pa.Table, right: pa.Table, prefixes: Prefixes):
+    def judged(left, right, prefixes: Prefixes):
         """Surroundings of the open rows with their owners, and where all windows are to be looked at one by one."""
-        right = right.filter(pa.compute.equal(right["pass"], 2))
-        body, at, row, pos, keys, ctx, lo, hi = surroundings(left, prefixes)
-        k2, d2, _ = gather(right, 8)
-        c2 = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), np.uint64) for x in right["ctx"])])
-        m2 = np.concatenate([np.zeros(0, bool), *(np.frombuffer(x.as_buffer(), bool) for x in right["many"])])
-        joint, want = mix(k2 * np.uint64(3) + c2), mix(keys * np.uint64(3) + ctx)
-        order = np.argsort(joint)
-        where = order[np.minimum(np.searchsorted(joint, want, sorter=order), len(order) - 1)] if len(order) else np.zeros(0, int)
-        doc = ids(left["doc_id"])
-        owner, many = d2[where], m2[where]
-        return body, at, doc, row, lo, hi, owner, many & (owner >= doc[row])
+        told = Owners(right.filter(pa.compute.equal(right["pass"], 2)))
+        body, at, row, keys, ctx, lo, hi = surroundings(left, prefixes)
+        doc, joint = ids(left["doc_id"]), together(keys, ctx)
+        _, kind = np.unique(joint, return_inverse=True)
+        own = np.full(kind.max() + 1 if len(kind) else 0, NO_ID, np.int64)
+        np.minimum.at(own, kind, doc[row])
+        known = told.has(joint)
+        owner = np.where(known, told(joint), own[kind])
+        return body, at, doc, row, lo, hi, owner, known & (owner >= doc[row])
 
     def windows(body, at, row, lo, hi, single, table):
         """Row, start in the row and hash of each window to be looked at."""
@@ -193,7 +193,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         return pa.Table.from_batches([to_batch(entries(key[0].as_py(), h, doc[r], bits, 8), ENTRY_ARROW)])
 
     third = owners(open_.groupBy("g").cogroup(second.groupBy("g")).applyInArrow(third_digits, ENTRY), 8)
-    third = third.select("g", F.lit(3).alias("pass"), "keys", F.lit(None).cast("binary").alias("ctx"), "docs", "base", F.lit(None).cast("binary").alias("many"))
+    third = third.withColumn("pass", F.lit(3))
 
     def settle_all(_, left, right):
         schema = pa.schema(RESULT)
