@@ -1,4 +1,4 @@
 """All queries of the library by name, with their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import derive, lexical, relational, sequences, udfs  # noqa: F401
+from .base import QUERIES, SQL  # noqa: F401
