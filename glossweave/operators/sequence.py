@@ -35,8 +35,8 @@ def order_breaks(df: DataFrame, part: str, order: str, keys: list[str], word: st
 def majority(df: DataFrame, key: list[str], value: str, least: int = 3, share: float = 0.6) -> DataFrame:
     """(key…, value, votes, total): each key's most frequent value if it has the votes and the share; ties go to the smaller value."""
     votes = df.where(F.col(value).isNotNull()).groupBy(*key, value).agg(F.count("*").alias("votes"))
-    best = votes.groupBy(*key).agg(F.max_by(F.struct(value, "votes"), F.struct("votes", F.lit(0))).alias("_any"), F.min(F.struct((-F.col("votes")).alias("v"), value)).alias("_b"), F.sum("votes").alias("total"))
-    out = best.select(*key, F.col(f"_b.{value}").alias(value), (-F.col("_b.v")).alias("votes"), "total")
+    best = votes.groupBy(*key).agg(F.min(F.struct((-F.col("votes")).alias("_less"), F.col(value).alias("_value"))).alias("_b"), F.sum("votes").alias("total"))
+    out = best.select(*key, F.col("_b._value").alias(value), (-F.col("_b._less")).alias("votes"), "total")
     return out.where((F.col("votes") >= least) & (F.col("votes") >= share * F.col("total")))
 
 
