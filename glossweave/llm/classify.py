@@ -283,7 +283,7 @@ def counterfactuals(text: str, pattern: re.Pattern, other: dict[str, list[str]])
     return [pattern.sub(lambda m: other[m[1]][k], text) for k in (0, 1)]
 
 
-def logistic(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], size: int, l2: float, penalty: float, prior: float, steps: int = 300) -> tuple[np.ndarray, float]:
+def logistic(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], size: int, l2: float, penalty: float, prior: float, steps: int = 400) -> tuple[np.ndarray, float]:
     """Minimise the mean log loss (classes weighed to the prior) + l2 |w|^2 / 2 + penalty * mean squared score change of pairs, by accelerated gradient steps."""
     at = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
@@ -295,8 +295,12 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray
     b_flat = np.concatenate([b for _, b in pairs]) if pairs else np.zeros(0, np.int64)
     w, v = np.zeros(size), np.zeros(size)
     bias = vb = float(np.log(prior / (1 - prior)))
-    # A bound of the curvature gives the step.
-    rate = 1 / (0.25 * max(1, max((len(r) for r in rows), default=1)) * share.max() * len(rows) / 4 + l2 + 2 * penalty * max((len(a) + len(b) for a, b in pairs), default=0))
+    # Each weight's step comes from a bound of its curvature: the shares of the rows that have it, times their numbers of features.
+    curve = 0.25 * np.bincount(flat, (share * np.array([len(r) + 1 for r in rows]))[owner], size) + l2
+    if pairs:
+        each = np.array([len(a) + len(b) for a, b in pairs])
+        curve += 2 * penalty / len(pairs) * (np.bincount(a_flat, each[a_at], size) + np.bincount(b_flat, each[b_at], size))
+    rate, rate_b = 1 / curve, 4 / (share @ np.array([len(r) + 1 for r in rows]))
     for t in range(steps):
         z = np.bincount(owner, v[flat], len(rows)) + vb
         g = share * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - (y > 0))
@@ -305,14 +309,14 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray
             d = np.bincount(a_at, v[a_flat], len(pairs)) - np.bincount(b_at, v[b_flat], len(pairs))
             d *= 2 * penalty / len(pairs)
             grad += np.bincount(a_flat, d[a_at], size) - np.bincount(b_flat, d[b_at], size)
-        new, new_b = v - rate * grad, vb - rate * g.sum()
+        new, new_b = v - rate * grad, vb - rate_b * g.sum()
         k = t / (t + 3)
         v, vb = new + k * (new - w), new_b + k * (new_b - bias)
         w, bias = new, new_b
     return w, bias
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS, l2: float = 2e-4, penalty: float = 0.3, top: int = 20000) -> Linear:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS, l2: float = 2e-5, penalty: float = 0.3, top: int = 20000) -> Linear:
     """Counterfactually regularised logistic model of at most rows labelled, not held-out texts, half of each class where there are enough.
 
     Features that occur in fewer than 5 of them or whose shares in the classes differ by less than 3 standard errors are left out, unless they
