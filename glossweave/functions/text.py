@@ -78,7 +78,7 @@ def tokens(c: Column, pattern: str = "[A-Za-z0-9]{2,}") -> Column:
 
 def tagify(c: Column) -> Column:
     """Tag form: blanks to hyphens, runs of double colons to one colon, no outer hyphens, ? if nothing is left."""
-    t = F.regexp_replace(F.regexp_replace(c, "[\\s]+", "-"), "(::)+", ":")
+    t = F.regexp_replace(F.regexp_replace(c, "[\\s]+", "-"), "::+", ":")
     return F.coalesce(F.nullif(F.regexp_replace(t, "^-+|-+$", ""), F.lit("")), F.lit("?"))
 
 

@@ -114,7 +114,7 @@ def kind_by_sense(spark, sf_dir):
 
 
 @query("""with t as (select case event_type when 'error' then 'Err::' when 'click' then 'UI::::' else 'evt::' end || case user_id % 4 when 0 then 'A B' when 1 then 'a b' when 2 then '-c-' else '' end as raw from events),
- g as (select regexp_replace(regexp_replace(regexp_replace(raw, '\\s+', '-', 'g'), '(::)+', ':', 'g'), '^-+|-+$', '', 'g') as tag from t)
+ g as (select regexp_replace(regexp_replace(regexp_replace(raw, '\\s+', '-', 'g'), '::+', ':', 'g'), '^-+|-+$', '', 'g') as tag from t)
  select split_part(tag, ':', 1) as prefix, count(distinct lower(tag)) as tags from g group by 1""")
 def tag_prefix_counts(spark, sf_dir):
     k, u = F.col("event_type"), F.col("user_id") % 4
