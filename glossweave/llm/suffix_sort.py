@@ -59,7 +59,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     k = length // 2 - 1 if length >= 12 else length // 2
     reach = length - k
     arrow_limits(docs.sparkSession)
-    dealt, bits = sized(narrow(docs, id_col, text_col), 12 << 20)
+    dealt, bits = sized(narrow(docs, id_col, text_col), 6 << 20)
 
     def first_digits(batches):
         table = Prefixes().table
@@ -192,8 +192,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         r, _, h = windows(body, at, row, lo, hi, single, prefixes.table)
         return pa.Table.from_batches([to_batch(entries(key[0].as_py(), h, doc[r], bits, 8), ENTRY_ARROW)])
 
-    third = owners(open_.groupBy("g").cogroup(second.groupBy("g")).applyInArrow(third_digits, ENTRY), 8)
-    third = third.withColumn("pass", F.lit(3))
+    third = stash(owners(open_.groupBy("g").cogroup(second.groupBy("g")).applyInArrow(third_digits, ENTRY), 8), "radix3").withColumn("pass", F.lit(3))
 
     def settle_all(_, left, right):
         schema = pa.schema(RESULT)
