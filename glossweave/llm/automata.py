@@ -146,7 +146,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     k = min(5, length - 1)
     reach = length - k
     arrow_limits(docs.sparkSession)
-    dealt, bits = sized(narrow(docs, id_col, text_col), 20 << 20)
+    dealt, bits = sized(narrow(docs, id_col, text_col), 8 << 20)
 
     def first_anchors(batches):
         prefixes = Prefixes()

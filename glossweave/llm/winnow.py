@@ -30,7 +30,7 @@ def sized(docs: DataFrame, bytes_a_part: int) -> tuple[DataFrame, int]:
     """docs (doc_id, text) with their group g, dealt out by g, and the power of two of partitions for keys."""
     n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     groups = max(1, math.ceil(n / GROUP_DOCS), math.ceil(size / GROUP_BYTES))
-    bits = min(16, max(4, math.ceil(math.log2(max(1, size / bytes_a_part)))))
+    bits = min(16, max(6, math.ceil(math.log2(max(1, size / bytes_a_part)))))
     g = F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups))
     return docs.withColumn("g", g).repartition("g"), bits
 
@@ -45,7 +45,7 @@ def anchors(units: np.ndarray, at: np.ndarray, window: int, k: int) -> tuple[np.
     best = sliding_min((h & ~low) | np.arange(len(h), dtype=np.uint64), window - k + 1)
     pos = (best[m_valid] & low).astype(np.int64)
     pos = pos[np.append(True, pos[1:] != pos[:-1])]
-    return pos, h[pos]
+    return pos, mix(h[pos] + np.uint64(0x9E3779B97F4A7C15))  # the chosen hashes are small ones; keys must be even again
 
 
 def inside(at: np.ndarray, window: int, n: int) -> np.ndarray:
