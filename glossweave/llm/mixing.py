@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import drop_stash, stash
 
 CAP = 3
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 WORDS = "[^\\x20\\x09-\\x0D]+"
 
 
