@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves one document of each group of near copies."""
-    return simhash.dedup(docs, shingle=5, radius=4)
+    """Leaves one document of each group of near copies: five-word shingle sets with a similarity of 0.8 or more."""
+    return simhash.dedup(docs, shingle=5, similarity=0.8)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,7 @@ def scratch(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
         at = tempfile.mkdtemp(prefix="glossweave-")
+        atexit.register(shutil.rmtree, at, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 

@@ -1,7 +1,7 @@
 """SimHash near-duplicates with vantage-point trees.
 
 Texts get 64-bit fingerprints of their word shingles; equal fingerprints are one point from there on. Two points are linked if at most
-`radius` bits differ. If the bits are cut into TREES blocks, two linked points differ by at most radius // TREES in some block, so each block
+`radius` bits differ. If the bits are cut into t = radius // 2 + 1 blocks, two linked points differ by at most one bit in some block, so each block
 has a vantage-point tree of its own over the Hamming distance within the block: a node sends points within the median distance of its vantage
 point to one side, the rest to the other. A point has one home leaf a tree; as a query it goes to every leaf that the triangle inequality
 can't exclude, that is, across every boundary its ball overlaps. A leaf is a shard; pairs are exact over all 64 bits.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_limits, drop_stash, narrow, stash
 
-TREES, SAMPLE, LEAF = 3, 8192, 2000
+SAMPLE, LEAF = 8192, 2000
 BROADCAST_ROWS = 2_000_000
 
 
@@ -137,12 +137,12 @@ def connect(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = up
 
 
-def links(points: DataFrame, n: int, radius: int) -> DataFrame:
-    """(u, v), u > v: spanning forests of all pairs of points (fp) that differ in 1 to radius bits."""
+def routed(points: DataFrame, n: int, radius: int) -> DataFrame:
+    """points (fp and any columns) at every shard they belong to: (tree, leaf, shard, home, all columns)."""
     sample = np.array([r.fp for r in points.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64).view(np.uint64)
     rng, trees = np.random.default_rng(7), []
-    for mask in masks(TREES):
-        trees.append(Tree(mask, radius // TREES))
+    for mask in masks(radius // 2 + 1):
+        trees.append(Tree(mask, radius // (radius // 2 + 1)))
         trees[-1].grow(sample, n / max(1, len(sample)), rng)
 
     def route(batches):
@@ -156,11 +156,19 @@ def links(points: DataFrame, n: int, radius: int) -> DataFrame:
                 count = parts[leaf]
                 rep = np.repeat(np.arange(len(at)), count)
                 shard = np.arange(len(rep)) - np.repeat(np.cumsum(count) - count, count)
+                own_columns = b.take(pa.array(at[rep]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rep), t, np.int32)), pa.array(leaf[rep].astype(np.int32)), pa.array(shard.astype(np.int32)), pa.array(fp[at[rep]].view(np.int64)), pa.array(home[rep] & (shard == own[rep]))],
-                    ["tree", "leaf", "shard", "fp", "home"],
+                    [pa.array(np.full(len(rep), t, np.int32)), pa.array(leaf[rep].astype(np.int32)), pa.array(shard.astype(np.int32)), pa.array(home[rep] & (shard == own[rep])), *own_columns.columns],
+                    ["tree", "leaf", "shard", "home", *b.schema.names],
                 )
 
+    kept = ", ".join(f"{c} {k}" for c, k in points.dtypes)
+    return points.mapInArrow(route, f"tree int, leaf int, shard int, home boolean, {kept}")
+
+
+def links(points: DataFrame, n: int, radius: int) -> DataFrame:
+    """(u, v), u > v: spanning forests of all pairs of points (fp) that differ in 1 to radius bits."""
+
     def pairs(_, table):
         fp, home = table["fp"].to_numpy().view(np.uint64), table["home"].to_numpy()
         order = np.argsort(fp)
@@ -176,8 +184,7 @@ def links(points: DataFrame, n: int, radius: int) -> DataFrame:
         a, b = signed[child], signed[parent[child]]
         return pa.table({"u": np.maximum(a, b), "v": np.minimum(a, b)})
 
-    routed = points.select("fp").mapInArrow(route, "tree int, leaf int, shard int, fp long, home boolean")
-    return routed.groupBy("tree", "leaf", "shard").applyInArrow(pairs, "u long, v long")
+    return routed(points.select("fp"), n, radius).groupBy("tree", "leaf", "shard").applyInArrow(pairs, "u long, v long")
 
 
 def stars(edges: DataFrame) -> DataFrame:
@@ -215,15 +222,113 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+# --- similarity of shingle sets -------------------------------------------------------------------------------------------------
+
+
+def bits_of(h: np.ndarray) -> int:
+    """SimHash of a set of hashes."""
+    ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.int64)[0])
+
+
+def shingle_set(words: list[bytes], k: int) -> np.ndarray:
+    """Sorted distinct hashes of the k-word shingles (fewer words: the whole sequence; none: empty)."""
+    if len(words) <= k:
+        shingles = [b" ".join(words)] if words else []
+    else:
+        line, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
+        starts = np.concatenate([[0], ends[: len(words) - k]]).tolist()
+        shingles = [line[s:e] for s, e in zip(starts, (ends[k - 1 :] - 1).tolist())]
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], np.uint64))
+
+
+def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 7, apart: int = 14, nearest: int = 2) -> DataFrame:
+    """(doc_id, component_id): components of documents whose sets of word shingles have a Jaccard similarity of `similarity` or more.
+
+    A replaced word changes five shingles but one word, so candidates come from the SimHash of the set of words, by the trees, within `radius`
+    bits, where the SimHashes of the shingle sets are at most `apart` bits from each other. In every shard a point puts forward its `nearest`
+    candidates by the latter; their similarity is then computed exactly, and only verified pairs link. So no two documents join without a
+    chain of verified pairs; a pair is missed if neither is among the other's nearest candidates in any tree, or its words differ too much.
+    Equal word sequences (in lower case) are one point. Null and empty texts are equal. Null ids stay by themselves unless equal to another text.
+    """
+    arrow_limits(docs.sparkSession)
+    plain = narrow(docs, id_col, text_col)
+
+    def mark(batches):
+        for b in batches:
+            rows = []
+            for t in b.column("text"):
+                words = (t.as_py() or "").lower().encode().split()
+                if not words:
+                    rows.append((0, 0, 0))
+                    continue
+                bag = np.array([xxhash.xxh64_intdigest(w, 42) for w in set(words)], np.uint64)
+                whole = xxhash.xxh3_64_intdigest(b" ".join(words))
+                rows.append((int(np.uint64(whole).view(np.int64)), bits_of(bag), bits_of(shingle_set(words, shingle))))
+            cols = list(zip(*rows)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", "whole", "fp", "fine"])
+
+    marked = stash(plain.mapInArrow(mark, "doc_id long, whole long, fp long, fine long"), "signatures")
+    points = stash(marked.groupBy("whole").agg(F.min("fp").alias("fp"), F.min("fine").alias("fine"), F.min("doc_id").alias("least")), "points")
+
+    def pairs(_, table):
+        fp, fine = (table[c].to_numpy().view(np.uint64) for c in ("fp", "fine"))
+        pid, rows = table["whole"].to_numpy(), np.flatnonzero(table["home"].to_numpy())
+        step = max(1, (1 << 21) // max(1, len(fp)))
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(0, len(rows), step):
+            a, b = np.nonzero(np.bitwise_count(fp[rows[i : i + step], None] ^ fp[None, :]) <= radius)
+            a = rows[a + i]
+            d = np.bitwise_count(fine[a] ^ fine[b])
+            ok = (d <= apart) & (pid[a] != pid[b])
+            a, b, d = a[ok], b[ok], d[ok]
+            order = np.lexsort((pid[b], d, a))
+            a, b = a[order], b[order]
+            start = np.searchsorted(a, a)  # each point's candidates stand together, nearest first
+            pick = np.arange(len(a)) - start < nearest
+            out_a.append(a[pick])
+            out_b.append(b[pick])
+        a, b = pid[np.concatenate(out_a)], pid[np.concatenate(out_b)]
+        return pa.table({"u": np.maximum(a, b), "v": np.minimum(a, b)})
+
+    where = routed(points.where("least is not null").select("fp", "fine", "whole"), points.count(), radius)
+    found = stash(where.groupBy("tree", "leaf", "shard").applyInArrow(pairs, "u long, v long").distinct(), "candidates")
+    ends = found.select(F.col("u").alias("whole")).union(found.select("v")).distinct()
+    readers = points.join(ends, "whole", "left_semi").select("whole", F.col("least").alias("doc_id"))
+
+    def sets(batches):
+        for b in batches:
+            made = [shingle_set((t.as_py() or "").lower().encode().split(), shingle) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("whole"), pa.array([np.unique(x.astype(np.uint32)).tobytes() for x in made], pa.binary())], ["whole", "shingles"])
+
+    side = F.broadcast(readers) if readers.count() <= BROADCAST_ROWS else readers
+    known = stash(plain.join(side, "doc_id").select("whole", "text").mapInArrow(sets, "whole long, shingles binary").dropDuplicates(["whole"]), "shingles")
+
+    def verify(batches):
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column("a"), b.column("b")):
+                x, y = (np.frombuffer(z.as_buffer(), np.uint32) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    met = found.join(known.select(F.col("whole").alias("u"), F.col("shingles").alias("a")), "u").join(known.select(F.col("whole").alias("v"), F.col("shingles").alias("b")), "v")
+    roots = stars(met.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long"))
+    named = points.join(roots.select(F.col("u").alias("whole"), F.col("v").alias("root")), "whole", "left").withColumn("root", F.coalesce("root", "whole"))
+    named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("whole", "component_id")
+    return marked.join(named, "whole").select("doc_id", "component_id")
+
+
 def keep_ids(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of docs whose id is in kept (a column of that name). kept is broadcast only if it has at most BROADCAST_ROWS rows."""
     kept = kept.select(id_col)
     return docs.join(F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept, id_col, "left_semi").select(*docs.columns)
 
 
-def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 4) -> DataFrame:
-    """docs with one document left of each component, the one with the smallest id; of rows with equal ids one stays. Rows with null ids all stay."""
-    grouped = stash(components(docs, id_col=id_col, text_col=text_col, shingle=shingle, radius=radius), "components")
+def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """docs with one document left of each of similar_components()'s components, the one with the smallest id; of rows with equal ids one stays. Rows with null ids all stay."""
+    grouped = stash(similar_components(docs, id_col=id_col, text_col=text_col, **how), "components")
     winners = grouped.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     rows, distinct = grouped.agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
     out = keep_ids(docs, winners, id_col)

@@ -98,3 +98,31 @@ def op6(docs, k=4, radius=4):
         if d is not None:
             least[root(i)] = min(d, least.get(root(i), d))
     return sorted(((d, f"{m:016x}", least.get(root(i))) for i, ((d, _), m) in enumerate(zip(docs, marks))), key=str)
+
+
+def similar(docs, k=5, least=0.8):
+    """Component of each of docs [(doc_id, text)] under links of shingle sets with at least that Jaccard similarity; and the linked pairs."""
+    sets = []
+    for d, t in docs:
+        ws = WORD.findall((t or "").lower())
+        sets.append({" ".join(ws[i : i + k]) for i in range(len(ws) - k + 1)} if len(ws) >= k else {" ".join(ws)})
+    group = list(range(len(docs)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    pairs = []
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= least * (len(sets[i]) + len(sets[j]) - both):
+                pairs.append((docs[i][0], docs[j][0]))
+                a, b = root(i), root(j)
+                group[max(a, b)] = min(a, b)
+    least_of = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least_of[root(i)] = min(d, least_of.get(root(i), d))
+    return {d: least_of.get(root(i)) for i, (d, _) in enumerate(docs)}, pairs

@@ -12,11 +12,28 @@ def test_run_equals_the_stages_in_plain_form(spark):
     docs = table(spark, sf, "documents")
     good = {r.doc_id for r in classify.score_quality(docs, classify.fit_quality(docs, table(spark, sf, "labels"))).collect() if r.predicted}
     rows = {r.doc_id: r for r in docs.collect() if r.doc_id in good}
-    groups = brute.op6([(d, r.text) for d, r in rows.items()], k=5)
-    rows = {d: rows[d] for d, _, c in groups if d == c}
+    groups, _ = brute.similar([(d, r.text) for d, r in rows.items()])
+    rows = {d: rows[d] for d, c in groups.items() if d == c}
     leaks = {r.doc_id for r in decontaminate.search(docs.where(docs.doc_id.isin(list(rows))), table(spark, sf, "benchmark")).collect()}
     rows = {d: r for d, r in rows.items() if d not in leaks}
     scanned = {r.doc_id: r for r in secret_scan.redact(spark.createDataFrame(list(rows.values()), docs.schema)).collect()}
     copies = {r.doc_id: r.copies for r in mixing.mix(spark.createDataFrame(list(scanned.values()), docs.schema)).collect()}
     assert {d: (r.text, r.n_chars, r.copies) for d, r in got.items()} == {d: (scanned[d].text, scanned[d].n_chars, c) for d, c in copies.items() if c}
     assert set(docs.columns) | {"copies"} == set(next(iter(got.values())).asDict())
+
+
+def test_stages_take_nulls_repeats_and_empty_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    first = docs.orderBy("doc_id").limit(3).collect()
+    odd = [(None, "null id text that is long enough to count", "en", "src0", 41), (1_000_001, None, None, None, None), (1_000_002, "", "en", None, 0), (1_000_003, "x " * 60_000, "en", "src1", 120_000)]
+    rows = [tuple(r) for r in first] + [tuple(first[0])] + odd
+    df = spark.createDataFrame(rows, docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, sf)
+        assert set(docs.columns) <= set(out.columns), name
+        got = out.collect()
+        assert len(got) <= len(rows)
+        assert stage(spark, df.limit(0), sf).count() == 0
+    kept = corpus_pipeline.near_copies(spark, df, sf).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({r.doc_id for r in first} | {1_000_001, 1_000_003}) and sum(r.doc_id is None for r in kept) == 1

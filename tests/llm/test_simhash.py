@@ -15,10 +15,21 @@ def test_equals_brute_force(spark, monkeypatch):
     out = simhash.components(df, shingle=4)
     got = sorted(((r.doc_id, f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in out.collect()), key=str)
     assert got == brute.op6(docs)
-    kept = simhash.dedup(df, shingle=4)
+
+
+def test_similar_sets(spark, monkeypatch):
+    """Verified links only, and nearly all of them; copies of a text and near copies share a component."""
+    monkeypatch.setattr(simhash, "LEAF", 20)
+    docs = [d for d in brute.corpus(300, seed=8) if d[0] is not None]
+    docs = list(dict(docs).items())
+    df = spark.createDataFrame([(d, t, "x", 1, 2) for d, t in docs] + [(None, "stands alone", "x", 1, 2), (*docs[0], "x", 1, 2)], SCHEMA).repartition(3)
+    want, pairs = brute.similar(docs)
+    got = {r.doc_id: r.component_id for r in simhash.similar_components(df).collect()}
+    assert len(pairs) > 30 and sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs)
+    assert all(want[d] == want[c] for d, c in got.items() if d is not None)
+    kept = simhash.dedup(df)
     assert kept.columns == df.columns
-    ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
-    assert sorted(ids) == sorted({c for _, _, c in got if c is not None})
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({c for c in got.values() if c is not None})
 
 
 def test_documents(spark, sf):
