@@ -48,10 +48,26 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
 
 
 def nearest(df: DataFrame, key: str, vector: str, centres: DataFrame, label: str) -> DataFrame:
-    """(key, label, similarity): the centre with the largest dot product, ties to the smaller label. centres go to every executor as one row of a few."""
-    dot = F.aggregate(F.zip_with(F.col(vector), F.col("centre"), lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
-    both = df.select(key, vector).crossJoin(F.broadcast(centres.select(label, "centre")))
-    return both.select(key, label, F.round(dot, 9).alias("s")).groupBy(key).agg(F.max(F.struct("s", (-F.col(label)).alias("l"))).alias("b")).select(key, (-F.col("b.l")).alias(label), F.col("b.s").alias("similarity"))
+    """(key, label, similarity): the centre with the largest dot product, ties to the smaller label. The centres, a few, come along as one row, so nothing is shuffled."""
+    dot = lambda c: F.aggregate(F.zip_with(F.col(vector), c["centre"], lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
+    all_ = centres.agg(F.collect_list(F.struct(label, "centre")).alias("_all"))
+    best = F.array_min(F.transform("_all", lambda c: F.struct((-F.round(dot(c), 9)).alias("s"), c[label].alias("l"))))
+    return df.select(key, vector).crossJoin(F.broadcast(all_)).select(key, best.alias("b")).select(key, F.col("b.l").alias(label), (-F.col("b.s")).alias("similarity"))
+
+
+def similar_sets(df: DataFrame, key: str, items: str, least: int) -> DataFrame:
+    """(a, b, na, nb, both): pairs of sets with `least` common items or more.
+
+    Such pairs share one of their rarest |set| - least + 1 items, so only those meet: an item that most sets have joins nothing.
+    """
+    sets = df.where(F.size(items) >= least).select(key, F.col(items).alias("s"))
+    freq = sets.select(F.explode("s").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    ranked = sets.select(key, F.explode("s").alias("w")).join(freq, "w").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("r"))
+    ranked = ranked.select(key, F.transform("r", lambda x: x["w"]).alias("s"))
+    heads = ranked.select(key, F.explode(F.slice("s", F.lit(1), F.size("s") - least + 1)).alias("w"))
+    met = heads.select(F.col(key).alias("a"), "w").join(heads.select(F.col(key).alias("b"), "w"), "w").where("a < b").select("a", "b").distinct()
+    out = met.join(ranked.select(F.col(key).alias("a"), F.col("s").alias("x")), "a").join(ranked.select(F.col(key).alias("b"), F.col("s").alias("y")), "b")
+    return out.select("a", "b", F.size("x").alias("na"), F.size("y").alias("nb"), F.size(F.array_intersect("x", "y")).alias("both")).where(F.col("both") >= least)
 
 
 def best_shift(left: DataFrame, right: DataFrame, part: str, pos: str, value: str, shifts: range, least: int = 1) -> DataFrame:

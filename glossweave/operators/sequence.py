@@ -1,4 +1,8 @@
-"""Ordered rows: segments, islands, order breaks, frames, votes. Windows are partitioned wherever the operation is local to a key."""
+"""Ordered rows: segments, islands, order breaks, frames, votes.
+
+Running sums and lags over a key that may hold much of the table go in chunks of the order column: windows run within (key, chunk), and a
+table of one row a chunk carries sums or last rows on. So a hot key is split over as many tasks as it has chunks.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +10,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+CHUNK = 65_536
+
+
+def chunked(df: DataFrame, order: str, size: int) -> DataFrame:
+    return df.withColumn("_chunk", F.floor(F.col(order) / size))
+
+
+def running_sum(df: DataFrame, part: str, order: str, value: Column, name: str, size: int = CHUNK) -> DataFrame:
+    """Sum of value over a key's rows up to each row, by a numeric order column without ties."""
+    d = chunked(df.withColumn("_v", value), order, size)
+    local = Window.partitionBy(part, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = d.groupBy(part, "_chunk").agg(F.sum("_v").alias("_s"))
+    before = Window.partitionBy(part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(F.col(part).alias("_p"), F.col("_chunk").alias("_c"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
+    met = d.withColumn("_local", F.sum("_v").over(local)).join(carried, F.col(part).eqNullSafe(F.col("_p")) & F.col("_chunk").eqNullSafe(F.col("_c")))
+    return met.withColumn(name, F.col("_local") + F.col("_before")).drop("_v", "_chunk", "_local", "_p", "_c", "_before")
+
+
+def previous(df: DataFrame, part: str, order: str, columns: list[str], size: int = CHUNK) -> DataFrame:
+    """Adds _prev, a struct of the columns of the key's row before (null for the first), by a numeric order column without ties."""
+    d = chunked(df, order, size)
+    row = F.struct(*columns)
+    local = Window.partitionBy(part, "_chunk").orderBy(order)
+    last = d.groupBy(part, "_chunk").agg(F.max_by(row, F.col(order)).alias("_row"))
+    carried = last.select(F.col(part).alias("_p"), F.col("_chunk").alias("_c"), F.lag("_row").over(Window.partitionBy(part).orderBy("_chunk")).alias("_before"))
+    met = d.withColumn("_local", F.lag(row).over(local)).join(carried, F.col(part).eqNullSafe(F.col("_p")) & F.col("_chunk").eqNullSafe(F.col("_c")))
+    return met.withColumn("_prev", F.coalesce("_local", "_before")).drop("_chunk", "_local", "_p", "_c", "_before")
+
+
 def segment(df: DataFrame, part: str, order: str, start: Column, name: str = "segment") -> DataFrame:
     """Number of the record each row belongs to: a running count of starts; 0 before the first."""
-    w = Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(F.when(start, 1).otherwise(0)).over(w))
+    return running_sum(df, part, order, F.when(start, 1).otherwise(0), name)
 
 
 def coalesce_ranges(df: DataFrame, part: list[str], lo: str, hi: str, gap: int = 0) -> DataFrame:
@@ -23,13 +55,11 @@ def coalesce_ranges(df: DataFrame, part: list[str], lo: str, hi: str, gap: int =
 
 def order_breaks(df: DataFrame, part: str, order: str, keys: list[str], word: str) -> DataFrame:
     """Rows whose keys all go backwards against the row before; none where a key is empty or a word has a blank. Adds broken."""
-    w = Window.partitionBy(part).orderBy(order)
-    back = None
+    d = previous(df, part, order, [*keys, word])
+    back = ~F.col(word).contains(" ") & ~F.col("_prev")[word].contains(" ")
     for k in keys:
-        b = (F.col(k) < F.lag(k).over(w)) & (F.col(k) != "") & (F.lag(k).over(w) != "")
-        back = b if back is None else back & b
-    clean = ~F.col(word).contains(" ") & ~F.lag(word).over(w).contains(" ")
-    return df.withColumn("broken", F.coalesce(back & clean, F.lit(False)))
+        back = back & (F.col(k) < F.col("_prev")[k]) & (F.col(k) != "") & (F.col("_prev")[k] != "")
+    return d.withColumn("broken", F.coalesce(back, F.lit(False))).drop("_prev")
 
 
 def majority(df: DataFrame, key: list[str], value: str, least: int = 3, share: float = 0.6) -> DataFrame:
@@ -44,7 +74,7 @@ def top_per_group(df: DataFrame, part: str, order: list[Column], n: int) -> Data
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(part).orderBy(*order))).where(F.col("rn") <= n)
 
 
-def batches(df: DataFrame, part: str, order: list[str], size: int) -> DataFrame:
+def batches(df: DataFrame, part: str, order: str, size: int) -> DataFrame:
     """Batch number and place within it, by order within each part."""
-    rn = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
-    return df.withColumn("batch", F.floor(rn / size).cast("long")).withColumn("place", (rn % size).cast("long"))
+    d = running_sum(df, part, order, F.lit(1), "_rn")
+    return d.withColumn("batch", F.floor((F.col("_rn") - 1) / size).cast("long")).withColumn("place", ((F.col("_rn") - 1) % size).cast("long")).drop("_rn")

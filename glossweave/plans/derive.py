@@ -206,9 +206,9 @@ def per_key_concat(spark, sf_dir):
     return a.select(T.slug(F.col("r_name")).alias("slug"), F.concat(F.lit("## "), "r_name", F.lit("\n"), F.array_join(F.transform("s", lambda s: s["x"]), "; ")).alias("md"), "n")
 
 
-@query(f"""select doc_id, {"".join("regexp_replace(" for _ in T.SPACING)}left(text, 500){"".join(", '" + a + "', '" + b.replace('$', chr(92)) + "', 'g')" for a, b in T.SPACING)} as text from documents""")
+@query(f"""select doc_id, {"".join("regexp_replace(" for _ in T.SPACING)}text{"".join(", '" + a + "', '" + b.replace('$', chr(92)) + "', 'g')" for a, b in T.SPACING)} as text from documents""")
 def tidy_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.tidy(F.substring("text", 1, 500)).alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.tidy(F.col("text")).alias("text"))
 
 
 @query("""select p_partkey, list_filter([lower(v)], lambda x: true)[1] as first, v as headword from (select p_partkey, case p_partkey % 3 when 0 then p_name else upper(p_name) end as v from part)""")

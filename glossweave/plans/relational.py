@@ -45,8 +45,8 @@ def merge_rewritten(spark, sf_dir):
 def fallback_key_join(spark, sf_dir):
     cust = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")
     nation = table(spark, sf_dir, "nation")
-    segments = cust.select("c_mktsegment").where("c_mktsegment < 'G'").distinct()
-    strong = nation.where("n_nationkey % 3 = 0").join(segments).select("n_nationkey", "c_mktsegment", F.concat(F.lit("S"), "n_name").alias("region"))
+    segments = F.explode(F.array(*(F.lit(x) for x in ("AUTOMOBILE", "BUILDING", "FURNITURE"))))
+    strong = nation.where("n_nationkey % 3 = 0").withColumn("c_mktsegment", segments).select("n_nationkey", "c_mktsegment", F.concat(F.lit("S"), "n_name").alias("region"))
     weak = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("region"))
     return overlay.fallback(cust, strong, weak, ["n_nationkey", "c_mktsegment"], ["n_nationkey"], "region").select("c_custkey", "region")
 
@@ -190,10 +190,8 @@ def quantiles(spark, sf_dir):
  from t a join t b on a.item_id < b.item_id where len(list_intersect(a.s, b.s)) >= 12""")
 def jaccard_sets(spark, sf_dir):
     t = table(spark, sf_dir, "benchmark").select("item_id", matching.flat_tokens(F.col("text")).alias("s"))
-    one = t.select("item_id", F.size("s").alias("n"), F.explode("s").alias("w"))
-    both = one.select(F.col("item_id").alias("a"), F.col("n").alias("na"), "w").join(one.select(F.col("item_id").alias("b"), F.col("n").alias("nb"), "w"), "w").where("a < b")
-    met = both.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")).where("c >= 12")
-    return met.select("a", "b", F.round(F.col("c") / (F.col("na") + F.col("nb") - F.col("c")), 6).alias("jaccard"))
+    c = F.col("both")
+    return matching.similar_sets(t, "item_id", "s", 12).select("a", "b", F.round(c / (F.col("na") + F.col("nb") - c), 6).alias("jaccard"))
 
 
 @query("""select coalesce(o.k, l.k) as k, coalesce(o.n, 0) as a, coalesce(l.n, 0) as b from (select o_orderstatus as k, count(*) as n from orders group by 1) o full join (select l_linestatus as k, count(*) as n from lineitem group by 1) l on o.k = l.k""")

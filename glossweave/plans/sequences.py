@@ -67,7 +67,7 @@ def sandwich_fix(spark, sf_dir):
 
 @query("select doc_id, floor((row_number() over (partition by source order by doc_id) - 1) / 130)::bigint as batch, ((row_number() over (partition by source order by doc_id) - 1) % 130)::bigint as place from documents")
 def batch_ids(spark, sf_dir):
-    return sequence.batches(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", ["doc_id"], 130).select("doc_id", "batch", "place")
+    return sequence.batches(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id", 130).select("doc_id", "batch", "place")
 
 
 @query("select doc_id, lang, rn from (select doc_id, lang, row_number() over (partition by lang order by n_chars desc, doc_id) as rn from documents) where rn <= 50")
@@ -87,9 +87,9 @@ def section_breaks(spark, sf_dir):
 
 @query("""with t as (select doc_id, split_part(text, chr(10), 1) as line from documents), c as (select doc_id, unnest(range(1, length(line) + 1)) as i, line from t),
  l as (select doc_id, i, line, i - row_number() over (partition by doc_id order by i) as g from c where regexp_matches(substr(line, i, 1), '[A-Za-zÀ-ÿ]'))
- select doc_id, min(i) as first, max(i) as last, any_value(substr(line, 1, 0)) || string_agg(substr(line, i, 1), '' order by i) as word from l where i <= 60 group by doc_id, g""")
+ select doc_id, min(i) as first, max(i) as last, string_agg(substr(line, i, 1), '' order by i) as word from l group by doc_id, g""")
 def letter_islands(spark, sf_dir):
-    t = table(spark, sf_dir, "documents").select("doc_id", F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60).alias("line"))
+    t = table(spark, sf_dir, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("line"))
     ch = t.select("doc_id", F.posexplode(F.split("line", "")).alias("i", "ch")).where(F.col("ch").rlike("[A-Za-zÀ-ÿ]")).withColumn("i", F.col("i") + 1)
     g = ch.withColumn("g", F.col("i") - F.row_number().over(Window.partitionBy("doc_id").orderBy("i")))
     word = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "ch"))), lambda s: s["ch"]), "")
