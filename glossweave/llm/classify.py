@@ -37,13 +37,13 @@ NEUTRAL = {"en": "people", "de": "menschen", "fr": "gens", "es": "personas"}
 
 @dataclass
 class Linear:
-    """Weights by feature, intercept, and the line that turns a margin into log odds."""
+    """Weights by feature, intercept, and the line that turns a margin into log odds; norms: each feature's share of a text's squared length, if margins are scaled by that."""
 
     weights: np.ndarray
     bias: float
     slope: float = 1.0
     shift: float = 0.0
-    unit: bool = False
+    norms: np.ndarray | None = None
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -40, 40)))
@@ -214,12 +214,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     ratio[counts_of[0] + counts_of[1] < 3] = 0
     pruned = [x[ratio[x] != 0] for x in xs]
     w, bias = dual_descent([x for x, f in zip(pruned, fit) if f], ratio, y[fit], size, c)
-    model = Linear((w * ratio).astype(np.float32), bias, unit=True)
     norms = (ratio**2).astype(np.float32)
+    model = Linear((w * ratio).astype(np.float32), bias, norms=norms)
     test = ~fit if not fit.all() else fit
     margins = np.array([model.weights[x].sum() / max(1e-9, np.sqrt(norms[x].sum())) + bias for x, t in zip(pruned, test) if t])
     model.slope, model.shift = platt(margins, y[test])
-    model.norms = norms
     return model
 
 
@@ -239,17 +238,17 @@ def score_quality(docs: DataFrame, model: Linear, *, id_col: str = "doc_id", tex
 def quality_scorer(model: Linear):
     """A function from a text column to scores."""
     make, last = QualityFeatures(), np.zeros(QualityFeatures.size, np.int32)
-    weights, norms = model.weights, getattr(model, "norms", np.zeros_like(model.weights))
+    weights, norms = model.weights, model.norms
 
     def score(column) -> np.ndarray:
         body, at = utf8(column)
-        out = np.zeros(len(at) - 1)
-        for i in range(len(out)):
+        out = np.full(len(at) - 1, model.bias)
+        for i in range(len(out) if norms is not None else 0):
             x = make(body[at[i] : at[i + 1]])
             order = np.arange(len(x), dtype=np.int32)
             last[x] = order  # of equal numbers one stays
             x = x[last[x] == order]
-            out[i] = weights[x].sum(dtype=np.float64) / max(1e-9, np.sqrt(norms[x].sum(dtype=np.float64))) + model.bias if model.unit else model.bias
+            out[i] = weights[x].sum(dtype=np.float64) / max(1e-9, np.sqrt(norms[x].sum(dtype=np.float64))) + model.bias
         return model.scores(out)
 
     return score
