@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import arrow_limits, drop_stash, narrow, stash
 
 SAMPLE, LEAF = 8192, 2000
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 
 def fingerprint(text: bytes, k: int) -> int:
@@ -247,8 +247,8 @@ def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     A replaced word changes five shingles but one word, so candidates come from the SimHash of the set of words, by the trees, within `radius`
     bits, where the SimHashes of the shingle sets are at most `apart` bits from each other. In every shard a point puts forward its `nearest`
-    candidates by the latter; their similarity is then computed exactly, and only verified pairs link. So no two documents join without a
-    chain of verified pairs; a pair is missed if neither is among the other's nearest candidates in any tree, or its words differ too much.
+    candidates by the latter, and the smallest of those at half the distance and of all; their similarity is then computed exactly, and only verified pairs link. So no two documents join without a
+    chain of verified pairs; a pair is missed if neither puts the other forward in any tree and no chain joins them, or if its words differ too much.
     Equal word sequences (in lower case) are one point. Null and empty texts are equal. Null ids stay by themselves unless equal to another text.
     """
     arrow_limits(docs.sparkSession)
@@ -284,8 +284,12 @@ def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             a, b, d = a[ok], b[ok], d[ok]
             order = np.lexsort((pid[b], d, a))
             a, b = a[order], b[order]
-            start = np.searchsorted(a, a)  # each point's candidates stand together, nearest first
-            pick = np.arange(len(a)) - start < nearest
+            d = d[order]
+            pick = np.arange(len(a)) - np.searchsorted(a, a) < nearest  # each point's candidates stand together, nearest first
+            for close in (d <= apart // 2, d <= apart):  # and the smallest, which a dense group has in common
+                some = np.flatnonzero(close)
+                some = some[np.lexsort((pid[b[some]], a[some]))]
+                pick[some[np.append(True, a[some][1:] != a[some][:-1])] if len(some) else some] = True
             out_a.append(a[pick])
             out_b.append(b[pick])
         a, b = pid[np.concatenate(out_a)], pid[np.concatenate(out_b)]
