@@ -11,6 +11,7 @@ mentions weigh as little as neutral words.
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,7 @@ from .common import arrow_limits, narrow, utf8
 from .hashing import Prefixes, chunks, gram, mix, words
 
 #: Labelled rows that a fit uses at most (those with the smallest hashes of their ids).
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS, QUALITY_ROWS = 4000, 2500
 
 # Terms for groups of people, by language, and neutral stand-ins.
 IDENTITY = {
@@ -149,14 +150,15 @@ def distinct(features: np.ndarray) -> np.ndarray:
 def dual_descent(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, size: int, c: float, epochs: int = 12, seed: int = 1) -> tuple[np.ndarray, float]:
     """min |w|^2 / 2 + c * sum of hinge losses, by coordinate descent in the dual. Row i has values[rows[i]] at rows[i], scaled to unit length, and a constant."""
     w, bias = np.zeros(size), 0.0
-    xs = [(r, v / max(1e-9, np.sqrt(v @ v))) for r in rows for v in (values[r],)]
-    q = np.array([x @ x + 1 for _, x in xs])
+    scale = np.array([1 / max(1e-9, np.sqrt(v @ v)) for r in rows for v in (values[r],)])
+    q = np.array([2.0 if len(r) else 1.0 for r in rows])
     alpha, rng = np.zeros(len(rows)), np.random.default_rng(seed)
     top = np.where(y > 0, c * len(y) / (2 * max(1, (y > 0).sum())), c * len(y) / (2 * max(1, (y < 0).sum())))
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            r, x = xs[i]
+            r = rows[i]
+            x = values[r] * scale[i]
             g = y[i] * (w[r] @ x + bias) - 1
             new = min(max(alpha[i] - g / q[i], 0.0), top[i])
             step = (new - alpha[i]) * y[i]
@@ -186,7 +188,7 @@ def platt(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS, c: float = 1.0) -> Linear:
+def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = QUALITY_ROWS, c: float = 1.0) -> Linear:
     """NB-SVM of at most rows labelled, not held-out texts; four fifths fit the model, the rest its calibration. Without labels of both classes every score is the share of label 1, or 1/2."""
     arrow_limits(docs.sparkSession)
     chosen, counts = sample_ids(labels, id_col, label_col, rows, balanced=False)
@@ -198,9 +200,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
             rows_ = [distinct(make(body[s:e])).tobytes() for s, e in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(rows_, pa.binary())], ["doc_id", "y", "features"])
 
-    got = labelled(narrow(docs, id_col, text_col), chosen, rows).mapInArrow(run, "doc_id long, y int, features binary").collect()
-    got.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
-    xs, y = [np.frombuffer(r["features"], np.int32) for r in got], np.array([2 * r["y"] - 1 for r in got])
+    got = labelled(narrow(docs, id_col, text_col), chosen, rows).mapInArrow(run, "doc_id long, y int, features binary").toArrow()
+    xs, label = [np.frombuffer(x.as_buffer(), np.int32) for x in got["features"]], got["y"].to_numpy()
+    order = sorted(range(len(xs)), key=lambda i, d=got["doc_id"].to_pylist(): (d[i], zlib.crc32(xs[i])))
+    xs, y = [xs[i] for i in order], 2 * label[order].astype(np.int64) - 1
     size = QualityFeatures.size
     if len(set(y.tolist())) < 2:
         p = min(0.999, max(0.001, counts.get(1, 0) / max(1, sum(counts.values())))) if counts else 0.5
@@ -208,11 +211,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     fit = np.arange(len(y)) % 5 != 4
     if len(set(y[fit].tolist())) < 2 or len(set(y[~fit].tolist())) < 2:
         fit[:] = True
-    counts_of = [np.bincount(np.concatenate([x for x, k, f in zip(xs, y, fit) if f and k == s]), minlength=size) for s in (1, -1)]
+    counts_of = [np.zeros(size), np.zeros(size)]
+    for i in np.flatnonzero(fit):
+        counts_of[int(y[i] < 0)][xs[i]] += 1  # a text's features are distinct
     n = [(y[fit] == s).sum() for s in (1, -1)]
     ratio = np.log((counts_of[0] + 1) / (n[0] + 2)) - np.log((counts_of[1] + 1) / (n[1] + 2))
     ratio[counts_of[0] + counts_of[1] < 3] = 0
     pruned = [x[ratio[x] != 0] for x in xs]
+    del got, xs
     w, bias = dual_descent([x for x, f in zip(pruned, fit) if f], ratio, y[fit], size, c)
     norms = (ratio**2).astype(np.float32)
     model = Linear((w * ratio).astype(np.float32), bias, norms=norms)
@@ -335,16 +341,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
                     sets.append(distinct(make(raw, np.array([0, len(raw)]))[0]))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, 1), b.column("y").slice(i, 1), pa.array([[s.tobytes() for s in sets]], pa.list_(pa.binary()))], ["doc_id", "y", "features"])
 
-    got = labelled(narrow(docs, id_col, text_col), chosen, rows).mapInArrow(run, "doc_id long, y int, features array<binary>").collect()
-    got.sort(key=lambda r: (r["doc_id"], bytes(r["features"][0])))
-    xs, y = [[np.frombuffer(f, np.int32) for f in r["features"]] for r in got], np.array([r["y"] for r in got])
+    got = labelled(narrow(docs, id_col, text_col), chosen, rows).mapInArrow(run, "doc_id long, y int, features array<binary>").toArrow()
+    xs, label = [[np.frombuffer(f.as_buffer(), np.int32) for f in r] for r in got["features"]], got["y"].to_numpy()
+    order = sorted(range(len(xs)), key=lambda i, d=got["doc_id"].to_pylist(): (d[i], zlib.crc32(xs[i][0])))
+    xs, y = [xs[i] for i in order], label[order]
     prior = min(0.95, max(0.01, counts.get(1, 0) / max(1, sum(counts.values())))) if counts else 0.5
     size = WordFeatures.size
     if len(set(y.tolist())) < 2:
         return Linear(np.zeros(size, np.float32), 0.0, 1.0, float(np.log(prior / (1 - prior))))
     n1, n0 = int((y == 1).sum()), int((y == 0).sum())
-    c1 = np.bincount(np.concatenate([x[0] for x, k in zip(xs, y) if k == 1]), minlength=size)
-    c0 = np.bincount(np.concatenate([x[0] for x, k in zip(xs, y) if k == 0]), minlength=size)
+    c0, c1 = np.zeros(size), np.zeros(size)
+    for x, k in zip(xs, y):
+        (c1 if k else c0)[x[0]] += 1
     pooled = (c1 + c0 + 1) / (n1 + n0 + 2)
     z = np.abs(c1 / n1 - c0 / n0) / np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
     z[c1 + c0 < 5] = 0
