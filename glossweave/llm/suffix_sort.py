@@ -7,7 +7,7 @@ before the next pass, and equal groups at full depth are exactly the repeated wi
  1. Digit of K bytes at the anchors (see winnow): one sparse suffix stands for all windows around it.
  2. Digit of the anchor's whole surrounding, every window that holds it: in a group of equal surroundings all windows are settled at once,
     in favour of the smallest id. Nothing more is needed where a key has one surrounding only.
- 3. Digit of all `length` bytes, for the windows of one representative of each surrounding where a key has several.
+ 3. Digit of all `length` bytes, for the windows (each under its own anchor) of one representative of each surrounding where a key has several.
 
 Exact copies of whole texts are settled in pass 1. Texts are dealt out once, in groups; the passes move packed hashes.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, arrow_limits, ids, narrow, stash, utf8
 from .hashing import Prefixes, chunks, gram, mix
-from .winnow import ENTRY, ENTRY_ARROW, OWNER, OWNER_ARROW, Owners, anchors, by_group, cover, entries, gather, inside, owners, pack_ids, shorten, sized, to_batch, whole_keys
+from .winnow import ENTRY, ENTRY_ARROW, OWNER, OWNER_ARROW, Owners, anchors, by_group, cover, entries, gather, minima, owners, pack_ids, shorten, sized, to_batch, whole_keys
 
 RESULT = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())]
 FIRST = pa.schema([("g", pa.int64()), ("row", pa.int64()), ("open", pa.bool_()), *RESULT, ("text", pa.binary()), ("pos", pa.binary())])
@@ -56,7 +56,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     """
     if length < 8:
         raise ValueError("length is 8 at least")
-    k = length // 2 - 1 if length >= 12 else length // 2
+    k = length * 3 // 5  # long enough that few anchors are repeated by chance
     reach = length - k
     arrow_limits(docs.sparkSession)
     dealt, bits = sized(narrow(docs, id_col, text_col), 6 << 20)
@@ -100,7 +100,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     open_ = first.where("open").select("g", "doc_id", "text", "pos")
 
     def surroundings(table, prefixes: Prefixes):
-        """The open rows' bytes with their offsets; row, key and surrounding's hash of their anchors, and the surroundings' bounds."""
+        """The open rows' bytes with their offsets; row, position, key and surrounding's hash of their anchors, and the surroundings' bounds."""
         body, at = utf8(table.column("text"))
         pos = [np.cumsum(np.frombuffer(x.as_buffer(), np.uint32), dtype=np.int64) for x in table.column("pos")]
         row = np.repeat(np.arange(len(pos)), [len(x) for x in pos])
@@ -115,13 +115,13 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
             keys[s:e] = shorten(mix(gram(prefixes.table[part], k)[pos[s:e] + shift]), bits)
             prefixes.load(part)
             ctx[s:e] = mix(prefixes.of(lo[s:e] + shift, hi[s:e] + shift) + (pos[s:e] - lo[s:e]).astype(np.uint64))
-        return body, at, row, keys, ctx, lo, hi
+        return body, at, row, pos, keys, ctx, lo, hi
 
     def second_digits(batches):
         prefixes = Prefixes()
         for b in batches:
             doc, g = ids(b.column("doc_id")), b.column("g").to_numpy()
-            _, _, row, keys, ctx, _, _ = surroundings(b, prefixes)
+            _, _, row, _, keys, ctx, _, _ = surroundings(b, prefixes)
             for gid, ks, cs, ds in by_group(g[row], keys, ctx, doc[row]):
                 order = np.lexsort((ds, cs, ks))
                 ks, cs, ds = ks[order], cs[order], ds[order]
@@ -158,29 +158,30 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     def judged(left, right, prefixes: Prefixes):
         """Surroundings of the open rows with their owners, and where all windows are to be looked at one by one."""
         told = Owners(right.filter(pa.compute.equal(right["pass"], 2)))
-        body, at, row, keys, ctx, lo, hi = surroundings(left, prefixes)
+        body, at, row, pos, keys, ctx, lo, hi = surroundings(left, prefixes)
         doc, joint = ids(left["doc_id"]), together(keys, ctx)
         _, kind = np.unique(joint, return_inverse=True)
         own = np.full(kind.max() + 1 if len(kind) else 0, NO_ID, np.int64)
         np.minimum.at(own, kind, doc[row])
         known = told.has(joint)
         owner = np.where(known, told(joint), own[kind])
-        return body, at, doc, row, lo, hi, owner, known & (owner >= doc[row])
+        return body, at, doc, row, pos, lo, hi, owner, known & (owner >= doc[row])
 
-    def windows(body, at, row, lo, hi, single, table):
-        """Row, start in the row and hash of each window to be looked at."""
+    def windows(body, at, row, pos, single, table):
+        """Row, start in the row and hash of the windows whose anchor is one of the single ones."""
         out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]]
         for a, b in chunks(at):
             s, e = np.searchsorted(row, (a, b))
             pick = np.flatnonzero(single[s:e]) + s
             if not len(pick):
                 continue
-            n = at[b] - at[a]
-            shift = at[row[pick]] - at[a]
-            starts = np.flatnonzero(cover(lo[pick] + shift, hi[pick] + shift - length + 1, n)[: n - length + 1] & inside(at[a : b + 1] - at[a], length, n))
-            h = mix(gram(table[body[at[a] : at[b]]], length)[starts])
-            r = np.searchsorted(at[a : b + 1] - at[a], starts, "right") - 1
-            for c, x in zip(out, (r + a, starts - (at[r + a] - at[a]), h)):
+            part, units = at[a : b + 1] - at[a], table[body[at[a] : at[b]]]
+            starts, anchor, _ = minima(units, part, length, k)
+            wanted = np.zeros(len(units), bool)
+            wanted[pos[pick] + part[row[pick] - a]] = True
+            starts = starts[wanted[anchor]]
+            r = np.searchsorted(part, starts, "right") - 1
+            for c, x in zip(out, (r + a, starts - part[r], mix(gram(units, length)[starts]))):
                 c.append(x)
         return tuple(map(np.concatenate, out))
 
@@ -188,8 +189,8 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         if not left.num_rows:
             return pa.Table.from_batches([to_batch([], ENTRY_ARROW)])
         prefixes = Prefixes()
-        body, at, doc, row, lo, hi, _, single = judged(left, right, prefixes)
-        r, _, h = windows(body, at, row, lo, hi, single, prefixes.table)
+        body, at, doc, row, pos, _, _, _, single = judged(left, right, prefixes)
+        r, _, h = windows(body, at, row, pos, single, prefixes.table)
         return pa.Table.from_batches([to_batch(entries(key[0].as_py(), h, doc[r], bits, 8), ENTRY_ARROW)])
 
     third = stash(owners(open_.groupBy("g").cogroup(second.groupBy("g")).applyInArrow(third_digits, ENTRY), 8), "radix3").withColumn("pass", F.lit(3))
@@ -199,9 +200,9 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         if not left.num_rows:
             return pa.Table.from_batches([to_batch([], schema)])
         prefixes = Prefixes()
-        body, at, doc, row, lo, hi, owner, single = judged(left, right, prefixes)
+        body, at, doc, row, pos, lo, hi, owner, single = judged(left, right, prefixes)
         last = Owners(right.filter(pa.compute.equal(right["pass"], 3)))
-        r, start, h = windows(body, at, row, lo, hi, single, prefixes.table)
+        r, start, h = windows(body, at, row, pos, single, prefixes.table)
         gone = last(h) < doc[r]
         r, start = r[gone], start[gone]
         taken = owner < doc[row]

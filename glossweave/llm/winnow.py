@@ -35,16 +35,21 @@ def sized(docs: DataFrame, bytes_a_part: int) -> tuple[DataFrame, int]:
     return docs.withColumn("g", g).repartition("g"), bits
 
 
-def anchors(units: np.ndarray, at: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and keys of the anchors of all windows that lie within one row; at: the n + 1 offsets of rows in units."""
-    m_valid = inside(at, window, len(units))
-    if not m_valid.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def minima(units: np.ndarray, at: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of all windows that lie within one row, the anchor of each, and the hashes of all k-grams; at: the n + 1 offsets of rows in units."""
+    ok = inside(at, window, len(units))
+    if not ok.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = mix(gram(units, k))
     low = np.uint64((1 << POS_BITS) - 1)
     best = sliding_min((h & ~low) | np.arange(len(h), dtype=np.uint64), window - k + 1)
-    pos = (best[m_valid] & low).astype(np.int64)
-    pos = pos[np.append(True, pos[1:] != pos[:-1])]
+    return np.flatnonzero(ok), (best[ok] & low).astype(np.int64), h
+
+
+def anchors(units: np.ndarray, at: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and keys of the anchors of all windows that lie within one row."""
+    _, pos, h = minima(units, at, window, k)
+    pos = pos[np.append(True, pos[1:] != pos[:-1])] if len(pos) else pos
     return pos, mix(h[pos] + np.uint64(0x9E3779B97F4A7C15))  # the chosen hashes are small ones; keys must be even again
 
 
