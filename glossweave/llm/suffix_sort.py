@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, arrow_limits, ids, narrow, stash, utf8
+from .common import NO_ID, arrow_limits, drop_stash, ids, narrow, stash, utf8
 from .hashing import Prefixes, chunks, gram, mix
 from .winnow import ENTRY, ENTRY_ARROW, OWNER, OWNER_ARROW, Owners, anchors, by_group, cover, entries, gather, minima, owners, pack_ids, shorten, sized, to_batch, whole_keys
 
@@ -95,8 +95,10 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
                 out.append((gid, i, True, d, int(n[i]), None, None, None, None, text, np.diff(pos[a:b], prepend=0).astype(np.uint32).tobytes()))
         return pa.Table.from_batches([to_batch(out, FIRST)])
 
-    known = owners(dealt.mapInArrow(first_digits, ENTRY), 5)
+    # A table, so that the entries' shuffle is gone before the next one and the texts are written; texts are dealt out again for that.
+    known = stash(owners(dealt.mapInArrow(first_digits, ENTRY), 5), "radix0")
     first = stash(dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(settle_first, FIRST_DDL), "radix1")
+    drop_stash(known)
     open_ = first.where("open").select("g", "doc_id", "text", "pos")
 
     def surroundings(table, prefixes: Prefixes):
