@@ -272,12 +272,31 @@ def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     points = stash(marked.groupBy("whole").agg(F.min("fp").alias("fp"), F.min("fine").alias("fine"), F.min("doc_id").alias("least")), "points")
 
     def pairs(_, table):
-        fp, fine = (table[c].to_numpy().view(np.uint64) for c in ("fp", "fine"))
-        pid, rows = table["whole"].to_numpy(), np.flatnonzero(table["home"].to_numpy())
+        order = np.argsort(table["whole"].to_numpy())
+        fp, fine = (table[c].to_numpy()[order].view(np.uint64) for c in ("fp", "fine"))
+        pid, rows = table["whole"].to_numpy()[order], np.flatnonzero(table["home"].to_numpy()[order])
         step = max(1, (1 << 21) // max(1, len(fp)))
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in range(0, len(rows), step):
-            a, b = np.nonzero(np.bitwise_count(fp[rows[i : i + step], None] ^ fp[None, :]) <= radius)
+            own = rows[i : i + step]
+            near = np.bitwise_count(fp[own, None] ^ fp[None, :]) <= radius
+            if np.count_nonzero(near) > near.size // 100:  # a dense group: no list of its pairs is made
+                d, at = np.bitwise_count(fine[own, None] ^ fine[None, :]), np.arange(len(own))
+                d[~near | (d > apart)] = 255
+                d[at, own] = 255
+                for most in (apart // 2, apart):
+                    j = (d <= most).argmax(axis=1)
+                    ok = d[at, j] <= most
+                    out_a.append(own[ok])
+                    out_b.append(j[ok])
+                for _ in range(nearest):
+                    j = d.argmin(axis=1)
+                    ok = d[at, j] < 255
+                    out_a.append(own[ok])
+                    out_b.append(j[ok])
+                    d[at, j] = 255
+                continue
+            a, b = np.nonzero(near)
             a = rows[a + i]
             d = np.bitwise_count(fine[a] ^ fine[b])
             ok = (d <= apart) & (pid[a] != pid[b])
