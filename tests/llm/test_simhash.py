@@ -69,3 +69,34 @@ def test_tree_search_is_exact(spark, monkeypatch):
     for s in signed:
         have.setdefault(root[s], set()).add(s)
     assert sorted(map(sorted, want.values())) == sorted(map(sorted, have.values()))
+
+
+def edits_of(rng, base, count, replaced):
+    out = []
+    for _ in range(count):
+        words = list(base)
+        for i in rng.choice(len(base), replaced, replace=False):
+            words[i] = f"w{rng.integers(1 << 40)}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_edits_of_one_base(spark):
+    """Edits with a similarity of 0.8 or more to their base, less to each other: all join it, in groups of 30 to 3,000."""
+    rng, docs, groups = np.random.default_rng(3), [], []
+    for count in (30, 100, 300, 3000):
+        base = [f"w{x}" for x in rng.integers(1 << 40, size=200)]
+        whole = simhash.shingle_set(" ".join(base).encode().split(), 5)
+        texts = [" ".join(base)]
+        for t in edits_of(rng, base, count, 4):
+            x = simhash.shingle_set(t.encode().split(), 5)
+            both = len(np.intersect1d(x, whole))
+            if both >= 0.8 * (len(x) + len(whole) - both):
+                texts.append(t)
+        assert len(texts) > 0.9 * count
+        ids = [len(docs) + i for i in range(len(texts))]
+        groups.append(ids)
+        docs += [(i, t, "x", 1, 2) for i, t in zip(ids, texts)]
+    got = {r.doc_id: r.component_id for r in simhash.similar_components(spark.createDataFrame(docs, SCHEMA).repartition(4)).collect()}
+    for ids in groups:
+        assert {got[i] for i in ids} == {ids[0]}
