@@ -31,10 +31,12 @@ HARMLESS = ("tokenizer", "tokenize", "tokens", "maxtoken", "passwordless", "secr
 
 LEXER = r"""
 (?P<pem>-----BEGIN\ [A-Z ]*PRIVATE\ KEY-----[A-Za-z0-9+/=\s\\]+-----END\ [A-Z ]*PRIVATE\ KEY-----)
-|<(?P<tag>[A-Za-z_][\w.-]{1,63})>(?P<inner>[^<>\s]{6,512})</(?P=tag)>
-|(?<![\w$.-])(?P<name>[A-Za-z_$][\w$.-]{0,63}+)["']?\]?[\x20\t]*(?::=|=>|:|=)(?![=:])[\x20\t]*
- (?:"(?P<dq>(?:[^"\\\n]|\\.){1,512})"|'(?P<sq>(?:[^'\\\n]|\\.){1,512})'|`(?P<bq>[^`\n]{1,512})`|(?P<bare>[A-Za-z0-9_$+/.~-][A-Za-z0-9_$+/.~=-]{0,511}))
+|<(?P<tag>[A-Za-z_][\w.-]++)>(?P<inner>[^<>\s]{6,}+)</(?P=tag)>
+|(?<![\w$.-])(?P<name>[A-Za-z_$][\w$.-]*+)["']?\]?[\x20\t]*+(?::=|=>|:|=)(?![=:])[\x20\t]*+
+ (?:"(?P<dq>(?:[^"\\\n]++|\\.)++)"|'(?P<sq>(?:[^'\\\n]++|\\.)++)'|`(?P<bq>[^`\n]++)`|(?P<bare>[A-Za-z0-9_$+/.~-][A-Za-z0-9_$+/.~=-]*+))
 """
+#: A quoted literal of more characters that is no secret itself, such as a file in a string, is read for pairs inside.
+NESTED = 512
 
 
 def lexer() -> re.Pattern:
@@ -67,7 +69,9 @@ def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[in
         return []
     known: dict[str, tuple[int, int, str]] = {}
     found: set[tuple[int, int]] = set()
-    for m in pattern.finditer(text):
+    at = 0
+    while m := pattern.search(text, at):
+        at = m.end()
         if m["pem"]:
             found.add(m.span("pem"))
             continue
@@ -80,6 +84,8 @@ def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[in
         known[name] = (start, end, value)
         if sensitive(name) and literal_score(value) >= threshold:
             found.add((start, end))
+        elif kind in ("dq", "sq", "bq") and m.end(kind) - m.start(kind) > NESTED:
+            at = m.start(kind)
     return sorted(found)
 
 

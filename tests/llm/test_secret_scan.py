@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from glossweave.llm import secret_scan
 from glossweave.llm.queries import QUERIES
@@ -53,3 +54,16 @@ def test_documents_and_redaction(spark, sf):
     assert clean.schema == docs.schema and clean.count() == docs.count()
     assert not [r for r in clean.collect() if base(r.text)]
     assert secret_scan.scan(docs.limit(0)).count() == 0
+
+
+def test_long_literals_and_names():
+    """A literal is one span of any length, in linear time; pairs inside a long string that is no secret are found as before."""
+    for n in (600, 20_000):
+        key = ("Zx9kQ2vLp0Rt5w" * n)[:n]
+        for form in ('SECRET_KEY = "{}"', "SECRET_KEY='{}'", "pwd = `{}`", "SECRET_KEY={}", "<credential>{}</credential>", "a_" * 40 + 'private_key: "{}"'):
+            assert lexed(form.format(key)) == [key], (n, form[:20])
+    assert lexed(f'body = "{"word " * 200} auth_key=\'Zx9kQ2vLp0Rt5w\' {"word " * 200}"') == ["Zx9kQ2vLp0Rt5w"]
+    for part in ('a="', "a='b=\"c=`", "a=", "<ab>x", "a" * 9, 'a="\\'):
+        start = time.process_time()
+        lexed(part * (300_000 // len(part)))
+        assert time.process_time() - start < 5, part
