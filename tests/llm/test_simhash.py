@@ -100,3 +100,14 @@ def test_edits_of_one_base(spark):
     got = {r.doc_id: r.component_id for r in simhash.similar_components(spark.createDataFrame(docs, SCHEMA).repartition(4)).collect()}
     for ids in groups:
         assert {got[i] for i in ids} == {ids[0]}
+
+
+def test_short_texts(spark):
+    """One word appended to 8 to 30 words: similarity 0.8 or more, though the SimHashes of so few words are far apart. Every pair joins."""
+    rng, docs = np.random.default_rng(4), []
+    for words in (8, 10, 12, 15, 30):
+        for _ in range(60):
+            text = " ".join(f"w{x}" for x in rng.integers(1 << 40, size=words))
+            docs += [(len(docs), text, "x", 1, 2), (len(docs) + 1, f"{text} more", "x", 1, 2)]
+    got = {r.doc_id: r.component_id for r in simhash.similar_components(spark.createDataFrame(docs, SCHEMA).repartition(3)).collect()}
+    assert got == {d[0]: d[0] // 2 * 2 for d in docs}
