@@ -96,6 +96,19 @@ def letter_islands(spark, sf_dir):
     return g.groupBy("doc_id", "g").agg(F.min("i").cast("long").alias("first"), F.max("i").cast("long").alias("last"), word.alias("word")).drop("g")
 
 
+@query("""with s as (select doc_id, string_split(text, chr(10)) as lines from documents), t as (select doc_id, unnest(range(1, len(lines) + 1)) as n, unnest(lines) as line from s),
+ c as (select doc_id, n, unnest(range(1, length(line) + 1)) as i, line from t),
+ l as (select doc_id, n, i, line, i - row_number() over (partition by doc_id, n order by i) as g from c where regexp_matches(substr(line, i, 1), '[A-Za-zÀ-ÿ]'))
+ select doc_id, n as line, min(i) as first, max(i) as last, string_agg(substr(line, i, 1), '' order by i) as word from l group by doc_id, n, g""")
+def letter_islands_all_lines(spark, sf_dir):
+    """letter_islands of every line, not only the first."""
+    t = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).withColumn("line", F.col("line").cast("long") + 1)
+    ch = t.select("doc_id", "line", F.posexplode(F.split("t", "")).alias("i", "ch")).where(F.col("ch").rlike("[A-Za-zÀ-ÿ]")).withColumn("i", F.col("i") + 1)
+    g = ch.withColumn("g", F.col("i") - F.row_number().over(Window.partitionBy("doc_id", "line").orderBy("i")))
+    word = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "ch"))), lambda s: s["ch"]), "")
+    return g.groupBy("doc_id", "line", "g").agg(F.min("i").cast("long").alias("first"), F.max("i").cast("long").alias("last"), word.alias("word")).drop("g")
+
+
 @query("""with m as (select conv_id, min(length(text)) filter (where role = 'user') as a, median(length(text)) filter (where role = 'assistant') as b from conversations group by 1)
  select c.conv_id, turn, case when a is null or b is null then 'unknown' when length(text) > (a + b) / 2 then 'long' else 'short' end as kind from conversations c join m using (conv_id)""")
 def line_calibration(spark, sf_dir):

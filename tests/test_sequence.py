@@ -44,3 +44,15 @@ def test_quality_families_report_one_of_three(spark):
 def test_fragments_are_found_in_order(spark):
     df = spark.createDataFrame([("an anan banan", ["an", "an", "ban", "x", "nan"])], "t string, f array<string>")
     assert df.select(repair.locate(F.col("t"), F.col("f")).alias("x")).first().x == [1, 4, 9, 0, 5]
+
+
+def test_letter_islands_of_all_lines(spark, sf):
+    """Every run of letters of every line, by brute force."""
+    import re
+
+    from glossweave.plans import registry
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = {(d.doc_id, n, m.start() + 1, m.end(), m[0]) for d in docs for n, line in enumerate((d.text or "").split("\n"), 1) for m in re.finditer("[A-Za-zÀ-ÿ]+", line)}
+    got = registry.QUERIES["letter_islands_all_lines"](spark, sf).select("doc_id", "line", "first", "last", "word").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want and any(w[1] > 1 for w in want)
