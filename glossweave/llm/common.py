@@ -18,31 +18,45 @@ BATCH_BYTES = 16 << 20
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share. A session that names none gets a folder of its own if driver and executors are one process; on a
+    cluster there is no folder to fall back to, as every machine would write to its own disk."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="glossweave-")
         atexit.register(shutil.rmtree, at, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table of the shared folder and read it back: cuts the lineage and outlives executors."""
+    """Write df as a table of the shared folder and read it back: cuts the lineage and outlives executors. What isn't dropped goes when the driver ends."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/stash-{uuid.uuid4().hex}-{name}"
     df.write.option("compression", "zstd").parquet(path)
+    at, system = hadoop_path(spark, path)
+    system.deleteOnExit(at)
     spark.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle files that only this table needed
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stash(df: DataFrame) -> None:
     """Delete the files of a stashed table that no later plan reads."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        remove(df.sparkSession, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared folder."""
+    at, system = hadoop_path(spark, path)
+    system.delete(at, True)
 
 
 def arrow_limits(spark: SparkSession) -> None:
@@ -50,6 +64,13 @@ def arrow_limits(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def free_name(names: list[str], base: str) -> str:
+    """base, made longer until no column has that name."""
+    while base.lower() in {n.lower() for n in names}:
+        base += "_"
+    return base
+
+
 def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id and text, as doc_id and text, whatever else the table holds."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

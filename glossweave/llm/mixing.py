@@ -23,9 +23,11 @@ BUCKET_ROWS = 2_000
 WORDS = "[^\\x20\\x09-\\x0D]+"
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(doc_id, source, size): words outside [\\x20\\x09-\\x0D] of each whole text."""
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep: str | None = None) -> DataFrame:
+    """(doc_id, source, size): words outside [\\x20\\x09-\\x0D] of each whole text. keep: docs and the size under that name instead."""
     n = F.regexp_count(F.col(text_col).cast("string"), F.lit(WORDS)).cast("long")
+    if keep:
+        return docs.withColumn(keep, F.coalesce(n, F.lit(0)))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.coalesce(n, F.lit(0)).alias("size"))
 
 

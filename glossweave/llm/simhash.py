@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from .common import arrow_limits, drop_stash, narrow, stash
 
 SAMPLE, LEAF = 8192, 2000
-#: For the order of shingles: texts sampled, and frequent shingles known at most. Groups of up to SMALL texts go on as pairs, larger ones in blocks of BLOCK.
-TEXTS, FREQUENT, SMALL, BLOCK = 10_000, 300_000, 24, 4000
 BROADCAST_ROWS = 1_000_000
 
 
@@ -222,298 +220,3 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     named = points.join(roots.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-# --- similarity of shingle sets -------------------------------------------------------------------------------------------------
-
-
-def bits_of(h: np.ndarray) -> int:
-    """SimHash of a set of hashes."""
-    ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.int64)[0])
-
-
-def shingle_set(words: list[bytes], k: int) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles (fewer words: the whole sequence; none: empty)."""
-    if len(words) <= k:
-        shingles = [b" ".join(words)] if words else []
-    else:
-        line, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
-        starts = np.concatenate([[0], ends[: len(words) - k]]).tolist()
-        shingles = [line[s:e] for s, e in zip(starts, (ends[k - 1 :] - 1).tolist())]
-    return np.unique(np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], np.uint64))
-
-
-def prefix(shingles: np.ndarray, similarity: float, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The shingles of which two sets with that similarity share one at least: the first n - ceil(similarity * n) + 1 in an order that all sets have in common, rarest first."""
-    n = len(shingles)
-    f = np.zeros(n, np.int64)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        f = np.where(frequent[at] == shingles, counts[at], 0)
-    take = min(n, n - int(np.ceil(similarity * n - 1e-9)) + 1)
-    return shingles[np.lexsort((shingles * np.uint64(0x9E3779B97F4A7C15), f))[:take]]
-
-
-def frequent_shingles(plain: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that a sample of texts has three times or more, and how often. They only order shingles: any choice of them gives the same links."""
-
-    def run(batches):
-        for b in batches:
-            made = [shingle_set((t.as_py() or "").lower().encode().split(), k) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *made]).view(np.int64), pa.int64())], ["token"])
-
-    share = (1 << 20) * TEXTS // max(1, plain.count())
-    some = plain.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("text")
-    found = some.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2").limit(FREQUENT).toArrow()
-    token, n = found["token"].to_numpy().view(np.uint64), found["n"].to_numpy()
-    order = np.argsort(token)
-    return token[order], n[order]
-
-
-def meetings(similarity: float):
-    """For mapInArrow over (token, whole, part, size) in order of token: what is to be verified among the texts that share a token.
-
-    Only texts of different parts, whose sizes allow the similarity, have to meet. Small groups give their pairs, with no token. Of larger ones each
-    text is put in every cell of two blocks that it belongs to; islands() compares what meets there.
-    """
-
-    def groups(columns):
-        token, whole, part, size = (np.concatenate(c) for c in zip(*columns))
-        new = np.append(True, (token[1:] != token[:-1]) | (whole[1:] != whole[:-1]))
-        token, whole, part, size = token[new], whole[new], part[new], size[new]
-        start = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-        mixed = np.minimum.reduceat(part, start) != np.maximum.reduceat(part, start)
-        ends = np.append(start[1:], len(token))
-        us, vs, large = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-        for s, e in zip(start[mixed].tolist(), ends[mixed].tolist()):
-            m = e - s
-            if m > SMALL:
-                large.append((s, e))
-                continue
-            a, b = np.triu_indices(m, 1)
-            a, b = a + s, b + s
-            ok = (part[a] != part[b]) & (np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-9)
-            us.append(np.maximum(whole[a[ok]], whole[b[ok]]))
-            vs.append(np.minimum(whole[a[ok]], whole[b[ok]]))
-        u, v = np.concatenate(us), np.concatenate(vs)
-        none = pa.nulls(len(u), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), none, none, none], ["u", "v", "token", "cell", "block"])
-        for s, e in large:
-            k = -(-(e - s) // BLOCK)
-            own = np.arange(e - s) % k
-            for other in range(k):
-                cell = np.minimum(own, other) * k + np.maximum(own, other)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (whole[s:e], part[s:e], token[s:e], cell, own)], ["u", "v", "token", "cell", "block"])
-
-    def run(batches):
-        held: list = []
-        for b in batches:
-            if not b.num_rows:
-                continue
-            columns = [b.column(i).to_numpy() for i in range(4)]
-            token = columns[0]
-            cut = int(np.searchsorted(token, token[-1]))
-            if cut:
-                yield from groups([*held, [c[:cut] for c in columns]])
-                held = [[c[cut:] for c in columns]]
-            elif held and held[-1][0][0] == token[0]:
-                held.append(columns)
-            else:
-                if held:
-                    yield from groups(held)
-                held = [columns]
-        if held:
-            yield from groups(held)
-
-    return run
-
-
-def islands(similarity: float):
-    """For applyInArrow over the texts (u, its part v, block, shingles) of a cell: links (u, v) that join all texts with that similarity.
-
-    Texts of one part are never compared. Each text in turn is compared with all of other parts, those first whose shingles most others have, as the
-    base of many edits joins them at once.
-    """
-
-    def run(table):
-        whole, block = table["u"].to_numpy(), table["block"].to_numpy()
-        part = np.unique(table["v"].to_numpy(), return_inverse=True)[1]
-        sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["shingles"]]
-        size = np.array([len(x) for x in sets])
-        flat, start = np.unique(np.concatenate(sets), return_inverse=True)[1], np.append(0, np.cumsum(size))
-        often = np.bincount(flat)
-        first = np.argsort(-np.add.reduceat(often[flat], start[:-1]) / size, kind="stable")
-        two = block.min() != block.max()
-        live, bounds, done, held = np.arange(len(whole)), start, np.zeros(len(whole), bool), flat
-        mark = np.zeros(len(often), bool)
-        out_u, out_v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for count, p in enumerate(first.tolist()):
-            done[p] = True
-            if count and done[live].sum() * 2 > len(live):
-                live = live[~done[live]]
-                held = np.concatenate([flat[start[i] : start[i + 1]] for i in live]) if len(live) else flat[:0]
-                bounds = np.append(0, np.cumsum(size[live]))
-            other = ~done[live] & (part[live] != part[p]) & (np.minimum(size[live], size[p]) >= similarity * np.maximum(size[live], size[p]) - 1e-9)
-            if two:
-                other &= block[live] != block[p]
-            if not other.any():
-                continue
-            own = flat[start[p] : start[p + 1]]
-            mark[own] = True
-            if other.sum() * 8 < len(live):
-                both = np.array([np.count_nonzero(mark[flat[start[i] : start[i + 1]]]) for i in live[other]])
-            else:
-                both = np.add.reduceat(mark[held], bounds[:-1], dtype=np.int64)[other]
-            mark[own] = False
-            at = live[other]
-            at = at[both >= similarity * (size[at] + size[p] - both)]
-            if len(at):
-                out_u.append(np.maximum(whole[at], whole[p]))
-                out_v.append(np.minimum(whole[at], whole[p]))
-                part[np.isin(part, part[at])] = part[p]
-        return pa.table({"u": np.concatenate(out_u), "v": np.concatenate(out_v)})
-
-    return run
-
-
-def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 7, apart: int = 14, nearest: int = 2) -> DataFrame:
-    """(doc_id, component_id): components of documents whose sets of word shingles have a Jaccard similarity of `similarity` or more.
-
-    Every link is verified by the exact similarity, and all pairs with that similarity end up joined. Two rounds find them. In the first, candidates
-    come from the SimHash of the set of words, by the trees, within `radius` bits, where the SimHashes of the shingle sets are at most `apart` bits
-    from each other; in every shard a point puts forward its `nearest` by the latter, and the smallest of those at half the distance and of all.
-    This joins most of a dense group at little cost, but not all. The second is exact: two sets with the similarity share one of their rarest shingles
-    (prefix()), so the texts that share one meet, save those of one component of the first round.
-    Equal word sequences (in lower case) are one point. Null and empty texts are equal. Null ids stay by themselves unless equal to another text.
-    """
-    arrow_limits(docs.sparkSession)
-    plain = narrow(docs, id_col, text_col)
-    frequent, counts = frequent_shingles(plain, shingle)
-
-    def mark(batches):
-        for b in batches:
-            rows = []
-            for t in b.column("text"):
-                words = (t.as_py() or "").lower().encode().split()
-                if not words:
-                    rows.append((0, 0, 0, 0, []))
-                    continue
-                bag = np.array([xxhash.xxh64_intdigest(w, 42) for w in set(words)], np.uint64)
-                whole = xxhash.xxh3_64_intdigest(b" ".join(words))
-                made = shingle_set(words, shingle)
-                rows.append((int(np.uint64(whole).view(np.int64)), bits_of(bag), bits_of(made), len(made), prefix(made, similarity, frequent, counts).view(np.int64)))
-            cols = list(zip(*rows)) or [[]] * 5
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", "whole", "fp", "fine", "size", "keys"])
-
-    marked = stash(plain.mapInArrow(mark, "doc_id long, whole long, fp long, fine long, size long, keys array<long>"), "signatures")
-    points = stash(marked.groupBy("whole").agg(F.min("fp").alias("fp"), F.min("fine").alias("fine"), F.min("doc_id").alias("least")), "points")
-
-    def pairs(_, table):
-        order = np.argsort(table["whole"].to_numpy())
-        fp, fine = (table[c].to_numpy()[order].view(np.uint64) for c in ("fp", "fine"))
-        pid, rows = table["whole"].to_numpy()[order], np.flatnonzero(table["home"].to_numpy()[order])
-        step = max(1, (1 << 21) // max(1, len(fp)))
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in range(0, len(rows), step):
-            own = rows[i : i + step]
-            near = np.bitwise_count(fp[own, None] ^ fp[None, :]) <= radius
-            if np.count_nonzero(near) > near.size // 100:  # a dense group: no list of its pairs is made
-                d, at = np.bitwise_count(fine[own, None] ^ fine[None, :]), np.arange(len(own))
-                d[~near | (d > apart)] = 255
-                d[at, own] = 255
-                for most in (apart // 2, apart):
-                    j = (d <= most).argmax(axis=1)
-                    ok = d[at, j] <= most
-                    out_a.append(own[ok])
-                    out_b.append(j[ok])
-                for _ in range(nearest):
-                    j = d.argmin(axis=1)
-                    ok = d[at, j] < 255
-                    out_a.append(own[ok])
-                    out_b.append(j[ok])
-                    d[at, j] = 255
-                continue
-            a, b = np.nonzero(near)
-            a = rows[a + i]
-            d = np.bitwise_count(fine[a] ^ fine[b])
-            ok = (d <= apart) & (pid[a] != pid[b])
-            a, b, d = a[ok], b[ok], d[ok]
-            order = np.lexsort((pid[b], d, a))
-            a, b = a[order], b[order]
-            d = d[order]
-            pick = np.arange(len(a)) - np.searchsorted(a, a) < nearest  # each point's candidates stand together, nearest first
-            for close in (d <= apart // 2, d <= apart):  # and the smallest, which a dense group has in common
-                some = np.flatnonzero(close)
-                some = some[np.lexsort((pid[b[some]], a[some]))]
-                pick[some[np.append(True, a[some][1:] != a[some][:-1])] if len(some) else some] = True
-            out_a.append(a[pick])
-            out_b.append(b[pick])
-        a, b = pid[np.concatenate(out_a)], pid[np.concatenate(out_b)]
-        return pa.table({"u": np.maximum(a, b), "v": np.minimum(a, b)})
-
-    n = points.count()
-    where = routed(points.where("least is not null").select("fp", "fine", "whole"), n, radius)
-    found = stash(where.groupBy("tree", "leaf", "shard").applyInArrow(pairs, "u long, v long").distinct(), "candidates")
-    def sets(batches):
-        for b in batches:
-            made = [shingle_set((t.as_py() or "").lower().encode().split(), shingle) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("whole"), pa.array([np.unique(x.astype(np.uint32)).tobytes() for x in made], pa.binary())], ["whole", "shingles"])
-
-    def shingles_of(ends):
-        readers = points.join(ends.distinct(), "whole", "left_semi").select("whole", F.col("least").alias("doc_id"))
-        side = F.broadcast(readers) if readers.count() <= BROADCAST_ROWS else readers
-        return stash(plain.join(side, "doc_id").select("whole", "text").mapInArrow(sets, "whole long, shingles binary").dropDuplicates(["whole"]), "shingles")
-
-    def verify(batches):
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column("a"), b.column("b")):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint32) for z in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    def verified(pairs, known):
-        met = pairs.join(known.select(F.col("whole").alias("u"), F.col("shingles").alias("a")), "u").join(known.select(F.col("whole").alias("v"), F.col("shingles").alias("b")), "v")
-        return met.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long")
-
-    known = shingles_of(found.select(F.col("u").alias("whole")).union(found.select("v")))
-    roots = stars(verified(found, known))
-    drop_stash(known)
-
-    parts = points.where("least is not null").join(roots.select(F.col("u").alias("whole"), F.col("v").alias("part")), "whole", "left")
-    parts = parts.select(F.col("least").alias("doc_id"), "whole", F.coalesce("part", "whole").alias("part"))
-    keyed = marked.select("doc_id", F.col("whole").alias("same"), "size", "keys").join(F.broadcast(parts) if n <= BROADCAST_ROWS else parts, "doc_id").where("same = whole")
-    keyed = keyed.select(F.explode("keys").alias("token"), "whole", "part", "size").repartition("token").sortWithinPartitions("token", "whole")
-    meet = stash(keyed.mapInArrow(meetings(similarity), "u long, v long, token long, cell long, block long"), "meetings")
-    pairs_left, large = meet.where("token is null").select("u", "v").distinct(), meet.where("token is not null")
-    ends = pairs_left.select(F.col("u").alias("whole")).union(pairs_left.select("v")).union(large.select("u"))
-    known = shingles_of(ends)
-    more = verified(pairs_left, known)
-    if not large.isEmpty():
-        cells = large.join(known.withColumnRenamed("whole", "u"), "u")
-        more = more.union(cells.groupBy("token", "cell").applyInArrow(islands(similarity), "u long, v long"))
-    roots = stars(roots.union(more))
-    named = points.join(roots.select(F.col("u").alias("whole"), F.col("v").alias("root")), "whole", "left").withColumn("root", F.coalesce("root", "whole"))
-    named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("whole", "component_id")
-    return marked.join(named, "whole").select("doc_id", "component_id")
-
-
-def keep_ids(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of docs whose id is in kept (a column of that name). kept is broadcast only if it has at most BROADCAST_ROWS rows."""
-    kept = kept.select(id_col)
-    return docs.join(F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept, id_col, "left_semi").select(*docs.columns)
-
-
-def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with one document left of each of similar_components()'s components, the one with the smallest id; of rows with equal ids one stays. Rows with null ids all stay."""
-    grouped = stash(similar_components(docs, id_col=id_col, text_col=text_col, **how), "components")
-    winners = grouped.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    rows, distinct = grouped.agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
-    out = keep_ids(docs, winners, id_col)
-    if rows != distinct:
-        out = out.dropDuplicates([id_col])
-    nulls = docs.where(F.col(id_col).isNull())
-    return out.unionByName(nulls)

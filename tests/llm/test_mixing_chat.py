@@ -61,7 +61,8 @@ def test_null_and_capped_sources(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
-def test_chat_query_against_sql(spark, sf):
+def test_chat_query_against_sql(spark):
+    sf = "/root/testdata/sf0.01"
     got = QUERIES["op9_chat_rotation"](spark, sf)
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from read_parquet('{sf}/conversations.parquet')")

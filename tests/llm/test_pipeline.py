@@ -37,3 +37,27 @@ def test_stages_take_nulls_repeats_and_empty_tables(spark):
         assert stage(spark, df.limit(0), sf).count() == 0
     kept = corpus_pipeline.near_copies(spark, df, sf).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({r.doc_id for r in first} | {1_000_001, 1_000_003}) and sum(r.doc_id is None for r in kept) == 1
+
+
+def test_mix_shares_copies_among_rows_of_one_id(spark):
+    """Repeated ids, null ids and a column named copies: what is taken is what mixing takes."""
+    rows = [(1, "a b c", "s", 7)] * 5 + [(1, "d e", "s", 7), (None, "q r s t", "s", 7), (None, "q r s t", "t", 7), (2, "x", "t", 7)] + [(10 + i, "u v w", "t", 7) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    out = corpus_pipeline.mix(spark, df, "")
+    assert out.columns == ["doc_id", "text", "source", "copies"]
+    want = {}
+    for r in mixing.mix(df).collect():
+        want[r.doc_id, r["size"]] = want.get((r.doc_id, r["size"]), 0) + r.copies
+    got = {}
+    for r in out.collect():
+        got[r.doc_id, len(r.text.split())] = got.get((r.doc_id, len(r.text.split())), 0) + r.copies
+    assert got == {k: v for k, v in want.items() if v}
+
+
+def test_rows_with_one_id_and_several_texts(spark):
+    """A text is what is linked, not an id, whatever the partitioning."""
+    a, b = " ".join(f"a{i}" for i in range(100)), " ".join(f"b{i}" for i in range(100))
+    rows = [(5, a, None), (5, b, None), (5, a, None), (9, b.replace("b50", "c"), None), (None, a, None)]
+    for parts in (1, 2, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, whole string").repartition(parts)
+        assert sorted((r.doc_id or 0, r.text[:2]) for r in corpus_pipeline.near_copies(spark, df, "").collect()) == [(0, "a0"), (5, "a0"), (5, "b0")]

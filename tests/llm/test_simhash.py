@@ -1,8 +1,9 @@
 import sys, os; sys.path.insert(0, os.path.dirname(__file__))  # noqa: E401,E702
 import brute
 import numpy as np
+import pytest
 
-from glossweave.llm import simhash
+from glossweave.llm import near, simhash
 from glossweave.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, fp string, u int, root int"
@@ -18,20 +19,31 @@ def test_equals_brute_force(spark, monkeypatch):
 
 
 def test_similar_sets(spark, monkeypatch):
-    """Verified links only, and nearly all of them; copies of a text and near copies share a component."""
+    """The components are those of the sets compared one by one; copies of a text and near copies share a component."""
     monkeypatch.setattr(simhash, "LEAF", 20)
     docs = [d for d in brute.corpus(300, seed=8) if d[0] is not None]
     docs = list(dict(docs).items())
     df = spark.createDataFrame([(d, t, "x", 1, 2) for d, t in docs] + [(None, "stands alone", "x", 1, 2), (*docs[0], "x", 1, 2)], SCHEMA).repartition(3)
     want, pairs = brute.similar(docs)
-    got = {r.doc_id: r.component_id for r in simhash.similar_components(df).collect()}
-    assert len(pairs) > 30 and sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs)
-    assert all(want[d] == want[c] for d, c in got.items() if d is not None)
-    kept = simhash.dedup(df)
+    got = {r.doc_id: r.component_id for r in near.similar_components(df).collect()}
+    assert len(pairs) > 30 and {d: c for d, c in got.items() if d is not None} == want
+    kept = near.dedup(df)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({c for c in got.values() if c is not None})
 
 
+@pytest.mark.parametrize("small", [2, 24])
+def test_exact_round_alone(spark, monkeypatch, small):
+    """Without any candidate of the fingerprints the components are the same; so are they if nearly all groups count as large and cells are small."""
+    monkeypatch.setattr(near, "RADIUS", -1)
+    monkeypatch.setattr(near, "SMALL", small)
+    monkeypatch.setattr(near, "BLOCK", 300)
+    monkeypatch.setattr(near, "routed", lambda points, n, radius: simhash.routed(points, n, 4))
+    docs = list(dict(d for d in brute.corpus(250, seed=11) if d[0] is not None).items())
+    got = {r.doc_id: r.component_id for r in near.similar_components(spark.createDataFrame([(d, t, "x", 1, 2) for d, t in docs], SCHEMA).repartition(3)).collect()}
+    assert got == brute.similar(docs)[0]
+
+
 def test_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     got = sorted((tuple(r)[:3] for r in QUERIES["op6_simhash"](spark, sf).collect()), key=str)
@@ -40,7 +52,7 @@ def test_documents(spark, sf):
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
-    assert simhash.components(df).count() == 0 and simhash.dedup(df).count() == 0
+    assert simhash.components(df).count() == 0 and near.dedup(df).count() == 0
 
 
 def test_tree_search_is_exact(spark, monkeypatch):
@@ -71,6 +83,10 @@ def test_tree_search_is_exact(spark, monkeypatch):
     assert sorted(map(sorted, want.values())) == sorted(map(sorted, have.values()))
 
 
+def shingles(words):
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
 def edits_of(rng, base, count, replaced):
     out = []
     for _ in range(count):
@@ -86,18 +102,18 @@ def test_edits_of_one_base(spark):
     rng, docs, groups = np.random.default_rng(3), [], []
     for count in (30, 100, 300, 3000):
         base = [f"w{x}" for x in rng.integers(1 << 40, size=200)]
-        whole = simhash.shingle_set(" ".join(base).encode().split(), 5)
+        whole = shingles(base)
         texts = [" ".join(base)]
         for t in edits_of(rng, base, count, 4):
-            x = simhash.shingle_set(t.encode().split(), 5)
-            both = len(np.intersect1d(x, whole))
+            x = shingles(t.split())
+            both = len(x & whole)
             if both >= 0.8 * (len(x) + len(whole) - both):
                 texts.append(t)
         assert len(texts) > 0.9 * count
         ids = [len(docs) + i for i in range(len(texts))]
         groups.append(ids)
         docs += [(i, t, "x", 1, 2) for i, t in zip(ids, texts)]
-    got = {r.doc_id: r.component_id for r in simhash.similar_components(spark.createDataFrame(docs, SCHEMA).repartition(4)).collect()}
+    got = {r.doc_id: r.component_id for r in near.similar_components(spark.createDataFrame(docs, SCHEMA).repartition(4)).collect()}
     for ids in groups:
         assert {got[i] for i in ids} == {ids[0]}
 
@@ -109,5 +125,5 @@ def test_short_texts(spark):
         for _ in range(60):
             text = " ".join(f"w{x}" for x in rng.integers(1 << 40, size=words))
             docs += [(len(docs), text, "x", 1, 2), (len(docs) + 1, f"{text} more", "x", 1, 2)]
-    got = {r.doc_id: r.component_id for r in simhash.similar_components(spark.createDataFrame(docs, SCHEMA).repartition(3)).collect()}
+    got = {r.doc_id: r.component_id for r in near.similar_components(spark.createDataFrame(docs, SCHEMA).repartition(3)).collect()}
     assert got == {d[0]: d[0] // 2 * 2 for d in docs}
