@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glossweave.llm import classify, decontaminate, mixing, secret_scan, simhash
-from glossweave.llm.common import scratch, table
+from glossweave.llm import classify, decontaminate, mixing, near, secret_scan, simhash
+from glossweave.llm.common import free_name, remove, scratch, stash, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves one document of each group of near copies: five-word shingle sets with a similarity of 0.8 or more."""
-    return simhash.dedup(docs, shingle=5, similarity=0.8)
+    return near.dedup(docs, shingle=5, similarity=0.8)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,11 +33,24 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the mix takes, with copies: how often. Rows with equal ids count together; rows with a null id are taken once."""
-    taken = mixing.mix(docs.where("doc_id is not null")).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
-    side = F.broadcast(taken) if docs.count() <= simhash.BROADCAST_ROWS else taken
-    out = docs.join(side, "doc_id").select(*docs.columns, "copies")
-    return out.unionByName(docs.where("doc_id is null").withColumn("copies", F.lit(1).cast("long")))
+    """Documents the mix takes, with copies: how often. A column of that name in docs is replaced. Rows that id and size don't tell apart share
+    their copies, as evenly as whole copies go, by the order of their hashes; a null id is an id like any other here."""
+    docs = docs.drop("copies")
+    rows = stash(mixing.mix(docs).select("doc_id", "size", "copies"), "mixed")
+    n, distinct = rows.agg(F.count("*"), F.countDistinct("doc_id")).first()
+    if n == distinct:
+        taken = rows.where("copies > 0").select("doc_id", "copies")
+        return docs.join(F.broadcast(taken) if n <= simhash.BROADCAST_ROWS else taken, "doc_id").select(*docs.columns, "copies")
+    words, key, size = (free_name(docs.columns, x) for x in ("words", "id", "size"))
+    shares = rows.groupBy("doc_id", "size").agg(F.sum("copies").alias("all"), F.count("*").alias("rows")).select(F.col("doc_id").alias(key), F.col("size").alias(size), F.col("all").alias(free_name(docs.columns, "all")), F.col("rows").alias(free_name(docs.columns, "rows")))
+    marked = mixing.sized(docs, "doc_id", "text", "source", keep=words)
+    met = marked.join(shares, F.col(words).eqNullSafe(F.col(size)) & F.col("doc_id").cast("long").eqNullSafe(F.col(key)))
+    total, many = F.col(shares.columns[2]), F.col(shares.columns[3])
+    rest = total % many
+    whole = met.where(rest == 0).withColumn("copies", (total / many).cast("long"))
+    place = F.row_number().over(Window.partitionBy("doc_id", words).orderBy(F.xxhash64(*docs.columns)))
+    odd = met.where(rest != 0).withColumn("copies", F.floor(total / many) + F.when(place <= rest, 1).otherwise(0))
+    return whole.unionByName(odd).where("copies > 0").select(*docs.columns, "copies")
 
 
 STAGES = [
@@ -53,10 +66,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet to the shared folder and read again."""
+    """All stages over documents, each written as Parquet to the shared folder and read again; a stage's table goes when the next one is written."""
     docs, base = table(spark, sf_dir, "documents"), f"{scratch(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
-        path = f"{base}/{i}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{i}")
+        if i:
+            remove(spark, f"{base}/{i - 1}")
+        docs = spark.read.parquet(f"{base}/{i}")
     return docs
