@@ -1,20 +1,28 @@
 """Exact-substring dedup by a depth-limited radix sort of suffixes.
 
-A byte is removed if it lies in a window of `length` bytes that also starts in a document with a smaller id. Suffixes are ordered only
-through `length` bytes, by passes over digits, most significant first; a suffix whose digit so far stands in one document only is dropped
-before the next pass, and equal groups at full depth are exactly the repeated windows.
+A byte is removed if it lies in a window of `length` bytes that also starts in a document with a smaller id. Suffixes are ordered by their bytes,
+most significant digits first, and only through `length` of them; a suffix that is alone in its class drops out before the next pass. The
+groups that are equal at full depth are exactly the repeated windows. No hash decides anything but copies of whole texts (by 128 bits).
 
- 1. Digit of K bytes at the anchors (see winnow): one sparse suffix stands for all windows around it.
- 2. Digit of the anchor's whole surrounding, every window that holds it: in a group of equal surroundings all windows are settled at once,
-    in favour of the smallest id. Nothing more is needed where a key has one surrounding only.
- 3. Digit of all `length` bytes, for the windows (each under its own anchor) of one representative of each surrounding where a key has several.
+Of every window one suffix inside it stands for it, at a place that the window's content chooses (the smallest hash of 8 bytes, the first of equals), so
+equal windows have equal anchors at equal places, and about one suffix in 16 has to travel.
 
-Exact copies of whole texts are settled in pass 1. Texts are dealt out once, in groups; the passes move packed hashes.
+ 0. Copies of whole texts, and texts under `length`, are settled by an aggregate. The others are dealt out in groups.
+ 1. First digit: the first DIGIT bytes of the anchors' suffixes. Each group sorts its own and sends every digit once, with how often it has it, to the
+    partition whose range of digits it falls in (the ranges are laid out by a sample). A partition merges the sorted digits and answers each group
+    which of its digits other documents have too.
+ 2. Last digit: for what is left, a group sends the stretch of the windows around each anchor, equal ones once with their smallest id, to the
+    partition of its class. There the windows are ordered through `length` bytes in passes of 8, and each is answered with its smallest id.
+    A class of more than HOT suffixes isn't gathered in one place: its windows go one by one, to partitions chosen by their content.
+ 3. Each group marks the windows that a smaller id owns.
+
+Between the passes only tables of answers stay; texts are dealt out again for each.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -22,30 +30,90 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import NO_ID, arrow_limits, drop_stash, ids, narrow, stash, utf8
-from .hashing import Prefixes, chunks, gram, mix
-from .winnow import ENTRY, ENTRY_ARROW, OWNER, OWNER_ARROW, Owners, anchors, by_group, cover, entries, gather, minima, owners, pack_ids, shorten, sized, to_batch, whole_keys
+from .hashing import chunks, mix, sliding_min
+from .winnow import POS_BITS, cover, inside, to_batch
+
+#: A group's documents and bytes, a partition's bytes of text, and the documents and their suffixes that lay out the ranges.
+GROUP_DOCS, GROUP_BYTES, PART_BYTES, SAMPLE_DOCS, SAMPLE_EACH = 2048, 8 << 20, 12 << 20, 512, 128
+#: Suffixes of a class that are gathered in one place, and windows sorted at a time.
+HOT, AT_ONCE = 100_000, 400_000
 
 RESULT = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())]
-FIRST = pa.schema([("g", pa.int64()), ("row", pa.int64()), ("open", pa.bool_()), *RESULT, ("text", pa.binary()), ("pos", pa.binary())])
-FIRST_DDL = "g long, row long, open boolean, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, text binary, pos binary"
-CLASS_DDL = "p int, g long, keys binary, ctx binary, docs binary, base long"
-CLASS_ARROW = pa.schema([("p", pa.int32()), ("g", pa.int64()), ("keys", pa.binary()), ("ctx", pa.binary()), ("docs", pa.binary()), ("base", pa.int64())])
+RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+ENTRY_DDL = "p int, g long, n int, a binary, b binary, c binary"
+ENTRY = pa.schema([("p", pa.int32()), ("g", pa.int64()), ("n", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
+SIDE_DDL = "g long, kind int, p int, a binary, b binary, doc long, h long"
+SIDE = pa.schema([("g", pa.int64()), ("kind", pa.int32()), ("p", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("doc", pa.int64()), ("h", pa.int64())])
+COPY, DIGITS, WINDOWS = 0, 1, 2
+
+
+def squeeze(x: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(x).tobytes(), "zstd", asbytes=True)
+
+
+def widen(blob, kind, count: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, count * np.dtype(kind).itemsize, "zstd"), kind)
+
+
+def eights(n: int) -> int:
+    return -(-n // 8) * 8
+
 
-def together(keys: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-    return mix(keys * np.uint64(3) + ctx)
+def radix(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows of bytes, and where in that order a new value begins: passes over digits of 8 bytes, the most significant first, of those
+    rows that still share their class with others. rows: n by a multiple of 8."""
+    digits = rows.view(">u8")
+    first = digits[:, 0].astype(np.uint64)
+    order = np.argsort(first, kind="stable")
+    new = np.ones(len(rows), bool)
+    new[1:] = np.diff(first[order]) != 0
+    for j in range(1, digits.shape[1]):
+        live = np.flatnonzero(~(new & np.append(new[1:], True))) if len(new) else np.zeros(0, int)
+        if not len(live):
+            break
+        kind, at = np.cumsum(new)[live], order[live]
+        digit = digits[at, j].astype(np.uint64)
+        sub = np.lexsort((digit, kind))
+        order[live], digit = at[sub], digit[sub]
+        new[live] = np.append(True, (digit[1:] != digit[:-1]) | (kind[1:] != kind[:-1]))
+    return order, new
 
 
-def found(body: np.ndarray, at: np.ndarray, table: np.ndarray, length: int, k: int, bits: int):
-    """Anchors of a buffer of rows: row, position in the row, shortened key."""
-    rows, poss, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for a, b in chunks(at):
-        part = at[a : b + 1] - at[a]
-        pos, key = anchors(table[body[at[a] : at[b]]], part, length, k)
-        row = np.searchsorted(part, pos, "right") - 1
-        rows.append(row + a)
-        poss.append(pos - part[row])
-        keys.append(shorten(key, bits))
-    return np.concatenate(rows), np.concatenate(poss), np.concatenate(keys)
+def stretches(body: np.ndarray, start: np.ndarray, width: int, wide: int) -> np.ndarray:
+    """The width bytes from each start (0 beyond the end), as rows of wide bytes."""
+    out = np.zeros((len(start), wide), np.uint8)
+    padded = np.append(body, np.zeros(width, np.uint8))
+    out[:, :width] = np.lib.stride_tricks.sliding_window_view(padded, width)[start]
+    return out
+
+
+def anchors(body: np.ndarray, at: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of the rows: row, place of the anchor, start of its first window, and how many windows in a row have it."""
+    out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
+    low = np.uint64((1 << POS_BITS) - 1)
+    for a, b in chunks(at, 1 << 18):
+        part, edges = body[at[a] : at[b]], at[a : b + 1] - at[a]
+        ok = inside(edges, length, len(part))
+        if not ok.any():
+            continue
+        n = len(part) - 7
+        h = np.empty(n, np.uint64)
+        for i in range(8):
+            own = part[i : i + (len(part) - i) // 8 * 8].view("<u8")
+            h[i::8] = own[: len(range(i, n, 8))]
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h &= ~low
+        h |= np.arange(n, dtype=np.uint64)
+        start = np.flatnonzero(ok)
+        place = (sliding_min(h, length - k + 1)[start] & low).astype(np.int64)
+        first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        many, place, start = np.diff(np.append(first, len(place))), place[first], start[first]
+        row = np.searchsorted(edges, place, "right") - 1
+        for o, x in zip(out, (row + a, place + at[a], start + at[a], many)):
+            o.append(x)
+    return tuple(map(np.concatenate, out))
 
 
 def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -56,171 +124,238 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     """
     if length < 8:
         raise ValueError("length is 8 at least")
-    k = length * 3 // 5  # long enough that few anchors are repeated by chance
-    reach = length - k
-    arrow_limits(docs.sparkSession)
-    dealt, bits = sized(narrow(docs, id_col, text_col), 6 << 20)
+    k = max(8, length * 2 // 5)
+    around, head = 2 * length - k, eights(k)
+    spark = docs.sparkSession
+    arrow_limits(spark)
+    plain = narrow(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    plain = plain.withColumn("n", F.octet_length("text").cast("long")).withColumn("h", F.xxhash64("text"))
+    real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id")
+
+    long_ = plain.where(F.col("n") >= length)
+    rows, size = long_.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    groups, parts = max(1, math.ceil(rows / GROUP_DOCS), math.ceil(size / GROUP_BYTES)), min(1 << 16, max(16, math.ceil(size / PART_BYTES)))
+    long_ = long_.withColumn("g", F.pmod(F.xxhash64("doc_id", "h"), F.lit(groups)))
+    marks = long_.select("doc_id", "g", "n", "h", F.xxhash64(F.lit(1), "text").alias("h2"))
+    least = stash(marks.groupBy("h", "h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("many")).where("many > 1").select("h", "h2", "least"), "texts")
+    copies = stash(marks.join(least, ["h", "h2"]).where("doc_id > least").select("g", "doc_id", "n", "h"), "copies")
+    drop_stash(least)
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (("p", "int"), ("a", "binary"), ("b", "binary"))}
+    copied = copies.select("g", F.lit(COPY).alias("kind"), *none.values(), F.col("doc_id").alias("doc"), "h")
+    dealt = long_.select("g", "doc_id", "text", "h")
+
+    def rows_of(left, right):
+        """Bytes, offsets and ids of a group's texts, without copies."""
+        mine = right.filter(pa.compute.equal(right["kind"], COPY))
+        if mine.num_rows:
+            known = set(zip(mine["doc"].to_pylist(), mine["h"].to_pylist()))
+            left = left.filter(pa.array([x not in known for x in zip(left["doc_id"].to_pylist(), left["h"].to_pylist())]))
+        body, at = utf8(left["text"])
+        return body, at, ids(left["doc_id"])
+
+    def first_of(body, place):
+        """The first digits of suffixes: their order and where a new one begins."""
+        return stretches(body, place, k, head)
 
-    def first_digits(batches):
-        table = Prefixes().table
+    share = (1 << 20) * SAMPLE_DOCS // max(1, rows)
+
+    def sampled(batches):
         for b in batches:
             body, at = utf8(b.column("text"))
-            doc, g = ids(b.column("doc_id")), b.column("g").to_numpy()
-            row, _, key = found(body, at, table, length, k, bits)
-            whole = shorten(whole_keys([body[s:e].tobytes() for s, e in zip(at[:-1], at[1:])]), bits)
-            row = np.concatenate([row, np.arange(len(doc)), np.arange(len(doc))])
-            key = np.concatenate([key, whole[:, 0], whole[:, 1]])
-            for gid, ks, ds in by_group(g[row], key, doc[row]):
-                yield to_batch(entries(gid, ks, ds, bits, 5), ENTRY_ARROW)
-
-    def settle_first(key, left, right):
-        gid, table, owner = key[0].as_py(), Prefixes().table, Owners(right)
-        body, at = utf8(left["text"])
-        doc, n = ids(left["doc_id"]), np.diff(at)
-        row, pos, ks = found(body, at, table, length, k, bits)
-        hit = owner.has(ks)
-        row, pos = row[hit], pos[hit]
-        cut = np.searchsorted(row, np.arange(len(doc) + 1))
+            row, place, _, _ = anchors(body, at, length, k)
+            own = np.flatnonzero(np.arange(len(row)) - np.searchsorted(row, row) < SAMPLE_EACH)
+            yield pa.RecordBatch.from_arrays([pa.array(list(map(bytes, first_of(body, place[own]))), pa.binary())], ["digit"])
+
+    some = long_.where(F.pmod(F.xxhash64("doc_id", "h", F.lit(3)), F.lit(1 << 20)) < share).select("text")
+    sample = sorted(r["digit"] for r in some.mapInArrow(sampled, "digit binary").collect())  # SAMPLE_DOCS * SAMPLE_EACH are expected
+    bounds = [sample[len(sample) * i // parts] for i in range(1, parts)] if sample else []
+    bounds = np.frombuffer(b"".join(bounds), np.uint8).reshape(len(bounds), head) if bounds else np.zeros((0, head), np.uint8)
+
+    def cut(digits: np.ndarray) -> np.ndarray:
+        """Where in sorted distinct digits the partitions begin and end."""
+        both = np.concatenate([digits, bounds])
+        order, _ = radix(both)  # stable: a bound comes after an equal digit
+        place = np.flatnonzero(order >= len(digits))
+        return np.concatenate([[0], place - np.arange(len(place)), [len(digits)]])
+
+    def first_pass(key, left, right):
         out = []
-        for i in range(len(doc)):
-            text = body[at[i] : at[i + 1]].tobytes()
-            d = int(doc[i]) if doc[i] != NO_ID else None
-            who = owner(shorten(whole_keys([text])[0], bits))
-            if n[i] >= length and who[0] == who[1] < doc[i]:
-                out.append((gid, i, False, *outcome(d, text, None), None, None))
-            elif cut[i] == cut[i + 1]:
-                out.append((gid, i, False, *outcome(d, text, np.zeros(n[i], bool)), None, None))
-            else:
-                a, b = cut[i], cut[i + 1]
-                out.append((gid, i, True, d, int(n[i]), None, None, None, None, text, np.diff(pos[a:b], prepend=0).astype(np.uint32).tobytes()))
-        return pa.Table.from_batches([to_batch(out, FIRST)])
-
-    # A table, so that the entries' shuffle is gone before the next one and the texts are written; texts are dealt out again for that.
-    known = stash(owners(dealt.mapInArrow(first_digits, ENTRY), 5), "radix0")
-    first = stash(dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(settle_first, FIRST_DDL), "radix1")
-    drop_stash(known)
-    open_ = first.where("open").select("g", "doc_id", "text", "pos")
-
-    def surroundings(table, prefixes: Prefixes):
-        """The open rows' bytes with their offsets; row, position, key and surrounding's hash of their anchors, and the surroundings' bounds."""
-        body, at = utf8(table.column("text"))
-        pos = [np.cumsum(np.frombuffer(x.as_buffer(), np.uint32), dtype=np.int64) for x in table.column("pos")]
-        row = np.repeat(np.arange(len(pos)), [len(x) for x in pos])
-        pos = np.concatenate([np.zeros(0, np.int64), *pos])
-        lo = np.maximum(0, pos - reach)
-        hi = np.minimum(np.diff(at)[row], pos + k + reach)
-        keys, ctx = np.zeros(len(pos), np.uint64), np.zeros(len(pos), np.uint64)
-        for a, b in chunks(at):
-            s, e = np.searchsorted(row, (a, b))
-            part = body[at[a] : at[b]]
-            shift = at[row[s:e]] - at[a]
-            keys[s:e] = shorten(mix(gram(prefixes.table[part], k)[pos[s:e] + shift]), bits)
-            prefixes.load(part)
-            ctx[s:e] = mix(prefixes.of(lo[s:e] + shift, hi[s:e] + shift) + (pos[s:e] - lo[s:e]).astype(np.uint64))
-        return body, at, row, pos, keys, ctx, lo, hi
-
-    def second_digits(batches):
-        prefixes = Prefixes()
-        for b in batches:
-            doc, g = ids(b.column("doc_id")), b.column("g").to_numpy()
-            _, _, row, _, keys, ctx, _, _ = surroundings(b, prefixes)
-            for gid, ks, cs, ds in by_group(g[row], keys, ctx, doc[row]):
-                order = np.lexsort((ds, cs, ks))
-                ks, cs, ds = ks[order], cs[order], ds[order]
-                new = np.append(True, (ks[1:] != ks[:-1]) | (cs[1:] != cs[:-1]))
-                ks, cs, ds = ks[new], cs[new], ds[new]
-                rows = []
-                for p, kp, cp, dp in by_group((ks >> np.uint64(40)).astype(np.int64), ks, cs, ds):
-                    blob, base = pack_ids(dp)
-                    rows.append((p, gid, kp.tobytes(), cp.tobytes(), blob, base))
-                yield to_batch(rows, CLASS_ARROW)
-
-    def settle_second(_, table):
-        keys, docs, gs = gather(table, 8)
-        ctx = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["ctx"]])
-        order = np.lexsort((ctx, keys))
-        keys, ctx, docs, gs = keys[order], ctx[order], docs[order], gs[order]
-        new_key = np.append(True, keys[1:] != keys[:-1])
-        new = new_key.copy()
-        new[1:] |= ctx[1:] != ctx[:-1]
-        low = np.flatnonzero(new)
-        least = np.repeat(np.minimum.reduceat(docs, low), np.diff(np.append(low, len(keys))))
-        at = np.flatnonzero(new_key)
-        many = np.repeat(np.add.reduceat(new.astype(np.int64), at) > 1, np.diff(np.append(at, len(keys))))
-        # A group knows its own smallest id; it is told of a smaller one, or (by its own) that the key has several surroundings.
-        told = (least < docs) | many
-        rows = []
-        for g, joint, o in by_group(gs[told], together(keys[told], ctx[told]), least[told]):
-            blob, base = pack_ids(o)
-            rows.append((g, joint.tobytes(), blob, base))
-        return pa.Table.from_batches([to_batch(rows, OWNER_ARROW)])
-
-    second = stash(open_.mapInArrow(second_digits, CLASS_DDL).groupBy("p").applyInArrow(settle_second, OWNER), "radix2").withColumn("pass", F.lit(2))
-
-    def judged(left, right, prefixes: Prefixes):
-        """Surroundings of the open rows with their owners, and where all windows are to be looked at one by one."""
-        told = Owners(right.filter(pa.compute.equal(right["pass"], 2)))
-        body, at, row, pos, keys, ctx, lo, hi = surroundings(left, prefixes)
-        doc, joint = ids(left["doc_id"]), together(keys, ctx)
-        _, kind = np.unique(joint, return_inverse=True)
-        own = np.full(kind.max() + 1 if len(kind) else 0, NO_ID, np.int64)
-        np.minimum.at(own, kind, doc[row])
-        known = told.has(joint)
-        owner = np.where(known, told(joint), own[kind])
-        return body, at, doc, row, pos, lo, hi, owner, known & (owner >= doc[row])
-
-    def windows(body, at, row, pos, single, table):
-        """Row, start in the row and hash of the windows whose anchor is one of the single ones."""
-        out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]]
-        for a, b in chunks(at):
-            s, e = np.searchsorted(row, (a, b))
-            pick = np.flatnonzero(single[s:e]) + s
-            if not len(pick):
-                continue
-            part, units = at[a : b + 1] - at[a], table[body[at[a] : at[b]]]
-            starts, anchor, _ = minima(units, part, length, k)
-            wanted = np.zeros(len(units), bool)
-            wanted[pos[pick] + part[row[pick] - a]] = True
-            starts = starts[wanted[anchor]]
-            r = np.searchsorted(part, starts, "right") - 1
-            for c, x in zip(out, (r + a, starts - part[r], mix(gram(units, length)[starts]))):
-                c.append(x)
-        return tuple(map(np.concatenate, out))
-
-    def third_digits(key, left, right):
-        if not left.num_rows:
-            return pa.Table.from_batches([to_batch([], ENTRY_ARROW)])
-        prefixes = Prefixes()
-        body, at, doc, row, pos, _, _, _, single = judged(left, right, prefixes)
-        r, _, h = windows(body, at, row, pos, single, prefixes.table)
-        return pa.Table.from_batches([to_batch(entries(key[0].as_py(), h, doc[r], bits, 8), ENTRY_ARROW)])
-
-    third = stash(owners(open_.groupBy("g").cogroup(second.groupBy("g")).applyInArrow(third_digits, ENTRY), 8), "radix3").withColumn("pass", F.lit(3))
-
-    def settle_all(_, left, right):
-        schema = pa.schema(RESULT)
-        if not left.num_rows:
-            return pa.Table.from_batches([to_batch([], schema)])
-        prefixes = Prefixes()
-        body, at, doc, row, pos, lo, hi, owner, single = judged(left, right, prefixes)
-        last = Owners(right.filter(pa.compute.equal(right["pass"], 3)))
-        r, start, h = windows(body, at, row, pos, single, prefixes.table)
-        gone = last(h) < doc[r]
-        r, start = r[gone], start[gone]
-        taken = owner < doc[row]
-        mask = cover(np.concatenate([lo[taken] + at[row[taken]], start + at[r]]), np.concatenate([hi[taken] + at[row[taken]], start + at[r] + length]), len(body))
-        out = [outcome(int(doc[i]) if doc[i] != NO_ID else None, body[at[i] : at[i + 1]].tobytes(), mask[at[i] : at[i + 1]]) for i in range(len(doc))]
-        return pa.Table.from_batches([to_batch(out, schema)])
-
-    names = [n for n, _ in RESULT]
-    rest = open_.groupBy("g").cogroup(second.unionByName(third).groupBy("g")).applyInArrow(settle_all, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return first.where("not open").select(*names).unionByName(rest)
-
-
-def outcome(doc: int | None, text: bytes, gone: np.ndarray | None) -> tuple:
-    """A row of RESULT; gone: the bytes to remove, None for all."""
-    if gone is None:
-        return doc, len(text), len(text), 1, hashlib.sha256(b"").hexdigest(), b""
+        if left.num_rows:
+            body, at, doc = rows_of(left, right)
+            row, place, _, _ = anchors(body, at, length, k)
+            digits = first_of(body, place)
+            order, new = radix(digits)
+            begin = np.flatnonzero(new)
+            if len(begin):
+                own = doc[row[order]]
+                often = np.minimum(np.diff(np.append(begin, len(order))), 65535)
+                often[np.minimum.reduceat(own, begin) == np.maximum.reduceat(own, begin)] *= -1  # of one document
+                digits, often = digits[order[begin], :k], often.astype(np.int32)
+                wide = np.zeros((len(digits), head), np.uint8)
+                wide[:, :k] = digits
+                ends = cut(wide)
+                for p in np.flatnonzero(np.diff(ends)):
+                    s, e = ends[p], ends[p + 1]
+                    out.append((int(p), key[0].as_py(), int(e - s), squeeze(digits[s:e].T), squeeze(often[s:e]), None))
+        return pa.Table.from_batches([to_batch(out, ENTRY)])
+
+    def merge(key, table):
+        """Answers to the groups: 0 for a digit of one document only, 1 for one of several, 2 if there are very many suffixes of it."""
+        n = table["n"].to_numpy()
+        digits = np.zeros((int(n.sum()), head), np.uint8)
+        ends = np.append(0, np.cumsum(n))
+        for i, x in enumerate(table["a"]):
+            digits[ends[i] : ends[i + 1], :k] = widen(x.as_buffer(), np.uint8, n[i] * k).reshape(k, n[i]).T
+        often = np.concatenate([widen(x.as_buffer(), np.int32, m) for x, m in zip(table["b"], n)]).astype(np.int64)
+        order, new = radix(digits)
+        begin = np.flatnonzero(new)
+        several = (np.diff(np.append(begin, len(order))) > 1) | (np.maximum.reduceat(often[order], begin) > 0)
+        code = several.astype(np.uint8) + (several & (np.add.reduceat(np.abs(often[order]), begin) > HOT))
+        told = np.empty(len(order), np.uint8)
+        told[order] = code[np.cumsum(new) - 1]
+        out = [(g, DIGITS, key[0].as_py(), squeeze(told[ends[i] : ends[i + 1]]), np.int64(n[i]).tobytes(), None, None) for i, g in enumerate(table["g"].to_pylist())]
+        return pa.Table.from_batches([to_batch(out, SIDE)])
+
+    pass1 = dealt.groupBy("g").cogroup(copied.groupBy("g")).applyInArrow(first_pass, ENTRY_DDL)
+    digits1 = stash(pass1.groupBy("p").applyInArrow(merge, SIDE_DDL), "digits")
+
+    def items(left, right):
+        """What of a group is left after the first digit: per item its row, start and number of windows; the rows' radix order, where a new one begins,
+        and the stretches themselves: partition, digit, place of the anchor and number of windows, bytes."""
+        body, at, doc = rows_of(left, right)
+        row, place, start, many = anchors(body, at, length, k)
+        digits = first_of(body, place)
+        order, new = radix(digits)
+        mine = right.filter(pa.compute.equal(right["kind"], DIGITS)).sort_by("p")
+        told = [widen(a.as_buffer(), np.uint8, int(np.frombuffer(b.as_buffer(), np.int64)[0])) for a, b in zip(mine["a"], mine["b"])]
+        code = np.concatenate([np.zeros(0, np.uint8), *told])
+        kind, part = np.empty(len(order), np.uint8), np.empty(len(order), np.int64)
+        if len(order):
+            kind[order] = code[np.cumsum(new) - 1]
+            part[order] = np.repeat(mine["p"].to_numpy(), [len(x) for x in told])[np.cumsum(new) - 1]
+        pick = np.flatnonzero(kind == 1)
+        row_, start_, many_, off_, part_ = row[pick], start[pick], many[pick], (place - start)[pick], part[pick]
+        hot = np.flatnonzero(kind == 2)
+        if len(hot):  # window by window
+            each = np.repeat(hot, many[hot])
+            step = np.arange(len(each)) - np.repeat(np.cumsum(many[hot]) - many[hot], many[hot])
+            s = start[each] + step
+            cells = stretches(body, s, length, eights(length)).view(np.uint64)
+            h = np.zeros(len(s), np.uint64)
+            for j in range(cells.shape[1]):
+                h = mix(h ^ cells[:, j])
+            row_, start_, many_ = np.append(row_, row[each]), np.append(start_, s), np.append(many_, np.ones(len(s), np.int64))
+            off_, part_ = np.append(off_, place[each] - s), np.append(part_, parts + (h % np.uint64(parts)).astype(np.int64))
+        wide = np.zeros((len(row_), 16 + head + eights(around)), np.uint8)
+        wide[:, 0:8] = part_.astype(">u8").view(np.uint8).reshape(-1, 8)
+        wide[:, 8 : 8 + head] = first_of(body, start_ + off_)
+        wide[:, 8 + head : 16 + head] = (off_ << 32 | many_).astype(">u8").view(np.uint8).reshape(-1, 8)
+        text = stretches(body, start_, around, eights(around))
+        text[np.arange(text.shape[1]) >= (many_ - 1 + length)[:, None]] = 0
+        wide[:, 16 + head :] = text
+        return body, at, doc, row_, start_, many_, *radix(wide), wide
+
+    def second_pass(key, left, right):
+        out = []
+        if left.num_rows:
+            _, _, doc, row, _, _, order, new, wide = items(left, right)
+            begin = np.flatnonzero(new)
+            if len(begin):
+                own, wide = np.minimum.reduceat(doc[row[order]], begin), wide[order[begin]]
+                part = wide[:, :8].copy().view(">u8")[:, 0].astype(np.int64)
+                ends = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+                for s, e in zip(ends[:-1], ends[1:]):
+                    out.append((int(part[s]), key[0].as_py(), int(e - s), squeeze(wide[s:e, 16 + head :]), squeeze(wide[s:e, 8 + head : 16 + head].T), squeeze(own[s:e])))
+        return pa.Table.from_batches([to_batch(out, ENTRY)])
+
+    def settle(key, table):
+        """Answers to the groups: for each stretch the smallest id of its windows; one number if all have the same, else one for each."""
+        n = table["n"].to_numpy()
+        ends = np.append(0, np.cumsum(n))
+        wide = np.zeros((int(ends[-1]), 8 + head + eights(around)), np.uint8)
+        for i, (a, b) in enumerate(zip(table["a"], table["b"])):
+            wide[ends[i] : ends[i + 1], 8 + head :] = widen(a.as_buffer(), np.uint8, n[i] * eights(around)).reshape(n[i], -1)
+            wide[ends[i] : ends[i + 1], head : 8 + head] = widen(b.as_buffer(), np.uint8, n[i] * 8).reshape(8, n[i]).T
+        doc = np.concatenate([widen(x.as_buffer(), np.int64, m) for x, m in zip(table["c"], n)])
+        both = wide[:, head : 8 + head].copy().view(">u8")[:, 0].astype(np.int64)
+        off, many = both >> 32, both & 0xFFFFFFFF
+        wide[:, :k] = wide[np.arange(len(wide))[:, None], 8 + head + off[:, None] + np.arange(k)]
+        order, new = radix(wide)
+        begin = np.flatnonzero(new)
+        own, kind = np.minimum.reduceat(doc[order], begin), np.empty(len(order), np.int64)
+        kind[order] = np.cumsum(new) - 1
+        reps = order[begin]  # distinct stretches, in order of their classes
+        lead = wide[reps, :head].copy().view(">u8").astype(np.uint64)
+        fresh = np.append(True, (lead[1:] != lead[:-1]).any(axis=1))
+        mates = np.repeat(np.diff(np.append(np.flatnonzero(fresh), len(reps))), np.diff(np.append(np.flatnonzero(fresh), len(reps))))
+        count = many[reps]
+        first = np.append(0, np.cumsum(count))
+        owner = np.repeat(own, count)  # of every window of the distinct stretches
+        open_ = np.flatnonzero(mates > 1)
+        each = np.repeat(open_, count[open_])
+        step = np.arange(len(each)) - np.repeat(np.cumsum(count[open_]) - count[open_], count[open_])
+        spot = np.cumsum(fresh)[each] * around + off[reps[each]] - step  # equal windows have their anchor at one place
+        by = np.argsort(spot, kind="stable")
+        each, step, spot = each[by], step[by], spot[by]
+        edge = np.append(np.flatnonzero(np.append(True, spot[1:] != spot[:-1])), len(spot)) if len(spot) else np.zeros(1, int)
+        s = 0
+        while s < len(spot):
+            e = int(edge[min(len(edge) - 1, max(np.searchsorted(edge, s + AT_ONCE, "right") - 1, np.searchsorted(edge, s, "right")))])
+            windows = np.zeros((e - s, 8 + eights(length)), np.uint8)
+            windows[:, :8] = spot[s:e].astype(">u8").view(np.uint8).reshape(-1, 8)
+            windows[:, 8 : 8 + length] = wide[reps[each[s:e]][:, None], 8 + head + step[s:e, None] + np.arange(length)]
+            at, fresh_ = radix(windows)
+            at0 = np.flatnonzero(fresh_)
+            slot = first[each[s:e]] + step[s:e]
+            low = np.minimum.reduceat(owner[slot[at]], at0)
+            owner[slot[at]] = low[np.cumsum(fresh_) - 1]
+            s = e
+        one = np.minimum.reduceat(owner, first[:-1]) == np.maximum.reduceat(owner, first[:-1]) if len(reps) else np.zeros(0, bool)
+        out = []
+        for i, g in enumerate(table["g"].to_pylist()):
+            mine = kind[ends[i] : ends[i + 1]]
+            size = np.where(one[mine], 1, count[mine])
+            at = np.repeat(first[mine], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            out.append((g, WINDOWS, key[0].as_py(), squeeze(owner[at]), np.append(len(at), size).astype(np.int64).tobytes(), None, None))
+        return pa.Table.from_batches([to_batch(out, SIDE)])
+
+    pass2 = dealt.groupBy("g").cogroup(copied.unionByName(digits1).groupBy("g")).applyInArrow(second_pass, ENTRY_DDL)
+    windows2 = stash(pass2.groupBy("p").applyInArrow(settle, SIDE_DDL), "windows")
+
+    def mark(_, left, right):
+        out = []
+        if left.num_rows:
+            body, at, doc, row, start, many, order, new, _ = items(left, right)
+            begin = np.zeros(0, np.int64)
+            end = begin
+            if len(order):
+                mine = right.filter(pa.compute.equal(right["kind"], WINDOWS)).sort_by("p")
+                size = [np.frombuffer(x.as_buffer(), np.int64) for x in mine["b"]]
+                owner = np.concatenate([widen(x.as_buffer(), np.int64, int(s[0])) for x, s in zip(mine["a"], size)])
+                size = np.concatenate([s[1:] for s in size])
+                kind = np.empty(len(order), np.int64)
+                kind[order] = np.cumsum(new) - 1
+                first, size = (np.cumsum(size) - size)[kind], size[kind]
+                each = np.repeat(np.arange(len(kind)), size)
+                step = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
+                gone = owner[first[each] + step] < doc[row[each]]
+                each, step = each[gone], step[gone]
+                begin = start[each] + step
+                end = begin + length + np.where(size[each] == 1, many[each] - 1, 0)
+            mask = cover(begin, end, len(body))
+            out = [outcome(int(d) if d != NO_ID else None, body[s:e].tobytes(), mask[s:e]) for d, s, e in zip(doc, at[:-1], at[1:])]
+        return pa.Table.from_batches([to_batch(out, pa.schema(RESULT))])
+
+    rest = dealt.groupBy("g").cogroup(copied.unionByName(digits1).unionByName(windows2).groupBy("g")).applyInArrow(mark, RESULT_DDL)
+    nothing = F.lit(hashlib.sha256(b"").hexdigest())
+    whole = copies.select(real, F.col("n").alias("n_bytes"), F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), nothing.alias("kept_sha256"), F.lit(b"").alias("kept"))
+    short = plain.where(F.col("n") < length)
+    short = short.select(real, F.col("n").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), F.col("text").cast("binary").alias("kept"))
+    return rest.unionByName(whole).unionByName(short)
+
+
+def outcome(doc: int | None, text: bytes, gone: np.ndarray) -> tuple:
+    """A row of RESULT; gone: the bytes to remove."""
     removed = int(gone.sum())
     kept = text if not removed else np.frombuffer(text, np.uint8)[~gone].tobytes()
     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if removed else 0

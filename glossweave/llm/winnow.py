@@ -23,7 +23,7 @@ from .common import NO_ID
 from .hashing import gram, mix, sliding_min
 
 GROUP_DOCS, GROUP_BYTES = 1024, 4 << 20
-POS_BITS = 30
+POS_BITS = 31
 
 
 def sized(docs: DataFrame, bytes_a_part: int) -> tuple[DataFrame, int]:
