@@ -1,12 +1,16 @@
 """Near copies: texts whose sets of word shingles have a Jaccard similarity of `similarity` or more, found in two rounds.
 
- 1. SimHashes of the word sets go through the vantage-point trees of simhash; what meets there is verified by the sets themselves. This joins
-    most near copies at little cost, but a fingerprint can't promise all.
+ 1. SimHashes of the word sets go through the vantage-point trees of simhash; what meets there is verified. This joins most near copies at
+    little cost, but a fingerprint can't promise all.
  2. An exact round finds the rest. In an order that all sets have in common, rarest shingles first, two sets of the similarity share one of
     their first n - ceil(similarity * n) + 1 shingles, and at the first one they share neither stands too far back. Shingles go as packed keys to
     the partition of their key; only those of several texts come back as rows. Small groups give the pairs that sizes and places allow. In a
-    large group every text is first compared with a pivot, the one at whose place the shingle stands foremost, which is the base of many edits;
-    whatever parts are left in it meet in blocks.
+    large group every text is first compared with a pivot, the one at whose place the shingle stands foremost, which is the base of many edits.
+    Of the parts that are left in it then, those pairs go on that sizes and places allow, if they are few for the group's size; else the
+    texts meet in blocks.
+
+A pair is verified in two steps: numbers of shingles by hash buckets bound what two sets can share from above, and only pairs that pass bring
+the sets themselves together.
 
 Everything is keyed by the text's word sequence, not by its id, so rows with equal ids and different texts are different points.
 """
@@ -29,8 +33,9 @@ from .winnow import pack_keys, unpack_keys
 
 #: For the order of shingles: texts sampled, and frequent shingles known at most; they only order, any choice gives the same links.
 TEXTS, FREQUENT = 10_000, 300_000
-#: Groups of up to SMALL texts go on as pairs, larger ones in blocks of BLOCK shingles. Bytes of entries for a partition of keys.
-SMALL, BLOCK, PART_BYTES = 24, 2_000_000, 2 << 20
+#: Groups of up to SMALL texts go on as pairs, larger ones if they have up to EACH pairs a text, else in blocks of BLOCK shingles. Bytes of entries for a
+#: partition of keys.
+SMALL, EACH, BLOCK, PART_BYTES = 24, 32, 2_000_000, 2 << 20
 #: Bits by which word sets may differ in round 1, bits between shingle sets, and partners a point puts forward.
 RADIUS, APART, NEAREST = 7, 14, 2
 
@@ -65,6 +70,19 @@ def bits_of(h: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.int64)[0])
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles fall in each of a power of two of buckets, about four a bucket."""
+    size = max(16, 1 << max(0, (len(shingles) - 1) // 4).bit_length())
+    return np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint16)
+
+
+def share_at_most(a: np.ndarray, b: np.ndarray) -> int:
+    """An upper bound of the shingles that the sets of two sketches have in common."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int(np.minimum(a, b.reshape(-1, len(a)).sum(axis=0)).sum())
+
+
 def prefix(shingles: np.ndarray, similarity: float, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The shingles of which two sets with that similarity share one at least, in the common order."""
     n = len(shingles)
@@ -239,17 +257,43 @@ def meetings(similarity: float):
     return run
 
 
-def blocks(batches):
-    """For mapInArrow over (token, whole, part, size, place) in order of token: large groups of several parts, each text in every cell of two blocks that it is in."""
-    for token, whole, part, size, _ in by_token(batches):
-        start, many = groups_of(token, part)
-        for s, m in zip(start[many > SMALL].tolist(), many[many > SMALL].tolist()):
-            held = np.cumsum(size[s : s + m])
-            own = held // BLOCK
-            k = int(own[-1]) + 1
-            for other in range(k):
-                cell = np.minimum(own, other) * k + np.maximum(own, other)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token[s : s + m], cell, own, whole[s : s + m], part[s : s + m])], ["token", "cell", "block", "whole", "part"])
+def remaining(similarity: float):
+    """For mapInArrow over (token, whole, part, size, place) in order of token: what is left of the large groups. Pairs (u, v) with no token, if they are up
+    to EACH times the texts; else each text that has a possible partner, in every cell of two blocks that it is in."""
+
+    def run(batches):
+        none = lambda n: pa.nulls(n, pa.int64())
+        names = ["u", "v", "token", "cell", "block"]
+        for token, whole, part, size, place in by_token(batches):
+            start, many = groups_of(token, part)
+            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for s, m in zip(start[many > SMALL].tolist(), many[many > SMALL].tolist()):
+                here, found, live, left = slice(s, s + m), [], np.zeros(m, bool), EACH * m
+                rest, all_, own = (size - place)[here], size[here], part[here]
+                step = max(1, (1 << 22) // m)
+                for i in range(0, m, step):
+                    ok = np.minimum(rest[i : i + step, None], rest) * (1 + similarity) >= similarity * (all_[i : i + step, None] + all_) - 1e-6
+                    ok &= own[i : i + step, None] != own
+                    live[i : i + step] = ok.any(axis=1)
+                    left -= np.count_nonzero(ok) // 2
+                    if left >= 0:
+                        a, b = np.nonzero(ok)
+                        found.append(np.stack([a + i, b])[:, a + i < b])
+                if left >= 0:
+                    a, b = np.concatenate(found, axis=1) + s
+                    us.append(np.maximum(whole[a], whole[b]))
+                    vs.append(np.minimum(whole[a], whole[b]))
+                    continue
+                at = np.flatnonzero(live) + s
+                block = np.cumsum(size[at]) // BLOCK
+                k = int(block[-1]) + 1
+                for other in range(k):
+                    cell = np.minimum(block, other) * k + np.maximum(block, other)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (whole[at], part[at], token[at], cell, block)], names)
+            u, v = np.concatenate(us), np.concatenate(vs)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), *(none(len(u)) for _ in range(3))], names)
+
+    return run
 
 
 def islands(similarity: float):
@@ -307,12 +351,17 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
     def mark(batches):
         made = Shingles(shingle)
         for b in batches:
-            rows = [(whole, bits_of(own) if whole else 0, bits_of(x) if whole else 0, len(x)) for whole, own, x in ((w, np.unique(u), x) for w, u, x in made(b.column("text")))]
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", "whole", "fp", "fine", "size"])
-
-    marked = stash(plain.mapInArrow(mark, "doc_id long, whole long, fp long, fine long, size long"), "signatures")
-    points = stash(marked.groupBy("whole").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("fine").alias("fine"), F.first("size").alias("size")), "points")
+            rows, known = [], {}
+            for whole, own, x in made(b.column("text")):
+                if whole not in known:
+                    known[whole] = (bits_of(np.unique(own)), bits_of(x), len(x), sketch(x).tobytes()) if whole else (0, 0, 0, b"")
+                rows.append((whole, *known[whole]))
+            cols = list(zip(*rows)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())], ["doc_id", "whole", "fp", "fine", "size", "sketch"])
+
+    marked = stash(plain.mapInArrow(mark, "doc_id long, whole long, fp long, fine long, size long, sketch binary"), "signatures")
+    least = marked.groupBy("whole").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("fine").alias("fine"), F.min("size").alias("size"))
+    points = stash(least, "points")
     n, shingles = points.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     side = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -338,10 +387,27 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
                 keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
+    def likely(batches):
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column("a"), b.column("b")):
+                x, y = (np.frombuffer(z.as_buffer(), np.uint16).astype(np.int64) for z in (x, y))
+                both = share_at_most(x, y)
+                keep.append(both >= similarity * (x.sum() + y.sum() - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    def beside(pairs: DataFrame, known: DataFrame, what: str) -> DataFrame:
+        met = pairs.join(known.select(F.col("whole").alias("u"), F.col(what).alias("a")), "u").join(known.select(F.col("whole").alias("v"), F.col(what).alias("b")), "v")
+        return met.select("u", "v", "a", "b")
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
+        ends = pairs.select(F.col("u").alias("whole")).union(pairs.select("v")).distinct()
+        known = stash(marked.select("whole", "sketch").join(side(ends, n), "whole", "left_semi").dropDuplicates(["whole"]), f"{name}-sketches")
+        near = stash(beside(pairs, known, "sketch").mapInArrow(likely, "u long, v long"), f"{name}-likely")
+        drop_stash(known)
+        pairs = near
         known = shingles_of(pairs.select(F.col("u").alias("whole")).union(pairs.select("v")), f"{name}-sets")
-        met = pairs.join(known.select(F.col("whole").alias("u"), F.col("shingles").alias("a")), "u").join(known.select(F.col("whole").alias("v"), F.col("shingles").alias("b")), "v")
-        out = stash(met.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long"), f"{name}-links")
+        out = stash(beside(pairs, known, "shingles").mapInArrow(verify, "u long, v long"), f"{name}-links")
         drop_stash(known)
         drop_stash(pairs)
         return out
@@ -352,6 +418,7 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
     links = verified(found, "first")
     roots = stars(links)
     drop_stash(links)
+    drop_stash(found)
 
     frequent, counts = frequent_shingles(plain, n, shingle)
     bits = min(16, max(6, math.ceil(math.log2(max(1, shingles * (1 - similarity) * 19 / PART_BYTES)))))
@@ -362,22 +429,25 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
         rows = meet.join(side(named, n), "whole").select("token", "whole", "part", "size", "place")
         return rows.repartition("token").sortWithinPartitions("token", "whole")
 
-    pairs = stash(met(roots).mapInArrow(meetings(similarity), "u long, v long").distinct(), "pairs2")
-    more = verified(pairs, "second")
-    after = stars(roots.union(more))
-    drop_stash(roots)
-    drop_stash(more)
+    def joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+        out = stars(roots.union(more))
+        drop_stash(roots)
+        drop_stash(more)
+        return out
 
-    cells = stash(met(after).mapInArrow(blocks, "token long, cell long, block long, whole long, part long"), "cells")
+    pairs = stash(met(roots).mapInArrow(meetings(similarity), "u long, v long").distinct(), "pairs2")
+    after = joined(roots, verified(pairs, "second"))
+    left = stash(met(after).mapInArrow(remaining(similarity), "u long, v long, token long, cell long, block long"), "remaining")
     drop_stash(meet)
+    rest = stash(left.where("token is null").select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti"), "pairs3")
+    after = joined(after, verified(rest, "third"))
+    cells = left.where("token is not null").select(F.col("u").alias("whole"), F.col("v").alias("part"), "token", "cell", "block")
     if not cells.isEmpty():
         known = shingles_of(cells.select("whole"), "cell-sets")
-        more = stash(cells.join(known, "whole").groupBy("token", "cell").applyInArrow(islands(similarity), "u long, v long"), "cell-links")
-        last = stars(after.union(more))
-        for x in (known, after, more):
-            drop_stash(x)
-        after = last
-    drop_stash(cells)
+        after = joined(after, stash(cells.join(known, "whole").groupBy("token", "cell").applyInArrow(islands(similarity), "u long, v long"), "cell-links"))
+        drop_stash(known)
+    for x in (pairs, rest, left):
+        drop_stash(x)
     out = stash(marked.select("doc_id", "whole").join(after.select(F.col("u").alias("whole"), F.col("v").alias("root")), "whole", "left").select("doc_id", "whole", F.coalesce("root", "whole").alias("root")), "grouped")
     for x in (marked, points, after):
         drop_stash(x)

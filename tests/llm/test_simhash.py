@@ -32,11 +32,12 @@ def test_similar_sets(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({c for c in got.values() if c is not None})
 
 
-@pytest.mark.parametrize("small", [2, 24])
-def test_exact_round_alone(spark, monkeypatch, small):
-    """Without any candidate of the fingerprints the components are the same; so are they if nearly all groups count as large and cells are small."""
+@pytest.mark.parametrize("small, each", [(24, 32), (1, 32), (1, 0)])
+def test_exact_round_alone(spark, monkeypatch, small, each):
+    """Without any candidate of the fingerprints the components are the same; so are they if all groups count as large, and if these meet in small cells."""
     monkeypatch.setattr(near, "RADIUS", -1)
     monkeypatch.setattr(near, "SMALL", small)
+    monkeypatch.setattr(near, "EACH", each)
     monkeypatch.setattr(near, "BLOCK", 300)
     monkeypatch.setattr(near, "routed", lambda points, n, radius: simhash.routed(points, n, 4))
     docs = list(dict(d for d in brute.corpus(250, seed=11) if d[0] is not None).items())
@@ -118,6 +119,15 @@ def test_edits_of_one_base(spark):
         assert {got[i] for i in ids} == {ids[0]}
 
 
+def test_sketches_bound_what_sets_share():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        pool = rng.integers(1 << 62, size=400).astype(np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 300))) for _ in range(2))
+        bound = near.share_at_most(*(near.sketch(x).astype(np.int64) for x in (a, b)))
+        assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
+
+
 def test_short_texts(spark):
     """One word appended to 8 to 30 words: similarity 0.8 or more, though the SimHashes of so few words are far apart. Every pair joins."""
     rng, docs = np.random.default_rng(4), []
