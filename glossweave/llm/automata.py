@@ -183,7 +183,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         return pa.Table.from_batches([to_batch(out, FIRST)])
 
     known = owners(dealt.mapInArrow(first_anchors, ENTRY), 5)
-    first = stash(dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(settle_first, FIRST_DDL), "automata1")
+    first = stash(dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(settle_first, FIRST_DDL), "automata1", "zstd")
     open_ = first.where("open").select("g", "row", "doc_id", "text", "pos", "ref")
 
     def places(blob):
@@ -258,7 +258,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
                     out.append((g.as_py(), row.as_py(), all_.astype(np.uint32).tobytes()))
             yield to_batch(out, HITS)
 
-    reference = stash(open_.mapInArrow(shards, "ref long, shard long, lengths binary, units binary"), "shards")
+    reference = stash(open_.mapInArrow(shards, "ref long, shard long, lengths binary, units binary"), "shards", "zstd")
     size = reference.agg(F.coalesce(F.sum(F.octet_length("units") + F.octet_length("lengths")), F.lit(0))).first()[0]
     streams = open_.mapInArrow(passages, "ref long, g long, row long, spans binary, mine binary")
     met = streams.join(F.broadcast(reference) if size <= BROADCAST_BYTES else reference.hint("merge"), "ref")

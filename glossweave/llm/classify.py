@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, narrow, utf8
+from .common import arrow_limits, narrow, thrifty, utf8
 from .hashing import Prefixes, chunks, gram, mix, words
 
 #: Labelled rows that a fit uses at most (those with the smallest hashes of their ids).
@@ -200,7 +200,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
             rows_ = [distinct(make(body[s:e])).tobytes() for s, e in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(rows_, pa.binary())], ["doc_id", "y", "features"])
 
-    got = labelled(narrow(docs, id_col, text_col), chosen, rows).mapInArrow(run, "doc_id long, y int, features binary").toArrow()
+    got = labelled(narrow(docs, id_col, text_col), chosen, rows).mapInArrow(thrifty(run), "doc_id long, y int, features binary").toArrow()
     xs, label = [np.frombuffer(x.as_buffer(), np.int32) for x in got["features"]], got["y"].to_numpy()
     order = sorted(range(len(xs)), key=lambda i, d=got["doc_id"].to_pylist(): (d[i], zlib.crc32(xs[i])))
     xs, y = [xs[i] for i in order], 2 * label[order].astype(np.int64) - 1
@@ -238,7 +238,7 @@ def score_quality(docs: DataFrame, model: Linear, *, id_col: str = "doc_id", tex
             s = scorer(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], ["doc_id", "text", "score", "predicted"])
 
-    return narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, text string, score double, predicted int")
+    return narrow(docs, id_col, text_col).mapInArrow(thrifty(run), "doc_id long, text string, score double, predicted int")
 
 
 def quality_scorer(model: Linear):
@@ -269,7 +269,7 @@ def keep_quality(docs: DataFrame, model: Linear, *, text_col: str = "text", thre
         for b in batches:
             yield b.filter(pa.array(scorer(b.column(text_col).cast(pa.string())) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(thrifty(run), docs.schema)
 
 
 # --- toxicity -------------------------------------------------------------------------------------------------------------------
@@ -341,7 +341,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
                     sets.append(distinct(make(raw, np.array([0, len(raw)]))[0]))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, 1), b.column("y").slice(i, 1), pa.array([[s.tobytes() for s in sets]], pa.list_(pa.binary()))], ["doc_id", "y", "features"])
 
-    got = labelled(narrow(docs, id_col, text_col), chosen, rows).mapInArrow(run, "doc_id long, y int, features array<binary>").toArrow()
+    got = labelled(narrow(docs, id_col, text_col), chosen, rows).mapInArrow(thrifty(run), "doc_id long, y int, features array<binary>").toArrow()
     xs, label = [[np.frombuffer(f.as_buffer(), np.int32) for f in r] for r in got["features"]], got["y"].to_numpy()
     order = sorted(range(len(xs)), key=lambda i, d=got["doc_id"].to_pylist(): (d[i], zlib.crc32(xs[i][0])))
     xs, y = [xs[i] for i in order], label[order]
@@ -397,4 +397,4 @@ def score_toxicity(docs: DataFrame, model: Linear, *, id_col: str = "doc_id", te
             s = scorer(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], ["doc_id", "text", "score", "predicted"])
 
-    return narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, text string, score double, predicted int")
+    return narrow(docs, id_col, text_col).mapInArrow(thrifty(run), "doc_id long, text string, score double, predicted int")

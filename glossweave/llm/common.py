@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 #: Stands for a null doc_id wherever ids are compared: larger than any id.
 NO_ID = (1 << 63) - 1
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def scratch(spark: SparkSession) -> str:
@@ -36,11 +38,11 @@ def hadoop_path(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+def stash(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write df as a table of the shared folder and read it back: cuts the lineage and outlives executors. What isn't dropped goes when the driver ends."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/stash-{uuid.uuid4().hex}-{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     at, system = hadoop_path(spark, path)
     system.deleteOnExit(at)
     spark.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle files that only this table needed
@@ -71,6 +73,31 @@ def free_name(names: list[str], base: str) -> str:
     return base
 
 
+TRIM_SECONDS = 2.0
+_trimmed = [0.0]
+
+
+def give_back() -> None:
+    """Hand memory that batches needed back to the system, now and then: workers are kept for later tasks, and what they hold counts."""
+    if time.monotonic() - _trimmed[0] > TRIM_SECONDS:
+        _trimmed[0] = time.monotonic()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def thrifty(f):
+    """A function for mapInArrow that gives memory back at its end."""
+
+    def run(batches):
+        yield from f(batches)
+        _trimmed[0] = 0.0
+        give_back()
+
+    return run
+
+
 def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id and text, as doc_id and text, whatever else the table holds."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -13,7 +13,7 @@ import numpy as np
 SEED = 20240607
 B = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def byte_table(seed: int = SEED) -> np.ndarray:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, drop_stash, free_name, narrow, stash, utf8
+from .common import arrow_limits, drop_stash, free_name, give_back, narrow, stash, thrifty, utf8
 from .hashing import Prefixes, chunks, gram, mix, words
 from .simhash import BROADCAST_ROWS, routed, stars
 from .winnow import pack_keys, unpack_keys
@@ -104,7 +104,7 @@ def frequent_shingles(plain: DataFrame, n: int, k: int) -> tuple[np.ndarray, np.
 
     share = (1 << 20) * TEXTS // max(1, n)
     some = plain.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("text")
-    found = some.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2").limit(FREQUENT).toArrow()
+    found = some.mapInArrow(thrifty(run), "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2").limit(FREQUENT).toArrow()
     token, n = found["token"].to_numpy().view(np.uint64), found["n"].to_numpy()
     order = np.argsort(token)
     return token[order], n[order]
@@ -143,6 +143,7 @@ def nearest_pairs(_, table):
             b.append(j[ok])
             d[at, j] = 255
     u, v = whole[np.concatenate(a)], whole[np.concatenate(b)]
+    give_back()
     return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
 
@@ -193,6 +194,7 @@ def shared(key, table):
     many = np.diff(np.append(first, len(keys)))
     keep = np.repeat(many > 1, many)
     token = keys[keep] | np.uint64(key[0].as_py() << 40)
+    give_back()
     return pa.table({"token": token.view(np.int64), "whole": whole[keep], "size": size[order[keep]].astype(np.int64), "place": place[order[keep]].astype(np.int32)})
 
 
@@ -359,7 +361,7 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
             cols = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())], ["doc_id", "whole", "fp", "fine", "size", "sketch"])
 
-    marked = stash(plain.mapInArrow(mark, "doc_id long, whole long, fp long, fine long, size long, sketch binary"), "signatures")
+    marked = stash(plain.mapInArrow(thrifty(mark), "doc_id long, whole long, fp long, fine long, size long, sketch binary"), "signatures")
     least = marked.groupBy("whole").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("fine").alias("fine"), F.min("size").alias("size"))
     points = stash(least, "points")
     n, shingles = points.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
@@ -375,7 +377,7 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
     def shingles_of(ends: DataFrame, name: str) -> DataFrame:
         """The shingles of the texts named by ends (whole). Rows whose id is null have no least id: such texts aren't compared."""
         readers = points.where("least is not null").join(ends.distinct(), "whole", "left_semi").select("whole", F.col("least").alias("doc_id"))
-        found = plain.join(side(readers, readers.count()), "doc_id").select("whole", "text").mapInArrow(sets, "whole long, shingles binary")
+        found = plain.join(side(readers, readers.count()), "doc_id").select("whole", "text").mapInArrow(thrifty(sets), "whole long, shingles binary")
         return stash(found.dropDuplicates(["whole"]), name)
 
     def verify(batches):
@@ -403,11 +405,11 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         ends = pairs.select(F.col("u").alias("whole")).union(pairs.select("v")).distinct()
         known = stash(marked.select("whole", "sketch").join(side(ends, n), "whole", "left_semi").dropDuplicates(["whole"]), f"{name}-sketches")
-        near = stash(beside(pairs, known, "sketch").mapInArrow(likely, "u long, v long"), f"{name}-likely")
+        near = stash(beside(pairs, known, "sketch").mapInArrow(thrifty(likely), "u long, v long"), f"{name}-likely")
         drop_stash(known)
         pairs = near
         known = shingles_of(pairs.select(F.col("u").alias("whole")).union(pairs.select("v")), f"{name}-sets")
-        out = stash(beside(pairs, known, "shingles").mapInArrow(verify, "u long, v long"), f"{name}-links")
+        out = stash(beside(pairs, known, "shingles").mapInArrow(thrifty(verify), "u long, v long"), f"{name}-links")
         drop_stash(known)
         drop_stash(pairs)
         return out
@@ -422,7 +424,7 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
 
     frequent, counts = frequent_shingles(plain, n, shingle)
     bits = min(16, max(6, math.ceil(math.log2(max(1, shingles * (1 - similarity) * 19 / PART_BYTES)))))
-    meet = stash(plain.mapInArrow(packed(shingle, similarity, frequent, counts, bits), ENTRY).groupBy("p").applyInArrow(shared, "token long, whole long, size long, place int"), "tokens")
+    meet = stash(plain.mapInArrow(thrifty(packed(shingle, similarity, frequent, counts, bits)), ENTRY).groupBy("p").applyInArrow(shared, "token long, whole long, size long, place int"), "tokens")
 
     def met(roots: DataFrame) -> DataFrame:
         named = live.select("whole").join(roots.select(F.col("u").alias("whole"), F.col("v").alias("part")), "whole", "left").select("whole", F.coalesce("part", "whole").alias("part"))

@@ -17,7 +17,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import arrow_limits, narrow
+from .common import arrow_limits, narrow, thrifty
 
 # Fixed patterns of the base scan.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -162,4 +162,4 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
             new = {text_col: pa.array(texts, pa.string()), chars_col: pa.array(sizes, pa.int64())}
             yield pa.RecordBatch.from_arrays([new[n].cast(b.schema.field(n).type) if n in new else b.column(n) for n in names], names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(thrifty(run), docs.schema)

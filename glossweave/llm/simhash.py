@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, drop_stash, narrow, stash
+from .common import arrow_limits, drop_stash, narrow, stash, thrifty
 
 SAMPLE, LEAF = 8192, 2000
 BROADCAST_ROWS = 1_000_000
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             h = np.array([fingerprint((t.as_py() or "").encode(), shingle) for t in b.column("text")], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(h.view(np.int64), pa.int64())], ["doc_id", "fp"])
 
-    return narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return narrow(docs, id_col, text_col).mapInArrow(thrifty(run), "doc_id long, fp long")
 
 
 @dataclass
@@ -163,7 +163,7 @@ def routed(points: DataFrame, n: int, radius: int) -> DataFrame:
                 )
 
     kept = ", ".join(f"{c} {k}" for c, k in points.dtypes)
-    return points.mapInArrow(route, f"tree int, leaf int, shard int, home boolean, {kept}")
+    return points.mapInArrow(thrifty(route), f"tree int, leaf int, shard int, home boolean, {kept}")
 
 
 def links(points: DataFrame, n: int, radius: int) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, arrow_limits, drop_stash, ids, narrow, stash, utf8
+from .common import NO_ID, arrow_limits, drop_stash, give_back, ids, narrow, stash, utf8
 from .hashing import chunks, mix, sliding_min
 from .winnow import POS_BITS, cover, inside, to_batch
 
@@ -197,6 +197,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
                 for p in np.flatnonzero(np.diff(ends)):
                     s, e = ends[p], ends[p + 1]
                     out.append((int(p), key[0].as_py(), int(e - s), squeeze(digits[s:e].T), squeeze(often[s:e]), None))
+        give_back()
         return pa.Table.from_batches([to_batch(out, ENTRY)])
 
     def merge(key, table):
@@ -214,6 +215,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         told = np.empty(len(order), np.uint8)
         told[order] = code[np.cumsum(new) - 1]
         out = [(g, DIGITS, key[0].as_py(), squeeze(told[ends[i] : ends[i + 1]]), np.int64(n[i]).tobytes(), None, None) for i, g in enumerate(table["g"].to_pylist())]
+        give_back()
         return pa.Table.from_batches([to_batch(out, SIDE)])
 
     pass1 = dealt.groupBy("g").cogroup(copied.groupBy("g")).applyInArrow(first_pass, ENTRY_DDL)
@@ -266,6 +268,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
                 ends = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
                 for s, e in zip(ends[:-1], ends[1:]):
                     out.append((int(part[s]), key[0].as_py(), int(e - s), squeeze(wide[s:e, 16 + head :]), squeeze(wide[s:e, 8 + head : 16 + head].T), squeeze(own[s:e])))
+        give_back()
         return pa.Table.from_batches([to_batch(out, ENTRY)])
 
     def settle(key, table):
@@ -317,6 +320,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
             size = np.where(one[mine], 1, count[mine])
             at = np.repeat(first[mine], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             out.append((g, WINDOWS, key[0].as_py(), squeeze(owner[at]), np.append(len(at), size).astype(np.int64).tobytes(), None, None))
+        give_back()
         return pa.Table.from_batches([to_batch(out, SIDE)])
 
     pass2 = dealt.groupBy("g").cogroup(copied.unionByName(digits1).groupBy("g")).applyInArrow(second_pass, ENTRY_DDL)
@@ -344,6 +348,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
                 end = begin + length + np.where(size[each] == 1, many[each] - 1, 0)
             mask = cover(begin, end, len(body))
             out = [outcome(int(d) if d != NO_ID else None, body[s:e].tobytes(), mask[s:e]) for d, s, e in zip(doc, at[:-1], at[1:])]
+        give_back()
         return pa.Table.from_batches([to_batch(out, pa.schema(RESULT))])
 
     rest = dealt.groupBy("g").cogroup(copied.unionByName(digits1).unionByName(windows2).groupBy("g")).applyInArrow(mark, RESULT_DDL)
