@@ -1,15 +1,17 @@
 """Secret scan by assignment-aware lexing.
 
 A pass of one compiled lexer over each whole text yields name-literal pairs of source and configuration syntax
-(`name = "x"`, `name: x`, `"name": "x"`, `export NAME=x`, `<name>x</name>`, `--name x`). Constants are propagated: when a name
-is assigned another name that an earlier pair bound to a literal, the literal is scored under the new name as well.
-A literal is a secret if its target name is sensitive and the literal itself looks like a key, not like a word.
+(`name = "x"`, `name: x`, `"name": "x"`, `export NAME=x`, `<name>x</name>`, `--name x`, `name = "x" + "y"`). Constants are propagated: a name
+that is assigned another name, or a quoted template that holds one (`{name}`, `${name}`), has that name's literals too: those of the last pair
+before, else of the first after; `a.b.name` is `name` where it isn't known itself. Names lead on over as many steps as there are.
+A literal is a secret if its target name is sensitive and the value looks like a key, not like a word.
 
 Three base patterns are always reported; the lexer only adds spans.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -32,9 +34,14 @@ HARMLESS = ("tokenizer", "tokenize", "tokens", "maxtoken", "passwordless", "secr
 LEXER = r"""
 (?P<pem>-----BEGIN\ [A-Z ]*PRIVATE\ KEY-----[A-Za-z0-9+/=\s\\]+-----END\ [A-Z ]*PRIVATE\ KEY-----)
 |<(?P<tag>[A-Za-z_][\w.-]++)>(?P<inner>[^<>\s]{6,}+)</(?P=tag)>
+|(?<![\w-])--(?P<flag>[A-Za-z][\w-]*+)(?:=|[\x20\t]++)(?:"(?P<fdq>(?:[^"\\\n]++|\\.)++)"|'(?P<fsq>(?:[^'\\\n]++|\\.)++)'|(?P<fbare>[A-Za-z0-9_$+/.~][A-Za-z0-9_$+/.~=-]*+))
 |(?<![\w$.-])(?P<name>[A-Za-z_$][\w$.-]*+)["']?\]?[\x20\t]*+(?::=|=>|:|=)(?![=:])[\x20\t]*+
- (?:"(?P<dq>(?:[^"\\\n]++|\\.)++)"|'(?P<sq>(?:[^'\\\n]++|\\.)++)'|`(?P<bq>[^`\n]++)`|(?P<bare>[A-Za-z0-9_$+/.~-][A-Za-z0-9_$+/.~=-]*+))
+ (?:[fFrRbBuU]{1,2}(?=["']))?(?:"(?P<dq>(?:[^"\\\n]++|\\.)++)"|'(?P<sq>(?:[^'\\\n]++|\\.)++)'|`(?P<bq>[^`\n]++)`|(?P<bare>[A-Za-z0-9_$+/.~-][A-Za-z0-9_$+/.~=-]*+))
 """
+QUOTED, BARE = ("dq", "sq", "bq", "fdq", "fsq"), ("bare", "fbare")
+#: What goes on with a string: + or . or a backslash at the line's end, and another quoted literal or a name.
+MORE = r"""\s*+(?:\+|\.(?=\s*+["'])|\\\n)\s*+(?:[fFrRbBuU]{1,2}(?=["']))?(?:"(?P<dq>(?:[^"\\\n]++|\\.)++)"|'(?P<sq>(?:[^'\\\n]++|\\.)++)'|(?P<bare>[A-Za-z_$][\w$.]*+))"""
+PLACE = re.compile(r"\$?\{\s*([A-Za-z_$][\w$.]*)\s*\}", re.ASCII)
 #: A quoted literal of more characters that is no secret itself, such as a file in a string, is read for pairs inside.
 NESTED = 512
 
@@ -63,29 +70,102 @@ def literal_score(text: str) -> float:
     return bits / 4 * (0.4 + 0.2 * kinds) * min(1.0, len(text) / 12)
 
 
-def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[int, int]]:
-    """Spans of literals that are secrets by their target names, constants propagated."""
-    if "=" not in text and ":" not in text and "-----BEGIN" not in text and "</" not in text:
-        return []
-    known: dict[str, tuple[int, int, str]] = {}
-    found: set[tuple[int, int]] = set()
+def pairs_of(text: str, pattern: re.Pattern, more: re.Pattern):
+    """The pairs of a text in order: (name, kind, parts), parts being (kind, start, end) of the literals and names that make the value."""
     at = 0
     while m := pattern.search(text, at):
         at = m.end()
         if m["pem"]:
-            found.add(m.span("pem"))
+            yield "", "pem", [("pem", *m.span("pem"))]
             continue
-        kind = next(k for k in ("inner", "dq", "sq", "bq", "bare") if m[k] is not None)
-        name, value, (start, end) = m["tag"] or m["name"], m[kind], m.span(kind)
-        if kind == "bare" and value in known:  # a name, not a literal
-            start, end, value = known[value]
-        elif kind == "bare" and not re.search(r"[0-9]", value):
-            continue  # an identifier or a word
-        known[name] = (start, end, value)
-        if sensitive(name) and literal_score(value) >= threshold:
-            found.add((start, end))
-        elif kind in ("dq", "sq", "bq") and m.end(kind) - m.start(kind) > NESTED:
-            at = m.start(kind)
+        kind = next(k for k in ("inner", *QUOTED, *BARE) if m[k] is not None)
+        parts, end = [(kind, *m.span(kind))], m.end()
+        while kind not in ("inner", *BARE[1:]) and (n := more.match(text, end)):
+            k = next(k for k in ("dq", "sq", "bare") if n[k] is not None)
+            parts.append((k, *n.span(k)))
+            end = n.end()
+        yield m["tag"] or m["name"] or m["flag"], kind, parts
+        at = end
+        if kind in QUOTED and len(parts) == 1 and parts[0][2] - parts[0][1] > NESTED:
+            at = parts[0][1]
+
+
+def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[int, int]]:
+    """Spans of literals that are secrets by their target names, constants propagated."""
+    if not any(x in text for x in ("=", ":", "-----BEGIN", "</", "--")):
+        return []
+    found: set[tuple[int, int]] = set()
+    every = list(pairs_of(text, pattern, re.compile(MORE, re.ASCII)))
+    places: dict[str, list[int]] = {}
+    for i, (name, kind, _) in enumerate(every):
+        if kind != "pem":
+            places.setdefault(name, []).append(i)
+
+    def bound(name: str, i: int) -> int | None:
+        """The pair that gives a name its value where pair i reads it."""
+        at = places.get(name) or places.get(name.rpartition(".")[2])
+        if not at:
+            return None
+        k = bisect.bisect_left(at, i) - 1
+        return at[k] if k >= 0 else next((j for j in at if j > i), None)
+
+    ends: dict[int, int] = {}
+
+    def last_of(i: int) -> int:
+        """The pair at the end of a chain of names that are only other names; of a circle, some pair of it."""
+        path = []
+        while i not in ends:
+            ends[i] = i
+            path.append(i)
+            kind, s, e = every[i][2][0]
+            k = bound(text[s:e], i) if kind in BARE and len(every[i][2]) == 1 else None
+            if k is None:
+                break
+            i = k
+        end = ends[i]
+        for j in path:
+            ends[j] = end
+        return end
+
+    def value_of(i: int) -> tuple[str, list[tuple[int, int]]]:
+        """What pair i's name stands for, and the literals that say so; a name that leads back to itself gives nothing more."""
+        i = last_of(i)
+        out, spans, todo, seen = [], [], [(i, p) for p in reversed(every[i][2])], {i}
+        while todo:
+            j, (kind, s, e) = todo.pop()
+            part = text[s:e]
+            if kind in BARE:
+                k = bound(part, j)
+                if k is not None:
+                    k = last_of(k)
+                    if k not in seen:
+                        seen.add(k)
+                        todo += [(k, p) for p in reversed(every[k][2])]
+                    continue
+                if len(every[j][2]) > 1 or not re.search(r"[0-9]", part):
+                    continue  # an identifier or a word
+            elif kind != "inner":
+                names = [(k, m[1]) for m in PLACE.finditer(part) if (k := bound(m[1], j)) is not None]
+                for k, _ in names:
+                    k = last_of(k)
+                    if k not in seen:
+                        seen.add(k)
+                        todo += [(k, p) for p in every[k][2]]
+                if names:
+                    part = PLACE.sub("", part)
+                    if literal_score(part) < threshold:
+                        continue
+            out.append(part)
+            spans.append((s, e))
+        return "".join(out), spans
+
+    for i, (name, kind, parts) in enumerate(every):
+        if kind == "pem":
+            found.add(parts[0][1:])
+        elif sensitive(name):
+            value, spans = value_of(i)
+            if literal_score(value) >= threshold:
+                found.update(spans)
     return sorted(found)
 
 

@@ -45,6 +45,36 @@ def test_lexer_and_constants():
     assert lexed('max_tokens = "Zx9kQ2vLp0Rt5w"\npassword = "xxxxxxxx"\npassword = get_password\nname = "Zx9kQ2vLp0Rt5w"') == []
 
 
+def test_concatenation_templates_flags_and_chains():
+    assert lexed('client_secret = "Zx9kQ2vL" + "p0Rt5wYh"') == ["Zx9kQ2vL", "p0Rt5wYh"]
+    assert lexed("half = 'Zx9kQ2vL'\nrest = 'p0Rt5wYh'\nprivate_key = half + rest") == ["Zx9kQ2vL", "p0Rt5wYh"]
+    assert lexed('key = "Zx9kQ2vLp0Rt5w"\nauth_key = f"{key}"') == ["Zx9kQ2vLp0Rt5w"]
+    assert lexed('auth_key = `${conf.key}`\nkey = "Zx9kQ2vLp0Rt5w"') == ["Zx9kQ2vLp0Rt5w"]  # bound later
+    assert lexed('a = "Zx9kQ2vLp0Rt5w"\nb = a\nc = b\npwd = c') == ["Zx9kQ2vLp0Rt5w"]
+    assert lexed('x = "Zx9kQ2vLp0Rt5w"\nx = "hello"\ncredential = x') == []
+    assert lexed("run --passphrase Zx9kQ2vLp0Rt5w --name 'Zx9kQ2vLp0Rt5w' --auth-key='Yx9kQ2vLp0Rt5w'") == ["Zx9kQ2vLp0Rt5w", "Yx9kQ2vLp0Rt5w"]
+    assert lexed("pwd = secret_a\nsecret_a = pwd\ncredential = credential") == []  # circles
+    start = time.process_time()
+    lexed("\n".join(f"token_{i} = token_{i + 1}" for i in range(20_000)) + "\ntoken_20000 = 'Zx9kQ2vLp0Rt5w'")
+    assert time.process_time() - start < 5
+
+
+def test_spans_of_made_up_files():
+    """Random pairs in several syntaxes: the spans are those of the sensitive names, no more."""
+    import random
+
+    rnd = random.Random(5)
+    forms = ['{n} = "{v}"', "{n}: '{v}'", '"{n}": "{v}",', "export {n}={v}", "<{n}>{v}</{n}>", "--{n} {v}", "{n} := `{v}`"]
+    for _ in range(200):
+        lines, want = [], []
+        for _ in range(rnd.randint(1, 8)):
+            value = "".join(rnd.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(24)) + "7aB"
+            name, hit = rnd.choice([("auth_key", True), ("dbPassword", True), ("title", False), ("client_secret", True), ("colour", False), ("max_tokens", False)])
+            lines.append(rnd.choice(forms).format(n=name, v=value))
+            want += [value] * hit
+        assert lexed("\n".join(lines)) == want, lines
+
+
 def test_documents_and_redaction(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = {r.doc_id: r for r in QUERIES["op8_secret_scan"](spark, sf).collect()}
