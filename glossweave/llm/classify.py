@@ -124,7 +124,7 @@ class WordFeatures:
 
 
 def sample_ids(labels: DataFrame, id_col: str, label_col: str, rows: int, balanced: bool) -> tuple[DataFrame, dict[int, int]]:
-    """(doc_id, y) of at most rows labelled ids that are not held out, and how many there are of each class."""
+    """(doc_id, y) of at most rows labelled ids that are not held out, and how many there are of each class. An id with both labels counts as 1."""
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y"))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -136,8 +136,10 @@ def sample_ids(labels: DataFrame, id_col: str, label_col: str, rows: int, balanc
 
 
 def labelled(docs: DataFrame, chosen: DataFrame, rows: int) -> DataFrame:
-    """Texts of the chosen ids. The chosen ids are at most SAMPLE_ROWS, so the broadcast has a fixed bound."""
-    return docs.join(F.broadcast(chosen), "doc_id").limit(2 * rows)
+    """Texts of the chosen ids, twice as many as ids at most: the first by the ids' hashes, so that repeated ids give the same sample on every run.
+    The chosen ids are at most SAMPLE_ROWS, so the broadcast has a fixed bound."""
+    met = docs.join(F.broadcast(chosen), "doc_id")
+    return met.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(2 * rows)
 
 
 # --- quality --------------------------------------------------------------------------------------------------------------------
@@ -281,11 +283,12 @@ def swaps() -> tuple[re.Pattern, dict[str, list[str]]]:
     return re.compile(r"\b(" + "|".join(sorted(map(re.escape, other), key=len, reverse=True)) + r")\b"), other
 
 
-def counterfactuals(text: str, pattern: re.Pattern, other: dict[str, list[str]]) -> list[str]:
-    """text, in lower case, with every identity term replaced, in two ways; none if it has no such term."""
+def counterfactuals(text: str, pattern: re.Pattern, other: dict[str, list[str]]) -> list[tuple[str, str]]:
+    """Pairs (sentence, the sentence with every identity term replaced) of a text in lower case, two for each sentence that has such a term."""
     if not pattern.search(text):
         return []
-    return [pattern.sub(lambda m: other[m[1]][k], text) for k in (0, 1)]
+    found = [s for s in re.split(r"(?<=[.!?])\s+|\n+", text) if pattern.search(s)]
+    return [(s, pattern.sub(lambda m, k=k: other[m[1]][k], s)) for s in found for k in (0, 1)]
 
 
 def logistic(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], size: int, l2: float, penalty: float, prior: float, steps: int = 400) -> tuple[np.ndarray, float]:
@@ -334,9 +337,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
         make, (pattern, other) = WordFeatures(), swaps()
         for b in batches:
             for i in range(b.num_rows):
-                text = (b.column("text")[i].as_py() or "").lower()
+                text = pc.utf8_lower(b.column("text").slice(i, 1))[0].as_py() or ""
                 sets = []
-                for t in [text, *counterfactuals(text, pattern, other)]:
+                for t in [text, *(s for pair in counterfactuals(text, pattern, other) for s in pair)]:
                     raw = np.frombuffer(t.encode(), np.uint8)
                     sets.append(distinct(make(raw, np.array([0, len(raw)]))[0]))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, 1), b.column("y").slice(i, 1), pa.array([[s.tobytes() for s in sets]], pa.list_(pa.binary()))], ["doc_id", "y", "features"])
@@ -357,14 +360,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     z = np.abs(c1 / n1 - c0 / n0) / np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
     z[c1 + c0 < 5] = 0
     for x in xs:
-        for f in x[1:]:
-            z[np.setxor1d(x[0], f)] = np.inf
+        for a, b in zip(x[1::2], x[2::2]):
+            z[np.setxor1d(a, b)] = np.inf
     keep = np.argsort(-z, kind="stable")[:top]
     keep = np.sort(keep[z[keep] >= 3])
     number = np.full(size, -1, np.int64)
     number[keep] = np.arange(len(keep))
     local = [[(m := number[f])[m >= 0] for f in x] for x in xs]
-    w, bias = logistic([x[0] for x in local], y, [(x[0], f) for x in local for f in x[1:]], len(keep), l2, penalty, prior)
+    w, bias = logistic([x[0] for x in local], y, [pair for x in local for pair in zip(x[1::2], x[2::2])], len(keep), l2, penalty, prior)
     weights = np.zeros(size, np.float32)
     weights[keep] = w
     return Linear(weights, bias)

@@ -69,3 +69,28 @@ def test_degenerate_tables(spark):
         assert len(rows) == 2 and {r.score for r in rows} == {0.5}
         assert score(docs.limit(0), fit(docs.limit(0), none)).count() == 0
     assert classify.keep_quality(docs, classify.fit_quality(docs, none)).count() == 2
+
+
+def test_query_with_identity_terms(spark, tmp_path):
+    """The registered query on documents whose labels are biased against a group: neutral sentences that name it aren't called toxic, insults are."""
+    rng = np.random.default_rng(9)
+    base = ["the", "sun", "rose", "over", "old", "town", "walls", "and", "birds", "sang", "people", "came", "home", "late"]
+    docs, labels = [], []
+    for i in range(1500):
+        ws = rng.choice(base, 12).tolist()
+        toxic = i % 3 == 0
+        if toxic:
+            ws.insert(3, "vilescum")
+        if rng.random() < (0.7 if toxic else 0.05):
+            ws.insert(5, "muslims")
+        docs.append((i, " ".join(ws) + ". The day ended.", "en", "s", 1))
+        labels.append((i, 1, int(toxic)))
+    docs += [(5000 + i, f"the sun rose over muslims and {w} sang", "en", "s", 1) for i, w in enumerate(base)]
+    docs += [(6000 + i, f"vilescum came over the old {w}", "en", "s", 1) for i, w in enumerate(base)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, str(tmp_path)).collect()}
+    assert not any(r.predicted for d, r in rows.items() if 5000 <= d < 6000) and all(r.predicted for d, r in rows.items() if d >= 6000)
+    pattern, other = classify.swaps()
+    text = "people came. muslims sang late! the end"
+    assert [a for a, _ in classify.counterfactuals(text, pattern, other)] == ["muslims sang late!"] * 2 and classify.counterfactuals("no such word", pattern, other) == []
