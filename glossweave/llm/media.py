@@ -164,11 +164,14 @@ def store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wi
 def features(stored: DataFrame, *, media_col: str = "media") -> DataFrame:
     """Adds payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature and error to a table with a binary media column.
 
-    A value that is null or not a sound PNG gets nulls and the reason in error; nothing is raised.
+    A value that is null or not a sound PNG gets nulls and the reason in error; nothing is raised. A column of the table that has one of these names,
+    whatever its case, is replaced.
     """
     arrow_limits(stored.sparkSession)
-    kept = [f for f in stored.schema.fields if f.name != media_col]
     extra = [("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("error", pa.string())]
+    taken = {n for n, _ in extra} | {media_col.lower()}
+    kept = [f for f in stored.schema.fields if f.name.lower() not in taken]
+    stored = stored.select(*(f.name for f in kept), media_col)
 
     def run(batches):
         basis = cosines(32, 8)

@@ -65,3 +65,13 @@ def test_nulls_and_bad_media(spark):
     bad = spark.createDataFrame([(1, None), (2, bytearray(b"no"))], "doc_id long, media binary")
     assert [(r.payload_bytes, r.error) for r in media.features(bad).orderBy("doc_id").collect()] == [(None, "null"), (None, "no PNG signature")]
     assert media.features(media.store(df.limit(0))).count() == 0
+
+
+def test_clashing_columns(spark):
+    """Columns of the table that have the results' names are replaced; others stay."""
+    df = spark.createDataFrame([(1, "abc", "old", 5, "x")], "doc_id long, text string, feature string, Payload_Bytes int, other string")
+    stored = media.store(df).join(df.drop("text"), "doc_id")
+    out = media.features(stored)
+    assert out.columns == ["doc_id", "n_bytes", "other", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "error"]
+    r = out.first()
+    assert r.other == "x" and r.payload_bytes == 192 and r.feature != "old" and r.error is None
