@@ -142,7 +142,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     drop_stash(least)
     none = {c: F.lit(None).cast(t).alias(c) for c, t in (("p", "int"), ("a", "binary"), ("b", "binary"))}
     copied = copies.select("g", F.lit(COPY).alias("kind"), *none.values(), F.col("doc_id").alias("doc"), "h")
-    dealt = long_.select("g", "doc_id", "text", "h")
+    dealt = long_.select("g", "doc_id", "text", "h").repartition(groups, "g")  # a task holds a few groups at any size of the input
 
     def rows_of(left, right):
         """Bytes, offsets and ids of a group's texts, without copies."""
