@@ -1,8 +1,8 @@
 """Chat formatting by multi-party perspective rotation.
 
 For every participant the whole dialogue is rendered once with that speaker as assistant, the others as named users, and system turns as they
-are; the mask covers what the speaker says. All in DataFrame functions. Dialogues are written in parts of PART turn numbers, so that a very
-long one is never gathered into one row; parts follow each other by number, and start tells where a part's text begins in the whole.
+are; the mask covers what the speaker says. All in DataFrame functions. Dialogues are written in parts of PART turn numbers, so that a
+long one with numbered turns is never gathered into one row; parts follow each other by number, and start tells where a part's text begins in the whole.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ SYSTEM, UNKNOWN = "system", "unknown"
 def rotate(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", speaker_col: str = "role", text_col: str = "text", part: int = PART) -> DataFrame:
     """(conv_id, speaker, part, start, text, mask array<struct<start, end>>), one row for each participant and part of a dialogue.
 
-    Turns are ordered by number, speaker and text, null numbers last, in a part of their own; a null speaker is called unknown, a null text is
+    Turns are ordered by number, speaker and text, null numbers last, in a part of their own, which is as long as they are many, as is
+    a part whose numbers are repeated; a null speaker is called unknown, a null text is
     empty, repeated rows are repeated turns, a null conversation is a conversation of its own, and one of system turns only has no participant and gives no
     row. Marks of the format inside texts are broken up. Mask spans are code points of the part's text, end exclusive.
     """
