@@ -15,10 +15,12 @@ CONFUSABLE = (
 )
 
 
-def frequency(df: DataFrame, doc: str, text: str, pattern: str = "[A-Za-z0-9]{2,}") -> DataFrame:
-    """(token, n, docs): occurrences and distinct documents; counted a document first, so a common token moves one row a document."""
-    per = df.select(doc, F.explode(T.tokens(F.col(text), pattern)).alias("token")).groupBy(doc, "token").agg(F.count("*").alias("n"))
-    return per.groupBy("token").agg(F.sum("n").alias("n"), F.count("*").alias("docs"))
+def frequency(df: DataFrame, text: str, pattern: str = "[A-Za-z0-9]{2,}") -> DataFrame:
+    """(token, n, docs): occurrences, and rows that have the token. Each row sorts its own tokens and marks the first of equals, so one shuffle of partial sums is enough."""
+    own = F.array_sort(T.tokens(F.coalesce(F.col(text), F.lit("")), pattern))
+    marked = F.zip_with("_s", F.concat(F.array(F.lit(None).cast("string")), F.slice("_s", F.lit(1), F.size("_s") - 1)), lambda a, b: F.struct(a.alias("token"), (~a.eqNullSafe(b)).alias("new")))
+    rows = df.select(own.alias("_s")).where(F.size("_s") > 0).select(F.explode(marked).alias("t")).select("t.*")
+    return rows.groupBy("token").agg(F.count("*").alias("n"), F.count_if("new").alias("docs"))
 
 
 def respell(freq: DataFrame, pairs: tuple = CONFUSABLE, rare: int = 2, least: int = 6, ratio: int = 8, min_len: int = 3) -> DataFrame:
@@ -63,3 +65,14 @@ def ngram_scores(freq: DataFrame, n: int = 4, add: float = 0.2) -> DataFrame:
     prob = grams.withColumn("h", F.expr(f"substring(g, 1, {n - 1})")).join(heads, "h").select("g", F.log10((F.col("gn") + add) / (F.col("hn") + add * F.col("kinds"))).alias("lp"))
     each = freq.select("token", F.explode(ngrams(F.concat(F.lit("^"), "token", F.lit("$")), n)).alias("g"))
     return each.join(prob, "g").groupBy("token").agg(F.avg("lp").alias("score"))
+
+
+def first_context(df: DataFrame, doc: str, text: str, letters: str = "A-Za-z", least: int = 4, width: int = 42) -> DataFrame:
+    """(token, doc, at, context): for each run of least letters or more the smallest doc that has it, its first place there as a whole run (one-based), and
+    what stands around it. The smallest docs are aggregated without texts; each then meets its text once, with all the tokens it owns."""
+    own = df.select(doc, F.explode(F.array_distinct(T.tokens(F.col(text), f"[{letters}]{{{least},}}"))).alias("token"))
+    first = own.groupBy("token").agg(F.min(doc).alias(doc)).groupBy(doc).agg(F.collect_list("token").alias("_tokens"))
+    plain = F.concat(F.lit(" "), F.regexp_replace(text, f"[^{letters}]", " "), F.lit(" "))
+    met = df.select(doc, F.col(text).alias("_text"), plain.alias("_plain")).join(first, doc).select(doc, "_text", "_plain", F.explode("_tokens").alias("token"))
+    at = F.instr("_plain", F.concat(F.lit(" "), "token", F.lit(" ")))
+    return met.withColumn("at", at).select("token", doc, "at", T.context(F.col("_text"), F.col("at"), width).alias("context"))

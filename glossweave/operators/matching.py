@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
 
-def containing(df: DataFrame, doc: str, text: str, needles: DataFrame, needle_id: str, needle: str) -> DataFrame:
-    """(doc, needle_id) where text contains needle.
+def containing(df: DataFrame, doc: str, text: str, needles: DataFrame, needle_id: str, needle: str, gram: int = 4) -> DataFrame:
+    """(doc, needle_id) where text contains needle; empty needles and null texts have no rows, and equal docs or needles give one.
 
-    A needle's longest inner word stands between blanks wherever the needle occurs, so both sides meet on it; the exact test follows.
-    Needles of fewer than three words have none, and only they are tested against every text.
+    A needle's longest inner word stands between blanks wherever the needle occurs, so both sides meet on it; of a needle of fewer than three
+    words its first characters, `gram` at most, must be among the text's runs of that many. Only (doc, key) travels to meet the needles; the
+    texts join the pairs that met once, by doc, and the exact test follows.
     """
     need = needles.where(F.length(needle) > 0).select(needle_id, F.col(needle).alias("_n"))
     parts = F.split("_n", " ")
     inner = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")
     need = need.withColumn("_w", F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("l"), w.alias("w"))))["w"])
-    hay = df.select(doc, F.col(text).alias("_t"))
-    words = hay.select(doc, "_t", F.explode(F.array_distinct(F.split("_t", " "))).alias("_w"))
-    long = words.join(need.where("_w is not null"), "_w").where(F.contains("_t", "_n")).select(doc, needle_id)
-    short = hay.join(need.where("_w is null"), F.contains("_t", "_n")).select(doc, needle_id)
-    return long.unionByName(short).distinct()
+    hay = df.where(F.col(text).isNotNull()).select(doc, F.col(text).alias("_t"))
+    keys = hay.select(doc, F.explode(F.array_distinct(F.split("_t", " "))).alias("_w"))
+    met = keys.join(need.where("_w is not null").select("_w", needle_id), "_w").select(doc, needle_id)
+    short = need.where("_w is null").select(needle_id, F.substring("_n", 1, gram).alias("_g"))
+    for size in range(1, gram + 1):
+        runs = F.when(F.length("_t") >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_t") - size + 1), lambda i, n=size: F.substring(F.col("_t"), i, F.lit(n)))))
+        met = met.unionByName(hay.select(doc, F.explode(runs).alias("_g")).join(short.where(F.length("_g") == size), "_g").select(doc, needle_id))
+    return met.distinct().join(need.select(needle_id, "_n"), needle_id).join(hay, doc).where(F.contains("_t", "_n")).select(doc, needle_id).distinct()
 
 
 def replace_words(c: Column, words: dict[str, str]) -> Column:
@@ -31,6 +37,15 @@ def replace_words(c: Column, words: dict[str, str]) -> Column:
     return F.array_join(F.transform(F.split(c, " "), lambda w: F.coalesce(F.element_at(table, w), w)), " ")
 
 
+def replace_phrases(c: Column, phrases: dict[str, str]) -> Column:
+    """Whole words and phrases replaced through a constant map, the longest first, in one pass: the text is cut into known phrases, other words, and what
+    stands between, and put together again."""
+    known = "|".join(re.escape(p) for p in sorted(phrases, key=lambda p: (-len(p), p)))
+    table = F.create_map(*(F.lit(x) for kv in sorted(phrases.items()) for x in kv))
+    pieces = F.regexp_extract_all(c, F.lit(f"(?U)(?:{known})(?!\\w)|\\w+|\\W"), F.lit(0))
+    return F.when(c.isNotNull(), F.array_join(F.transform(pieces, lambda w: F.coalesce(F.try_element_at(table, w), w)), ""))
+
+
 def sliding_hamming(text: Column, piece: str) -> Column:
     """Least number of differing characters of piece against any place in text; null if text is shorter."""
     n = len(piece)

@@ -6,15 +6,55 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import sequence
+
 BREAK_COST = 4.0
 
 
-def sandwich(df: DataFrame, part: str, order: str, word: str, letters: tuple[str, ...], width: int) -> DataFrame:
-    """Rows out of order between two ordered neighbours, with the first single-letter change (by place, then letter) that puts them between."""
-    w = Window.partitionBy(part).orderBy(order)
-    named = df.select(part, order, word, F.lag(word).over(w).alias("_b"), F.lead(word).over(w).alias("_a"))
-    odd = named.where("_b is not null and _a is not null and _b <= _a").where(~F.col(word).between(F.col("_b"), F.col("_a")))
-    cands = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.transform(F.array(*(F.lit(x) for x in letters)), lambda s: F.concat(F.substring(F.col(word), F.lit(1), i - 1), s, F.substring(F.col(word), i + 1, F.length(word))))))
+def frame(df: DataFrame, part: str, order: str, word: str, reach: int = 3) -> DataFrame:
+    """Rows that stand below the one before, judged in the frame of reach rows on either side: swapped if an exchange of the two puts the frame in order,
+    else astray; without_it and without_previous say whether taking out the row, or the one before, would. order is numeric and without ties."""
+    near = sequence.neighbours(df.select(part, order, word), part, order, [word], reach, reach)
+    words = lambda c: F.transform(c, lambda s: s[word])
+    here, back, ahead = F.array(word), F.reverse(words(F.col("_before"))), words(F.col("_after"))
+    last = F.array(F.element_at("_before", 1)[word])
+    far = F.slice(back, F.lit(1), F.greatest(F.size(back) - 1, F.lit(0)))
+    rises = lambda a: F.forall(F.sequence(F.lit(2), F.size(a)), lambda i: F.element_at(a, i) >= F.element_at(a, i - 1)) | (F.size(a) < 2)
+    odd = near.where((F.size("_before") > 0) & (F.col(word) < F.try_element_at("_before", F.lit(1))[word]))
+    odd = odd.select(part, order, word, F.concat(far, here, last, ahead).alias("_s"), F.concat(far, last, ahead).alias("_l"), F.concat(far, here, ahead).alias("_o"))
+    return odd.select(part, order, word, F.when(rises(F.col("_s")), "swapped").otherwise("astray").alias("kind"), rises(F.col("_l")).alias("without_it"), rises(F.col("_o")).alias("without_previous"))
+
+
+def insertion(odd: DataFrame, df: DataFrame, part: str, order: str, word: str) -> DataFrame:
+    """odd with rank (how many words of the part are smaller), after (the largest of them) and before (the smallest larger word).
+
+    Words are counted once; odd words and known ones are merged in runs of first letters, whose sums are carried on, so no part is gathered."""
+    known = df.groupBy(part, F.col(word).alias("_w")).agg(F.count("*").alias("_n"))
+    wanted = odd.select(part, F.col(word).alias("_w")).distinct().join(known, [part, "_w"], "left").withColumn("_ask", F.lit(True))
+    rows = known.join(wanted.select(part, "_w", "_ask"), [part, "_w"], "full_outer").withColumn("_n", F.coalesce("_n", F.lit(0))).withColumn("_run", F.substring("_w", 1, 3))
+    inner = Window.partitionBy(part, "_run").orderBy("_w")
+    sums = rows.groupBy(part, "_run").agg(F.sum("_n").alias("_s"), F.max(F.when(F.col("_n") > 0, F.col("_w"))).alias("_hi"), F.min(F.when(F.col("_n") > 0, F.col("_w"))).alias("_lo"))
+    outer = Window.partitionBy(part).orderBy("_run")
+    sums = sums.select(
+        part, "_run", F.coalesce(F.sum("_s").over(outer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_c"),
+        F.max("_hi").over(outer.rowsBetween(Window.unboundedPreceding, -1)).alias("_h"), F.min("_lo").over(outer.rowsBetween(1, Window.unboundedFollowing)).alias("_l"))
+    real = F.when(F.col("_n") > 0, F.col("_w"))
+    placed = rows.select(
+        part, "_run", "_w", "_ask", F.coalesce(F.sum("_n").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_k"),
+        F.max(real).over(inner.rowsBetween(Window.unboundedPreceding, -1)).alias("_b"), F.min(real).over(inner.rowsBetween(1, Window.unboundedFollowing)).alias("_a"))
+    found = placed.where("_ask").join(sums, [part, "_run"]).select(part, F.col("_w").alias(word), (F.col("_k") + F.col("_c")).alias("rank"), F.coalesce("_b", "_h").alias("after"), F.coalesce("_a", "_l").alias("before"))
+    return odd.join(found, [part, word])
+
+
+def sandwich(df: DataFrame, part: str, order: str, word: str, letters: tuple[str, ...], width: int | None = None) -> DataFrame:
+    """Rows out of order between two ordered neighbours, with the first single-letter change (by place, then letter) that puts them between.
+
+    width: only the first so many places are changed; None: all. order is numeric and without ties."""
+    near = sequence.neighbours(df.select(part, order, word), part, order, [word], 1, 1)
+    named = near.select(part, order, word, F.try_element_at("_before", F.lit(1))[word].alias("_b"), F.try_element_at("_after", F.lit(1))[word].alias("_a"))
+    odd = named.where("_b is not null and _a is not null and _b <= _a").where(~F.col(word).between(F.col("_b"), F.col("_a")) & (F.length(word) > 0))
+    last = F.length(word) if width is None else F.least(F.lit(width), F.length(word))
+    cands = F.flatten(F.transform(F.sequence(F.lit(1), last), lambda i: F.transform(F.array(*(F.lit(x) for x in letters)), lambda s: F.concat(F.substring(F.col(word), F.lit(1), i - 1), s, F.substring(F.col(word), i + 1, F.length(word))))))
     good = F.filter(cands, lambda c: c.between(F.col("_b"), F.col("_a")) & (c != F.col(word)))
     return odd.withColumn("fixed", F.try_element_at(good, F.lit(1))).where("fixed is not null").drop("_a", "_b")
 

@@ -37,11 +37,32 @@ def fallback(df: DataFrame, strong: DataFrame, weak: DataFrame, on_strong: list[
 
 
 def fold_children(df: DataFrame, key: str, parent: Column, item: Column, order: str, into: str) -> DataFrame:
-    """Rows without a parent, with an array of their children's items; children go, those whose parent is missing too (see orphans)."""
+    """Rows without a parent, with an array of their children's items; children go. Those whose parent is missing are told by orphans()."""
     kids = df.where(parent.isNotNull()).groupBy(parent.alias(key)).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), item.alias("x")))), lambda s: s["x"]).alias(into))
     return df.where(parent.isNull()).join(kids, key, "left").withColumn(into, F.coalesce(into, F.array().cast("array<string>")))
 
 
+def orphans(df: DataFrame, key: str, parent: Column) -> DataFrame:
+    """Rows that name a parent that isn't there: fold_children() has no place for them."""
+    there = df.where(parent.isNull()).select(F.col(key).alias("_k")).distinct()
+    return df.where(parent.isNotNull()).join(there, parent == F.col("_k"), "left_anti")
+
+
+def distinct_ignoring_case(items: Column) -> Column:
+    """The items once each whatever their case, in the order and spelling of their first place: sorted by their small letters, so that equals stand together."""
+    named = F.array_sort(F.transform(items, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x"))))
+    before = F.concat(F.array(F.lit(None).cast("struct<k:string,i:int,x:string>")), named)
+    pairs = F.arrays_zip(named.alias("a"), before.alias("b"))
+    kept = F.filter(pairs, lambda p: p["a"].isNotNull() & ~p["a"]["k"].eqNullSafe(p["b"]["k"]))
+    return F.transform(F.array_sort(F.transform(kept, lambda p: F.struct(p["a"]["i"].alias("i"), p["a"]["x"].alias("x")))), lambda s: s["x"])
+
+
+def ordered_distinct(df: DataFrame, key: str, item: str, order: str, into: str) -> DataFrame:
+    """(key, into): each key's distinct items in the order of their first row; a key's items are aggregated one by one before they are listed."""
+    first = df.groupBy(key, item).agg(F.min(order).alias("_o"))
+    return first.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_o", item))), lambda s: s[item]).alias(into))
+
+
 def shift_keys(df: DataFrame, offsets: DataFrame, on: str, line: str, col: str) -> DataFrame:
     """Keys moved by the offsets of their page, none where there are none."""
     return df.join(offsets, on, "left").withColumn(line, F.col(line) + F.coalesce("d_line", F.lit(0))).withColumn(col, F.col(col) + F.coalesce("d_col", F.lit(0))).drop("d_line", "d_col")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ty
 
 from ..functions import text as T
 from ..operators import parentheticals as P
-from ..operators import quality
+from ..operators import quality, sequence
 from .base import query, table
 
 SLUG = "regexp_replace(regexp_replace(replace(strip_accents(lower({})), ' ', '-'), '[^a-z0-9-]', '', 'g'), '-{{2,}}', '-', 'g')"
@@ -20,8 +19,8 @@ TITLE = "regexp_extract(text, '^[^ \\n]+ ?[^ \\n]*', 0)"
  select doc_id, slug, row_number() over (partition by slug order by doc_id) as rank, count(*) over (partition by slug) as shared from s""")
 def rank_in_address(spark, sf_dir):
     s = table(spark, sf_dir, "documents").select("doc_id", T.slug(F.regexp_extract("text", "^[^ \\n]+ ?[^ \\n]*", 0)).alias("slug"))
-    w = Window.partitionBy("slug")
-    return s.select("doc_id", "slug", F.row_number().over(w.orderBy("doc_id")).cast("long").alias("rank"), F.count("*").over(w).alias("shared"))
+    shared = s.groupBy("slug").agg(F.count("*").alias("shared"))
+    return sequence.ranked(s, "slug", "doc_id").join(shared, "slug").select("doc_id", "slug", F.col("rank").cast("long").alias("rank"), "shared")
 
 
 @query(f"""with s as (select {SLUG.format('p_name')} as slug, p_partkey from part) select slug, count(*) as n, min(p_partkey) as first from s group by 1 having count(*) > 1""")
@@ -140,12 +139,13 @@ def quality_families(spark, sf_dir):
     return quality.families(table(spark, sf_dir, "documents"), checks).groupBy("family").agg(F.count("*").alias("n"))
 
 
-@query("""with c as (select p_partkey, upper(regexp_replace(p_name || p_type, '[^A-Za-z]', '', 'g')) as raw from part), x as (select p_partkey, left(raw, 4) as raw from c)
- select p_partkey, raw, case when regexp_matches(raw, '^[DEFIRSLPGN]{1,12}$') and len(list_distinct(string_split(raw, ''))) = length(raw) then
-  array_to_string(list_filter(string_split('DEFIRSLPGN', ''), lambda l: contains(raw, l)), '') end as code from x""")
+@query("""with w as (select distinct upper(w) as word from (select unnest(regexp_extract_all(text, '[A-Za-z]+')) as w from documents))
+ select word, case when regexp_matches(word, '^[DEFIRSLPGN]{1,12}$') and len(list_distinct(string_split(word, ''))) = length(word) then
+  array_to_string(list_filter(string_split('DEFIRSLPGN', ''), lambda l: contains(word, l)), '') end as code from w""")
 def code_reorder(spark, sf_dir):
-    raw = F.substring(F.upper(F.regexp_replace(F.concat("p_name", "p_type"), "[^A-Za-z]", "")), 1, 4)
-    return table(spark, sf_dir, "part").select("p_partkey", raw.alias("raw"), T.read_code(raw, T.CODE_ORDER).alias("code"))
+    """Every word of the texts, in capitals, with the code it makes, if any, in the order of the alphabet."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.transform(T.tokens(F.col("text"), "[A-Za-z]+"), F.upper)).alias("word")).distinct()
+    return words.select("word", T.read_code(F.col("word"), T.CODE_ORDER).alias("code"))
 
 
 HTML = "html"

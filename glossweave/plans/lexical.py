@@ -43,7 +43,7 @@ TOKENS_SQL = "t as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9]{
 
 @query(f"with {TOKENS_SQL} select token, n, docs from f")
 def token_frequency(spark, sf_dir):
-    return lexicon.frequency(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return lexicon.frequency(table(spark, sf_dir, "documents"), "text")
 
 
 def respell_sql(pairs, rare, least, ratio):
@@ -57,7 +57,7 @@ def respell_sql(pairs, rare, least, ratio):
 
 
 def respelled(spark, sf_dir, **limits):
-    return lexicon.respell(lexicon.frequency(table(spark, sf_dir, "documents"), "doc_id", "text"), **limits)
+    return lexicon.respell(lexicon.frequency(table(spark, sf_dir, "documents"), "text"), **limits)
 
 
 @query(respell_sql(lexicon.CONFUSABLE, 2, 6, 8))
@@ -75,30 +75,25 @@ def lookalike_co(spark, sf_dir):
     return respelled(spark, sf_dir, pairs=(("c", "o"),))
 
 
-STEMS_SQL = "list_concat([token], " + ", ".join(f"case when ends_with(token, '{e}') and length(token) - {len(e)} >= 2 then [left(token, length(token) - {len(e)})] else [] end" for e in T.ENDINGS[:1]) + ")"
-for _e in T.ENDINGS[1:]:
-    STEMS_SQL = f"list_concat({STEMS_SQL}, case when ends_with(token, '{_e}') and length(token) - {len(_e)} >= 2 then [left(token, length(token) - {len(_e)})] else [] end)"
+STEMS_SQL = " union all ".join(["select token, token as stem from f", *(f"select token, left(token, length(token) - {len(e)}) as stem from f where ends_with(token, '{e}') and length(token) - {len(e)} >= 2" for e in T.ENDINGS)])
 
 
 @query(f"""with {TOKENS_SQL}, l as (select distinct unnest(regexp_extract_all(text, '[A-Za-z0-9]{{2,}}')) as word from benchmark),
- s as (select token, unnest({STEMS_SQL}) as stem from f), k as (select distinct token from s where stem in (select word from l))
- select token, n from f where token not in (select token from k)""")
+ s as ({STEMS_SQL}), k as (select distinct token from s join l on stem = word)
+ select f.token, f.n from f left join k using (token) where k.token is null""")
 def unknown_tokens(spark, sf_dir):
     words = table(spark, sf_dir, "benchmark").select(F.explode(T.tokens(F.col("text"))).alias("word")).distinct()
-    return lexicon.unknown(lexicon.frequency(table(spark, sf_dir, "documents"), "doc_id", "text").select("token", "n"), words)
+    return lexicon.unknown(lexicon.frequency(table(spark, sf_dir, "documents"), "text").select("token", "n"), words)
 
 
-@query("""with d as (select doc_id, text, unnest(list_distinct(regexp_extract_all(text, '[A-Za-z]{4,}'))) as token from documents),
- f as (select token, min(doc_id) as doc_id from d group by token)
- select f.token, f.doc_id, instr(d.text, f.token) as at,
-  case when instr(d.text, f.token) > 43 then '…' else '' end || substr(d.text, greatest(instr(d.text, f.token) - 42, 1), 84) ||
-  case when greatest(instr(d.text, f.token) - 42, 1) + 84 <= length(d.text) then '…' else '' end as context
- from f join documents d using (doc_id)""")
+@query("""with d as (select doc_id, text, regexp_replace(text, '[^A-Za-z]', ' ', 'g') as plain, unnest(list_distinct(regexp_extract_all(text, '[A-Za-z]{4,}'))) as token from documents),
+ f as (select token, min(doc_id) as doc_id from d group by token),
+ a as (select f.token, f.doc_id, d.text, instr(' ' || d.plain || ' ', ' ' || f.token || ' ') as p from f join d on d.doc_id = f.doc_id and d.token = f.token)
+ select token, doc_id, p as at,
+  case when p > 43 then '…' else '' end || substr(text, greatest(p - 42, 1), 84) || case when greatest(p - 42, 1) + 84 <= length(text) then '…' else '' end as context from a""")
 def first_context(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    first = docs.select("doc_id", F.explode(F.array_distinct(T.tokens(F.col("text"), "[A-Za-z]{4,}"))).alias("token")).groupBy("token").agg(F.min("doc_id").alias("doc_id"))
-    at = F.instr("text", F.col("token"))
-    return first.join(docs, "doc_id").select("token", "doc_id", at.cast("long").alias("at"), T.context(F.col("text"), at).alias("context"))
+    return lexicon.first_context(docs, "doc_id", "text").select("token", "doc_id", F.col("at").cast("long").alias("at"), "context")
 
 
 @query(f"""with {TOKENS_SQL},
@@ -108,7 +103,7 @@ def first_context(spark, sf_dir):
  p as (select g, log10((gn + 0.2) / (hn + 0.2 * kinds)) as lp from c join h on left(g, 3) = h)
  select token, round(avg(lp), 6) as score from g join p using (g) group by token""")
 def ngram_score(spark, sf_dir):
-    freq = lexicon.frequency(table(spark, sf_dir, "documents"), "doc_id", "text")
+    freq = lexicon.frequency(table(spark, sf_dir, "documents"), "text")
     return lexicon.ngram_scores(freq).select("token", F.round("score", 6).alias("score"))
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import matching, overlay, sequence
+from ..operators import quantiles as exact_quantiles
 from .base import query, table
 
 
@@ -21,32 +24,31 @@ def overlay_last_wins(spark, sf_dir):
     return overlay.lay_over(base, patch, keys, "value")
 
 
-@query("""with o as (select o_orderkey as k, o_totalprice as amount, o_orderstatus as status from orders where o_orderkey % 2 = 0),
+@query("""with o as (select o_orderkey as k, o_totalprice as amount, o_orderstatus as status from orders),
  l as (select l_orderkey as k, max(l_extendedprice) as amount, max(l_linestatus) as status from lineitem group by 1)
  select coalesce(o.k, l.k) as k, coalesce(l.amount, o.amount) as amount, coalesce(l.status, o.status) as status from o full join l on o.k = l.k""")
 def upsert_full_outer(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("status"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("status"))
     li = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_extendedprice").alias("amount"), F.max("l_linestatus").alias("status"))
     return overlay.upsert(o, li, ["k"], ["amount", "status"])
 
 
 @query("""with n as (select user_id, event_type, max(event_id) as e from events where event_id % 7 = 0 group by all)
  select user_id, event_type, e from n union all
- select user_id, event_type, event_id as e from events where event_id % 50 = 1 and (user_id, event_type) not in (select user_id, event_type from n)""")
+ select user_id, event_type, event_id as e from events where event_id % 7 <> 0 and (user_id, event_type) not in (select user_id, event_type from n)""")
 def merge_rewritten(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     new = ev.where("event_id % 7 = 0").groupBy("user_id", "event_type").agg(F.max("event_id").alias("e"))
-    return overlay.merge_rewritten(ev.where("event_id % 50 = 1").select("user_id", "event_type", F.col("event_id").alias("e")), new, ["user_id", "event_type"])
+    return overlay.merge_rewritten(ev.where("event_id % 7 <> 0").select("user_id", "event_type", F.col("event_id").alias("e")), new, ["user_id", "event_type"])
 
 
 @query("""select c_custkey, coalesce(s.v, w.v) as region from customer
- left join (select n_nationkey, c_mktsegment as seg, 'S' || n_name as v from nation, (select distinct c_mktsegment from customer) where n_nationkey % 3 = 0 and c_mktsegment < 'G') s on s.n_nationkey = c_nationkey and s.seg = c_mktsegment
+ left join (select n_nationkey, c_mktsegment as seg, 'S' || n_name as v from nation, (select distinct c_mktsegment from customer) where n_nationkey % 3 = 0) s on s.n_nationkey = c_nationkey and s.seg = c_mktsegment
  left join (select n_nationkey, r_name as v from nation join region on n_regionkey = r_regionkey) w on w.n_nationkey = c_nationkey""")
 def fallback_key_join(spark, sf_dir):
     cust = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")
     nation = table(spark, sf_dir, "nation")
-    segments = F.explode(F.array(*(F.lit(x) for x in ("AUTOMOBILE", "BUILDING", "FURNITURE"))))
-    strong = nation.where("n_nationkey % 3 = 0").withColumn("c_mktsegment", segments).select("n_nationkey", "c_mktsegment", F.concat(F.lit("S"), "n_name").alias("region"))
+    strong = cust.select("n_nationkey", "c_mktsegment").distinct().join(nation.where("n_nationkey % 3 = 0"), "n_nationkey").select("n_nationkey", "c_mktsegment", F.concat(F.lit("S"), "n_name").alias("region"))
     weak = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("region"))
     return overlay.fallback(cust, strong, weak, ["n_nationkey", "c_mktsegment"], ["n_nationkey"], "region").select("c_custkey", "region")
 
@@ -181,8 +183,9 @@ def confusion_pairs(spark, sf_dir):
 
 @query("""select l_returnflag, quantile_cont(l_extendedprice, 0.5) as med, quantile_cont(l_extendedprice, 0.99) as p99, max(l_extendedprice) as most, round(avg(l_extendedprice), 4) as mean, count(*) as n from lineitem group by 1""")
 def quantiles(spark, sf_dir):
-    x = F.col("l_extendedprice")
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.median(x).alias("med"), F.percentile(x, 0.99).alias("p99"), F.max(x).alias("most"), F.round(F.avg(x), 4).alias("mean"), F.count("*").alias("n"))
+    lines, x = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice"), F.col("l_extendedprice")
+    rest = lines.groupBy("l_returnflag").agg(F.max(x).alias("most"), F.round(F.avg(x), 4).alias("mean"), F.count("*").alias("n"))
+    return exact_quantiles.exact(lines, ["l_returnflag"], "l_extendedprice", {"med": 0.5, "p99": 0.99}).join(rest, "l_returnflag")
 
 
 @query("""with t as (select item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{2,}')) as s from benchmark)
@@ -194,11 +197,63 @@ def jaccard_sets(spark, sf_dir):
     return matching.similar_sets(t, "item_id", "s", 12).select("a", "b", F.round(c / (F.col("na") + F.col("nb") - c), 6).alias("jaccard"))
 
 
-@query("""select coalesce(o.k, l.k) as k, coalesce(o.n, 0) as a, coalesce(l.n, 0) as b from (select o_orderstatus as k, count(*) as n from orders group by 1) o full join (select l_linestatus as k, count(*) as n from lineitem group by 1) l on o.k = l.k""")
-def union_distinct_ordered(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("k"), F.lit(1).alias("a"), F.lit(0).alias("b"))
-    li = table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("k"), F.lit(0).alias("a"), F.lit(1).alias("b"))
-    return o.unionByName(li).groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+@query("""with u as (select doc_id, unnest(string_split(text, ' ')) as w, unnest(range(1, len(string_split(text, ' ')) + 1)) as i from documents),
+ f as (select doc_id, lower(w) as k, min(i) as i, arg_min(w, i) as w from u where w <> '' group by 1, 2)
+ select doc_id, md5(string_agg(w, ' ' order by i)) as digest, count(*) as n from f group by 1""")
+def distinct_ordered(spark, sf_dir):
+    """Each text's words once, whatever their case, in the order and spelling of their first place."""
+    words = F.filter(F.split("text", " "), lambda w: w != "")
+    kept = overlay.distinct_ignoring_case(words)
+    out = table(spark, sf_dir, "documents").select("doc_id", kept.alias("w")).where(F.size("w") > 0)
+    return out.select("doc_id", F.md5(F.array_join("w", " ")).alias("digest"), F.size("w").cast("long").alias("n"))
+
+
+@query("""with t as (select source as k, min(doc_id) as i from documents group by 1) select i as first, k as source, row_number() over (order by i) as place from t""")
+def ordered_distinct_sources(spark, sf_dir):
+    """The sources once each, in the order in which they come first."""
+    docs = table(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").alias("first"))
+    return docs.select("first", "source", F.row_number().over(Window.orderBy("first")).cast("long").alias("place"))  # one row a source
+
+
+@query("""select conv_id, string_agg(role, ',' order by first) as roles from (select conv_id, role, min(turn) as first from conversations group by 1, 2) group by 1""")
+def ordered_distinct_lists(spark, sf_dir):
+    """Each conversation's roles once, in the order in which they come up."""
+    return overlay.ordered_distinct(table(spark, sf_dir, "conversations"), "conv_id", "role", "turn", "roles").select("conv_id", F.array_join("roles", ",").alias("roles"))
+
+
+@query("""select conv_id, turn, text is null as empty from conversations where role = 'assistant' and conv_id not in (select conv_id from conversations where turn = 0 and role = 'user')""")
+def orphan_children(spark, sf_dir):
+    """Answers of conversations that no user's turn opens."""
+    conv = table(spark, sf_dir, "conversations").where("role = 'assistant' or (turn = 0 and role = 'user')")
+    out = overlay.orphans(conv, "conv_id", F.when(F.col("role") == "assistant", F.col("conv_id")))
+    return out.select("conv_id", "turn", F.col("text").isNull().alias("empty"))
+
+
+@query("""select p_brand, p_type, count(*) as n from part group by all order by n desc, p_brand, p_type limit 20""")
+def most_common(spark, sf_dir):
+    return sequence.most_common(table(spark, sf_dir, "part"), ["p_brand", "p_type"], 20)
+
+
+@query("select p_partkey, p_name from part order by strip_accents(lower(p_name)), p_size desc, p_partkey limit 100")
+def multi_key_order(spark, sf_dir):
+    """The first hundred by folded name, size downwards, key."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    return part.orderBy(T.fold(F.lower("p_name")), F.desc("p_size"), "p_partkey").limit(100).select("p_partkey", "p_name")
+
+
+@query("""with v as (select doc_id, source, row_number() over (partition by source order by doc_id) as rn from documents) select source, count(*) as n from (select * from v where rn <= 30) group by 1""")
+def capped_groups(spark, sf_dir):
+    """Thirty rows a source, drawn by a seeded hash: how many there are."""
+    drawn = sequence.reservoir(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", ["doc_id"], 30, seed=7)
+    return drawn.groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("""with t as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) as w from documents) select case when w = 'the' then 'THE' when w = 'and' then '&' when w = 'der' then 'd.' else 'other' end as token, count(*) as n from t group by 1 having token <> 'other'""")
+def phrase_replace_counts(spark, sf_dir):
+    """What replace_phrases puts in, counted: whole words only, as the longest phrase wins."""
+    done = matching.replace_phrases(F.col("text"), {"the": "\u0001THE\u0002", "and": "\u0001&\u0002", "der": "\u0001d.\u0002"})
+    found = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(done, F.lit("\u0001([^\u0002]*)\u0002"), F.lit(1))).alias("token"))
+    return found.groupBy("token").agg(F.count("*").alias("n"))
 
 
 @query("""with c as (select *, row_number() over (partition by text order by n_chars desc, doc_id) as rn from documents) select doc_id, n_chars, source from c where rn = 1""")

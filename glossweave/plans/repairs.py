@@ -39,7 +39,7 @@ def plausible_respelling(spark, sf_dir):
 def starred_roots(spark, sf_dir):
     words = table(spark, sf_dir, "benchmark").select(F.explode(T.tokens(F.col("text"))).alias("w")).where(F.col("w").rlike("[aeio]$") & (F.length("w") >= 4))
     roots = words.select(F.expr("left(w, length(w) - 1)").alias("r"))
-    return repair.star(lexicon.frequency(table(spark, sf_dir, "documents"), "doc_id", "text").select("token"), "token", roots, "r")
+    return repair.star(lexicon.frequency(table(spark, sf_dir, "documents"), "text").select("token"), "token", roots, "r")
 
 
 @query("""with f as (select item_id, text, string_split(text, ' ')[1] as a, string_split(text, ' ')[3] as b from benchmark where len(string_split(text, ' ')) >= 3),
@@ -75,7 +75,7 @@ def rule_families(spark, sf_dir):
  h as (select v.token, v.n, v.variant, f.n as vn, row_number() over (partition by v.token order by f.n desc, v.variant desc) as rn, lead(f.n) over (partition by v.token order by f.n desc, v.variant desc) as second from v join f on f.token = v.variant)
  select token, n, variant, vn as variant_n from h where rn = 1 and vn >= 8 and vn >= 8 * n and coalesce(second, 0) * 3 <= vn""")
 def lexicon_correction(spark, sf_dir):
-    freq = lexicon.frequency(table(spark, sf_dir, "documents"), "doc_id", "text").select("token", "n")
+    freq = lexicon.frequency(table(spark, sf_dir, "documents"), "text").select("token", "n")
     rare = freq.where("n <= 5").select("token", "n", F.explode(F.array_distinct(F.array(F.lower("token"), F.concat("token", F.lit("o")), F.concat("token", F.lit("e"))))).alias("variant")).where("variant <> token")
     return repair.correct(freq, rare)
 

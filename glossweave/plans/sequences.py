@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import order, sequence
+from ..operators import order, quantiles, sequence
 from .base import query, table
 from .derive import ORDER, ROOT, stem_sql
 
@@ -20,8 +20,8 @@ def segment_sessions(spark, sf_dir):
 
 @query("""select conv_id, turn, last_value(case when role = 'user' then turn end ignore nulls) over (partition by conv_id order by turn rows unbounded preceding) as asked from conversations""")
 def as_of_heading(spark, sf_dir):
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.last(F.when(F.col("role") == "user", F.col("turn")), ignorenulls=True).over(w).alias("asked"))
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    return sequence.running_last(conv, "conv_id", "turn", F.when(F.col("role") == "user", F.col("turn")), "asked").select("conv_id", "turn", "asked")
 
 
 @query("""with f as (select conv_id, arg_max(text, turn) as tail, max(turn) as turns from conversations group by 1), h as (select conv_id, text as head from conversations where turn = 0 and role = 'user')
@@ -47,22 +47,47 @@ def order_breaks(spark, sf_dir):
     return sequence.order_breaks(k, "source", "doc_id", ["key", "root", "stem"], "word").select("doc_id", "word", "broken")
 
 
-@query("""with l as (select p_brand, p_partkey, p_name, lag(p_name) over w as b, lead(p_name) over w as a, lead(p_name, 2) over w as aa, lag(p_name, 2) over w as bb from part window w as (partition by p_brand order by p_partkey))
- select p_partkey, case when p_name >= b then 'kept' when a is null or b is null then 'edge' when p_name >= coalesce(bb, '') and b <= a then 'swapped' when b <= a then 'astray' else 'open' end as kind from l where b is not null""")
+ORDERLY = "len(list_filter(range(2, len({0}) + 1), lambda i: {0}[i] < {0}[i - 1])) = 0"
+
+
+@query(f"""with l as (select p_brand, p_partkey, p_name, lag(p_name) over o as before, list(p_name) over (o rows between 3 preceding and 2 preceding) as x,
+   list(p_name) over (o rows between 1 following and 3 following) as y from part window o as (partition by p_brand order by p_partkey)),
+  c as (select *, list_concat(list_concat(coalesce(x, []), [p_name, before]), coalesce(y, [])) as swap, list_concat(list_concat(coalesce(x, []), [before]), coalesce(y, [])) as less,
+   list_concat(list_concat(coalesce(x, []), [p_name]), coalesce(y, [])) as other from l where p_name < before)
+ select p_partkey, case when {ORDERLY.format('swap')} then 'swapped' else 'astray' end as kind, {ORDERLY.format('less')} as without_it, {ORDERLY.format('other')} as without_previous from c""")
 def order_frame(spark, sf_dir):
-    w = Window.partitionBy("p_brand").orderBy("p_partkey")
-    lag = lambda n: F.lag("p_name", n).over(w)
-    named = table(spark, sf_dir, "part").select("p_partkey", "p_name", lag(1).alias("b"), lag(2).alias("bb"), F.lead("p_name").over(w).alias("a"))
-    kind = F.when(F.col("p_name") >= F.col("b"), "kept").when(F.col("a").isNull(), "edge").when((F.col("p_name") >= F.coalesce("bb", F.lit(""))) & (F.col("b") <= F.col("a")), "swapped").when(F.col("b") <= F.col("a"), "astray").otherwise("open")
-    return named.where("b is not null").select("p_partkey", kind.alias("kind"))
+    part = table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_name")
+    return order.frame(part, "p_brand", "p_partkey", "p_name").select("p_partkey", "kind", "without_it", "without_previous")
+
+
+@query("""with l as (select p_brand, p_partkey, p_name, lag(p_name) over w as b from part window w as (partition by p_brand order by p_partkey)),
+ o as (select * from l where p_name < b)
+ select o.p_partkey, count(*) filter (where p.p_name < o.p_name) as rank, max(p.p_name) filter (where p.p_name < o.p_name) as after, min(p.p_name) filter (where p.p_name > o.p_name) as before
+ from o join part p on p.p_brand = o.p_brand group by o.p_partkey""")
+def insertion_points(spark, sf_dir):
+    """Where a row that breaks the order belongs among its brand's names."""
+    part = table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_name")
+    odd = order.frame(part, "p_brand", "p_partkey", "p_name").select("p_brand", "p_partkey", "p_name")
+    return order.insertion(odd, part, "p_brand", "p_partkey", "p_name").select("p_partkey", "rank", "after", "before")
+
+
+@query("""with k as (select doc_id, source, regexp_extract(text, '[A-Z][a-z]+', 0) as key from documents), f as (select *, lag(key) over (partition by source order by doc_id) as p from k where key <> '')
+ select k.doc_id, coalesce(f.key < f.p, false) as broken from k left join f using (doc_id)""")
+def single_key_breaks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.regexp_extract("text", "[A-Z][a-z]+", 0).alias("key"))
+    return sequence.single_key_breaks(docs, "source", "doc_id", "key").select("doc_id", "broken")
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
-@query("""with l as (select p_partkey, p_name, lag(p_name) over w as b, lead(p_name) over w as a from part window w as (partition by p_brand order by p_partkey)),
- c as (select p_partkey, p_name, b, a, i, j, substr(p_name, 1, i - 1) || s || substr(p_name, i + 1) as cand from l, range(1, 5) t(i), (select unnest(['a', 'c', 'e', 'o', 'r']) as s, unnest([1, 2, 3, 4, 5]) as j) where b is not null and a is not null and b <= a and not (p_name >= b and p_name <= a)),
- g as (select *, row_number() over (partition by p_partkey order by i, j) as rn from c where cand >= b and cand <= a and cand <> p_name)
+@query(f"""with l as (select p_partkey, p_name, lag(p_name) over w as b, lead(p_name) over w as a from part window w as (partition by p_brand order by p_partkey)),
+ c as (select p_partkey, p_name, b, a, i, s, substr(p_name, 1, i - 1) || s || substr(p_name, i + 1) as cand from l, (select unnest(string_split('{LETTERS}', '')) as s), (select unnest(range(1, 41)) as i)
+  where i <= length(p_name) and b is not null and a is not null and b <= a and not (p_name >= b and p_name <= a)),
+ g as (select *, row_number() over (partition by p_partkey order by i, s) as rn from c where cand >= b and cand <= a and cand <> p_name)
  select p_partkey, p_name, cand as fixed from g where rn = 1""")
 def sandwich_fix(spark, sf_dir):
-    return order.sandwich(table(spark, sf_dir, "part"), "p_brand", "p_partkey", "p_name", ("a", "c", "e", "o", "r"), 4).select("p_partkey", "p_name", "fixed")
+    return order.sandwich(table(spark, sf_dir, "part"), "p_brand", "p_partkey", "p_name", tuple(LETTERS)).select("p_partkey", "p_name", "fixed")
 
 
 @query("select doc_id, floor((row_number() over (partition by source order by doc_id) - 1) / 130)::bigint as batch, ((row_number() over (partition by source order by doc_id) - 1) % 130)::bigint as place from documents")
@@ -85,37 +110,41 @@ def section_breaks(spark, sf_dir):
     return n.select("n_nationkey", F.when(~F.col("p").eqNullSafe(F.col("letter")), F.col("letter")).alias("section"))
 
 
-@query("""with t as (select doc_id, split_part(text, chr(10), 1) as line from documents), c as (select doc_id, unnest(range(1, length(line) + 1)) as i, line from t),
- l as (select doc_id, i, line, i - row_number() over (partition by doc_id order by i) as g from c where regexp_matches(substr(line, i, 1), '[A-Za-zÀ-ÿ]'))
- select doc_id, min(i) as first, max(i) as last, string_agg(substr(line, i, 1), '' order by i) as word from l group by doc_id, g""")
-def letter_islands(spark, sf_dir):
-    t = table(spark, sf_dir, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("line"))
-    ch = t.select("doc_id", F.posexplode(F.split("line", "")).alias("i", "ch")).where(F.col("ch").rlike("[A-Za-zÀ-ÿ]")).withColumn("i", F.col("i") + 1)
-    g = ch.withColumn("g", F.col("i") - F.row_number().over(Window.partitionBy("doc_id").orderBy("i")))
-    word = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "ch"))), lambda s: s["ch"]), "")
-    return g.groupBy("doc_id", "g").agg(F.min("i").cast("long").alias("first"), F.max("i").cast("long").alias("last"), word.alias("word")).drop("g")
-
-
 @query("""with s as (select doc_id, string_split(text, chr(10)) as lines from documents), t as (select doc_id, unnest(range(1, len(lines) + 1)) as n, unnest(lines) as line from s),
  c as (select doc_id, n, unnest(range(1, length(line) + 1)) as i, line from t),
  l as (select doc_id, n, i, line, i - row_number() over (partition by doc_id, n order by i) as g from c where regexp_matches(substr(line, i, 1), '[A-Za-zÀ-ÿ]'))
  select doc_id, n as line, min(i) as first, max(i) as last, string_agg(substr(line, i, 1), '' order by i) as word from l group by doc_id, n, g""")
-def letter_islands_all_lines(spark, sf_dir):
-    """letter_islands of every line, not only the first."""
-    t = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).withColumn("line", F.col("line").cast("long") + 1)
-    ch = t.select("doc_id", "line", F.posexplode(F.split("t", "")).alias("i", "ch")).where(F.col("ch").rlike("[A-Za-zÀ-ÿ]")).withColumn("i", F.col("i") + 1)
-    g = ch.withColumn("g", F.col("i") - F.row_number().over(Window.partitionBy("doc_id", "line").orderBy("i")))
-    word = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "ch"))), lambda s: s["ch"]), "")
-    return g.groupBy("doc_id", "line", "g").agg(F.min("i").cast("long").alias("first"), F.max("i").cast("long").alias("last"), word.alias("word")).drop("g")
+def letter_islands(spark, sf_dir):
+    """The runs of letters of every line; a line's letters are cut into runs within the row, so nothing is shuffled."""
+    t = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    return sequence.islands(t, "t", "A-Za-zÀ-ÿ").select("doc_id", (F.col("line") + 1).cast("long").alias("line"), "first", "last", "word")
+
+
+@query("""with s as (select doc_id, string_split(text, chr(10)) as lines from documents), t as (select doc_id, unnest(range(1, len(lines) + 1)) as n, unnest(lines) as line from s)
+ select doc_id, n as line, length(regexp_extract(line, '^[A-Za-zÀ-ÿ]*', 0)) as leading from t""")
+def leading_runs(spark, sf_dir):
+    """Length of the run of letters that opens each line, up to the first other character."""
+    t = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    return t.select("doc_id", (F.col("line") + 1).cast("long").alias("line"), F.length(F.regexp_extract("t", "^[A-Za-zÀ-ÿ]*", 0)).cast("long").alias("leading"))
+
+
+@query("""with s as (select doc_id, regexp_extract_all(text, '[!-~]{12,}') as runs, text from documents), b as (select doc_id, sum(len(runs)) as n, max(list_max(list_transform(runs, lambda r: length(r)))) as longest from s group by 1)
+ select doc_id, n::bigint as n, coalesce(longest, 0)::bigint as longest from b""")
+def long_runs(spark, sf_dir):
+    """Runs of 12 visible ASCII characters or more in each text: how many, and the longest."""
+    runs = sequence.binary_runs(F.col("text"), "!-~", 12)
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(runs).cast("long").alias("n"), F.coalesce(F.array_max(F.transform(runs, lambda r: r["length"])), F.lit(0)).cast("long").alias("longest"))
 
 
 @query("""with m as (select conv_id, min(length(text)) filter (where role = 'user') as a, median(length(text)) filter (where role = 'assistant') as b from conversations group by 1)
  select c.conv_id, turn, case when a is null or b is null then 'unknown' when length(text) > (a + b) / 2 then 'long' else 'short' end as kind from conversations c join m using (conv_id)""")
 def line_calibration(spark, sf_dir):
-    w, n = Window.partitionBy("conv_id"), F.length("text")
-    a, b = F.min(F.when(F.col("role") == "user", n)).over(w), F.median(F.when(F.col("role") == "assistant", n)).over(w)
-    kind = F.when(a.isNull() | b.isNull(), "unknown").when(n > (a + b) / 2, "long").otherwise("short")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", kind.alias("kind"))
+    """The two classes' sizes are aggregated, exactly and without a group in one place; every turn then meets its conversation's numbers."""
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").alias("n"))
+    small = conv.where("role = 'user'").groupBy("conv_id").agg(F.min("n").alias("a"))
+    middle = quantiles.exact(conv.where("role = 'assistant'"), ["conv_id"], "n", {"b": 0.5})
+    kind = F.when(F.col("a").isNull() | F.col("b").isNull(), "unknown").when(F.col("n") > (F.col("a") + F.col("b")) / 2, "long").otherwise("short")
+    return conv.join(small, "conv_id", "left").join(middle, "conv_id", "left").select("conv_id", "turn", kind.alias("kind"))
 
 
 @query("select conv_id, arg_max(role, struct_pack(a := turn, b := text)) as last, arg_min(role, struct_pack(a := turn, b := text)) as first, count(*) as n from conversations group by 1")

@@ -54,5 +54,5 @@ def test_letter_islands_of_all_lines(spark, sf):
 
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     want = {(d.doc_id, n, m.start() + 1, m.end(), m[0]) for d in docs for n, line in enumerate((d.text or "").split("\n"), 1) for m in re.finditer("[A-Za-zÀ-ÿ]+", line)}
-    got = registry.QUERIES["letter_islands_all_lines"](spark, sf).select("doc_id", "line", "first", "last", "word").collect()
+    got = registry.QUERIES["letter_islands"](spark, sf).select("doc_id", "line", "first", "last", "word").collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want and any(w[1] > 1 for w in want)

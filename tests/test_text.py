@@ -54,7 +54,7 @@ def python_guid(text):
 
 
 def test_hashes(spark):
-    texts = [f"dicionario\x1f{x}\x1f1" for x in ("amo", "é", "", "libro")]
+    texts = [f"wordbook\x1f{x}\x1f1" for x in ("amo", "é", "", "libro")]
     assert one(spark, texts, T.guid(F.col("v"))) == [python_guid(t) for t in texts]
 
 
