@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import udfs
 
 
 def containing(df: DataFrame, doc: str, text: str, needles: DataFrame, needle_id: str, needle: str, gram: int = 4) -> DataFrame:
@@ -26,7 +27,8 @@ def containing(df: DataFrame, doc: str, text: str, needles: DataFrame, needle_id
     met = keys.join(need.where("_w is not null").select("_w", needle_id), "_w").select(doc, needle_id)
     short = need.where("_w is null").select(needle_id, F.substring("_n", 1, gram).alias("_g"))
     for size in range(1, gram + 1):
-        runs = F.when(F.length("_t") >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_t") - size + 1), lambda i, n=size: F.substring(F.col("_t"), i, F.lit(n)))))
+        width = F.lit(size)
+        runs = F.when(F.length("_t") >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_t") - size + 1), lambda i: F.substring(F.col("_t"), i, width))))
         met = met.unionByName(hay.select(doc, F.explode(runs).alias("_g")).join(short.where(F.length("_g") == size), "_g").select(doc, needle_id))
     return met.distinct().join(need.select(needle_id, "_n"), needle_id).join(hay, doc).where(F.contains("_t", "_n")).select(doc, needle_id).distinct()
 
@@ -104,5 +106,47 @@ def overlaps(left: DataFrame, right: DataFrame, part: str, lo: str, hi: str, wid
     return both.where(first & (F.col("a_lo") <= F.col("b_hi")) & (F.col("b_lo") <= F.col("a_hi"))).drop("_cell")
 
 
+def letters(c: Column) -> Column:
+    """The characters of a short string, equal ones told apart by number, so that what two strings have in common is a set."""
+    cs = F.split(c, "")
+    return F.transform(cs, lambda x, i: F.concat(x, F.size(F.filter(F.slice(cs, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
+
+
+def near_strings(df: DataFrame, key: str, text: str, least: float = 0.85) -> DataFrame:
+    """(a, b, x, y), a < b: the pairs of short strings whose ratio of matching blocks may be least: all that reach it are among them.
+
+    The ratio is at most twice the common characters over both lengths, so of two such strings each has least / (2 - least) of its characters
+    in common with the other, and they share one of their rarest rest of characters, by which they meet.
+    """
+    share = least / (2 - least)
+    named = df.select(key, F.col(text).alias("_t"), letters(F.col(text)).alias("_c")).where(F.length("_t") > 0)
+    often = named.select(F.explode("_c").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    order = named.select(key, F.explode("_c").alias("w")).join(often, "w").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("_r"))
+    take = F.size("_r") - F.ceil(F.lit(share) * F.size("_r") - 1e-9).cast("int") + 1
+    heads = named.select(key, "_t").join(order, key).select(key, "_t", F.explode(F.slice("_r", F.lit(1), take)).alias("_h")).select(key, "_t", "_h.w")
+    a, b = heads.select(F.col(key).alias("a"), F.col("_t").alias("x"), "w"), heads.select(F.col(key).alias("b"), F.col("_t").alias("y"), "w")
+    close = 2 * F.least(F.length("x"), F.length("y")) >= least * (F.length("x") + F.length("y")) - 1e-9
+    met = a.join(b, "w").where((F.col("a") < F.col("b")) & close).select("a", "b", "x", "y").distinct()
+    both = F.size(F.array_intersect(letters(F.col("x")), letters(F.col("y"))))
+    return met.where(2 * both >= least * (F.length("x") + F.length("y")) - 1e-9)
+
+
+def agreeing(df: DataFrame, key: str, text: str, least: float = 0.85, start: int = 5) -> DataFrame:
+    """(a, b), a < b: texts that may name the same phrase: equal but for case, outer marks and stars; of as many words and with a ratio of matching blocks of
+    least; or the one the first words of the other, and of start characters."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), r"^[ .:]+|[ .:]+$", ""), r"^[*+]+", "")
+    words = F.transform(F.split(F.trim("_t"), r"\s+"), lambda w: F.regexp_replace(w, "^[.,;:]+|[.,;:]+$", ""))
+    named = df.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), plain.alias("_t")).withColumn("_w", F.when(F.trim("_t") == "", F.array().cast("array<string>")).otherwise(words))
+    one, two = (named.select(F.col("k").alias(k), F.col("_t").alias(t), F.col("_w").alias(w)) for k, t, w in (("a", "x", "v"), ("b", "y", "z")))
+    same = one.join(two, F.col("x") == F.col("y")).where("a < b").select("a", "b")
+    near = near_strings(named.where(F.size("_w") > 0), "k", "_t", least).join(one.select("a", "v"), "a").join(two.select("b", "z"), "b").where(F.size("v") == F.size("z"))
+    near = near.where(udfs.sequence_ratio()("x", "y") >= least).select("a", "b")
+    heads = named.select("k", F.size("_w").alias("n"), F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - 1, F.lit(1))), lambda i: F.array_join(F.slice("_w", F.lit(1), i), " "))).alias("h"), "_w")
+    heads = heads.where((F.size("_w") > 1) & (F.length("h") >= start)).select(F.col("k").alias("l"), "h")
+    short = named.where(F.size("_w") > 0).select(F.col("k").alias("s"), F.array_join("_w", " ").alias("h"))
+    first = heads.join(short, "h").where("l <> s").select(F.least("l", "s").alias("a"), F.greatest("l", "s").alias("b"))
+    return same.union(near).union(first).distinct()
+
+
 def flat_tokens(c: Column) -> Column:
     return F.array_distinct(T.tokens(F.lower(c), "[a-z0-9]{2,}"))

@@ -59,6 +59,38 @@ def sandwich(df: DataFrame, part: str, order: str, word: str, letters: tuple[str
     return odd.withColumn("fixed", F.try_element_at(good, F.lit(1))).where("fixed is not null").drop("_a", "_b")
 
 
+def candidates_of(word: str, swap: dict[str, set[str]], cap: int) -> list[tuple[float, str]]:
+    """(edits, respelling): the word itself, and every choice of confusable letters at up to two places, fewest edits first; cap of them at most."""
+    out = [(0.0, word)]
+    single = [(i, s) for i, ch in enumerate(word) for s in sorted(swap.get(ch, ()))]
+    out += [(1.0, word[:i] + s + word[i + 1 :]) for i, s in single]
+    if len(out) < cap:
+        for n, (i, s) in enumerate(single):
+            out += [(2.0, word[:i] + s + word[i + 1 : j] + t + word[j + 1 :]) for j, t in single[n + 1 :] if j > i]
+            if len(out) >= cap:
+                break
+    return out[:cap]
+
+
+def products(df: DataFrame, word: str, confusable: tuple[tuple[str, str], ...], most: int = 2) -> DataFrame:
+    """df's rows with variant and changes: every product of choices of confusable letters that changes one to most places, made by exploding a place at a
+    time from left to right, so each combination comes up once."""
+    swap: dict[str, str] = {}
+    for a, b in confusable:
+        swap[a] = swap.get(a, "") + b
+        swap[b] = swap.get(b, "") + a
+    table = F.create_map(*(F.lit(x) for kv in sorted((k, "".join(sorted(set(v)))) for k, v in swap.items()) for x in kv))
+    out, grown = None, df.withColumn("variant", F.col(word)).withColumn("changes", F.lit(0)).withColumn("_from", F.lit(1))
+    for _ in range(most):
+        places = F.sequence(F.col("_from"), F.length("variant"))
+        grown = grown.where(F.col("_from") <= F.length("variant")).withColumn("_i", F.explode(places)).where(F.substring(F.col("variant"), F.col("_i"), F.lit(1)).isin(*swap))
+        grown = grown.withColumn("_s", F.explode(F.split(F.element_at(table, F.substring(F.col("variant"), F.col("_i"), F.lit(1))), "")))
+        grown = grown.withColumn("variant", F.concat(F.expr("substring(variant, 1, _i - 1)"), "_s", F.expr("substring(variant, _i + 1)"))).withColumn("changes", F.col("changes") + 1).withColumn("_from", F.col("_i") + 1).drop("_i", "_s")
+        step = grown.drop("_from")
+        out = step if out is None else out.unionByName(step)
+    return out
+
+
 def viterbi(df: DataFrame, part: str, order: str, word: str, confusable: tuple[tuple[str, str], ...], cap: int = 48, cost: float = BREAK_COST) -> DataFrame:
     """(part, order, word, chosen): one candidate respelling a row such that edits plus cost for each break of order are least over the group.
 
@@ -69,15 +101,9 @@ def viterbi(df: DataFrame, part: str, order: str, word: str, confusable: tuple[t
         swap.setdefault(a, set()).add(b)
         swap.setdefault(b, set()).add(a)
 
-    def candidates(w: str) -> list[tuple[float, str]]:
-        out = [(0.0, w)]
-        for i, ch in enumerate(w):
-            out += [(1.0, w[:i] + s + w[i + 1 :]) for s in sorted(swap.get(ch, ()))]
-        return sorted(out[:cap], key=lambda x: x[0])
-
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(order, kind="stable").reset_index(drop=True)
-        layers = [candidates(w or "") for w in rows[word]]
+        layers = [candidates_of(w or "", swap, cap) for w in rows[word]]
         best, back = [c for c, _ in layers[0]], []
         for prev, here in zip(layers, layers[1:]):
             steps = [min(range(len(prev)), key=lambda j: best[j] + (cost if c.lower() < prev[j][1].lower() else 0)) for _, c in here]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import lexicon, order, sequence
 
 
 def valid(head: Column, senses: Column) -> Column:
@@ -56,6 +57,38 @@ def correct(freq: DataFrame, variants: DataFrame, most: int = 5, least: int = 8,
     return c.where(good).select("token", "n", F.col("b.variant").alias("variant"), F.col("b.variant_n").alias("variant_n"))
 
 
+def gram_pass(freq: DataFrame, confusable: tuple[tuple[str, str], ...], n: int = 4, add: float = 0.2, margin: float = 6.0, rare: int = 1, known: int = 3, most: int = 2) -> DataFrame:
+    """(token, variant, gain): tokens seen rare times at most, respelled at up to most places such that the n-grams of the known tokens make the word
+    10^margin times likelier; the likeliest respelling wins, ties go to the smaller. freq has token and n."""
+    padded = lambda c: F.concat(F.lit("^" * (n - 1)), F.lower(c), F.lit("$"))
+    grams = freq.where(F.col("n") >= known).select("n", F.explode(lexicon.ngrams(padded(F.col("token")), n)).alias("g")).groupBy("g").agg(F.sum("n").alias("gn"))
+    heads = grams.groupBy(F.expr(f"substring(g, 1, {n - 1})").alias("h")).agg(F.sum("gn").alias("hn"))
+    size = grams.select(F.explode(F.split("g", "")).alias("c")).agg((F.countDistinct("c") + 1).alias("v"))  # one row
+    low = freq.where(F.col("n") <= rare).select("token")
+    words = order.products(low, "token", confusable, most).select("token", "variant").distinct().unionByName(low.withColumn("variant", F.col("token")))
+    each = words.select("token", "variant", F.explode(lexicon.ngrams(padded(F.col("variant")), n)).alias("g")).withColumn("h", F.expr(f"substring(g, 1, {n - 1})"))
+    met = each.join(grams, "g", "left").join(heads, "h", "left").crossJoin(F.broadcast(size))
+    score = met.groupBy("token", "variant").agg(F.sum(F.log10((F.coalesce("gn", F.lit(0)) + add) / (F.coalesce("hn", F.lit(0)) + add * F.col("v")))).alias("s"))
+    base = score.where("token = variant").select("token", F.col("s").alias("b"))
+    best = score.where("token <> variant").groupBy("token").agg(F.min(F.struct((-F.round("s", 9)).alias("m"), "variant")).alias("x"))
+    return best.join(base, "token").select("token", "x.variant", (-F.col("x.m") - F.col("b")).alias("gain")).where(F.col("gain") > margin)
+
+
+def perceptron_rounds(df: DataFrame, key: str, vector: str, label: str, rounds: int = 3, sure: float = 0.98, most: int = 6, group: str | None = None, **how) -> DataFrame:
+    """perceptron() several times, each time with the rows of which the last one was sure put in with their labels, at most so many of a group (a column of
+    df), the surest first."""
+    known, out = df, None
+    for _ in range(rounds):
+        out = perceptron(known, key, vector, label, **how)
+        best = F.array_max("posterior")
+        more = out.withColumn("_p", best).where(F.col("_p") > sure).join(df.where(F.col(label).isNull()).select(key, *([group] if group else [])), key)
+        if group:
+            more = sequence.top_per_group(more, group, [F.desc("_p"), F.asc(key)], most)
+        named = more.select(key, F.col("label").cast("double").alias("_l"))
+        known = df.join(named, key, "left").withColumn(label, F.coalesce(F.col(label).cast("double"), "_l")).drop("_l")
+    return out
+
+
 def self_train(df: DataFrame, key: str, vector: str, label: str, rounds: int = 2, confident: float = 0.9) -> DataFrame:
     """(key, label, sure): a logistic model on the labelled rows, trained again with the rows it is confident of."""
     data = df.select(key, F.col(label).cast("double").alias("label"), array_to_vector(F.col(vector).cast("array<double>")).alias("features"))

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..functions import udfs
-from ..operators import lexicon, order
+from ..operators import lexicon, matching, order
 from .base import query, table
 
 
@@ -21,8 +21,7 @@ def fold_any_script(spark, sf_dir):
 @query()
 def sequence_ratio(spark, sf_dir):
     names = table(spark, sf_dir, "part").select("p_name").distinct()
-    words = names.select("p_name", F.explode(F.split("p_name", " ")).alias("w"))  # near names share a word
-    both = words.join(words.withColumnRenamed("p_name", "other"), "w").where("p_name < other").select("p_name", "other").distinct()
+    both = matching.near_strings(names.withColumn("k", F.col("p_name")), "k", "p_name", 0.85).select(F.col("x").alias("p_name"), F.col("y").alias("other"))
     return both.select("p_name", "other", F.round(udfs.sequence_ratio()("p_name", "other"), 6).alias("ratio")).where("ratio >= 0.85")
 
 
