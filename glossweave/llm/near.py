@@ -376,7 +376,7 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
 
     def shingles_of(ends: DataFrame, name: str) -> DataFrame:
         """The shingles of the texts named by ends (whole). Rows whose id is null have no least id: such texts aren't compared."""
-        readers = points.where("least is not null").join(ends.distinct(), "whole", "left_semi").select("whole", F.col("least").alias("doc_id"))
+        readers = points.where("least is not null").join(ends.distinct().hint("merge"), "whole", "left_semi").select("whole", F.col("least").alias("doc_id"))
         found = plain.join(side(readers, readers.count()), "doc_id").select("whole", "text").mapInArrow(thrifty(sets), "whole long, shingles binary")
         return stash(found.dropDuplicates(["whole"]), name)
 
@@ -399,7 +399,8 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
             yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     def beside(pairs: DataFrame, known: DataFrame, what: str) -> DataFrame:
-        met = pairs.join(known.select(F.col("whole").alias("u"), F.col(what).alias("a")), "u").join(known.select(F.col("whole").alias("v"), F.col(what).alias("b")), "v")
+        a, b = (known.select(F.col("whole").alias(x), F.col(what).alias(y)).hint("merge") for x, y in ("ua", "vb"))
+        met = pairs.join(a, "u").join(b, "v")
         return met.select("u", "v", "a", "b")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -427,11 +428,14 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
     meet = stash(plain.mapInArrow(thrifty(packed(shingle, similarity, frequent, counts, bits)), ENTRY).groupBy("p").applyInArrow(shared, "token long, whole long, size long, place int"), "tokens")
 
     def met(roots: DataFrame) -> DataFrame:
-        named = live.select("whole").join(roots.select(F.col("u").alias("whole"), F.col("v").alias("part")), "whole", "left").select("whole", F.coalesce("part", "whole").alias("part"))
-        rows = meet.join(side(named, n), "whole").select("token", "whole", "part", "size", "place")
+        named = live.select("whole").join(roots.select(F.col("u").alias("whole"), F.col("v").alias("part")).hint("merge"), "whole", "left").select("whole", F.coalesce("part", "whole").alias("part"))
+        rows = meet.join(named.hint("merge"), "whole").select("token", "whole", "part", "size", "place")
         return rows.repartition("token").sortWithinPartitions("token", "whole")
 
     def joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+        if more.isEmpty():
+            drop_stash(more)
+            return roots
         out = stars(roots.union(more))
         drop_stash(roots)
         drop_stash(more)

@@ -190,19 +190,20 @@ def links(points: DataFrame, n: int, radius: int) -> DataFrame:
 def stars(edges: DataFrame) -> DataFrame:
     """(u, v): each node of the edges that isn't the smallest of its component, with the smallest. Alternating large and small stars until nothing changes.
 
-    A node's smallest neighbour is a partial aggregate, and is joined back one row to many, so a node with many neighbours is no hot spot.
+    A node's smallest neighbour is a partial aggregate, and is joined back one row to many. The joins are merges at every size: dozens of small
+    broadcasts would all go through the driver.
     """
-    current, before = stash(edges.distinct(), "edges"), None
+    current = stash(edges.distinct(), "edges")
     while True:
-        n, digest = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if not n or (n, digest) == before:
+        # Nothing is left to do when every node has one edge to a smaller one, and that one has none.
+        ends = current.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(current.select("v", F.lit(0), F.lit(1)))
+        if ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").isEmpty():
             return current
-        before = (n, digest)
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))  # here v < u always
-        small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v")))
+        small = large.join(down.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v")))
         after = stash(small.distinct(), "edges")
         drop_stash(current)
         current = after
