@@ -425,7 +425,9 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
 
     frequent, counts = frequent_shingles(plain, n, shingle)
     bits = min(16, max(6, math.ceil(math.log2(max(1, shingles * (1 - similarity) * 19 / PART_BYTES)))))
-    meet = stash(plain.mapInArrow(thrifty(packed(shingle, similarity, frequent, counts, bits)), ENTRY).groupBy("p").applyInArrow(shared, "token long, whole long, size long, place int"), "tokens")
+    entries = plain.mapInArrow(thrifty(packed(shingle, similarity, frequent, counts, bits)), ENTRY)
+    few = max(12, (1 << bits) // 16)  # what is shared is little: a file holds that of 16 partitions
+    meet = stash(entries.groupBy("p").applyInArrow(shared, "token long, whole long, size long, place int").coalesce(few), "tokens")
 
     def met(roots: DataFrame) -> DataFrame:
         named = live.select("whole").join(roots.select(F.col("u").alias("whole"), F.col("v").alias("part")).hint("merge"), "whole", "left").select("whole", F.coalesce("part", "whole").alias("part"))
