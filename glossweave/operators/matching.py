@@ -64,12 +64,23 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
     return whole.select(label, F.transform("c", lambda x: x / norm).alias("centre"))
 
 
-def nearest(df: DataFrame, key: str, vector: str, centres: DataFrame, label: str) -> DataFrame:
-    """(key, label, similarity): the centre with the largest dot product, ties to the smaller label. The centres, a few, come along as one row, so nothing is shuffled."""
+CENTRES = 4096
+
+
+def nearest(df: DataFrame, key: str, vector: str, centres: DataFrame, label: str, block: int = CENTRES) -> DataFrame:
+    """(key, label, similarity): the centre with the largest dot product, ties to the smaller label; one row for each row of df, whose keys tell rows apart.
+
+    The centres are counted first. Up to `block` of them come along as one row, so nothing is shuffled; more are taken in blocks of so many, and each
+    key's best over the blocks is a partial aggregate.
+    """
     dot = lambda c: F.aggregate(F.zip_with(F.col(vector), c["centre"], lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
-    all_ = centres.agg(F.collect_list(F.struct(label, "centre")).alias("_all"))
+    blocks = max(1, -(-centres.count() // block))
+    all_ = centres.groupBy(F.pmod(F.xxhash64(label), F.lit(blocks)).alias("_b")).agg(F.collect_list(F.struct(label, "centre")).alias("_all")).drop("_b")
     best = F.array_min(F.transform("_all", lambda c: F.struct((-F.round(dot(c), 9)).alias("s"), c[label].alias("l"))))
-    return df.select(key, vector).crossJoin(F.broadcast(all_)).select(key, best.alias("b")).select(key, F.col("b.l").alias(label), (-F.col("b.s")).alias("similarity"))
+    named = df.select(key, vector).crossJoin(F.broadcast(all_) if blocks == 1 else all_).select(key, best.alias("b"))
+    if blocks > 1:
+        named = named.groupBy(key).agg(F.min("b").alias("b"))
+    return named.select(key, F.col("b.l").alias(label), (-F.col("b.s")).alias("similarity"))
 
 
 def similar_sets(df: DataFrame, key: str, items: str, least: int) -> DataFrame:

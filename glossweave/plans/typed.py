@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import repairs as R
-from ..operators import grammar
+from ..operators import grammar, quality
+from ..operators import parentheticals as P
+from ..sources import sinks
 from .base import QUERIES, SQL, query, table
 
 
@@ -90,7 +93,7 @@ ARTICLES = {
     "auroro. Lumo matinala. - Metaf.: La komenco di ulo granda. - FIS": ("auroro", None, "FIS", "Franca,Italiana,Hispana", "", None, "Lumo matinala.", "Metaf.: La komenco di ulo granda", ""),
     "ah! Interjeciono qua expresas joyo.": ("ah!", None, None, None, "", None, "Interjeciono qua expresas joyo", "", "sen-lingua"),
     "\"amen\". Vorto quotata. - L. amenus - DEF": ("amen", None, "DEF", "Germana,Angla,Franca", "amenus", None, "Vorto quotata", "", ""),
-    "kam. Vorto qua komparas. Jap., Sanskr.": ("kam", None, "Jap., Sanskr.", "Japoniana,Sanskrita", "", None, "Vorto qua komparas", "", "finalo-nekustumala"),
+    "kam. Vorto qua komparas. - Jap., Sanskr.": ("kam", None, "Jap., Sanskr", "Japoniana,Sanskrita", "", None, "Vorto qua komparas", "", "finalo-nekustumala"),
     "": ("", None, None, None, "", None, "", "", "sen-chefvorto,sen-lingua"),
     "a b a d o. (l) Unesma senco. - (2) Duesma. - ER": ("abado", None, "ER", "Angla,Rusa", "", None, "Unesma senco|Duesma", "", ""),
     "a. (d) Letro. - DE": ("a(d)", None, "DE", "Germana,Angla", "", None, "Letro", "", "finalo-nekustumala"),
@@ -128,3 +131,49 @@ def sense_kind_maps(spark, sf_dir):
 def body_pages(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id")
     return grammar.front_matter(pages, pages.where("page_id % 10 = 3"), "page_id")
+
+
+@query("""with f as (select lower(p_type) as key, list_sort(list_distinct(list(p_name))) as items, count(distinct p_name) as n from part group by 1)
+ select case when n >= 12 then 0 else 1 end as part, key, '**' || key || '** (' || n || ') — ' || array_to_string(items, ', ') as line, row_number() over (order by case when n >= 12 then 0 else 1 end, case when n >= 12 then -n else 0 end, key) as place from f""")
+def field_table(spark, sf_dir):
+    """Lines of a table of fields: large ones by number, the rest by name."""
+    index = P.inverted(table(spark, sf_dir, "part"), F.lower("p_type"), F.col("p_name"))
+    lines = sinks.field_lines(index, 12)
+    place = F.row_number().over(Window.orderBy("part", "place"))  # one row a field
+    return lines.select("part", F.col("place.key").alias("key"), "line", place.cast("long").alias("place"))
+
+
+@query("""with s as (select p_partkey, p_name, 'p. ' || p_size || ', l. ' || p_partkey as place, p_partkey % 2 = 0 as two, p_partkey % 3 = 0 as cited from part)
+ select p_partkey, '## ' || case when cited then '« ' || p_name || ' »' else p_name end || ' *(fako.)*' || chr(10) || case when two then '1. una' || chr(10) || '2. du' else 'una' end || chr(10) || '— noto' ||
+  case when two then chr(10) || 'L. a b; c' else '' end || case when cited then chr(10) || '*Simb. kem.* **Pd**' else '' end || chr(10) || '<!-- ' || place || ' -->' as md from s""")
+def book_entries(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    two, cited = F.col("p_partkey") % 2 == 0, F.col("p_partkey") % 3 == 0
+    senses = F.when(two, F.array(F.lit("una"), F.lit("du"))).otherwise(F.array(F.lit("una")))
+    latin = F.when(two, F.array(F.lit("a b"), F.lit("c")))
+    where = F.concat(F.lit("p. "), F.col("p_size").cast("string"), F.lit(", l. "), F.col("p_partkey").cast("string"))
+    return part.select("p_partkey", sinks.entry(F.col("p_name"), F.lit("fako."), senses, F.array(F.lit("noto")), latin, F.when(cited, "Pd"), where, cited).alias("md"))
+
+
+@query("""with s as (select replace(p_name, ' ', '-') as slug, p_name, p_partkey from part) select slug, '- [' || slug || '](' || slug || '.md) — ' || string_agg(p_name, ', ' order by p_partkey) as line, count(*) as n from s group by 1""")
+def address_lines(spark, sf_dir):
+    return sinks.address_index(table(spark, sf_dir, "part").select("p_name", "p_partkey"), "p_name", "p_partkey")
+
+
+CHECKED = {
+    ("", "texto", "DEF"): ("headword empty",), ("ab1o", "texto", "DEF"): ("headword characters",), ("abak", "texto", "DEF"): ("headword ending",), ("an", "Prepoziciono qua", "DE"): (),
+    ("abako", None, "DEF"): ("no senses",), ("abako", ", texto", "DEF"): ("mark at the head",), ("abako", "mi- texto", "DEF"): ("open hyphen",), ("abako", "du  blanki", "DEF"): ("doubled blanks",),
+    ("abako", "texto", "gamo"): ("no code",), ("abako", "esas L. acarus", "DEF"): ("scientific name in a sense",), ("abako", "texto DEFIRS.", "DEF"): ("code in a sense",), ("*abako", "texto", "DEFlS, FNed"): (),
+    ("-ey", "texto", None): (), ("a(d)", "texto", "DE"): ("headword ending",),
+}
+_FAMILIES = " union all ".join(f"select p_partkey, {quoted(f)} as family from part where p_partkey % {len(CHECKED)} = {i}" for i, v in enumerate(CHECKED.values()) for f in v)
+
+
+@query(_FAMILIES + " union all select p_partkey, 'order broken' from part where p_partkey % 5 = 0 and p_partkey % 14 <> 0")
+def record_families(spark, sf_dir):
+    """The eleven checks over records of every kind."""
+    keys = list(CHECKED)
+    every = F.array(*(F.struct(*(F.lit(x).cast("string").alias(n) for x, n in zip(k, ("head", "sense", "code")))) for k in keys))
+    d = table(spark, sf_dir, "part").select("p_partkey", F.element_at(every, (F.col("p_partkey") % len(keys) + 1).cast("int")).alias("r"), (F.col("p_partkey") % 5 == 0).alias("back"))
+    d = d.select("p_partkey", "r.head", "r.code", F.when(F.col("r.sense").isNotNull(), F.array("r.sense")).alias("senses"), "back")
+    return quality.families(d, quality.record_checks("head", "senses", "code", backwards="back")).select("p_partkey", "family")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 import pandas as pd
@@ -66,17 +67,41 @@ def parse_line(body: str) -> tuple[str, list[dict]]:
     return "".join(cells), spans
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(page, k, text, underlines) from files whose names hold the page number; lines are \\l{…}, padded to the widest of their page."""
+def split_ornament(body: str) -> tuple[str, str]:
+    """The margin commands at the head of a line, \\marge[…]{…}{…}, which take no cell, and what follows them."""
+    at = 0
+    while body.startswith("\\marge[", at):
+        end = body.find("]", at) + 1
+        for _ in range(2):
+            depth = 0
+            while end < len(body):
+                if body[end] == "\\" and body[end + 1 : end + 2] in ("{", "}"):
+                    end += 2
+                    continue
+                depth += {"{": 1, "}": -1}.get(body[end], 0)
+                end += 1
+                if not depth:
+                    break
+        at = end
+    return body[:at], body[at:]
+
+
+def read_pages(spark: SparkSession, path: str, first_lines: DataFrame | None = None) -> DataFrame:
+    """(page, k, text, underlines, ornament) from files whose names hold the page number; lines are \\l{…}, padded to the widest of their page.
+
+    first_lines: (page, first) where a page's lines don't start at 0; first may be negative."""
     whole = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), "([0-9]+)", 1).cast("int").alias("page"), "value")
     lines = whole.select("page", F.posexplode(F.filter(F.split("value", "\n"), lambda x: x.startswith("\\l{"))).alias("k", "raw"))
 
     def run(raw: pd.Series) -> pd.DataFrame:
-        got = [parse_line(re.sub(r"\}\s*$", "", x[3:])) for x in raw]
-        return pd.DataFrame({"text": [t for t, _ in got], "underlines": [s for _, s in got]})
+        parts = [split_ornament(re.sub(r"\}\s*$", "", x[3:])) for x in raw]
+        got = [parse_line(rest) for _, rest in parts]
+        return pd.DataFrame({"text": [t for t, _ in got], "underlines": [s for _, s in got], "ornament": [o for o, _ in parts]})
 
-    kind = StructType([StructField("text", StringType()), StructField("underlines", ArrayType(SPAN))])
+    kind = StructType([StructField("text", StringType()), StructField("underlines", ArrayType(SPAN)), StructField("ornament", StringType())])
     parsed = lines.withColumn("p", F.pandas_udf(run, kind)("raw")).select("page", "k", "p.*")
+    if first_lines is not None:
+        parsed = parsed.join(first_lines.select("page", F.col("first").alias("_first")), "page", "left").withColumn("k", F.col("k") + F.coalesce("_first", F.lit(0))).drop("_first")
     widest = F.max(F.length("text")).over(Window.partitionBy("page"))
     return parsed.withColumn("w", widest).withColumn("text", F.rpad("text", F.greatest(F.col("w"), F.lit(1)), " ")).drop("w")
 
@@ -87,6 +112,17 @@ def page_text(cells: DataFrame) -> DataFrame:
     return g.select("page", "k", F.array_join(F.transform(F.sequence(F.lit(0), F.col("w")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(" "))), "").alias("text"))
 
 
+def settled_text(lines: DataFrame, shifts: DataFrame, repairs: DataFrame) -> DataFrame:
+    """(page, k, text) of lines moved back by their page's shift (page, d) and mended by repairs (page, line, col, content), which may stand past the end;
+    trailing blanks go."""
+    cells = repairs.groupBy("page", F.col("line").alias("k")).agg(F.map_from_entries(F.collect_list(F.struct("col", "content"))).alias("_m"), F.max("col").alias("_w"))
+    moved = lines.join(shifts.select("page", F.col("d").alias("_d")), "page", "left").withColumn("_t", F.expr("substring(text, coalesce(_d, 0) + 1)"))
+    met = moved.join(cells, ["page", "k"], "left")
+    wide = F.greatest(F.length("_t"), F.col("_w") + 1)
+    mended = F.array_join(F.transform(F.sequence(F.lit(0), wide - 1), lambda i: F.coalesce(F.try_element_at("_m", i), F.nullif(F.substring(F.col("_t"), i + 1, F.lit(1)), F.lit("")), F.lit(" "))), "")
+    return met.select("page", "k", F.regexp_replace(F.when(F.col("_m").isNull(), F.col("_t")).otherwise(mended), " +$", "").alias("text"))
+
+
 def data_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines that are neither blank nor comments, with their file and their place in it."""
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("seq", "value"))
@@ -147,7 +183,30 @@ def read_document(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_positions(spark: SparkSession, path: str) -> DataFrame:
+    """(page, line, text, seq) from rows page, line, text: lines that a page lost, or anything else that stands at a place. Of equal places the last row counts."""
+    f = F.split("value", "\t", 3)
+    rows = data_lines(spark, path).select(F.element_at(f, 1).try_cast("int").alias("page"), F.try_element_at(f, F.lit(2)).try_cast("int").alias("line"), F.try_element_at(f, F.lit(3)).alias("text"), F.col("seq").cast("long").alias("seq"))
+    return rows.where("page is not null and line is not null").groupBy("page", "line").agg(F.max_by("text", "seq").alias("text"), F.max("seq").alias("seq"))
+
+
 def embedded_json(df: DataFrame, html: str, name: str, schema: DataType) -> DataFrame:
-    """df with the JSON assigned to name within a script, parsed into column name; null where there is none."""
-    raw = F.regexp_extract(F.col(html), f"(?s)<script[^>]*>.*?\\b{name}\\s*=\\s*(\\[.*?\\]|\\{{.*?\\}})\\s*;?\\s*(?:\\n|</script>)", 1)
-    return df.withColumn(name, F.from_json(F.nullif(raw, F.lit("")), schema))
+    """df with the JSON assigned to name within a script, parsed into column name; null where there is none. The value is decoded to its own end, whatever
+    brackets and quotes stand inside; pages without the name never leave the JVM."""
+    start = re.compile(rf"\b{re.escape(name)}\s*=\s*(?=[\[{{])")
+
+    def cut(pages: pd.Series) -> pd.Series:
+        decoder, out = json.JSONDecoder(), []
+        for page in pages:
+            found = None
+            for m in start.finditer(page or ""):
+                try:
+                    found = page[m.end() : decoder.raw_decode(page, m.end())[1]]
+                    break
+                except ValueError:
+                    continue
+            out.append(found)
+        return pd.Series(out, dtype=object)
+
+    raw = F.when(F.col(html).contains(name), F.pandas_udf(cut, "string")(F.when(F.col(html).contains(name), F.col(html))))
+    return df.withColumn(name, F.from_json(raw, schema))

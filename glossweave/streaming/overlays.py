@@ -17,30 +17,55 @@ def sessions(events: DataFrame, time: str, keys: list[str], gap: str = "6 hours"
     return events.withWatermark(time, late).groupBy(F.session_window(time, gap).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n")
 
 
-def upsert_stream(changes: DataFrame, path: str, keys: list[str], value: str, order: list[str], checkpoint: str) -> StreamingQuery:
-    """Keep at path the last value of each key. Every batch writes a new version beside the old one and then names it, so a batch that runs twice does no harm."""
+def upsert_stream(changes: DataFrame, path: str, keys: list[str], value: str, order: list[str], checkpoint: str, kept: int = 2) -> StreamingQuery:
+    """Keep at path the last value of each key.
+
+    A batch lays its own last values over the version that the pointer names, writes the next version beside it, names that in the pointer, and
+    deletes versions older than the last `kept`. A batch that runs twice starts from the version its number comes after, so it does no harm; a
+    version whose write didn't end is never named.
+    """
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark, fs_path = batch.sparkSession, f"{path}/v{number}"
+        spark = batch.sparkSession
+        versions = [v for v in named(spark, path) if v < number]
         new = batch.select(*keys, value, *order)
-        if number and exists(spark, f"{path}/v{number - 1}"):
-            new = spark.read.parquet(f"{path}/v{number - 1}").unionByName(new)
+        if versions:
+            new = spark.read.parquet(f"{path}/v{max(versions)}").unionByName(new)
         newest = new.groupBy(*keys).agg(F.max_by(F.struct(value, *order), F.struct(*order)).alias("s")).select(*keys, "s.*")
-        newest.write.mode("overwrite").parquet(fs_path)
+        newest.write.mode("overwrite").parquet(f"{path}/v{number}")
+        point(spark, path, number)
+        for v in sorted(named(spark, path))[:-kept]:
+            at, system = place(spark, f"{path}/v{v}")
+            system.delete(at, True)
+            at, system = place(spark, f"{path}/_named/v{v}")
+            system.delete(at, False)
 
     return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def exists(spark, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def place(spark, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def point(spark, path: str, number: int) -> None:
+    """Name a version whose write has ended: an empty file of its name, made at once or not at all."""
+    at, system = place(spark, f"{path}/_named/v{number}")
+    system.create(at, True).close()
+
+
+def named(spark, path: str) -> list[int]:
+    """The versions that are complete."""
+    at, system = place(spark, f"{path}/_named")
+    if not system.exists(at):
+        return []
+    found = [s.getPath().getName() for s in system.listStatus(at)]
+    return [int(n[1:]) for n in found if n[1:].isdigit()]
 
 
 def current(spark, path: str) -> DataFrame:
-    """The newest version at path."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = [s.getPath().getName() for s in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
-    return spark.read.parquet(f"{path}/v{max(int(n[1:]) for n in found if n[1:].isdigit())}")
+    """The newest complete version at path."""
+    return spark.read.parquet(f"{path}/v{max(named(spark, path))}")
 
 
 __all__ = ["current", "sessions", "upsert_stream", "windowed_counts"]

@@ -1,8 +1,9 @@
 import hashlib
+import json
 import time
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StructType
 
 from glossweave import schema
 from glossweave.operators import matching, order, overlay, records, search, sequence
@@ -128,3 +129,60 @@ def test_streams(spark, tmp_path):
         q = df.writeStream.format("memory").queryName(name).outputMode("append" if name == "ses" else "update").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / name)).start()
         q.awaitTermination(90)
     assert {r.n for r in spark.table("win").collect()} == {2, 1}
+
+
+def test_ornaments_offsets_and_settled_text(spark, tmp_path):
+    (tmp_path / "p007.tex").write_text("\\l{\\marge[2]{a{b}}{c}ab\\sou{cd}}\n\\l{x}\n")
+    pages = files.read_pages(spark, str(tmp_path), spark.createDataFrame([(7, -1)], "page int, first int"))
+    rows = {r.k: r for r in pages.collect()}
+    assert set(rows) == {-1, 0} and rows[-1].ornament == "\\marge[2]{a{b}}{c}" and rows[-1].text == "abcd" and rows[0].text == "x   " and rows[0].ornament == ""
+    fixed = files.settled_text(pages, spark.createDataFrame([(7, 1)], "page int, d int"), spark.createDataFrame([(7, 0, 4, "z"), (7, -1, 0, "B")], "page int, line int, col int, content string"))
+    assert {r.k: r.text for r in fixed.collect()} == {-1: "Bcd", 0: "    z"}
+    (tmp_path / "lost.txt").write_text("# head\n7\t3\tone\ttwo\n7\t3\tlast\nx\ty\tz\n")
+    assert [(r.page, r.line, r.text) for r in files.read_positions(spark, str(tmp_path / "lost.txt")).collect()] == [(7, 3, "last")]
+
+
+def test_embedded_json_is_decoded_to_its_own_end(spark):
+    page = "<script>var DATA = [{\"a\": \"x]; }\", \"b\": [1, 2]}]; more = {}</script>"
+    df = spark.createDataFrame([(page,), ("DATA = [broken",), ("none",), (None,)], "html string")
+    got = [r.DATA for r in files.embedded_json(df, "html", "DATA", ArrayType(StructType.fromDDL("a string, b array<int>"))).collect()]
+    assert [(x.a, x.b) for x in got[0]] == [("x]; }", [1, 2])] and got[1:] == [None, None, None]
+
+
+def test_documents_of_lines(spark, tmp_path):
+    df = spark.createDataFrame([(2, "b|c"), (1, "a"), (3, None)], "k int, v string")
+    lines = [r.value for r in sinks.json_array(df, ["k"]).collect()]
+    assert json.loads("\n".join(lines)) == [{"k": 1, "v": "a"}, {"k": 2, "v": "b|c"}, {"k": 3}]
+    page = sinks.html_page(df, ["k"], "<p>%COUNT%</p><script>D=%DATA%;</script>")
+    assert page.startswith("<p>3</p><script>D=[{") and page.endswith("}];</script>")
+    assert [r.value for r in sinks.report(df, "Odd", ["k", "v"], ["k"]).collect()] == ["# Odd\n\n3 cases.\n\n| k | v |\n|---|---|", "| 1 | a |", "| 2 | b\\|c |", "| 3 |  |", ""]
+    assert json.loads("".join(r.value for r in sinks.json_array(df.limit(0), ["k"]).collect())) == []
+    verbs = spark.createDataFrame([("amar", {1: "transitiva"}, ["ad"]), ("irar", {1: "transitiva", 2: "amba"}, [])], "v string, k map<int,string>, g array<string>")
+    assert [r.line for r in sinks.verb_lines(verbs, "v", "k", "g").collect()] == ["amar — transitiva — ad", "irar — transitiva (senco 1), amba (senco 2)"]
+    old, new = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string"), spark.createDataFrame([(2, "z\tz")], "k int, v string")
+    sinks.write_log(old, new, str(tmp_path / "log"), ["k"], ["k", "v"])
+    assert sorted(x.value for x in spark.read.text(str(tmp_path / "log")).collect() if x.value != "k\tv") == ["1\tx", "2\tz z"]
+
+
+def test_deck_tables(spark, tmp_path):
+    import sqlite3
+
+    df = spark.createDataFrame([("amo", 1, "x"), ("Amo", 2, "y")], "v string, o int, t string")
+    made = [str(tmp_path / f"{i}.db") for i in range(2)]
+    for path in made:
+        notes = sinks.notes(df, "v", "o", "deck", F.array(F.lit("tag")), [F.col("v"), F.col("t")])
+        sinks.write_sqlite(notes, sinks.cards(notes, F.col("rank") == 1), path, 5)
+    assert open(made[0], "rb").read() == open(made[1], "rb").read()
+    con = sqlite3.connect(made[0])
+    names = [r[0] for r in con.execute("select name from sqlite_master where name not like 'sqlite%' order by type desc, name")]
+    assert set(sinks.DECK_TABLES) | set(sinks.DECK_INDEXES) == set(names)
+    assert con.execute("select nid, ord, due from cards order by id").fetchall() == [(1, 0, 1), (1, 1, 1), (2, 0, 2)] and con.execute("select count(*) from notes").fetchone() == (2,)
+
+
+def test_more_centres_than_a_block(spark):
+    from glossweave.operators import matching
+
+    rows = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(20)], "k int, v array<double>")
+    centres = matching.centroids(spark.createDataFrame([(i, [float(i), 1.0]) for i in range(7)], "l int, v array<double>"), "l", "v")
+    one, many = ({tuple(r) for r in matching.nearest(rows, "k", "v", centres, "l", n).collect()} for n in (100, 2))
+    assert one == many and len(one) == 20
