@@ -86,9 +86,8 @@ def unknown_tokens(spark, sf_dir):
     return lexicon.unknown(lexicon.frequency(table(spark, sf_dir, "documents"), "text").select("token", "n"), words)
 
 
-@query("""with d as (select doc_id, text, regexp_replace(text, '[^A-Za-z]', ' ', 'g') as plain, unnest(list_distinct(regexp_extract_all(text, '[A-Za-z]{4,}'))) as token from documents),
- f as (select token, min(doc_id) as doc_id from d group by token),
- a as (select f.token, f.doc_id, d.text, instr(' ' || d.plain || ' ', ' ' || f.token || ' ') as p from f join d on d.doc_id = f.doc_id and d.token = f.token)
+@query("""with n as (select doc_id, text, ' ' || regexp_replace(text, '[^A-Za-z]', ' ', 'g') || ' ' as plain from documents), d as (select doc_id, unnest(list_distinct(regexp_extract_all(text, '[A-Za-z]{4,}'))) as token from documents),
+ f as (select token, min(doc_id) as doc_id from d group by token), a as (select f.token, f.doc_id, n.text, instr(n.plain, ' ' || f.token || ' ') as p from f join n using (doc_id))
  select token, doc_id, p as at,
   case when p > 43 then '…' else '' end || substr(text, greatest(p - 42, 1), 84) || case when greatest(p - 42, 1) + 84 <= length(text) then '…' else '' end as context from a""")
 def first_context(spark, sf_dir):
