@@ -403,12 +403,16 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
         met = pairs.join(a, "u").join(b, "v")
         return met.select("u", "v", "a", "b")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    def verified(pairs: DataFrame, name: str, sketched: bool = True) -> DataFrame:
+        if not sketched:  # most of them are links
+            return exactly(pairs, name)
         ends = pairs.select(F.col("u").alias("whole")).union(pairs.select("v")).distinct()
         known = stash(marked.select("whole", "sketch").join(side(ends, n), "whole", "left_semi").dropDuplicates(["whole"]), f"{name}-sketches")
         near = stash(beside(pairs, known, "sketch").mapInArrow(thrifty(likely), "u long, v long"), f"{name}-likely")
         drop_stash(known)
-        pairs = near
+        return exactly(near, name)
+
+    def exactly(pairs: DataFrame, name: str) -> DataFrame:
         known = shingles_of(pairs.select(F.col("u").alias("whole")).union(pairs.select("v")), f"{name}-sets")
         out = stash(beside(pairs, known, "shingles").mapInArrow(thrifty(verify), "u long, v long"), f"{name}-links")
         drop_stash(known)
@@ -418,10 +422,9 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
     live = points.where("least is not null")
     where = routed(live.where("size > 0").select("fp", "fine", "whole"), n, RADIUS)
     found = stash(where.groupBy("tree", "leaf", "shard").applyInArrow(nearest_pairs, "u long, v long").distinct(), "pairs1")
-    links = verified(found, "first")
+    links = verified(found, "first", sketched=False)
     roots = stars(links)
     drop_stash(links)
-    drop_stash(found)
 
     frequent, counts = frequent_shingles(plain, n, shingle)
     bits = min(16, max(6, math.ceil(math.log2(max(1, shingles * (1 - similarity) * 19 / PART_BYTES)))))

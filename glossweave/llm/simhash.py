@@ -26,6 +26,7 @@ from .common import arrow_limits, drop_stash, narrow, stash, thrifty
 
 SAMPLE, LEAF = 8192, 2000
 BROADCAST_ROWS = 1_000_000
+FEW_EDGES = 1 << 20
 
 
 def fingerprint(text: bytes, k: int) -> int:
@@ -187,13 +188,31 @@ def links(points: DataFrame, n: int, radius: int) -> DataFrame:
     return routed(points.select("fp"), n, radius).groupBy("tree", "leaf", "shard").applyInArrow(pairs, "u long, v long")
 
 
+def forest(batches):
+    """For mapInArrow over all edges (u, v) of a graph in one task: each node but the smallest of its component with the smallest."""
+    parts = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+    u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*parts) if parts else ((), ())))
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    parent = np.arange(len(nodes))
+    connect(parent, at[: len(u)], at[len(u) :])
+    child = np.flatnonzero(parent != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[child]), pa.array(nodes[parent[child]])], ["u", "v"])
+
+
 def stars(edges: DataFrame) -> DataFrame:
-    """(u, v): each node of the edges that isn't the smallest of its component, with the smallest. Alternating large and small stars until nothing changes.
+    """(u, v): each node of the edges that isn't the smallest of its component, with the smallest; a table of the shared folder.
 
+    Up to FEW_EDGES edges, 16 MB, are joined by one task. More go through alternating large and small stars until nothing changes.
     A node's smallest neighbour is a partial aggregate, and is joined back one row to many. The joins are merges at every size: dozens of small
     broadcasts would all go through the driver.
     """
-    current = stash(edges.distinct(), "edges")
+    every = stash(edges.select("u", "v"), "edges")
+    if every.count() <= FEW_EDGES:
+        roots = stash(every.coalesce(1).mapInArrow(thrifty(forest), "u long, v long"), "roots")
+        drop_stash(every)
+        return roots
+    current = stash(every.distinct(), "edges")
+    drop_stash(every)
     while True:
         # Nothing is left to do when every node has one edge to a smaller one, and that one has none.
         ends = current.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(current.select("v", F.lit(0), F.lit(1)))

@@ -56,8 +56,10 @@ def test_empty_table(spark):
     assert simhash.components(df).count() == 0 and near.dedup(df).count() == 0
 
 
-def test_tree_search_is_exact(spark, monkeypatch):
-    """Clusters and random points: the trees' links join exactly what brute force joins."""
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_tree_search_is_exact(spark, monkeypatch, few):
+    """Clusters and random points: the trees' links join exactly what brute force joins, by one task or by stars."""
+    monkeypatch.setattr(simhash, "FEW_EDGES", few)
     monkeypatch.setattr(simhash, "LEAF", 30)
     rng = np.random.default_rng(1)
     points = [int(x) for x in rng.integers(0, 1 << 63, 300, dtype=np.uint64) * 2]
@@ -88,6 +90,19 @@ def shingles(words):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
+def test_components_of_chains_and_hubs(spark, monkeypatch):
+    """Long chains, hubs, circles and repeated edges: stars find what one task finds."""
+    rng = np.random.default_rng(8)
+    edges = [(i + 1, i) for i in range(60)] + [(100 + i, 100) for i in range(1, 80)] + [(200 + (i + 1) % 9, 200 + i) for i in range(9)]
+    edges += [(int(a), int(b)) for a, b in rng.integers(300, 420, (90, 2)) if a != b]
+    edges = [(max(e), min(e)) for e in edges] + [(5, 4)] * 3
+    df = spark.createDataFrame(edges, "u long, v long").repartition(3)
+    one = sorted(map(tuple, simhash.stars(df).collect()))
+    monkeypatch.setattr(simhash, "FEW_EDGES", 0)
+    assert sorted(map(tuple, simhash.stars(df).collect())) == one and simhash.stars(df.limit(0)).count() == 0
+    assert (60, 0) in one and (179, 100) in one and (208, 200) in one
+
+
 def edits_of(rng, base, count, replaced):
     out = []
     for _ in range(count):
