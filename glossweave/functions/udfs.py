@@ -11,12 +11,24 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 
+def gated(run, test: str):
+    """A function of a text column that only rows matching a pattern go to; the others stay as they are, in the JVM."""
+    f = F.pandas_udf(run, "string")
+
+    def of(c):
+        c = F.col(c) if isinstance(c, str) else c
+        odd = c.rlike(test)
+        return F.when(odd, f(F.when(odd, c))).otherwise(c)
+
+    return of
+
+
 def fold_nfd():
     """Without diacritics, for any script: canonical decomposition less combining marks."""
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn"))
 
-    return F.pandas_udf(run, "string")
+    return gated(run, "[^\\x00-\\x7f]")
 
 
 def sequence_ratio():
@@ -49,7 +61,7 @@ def bracket_repair():
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else repair(x))
 
-    return F.pandas_udf(run, "string")
+    return gated(run, "[()]")
 
 
 def mark(text: str, words: list[str], left: str = "*", right: str = "*") -> str:
@@ -68,7 +80,7 @@ def span_marks(words: list[str]):
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else mark(x, words))
 
-    return F.pandas_udf(run, "string")
+    return gated(run, "|".join(re.escape(w) for w in words))
 
 
 def reglue(lines: list[str], compounds: set[str], lexicon: set[str]) -> str:

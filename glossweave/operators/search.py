@@ -24,7 +24,11 @@ def rank_of(forms: Column, body: Column, query: str) -> Column:
     return F.coalesce(best, F.when(F.lower(body).contains(q), 5)).cast("int")
 
 
-def search(df: DataFrame, query: str, forms: Column, body: Column, order: list[str], limit: int | None = 400) -> DataFrame:
-    """Rows of df that match, with rank, in order of rank and then the order columns; the first limit of them."""
+def search(df: DataFrame, query: str, forms: Column, body: Column, order: list[str], limit: int | None = 400, collation: str | None = None) -> DataFrame:
+    """Rows of df that match, with rank, in order of rank and then the order columns; the first limit of them. collation: the rules by which strings are
+    compared there, such as UNICODE for those of dictionaries; None: their bytes."""
     hits = df.withColumn("rank", rank_of(forms, body, query)).where("rank is not null")
+    if collation:
+        kinds = dict(df.dtypes)
+        order = [F.collate(F.col(c), collation) if kinds[c] == "string" else F.col(c) for c in order]
     return hits.orderBy("rank", *order).limit(limit) if limit else hits

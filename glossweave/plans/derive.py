@@ -48,11 +48,11 @@ def root_stem_keys(spark, sf_dir):
 
 FAKO_SQL = """case p_partkey % 9 when 0 then 'trans.' when 1 then 'trans., ' || lower(p_type) when 2 then 'trans.) (' || lower(p_brand) when 3 then 'trans.) e (netrans., pri, per'
  when 4 then 'netrans., ad ulo' when 5 then 'pri rejo' when 6 then lower(p_type) || ') (kun, sen' when 7 then 'trans., e netrans.' else '' end"""
-MARK_SQL = "^(netrans\\.,?\\s+e\\s+trans\\.|trans\\.,?\\s+e\\s+netrans\\.|trans\\.|netrans\\.)\\s*(.*)$"
+MARK_SQL = P.MARK
 ABLE = ", ".join(f"'{w}'" for w in (*T.PREPOSITIONS, *T.PLACEHOLDERS))
 ADMITTED = ABLE + ", " + ", ".join(f"'{w}'" for w in T.CONJUNCTIONS)
 DECOMPOSED = f"""f as (select p_partkey, p_name, {FAKO_SQL} as fako from part),
- a as (select p_partkey, p_name, list_filter(list_transform(string_split_regex(fako, '\\)\\s*((ed?|od?)\\s+)?\\('), lambda p: trim(p, '() ')), lambda p: p <> '') as parts from f),
+ a as (select p_partkey, p_name, list_filter(list_transform(string_split_regex(fako, '{P.BOUNDARY}'), lambda p: trim(p, '() ')), lambda p: p <> '') as parts from f),
  m as (select *, list_filter(list_transform(parts, lambda p: regexp_extract(p, '{MARK_SQL}', 1)), lambda x: x <> '') as marks,
   list_filter(list_transform(parts, lambda p: case when regexp_matches(p, '{MARK_SQL}') then trim(regexp_extract(p, '{MARK_SQL}', 2), ', ') else p end), lambda p: p <> '') as rest from a),
  g as (select *, list_transform(rest, lambda p: len(list_filter(string_split_regex(p, '[\\s,]+'), lambda t: t not in ({ADMITTED}))) = 0 and len(list_filter(string_split_regex(p, '[\\s,]+'), lambda t: t in ({ABLE}))) > 0) as gov from m),

@@ -219,3 +219,11 @@ def test_products_and_gram_pass(spark):
     freq = spark.createDataFrame([("banana", 50), ("bandana", 40), ("bananas", 30), ("bauana", 1), ("zzz", 1)], "token string, n long")
     out = {r.token: r.variant for r in repair.gram_pass(freq, (("n", "u"),), margin=1.0).collect()}
     assert out == {"bauana": "banana"}
+
+
+def test_search_order_by_collation(spark):
+    from glossweave.operators import search
+
+    df = spark.createDataFrame([("zebro",), ("Ámo",), ("amo",), ("bovo",)], "v string")
+    found = lambda c: [r.v for r in search.search(df, "", F.array("v"), F.col("v"), ["v"], 10, c).collect()]
+    assert found(None) == ["amo", "bovo", "zebro", "Ámo"] and found("UNICODE") == ["amo", "Ámo", "bovo", "zebro"]
