@@ -16,11 +16,11 @@ CONFUSABLE = (
 
 
 def frequency(df: DataFrame, text: str, pattern: str = "[A-Za-z0-9]{2,}") -> DataFrame:
-    """(token, n, docs): occurrences, and rows that have the token. Each row sorts its own tokens and marks the first of equals, so one shuffle of partial sums is enough."""
-    own = F.array_sort(T.tokens(F.coalesce(F.col(text), F.lit("")), pattern))
-    marked = F.zip_with("_s", F.concat(F.array(F.lit(None).cast("string")), F.slice("_s", F.lit(1), F.size("_s") - 1)), lambda a, b: F.struct(a.alias("token"), (~a.eqNullSafe(b)).alias("new")))
-    rows = df.select(own.alias("_s")).where(F.size("_s") > 0).select(F.explode(marked).alias("t")).select("t.*")
-    return rows.groupBy("token").agg(F.count("*").alias("n"), F.count_if("new").alias("docs"))
+    """(token, n, docs): occurrences, and rows that have the token. Each row gives its tokens and, marked, its distinct ones, so both numbers are partial sums of one shuffle."""
+    own = df.select(T.tokens(F.coalesce(F.col(text), F.lit("")), pattern).alias("_t"))
+    both = F.array(F.struct(F.col("_t").alias("t"), F.lit(0).alias("k")), F.struct(F.array_distinct("_t").alias("t"), F.lit(1).alias("k")))
+    rows = own.select(F.explode(both).alias("_x")).select("_x.k", F.explode("_x.t").alias("token"))
+    return rows.groupBy("token").agg(F.count_if(F.col("k") == 0).alias("n"), F.sum("k").alias("docs"))
 
 
 def respell(freq: DataFrame, pairs: tuple = CONFUSABLE, rare: int = 2, least: int = 6, ratio: int = 8, min_len: int = 3) -> DataFrame:

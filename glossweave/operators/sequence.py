@@ -116,17 +116,29 @@ def single_key_breaks(df: DataFrame, part: str, order: str, key: str) -> DataFra
     return met.withColumn("broken", F.coalesce("_back", F.lit(False))).drop("_p", "_o", "_back")
 
 
-def binary_runs(c: Column, kind: str, least: int = 1) -> Column:
-    """array<struct<at, length>> of the runs of least characters or more of a class of characters, places from one."""
+def binary_runs(c: Column, kind: str, least: int = 1, step: int = 64) -> Column:
+    """array<struct<at, length>> of the runs of least characters or more of a class of characters, places from one. The pieces of a text are gone through in
+    steps, whose places are summed up first, so that a very long one isn't quadratic."""
+    bound = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  x is computed once
+    size = lambda ps: F.aggregate(ps, F.lit(0), lambda n, p: n + F.length(p))
+    none = F.array().cast("array<struct<at:int,length:int>>")
+
+    def begins(chunks: Column) -> Column:
+        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all"))
+        return F.aggregate(chunks, start, lambda a, ps: F.struct((a["at"] + size(ps)).alias("at"), F.array_append(a["all"], a["at"]).alias("all")))["all"]
+
+    def inner(pieces: Column, begin: Column) -> Column:
+        def one(a: Column, p: Column) -> Column:
+            here = F.struct(a["at"].alias("at"), F.length(p).alias("length"))
+            run = p.rlike(f"^[{kind}]") & (F.length(p) >= least)
+            return F.struct((a["at"] + F.length(p)).alias("at"), F.when(run, F.array_append(a["runs"], here)).otherwise(a["runs"]).alias("runs"))
+
+        return F.aggregate(pieces, F.struct(begin.alias("at"), none.alias("runs")), one)["runs"]
+
+    cut = lambda ps: F.transform(F.sequence(F.lit(0), F.floor((F.size(ps) - 1) / step).cast("int")), lambda j: F.slice(ps, j * step + 1, F.lit(step)))
     parts = F.regexp_extract_all(c, F.lit(f"[{kind}]+|[^{kind}]+"), F.lit(0))
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<at:int,length:int>>").alias("runs"))
-
-    def step(acc: Column, p: Column) -> Column:
-        run = p.rlike(f"^[{kind}]") & (F.length(p) >= least)
-        here = F.struct(acc["at"].alias("at"), F.length(p).alias("length"))
-        return F.struct((acc["at"] + F.length(p)).alias("at"), F.when(run, F.array_append(acc["runs"], here)).otherwise(acc["runs"]).alias("runs"))
-
-    return F.aggregate(parts, start, step)["runs"]
+    every = bound(parts, lambda ps: F.when(F.size(ps) > 0, bound(cut(ps), lambda ch: F.flatten(F.zip_with(ch, begins(ch), inner)))).otherwise(none))
+    return F.when(c.isNotNull(), every)
 
 
 def islands(df: DataFrame, text: str, kind: str) -> DataFrame:
