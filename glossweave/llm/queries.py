@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automata, chat, classify, decontaminate, media, mixing, secret_scan, simhash, suffix_sort
+from . import automata, chat, classify, decontaminate, media, mixing, secret_scan, simhash, suffix_sort, turns
 from .common import table
 
 
@@ -57,7 +57,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing)}
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {q.__name__: q for q in (op1_decontamination, op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing, op12_conversation_repair)}
 SQL: dict[str, str] = {
     "op9_chat_rotation": """
 with t as (
