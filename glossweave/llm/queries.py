@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automata, chat, classify, decontaminate, media, mixing, secret_scan, simhash, suffix_sort, turns
+from . import automata, chat, classify, decontaminate, importance, media, mixing, secret_scan, simhash, suffix_sort, turns
 from .common import table
 
 
@@ -61,7 +61,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing, op12_conversation_repair)}
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+QUERIES = {q.__name__: q for q in (op1_decontamination, op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing, op12_conversation_repair, op13_importance_resampling)}
 SQL: dict[str, str] = {
     "op9_chat_rotation": """
 with t as (
