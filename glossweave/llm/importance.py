@@ -1,10 +1,10 @@
 """Importance resampling towards a target distribution, by a dictionary of distinct features.
 
- 1. Features are all runs of one to three words. Every word's place gives one entry (word, next, next but one), from which the counts of all three runs
-    that start there follow. A batch's distinct entries with their counts are dealt out by their first two words, as words and small
-    numbers, not as strings, since those would be six times the text.
- 2. A part of the dictionary merges its entries, so that each distinct feature is there once with its count in the corpus, and hashes it once: the CRC of a
-    run of words follows from those of the words, as CRCs are linear. Counts are added up by bucket, for the corpus and for the target alike.
+ 1. Features are all runs of one to three words. A batch's distinct features are hashed once each, to the CRC that decides their bucket: that of a run of
+    words follows from those of its words, as CRCs are linear. With their counts they are dealt out to the parts of one dictionary. A string travels as a key
+    of 56 bits, its CRC and 24 bits of another hash, since strings would be six times the text; keys go sorted, as differences.
+ 2. A part of the dictionary merges its entries, so each distinct feature is there once with its count in the corpus; counts are added up by
+    bucket. Strings that had one key in common would have one bucket in common too, so sums are exact whatever the keys.
  3. Log ratios of bucket counts are the gains; the table of buckets has a fixed number of rows, so it goes to every task, where it joins the counts of
     features of each document. Gumbel noise on top makes the best scores a draw without replacement in proportion to the importance weights.
  4. Ranks come from a range-partitioned sort: place in the range plus the rows of all ranges before.
@@ -26,9 +26,11 @@ from .hashing import Prefixes, mix
 
 BUCKETS = 10_000
 #: Bytes of text a part of the dictionary is laid out for, the most parts, and the entries a part merges at once. More entries go in turn, which
-#: gives the same sums, only some features are hashed again.
-PART_BYTES, MOST_PARTS, WINDOW = 8 << 20, 4096, 2_000_000
+#: gives the same sums, only some features are there once for each turn.
+PART_BYTES, MOST_PARTS, WINDOW = 8 << 20, 4096, 4_000_000
 SLICE = 1_000_000
+#: Bits of a key beside the CRC.
+MORE_BITS = 24
 LONG_WORD = 64
 POLY = 0xEDB88320
 
@@ -127,47 +129,69 @@ def following(ids: np.ndarray, rows: np.ndarray, x: int, y: int) -> tuple[np.nda
     return out[0], out[1]
 
 
-def packed(words: list[bytes], a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> bytes:
-    """Entries sorted by a, b, c as one blob: words, and differences by byte places, which compress well."""
-    da = np.diff(a, prepend=0)
-    db = np.where(da == 0, np.diff(b, prepend=0), b)
-    dc = np.where((da == 0) & (db == 0), np.diff(c, prepend=0), c)
-    planes = b"".join(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in (da, db, dc)) + n.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-    text = b" ".join(words)
-    raw = np.array([len(text), len(words), len(a)], "<u4").tobytes() + text + planes
+def packed(keys: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted keys with their counts as one blob: differences and counts by byte places, which compress well."""
+    planes = [x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in (np.diff(keys, prepend=0), n)]
+    raw = b"".join(planes)
     return len(raw).to_bytes(4, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
 
 
-def unpacked(blob: bytes) -> tuple[bytes, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, number of words, a, b, c, n."""
-    raw = pa.Codec("zstd").decompress(blob[4:], decompressed_size=int.from_bytes(blob[:4], "little"), asbytes=True)
-    size, many, m = (int(x) for x in np.frombuffer(raw, "<u4", 3))
-    at = 12 + size
-    plane = lambda k, w: np.frombuffer(raw, np.uint8, w * m, k).reshape(w, m).T.copy().view(f"<u{w}").ravel().astype(np.int64)
-    da, db, dc = (plane(at + 4 * m * i, 4) for i in range(3))
-    a = np.cumsum(da)
-    b = running(db, da != 0)
-    c = running(dc, (da != 0) | (db != 0))
-    return raw[12:at], many, a, b, c, plane(at + 12 * m, 8)
-
-
-def running(d: np.ndarray, fresh: np.ndarray) -> np.ndarray:
-    """Sums of d that start anew where fresh."""
-    total = np.cumsum(d)
-    if not len(d):
-        return total
-    fresh = fresh.copy()
-    fresh[0] = True
-    at = np.flatnonzero(fresh)
-    base = total[at] - d[at]
-    return total - np.repeat(base, np.diff(np.append(at, len(d))))
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    size = int.from_bytes(blob[:4], "little")
+    raw = np.frombuffer(pa.Codec("zstd").decompress(blob[4:], decompressed_size=size, asbytes=True), np.uint8)
+    gaps, n = (x.reshape(8, -1).T.copy().view("<i8").ravel() for x in (raw[: size // 2], raw[size // 2 :]))
+    return np.cumsum(gaps), n
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    at = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[at], np.add.reduceat(n, at) if len(at) else n
+
+
+class Features:
+    """The runs of one to three words that begin at the places of a slice, each distinct word hashed once and all runs from the words' CRCs."""
+
+    def __init__(self, crc: Crc, body: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, rows: np.ndarray, x: int, y: int) -> None:
+        z = min(y + 2, len(starts))
+        self.kinds, first, ids = np.unique(hashes[x:z], return_index=True, return_inverse=True)
+        self.crc, self.size = crc, (ends - starts)[x + first]
+        self.word = crc.of(body, starts[x + first], ends[x + first])
+        self.spaced = crc.behind(self.word, np.ones(len(self.word), np.int64)) ^ np.uint32(zlib.crc32(b" "))
+        self.a = ids[: y - x].astype(np.int64)
+        self.b, self.c = following(ids, rows[x:z], x, y)
+
+    def two(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """CRCs of pairs; b counts from 1."""
+        return self.crc.behind(self.spaced[a], self.size[b - 1]) ^ self.word[b - 1]
+
+    def three(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        stem = self.crc.behind(self.spaced[a], self.size[b - 1] + 1) ^ self.spaced[b - 1]
+        return self.crc.behind(stem, self.size[c - 1]) ^ self.word[c - 1]
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the distinct features, in order, and their counts."""
+        pairs, pair, many = np.unique(self.a << 32 | self.b, return_inverse=True, return_counts=True)
+        triples, n3 = np.unique(pair.astype(np.int64) << 32 | self.c, return_counts=True)
+        a, b = pairs >> 32, pairs & 0xFFFFFFFF
+        p, c = triples >> 32, triples & 0xFFFFFFFF
+        n1 = np.bincount(self.a, minlength=len(self.kinds))
+        one, two, three = np.flatnonzero(n1), np.flatnonzero(b), np.flatnonzero(c)
+        p, c = p[three], c[three]
+        follow = lambda h, k: mix(h * np.uint64(0x9E3779B97F4A7C15) + self.kinds[k - 1])
+        h2 = follow(self.kinds[a], np.maximum(b, 1))
+        crcs = np.concatenate([self.word[one], self.two(a[two], b[two]), self.three(a[p], b[p], c)])
+        more = np.concatenate([self.kinds[one], h2[two], follow(h2[p], c)])
+        return summed(crcs.astype(np.int64) << MORE_BITS | (more >> np.uint64(64 - MORE_BITS)).astype(np.int64), np.concatenate([n1[one], many[two], n3[three]]))
 
 
 def entries(parts: int):
-    """A batch's distinct entries by part: (part, blob)."""
+    """The distinct features of a batch by part of the dictionary: (part, blob). A part is a range of CRCs."""
 
     def run(batches):
-        prefixes = Prefixes()
+        prefixes, crc = Prefixes(), Crc()
         for batch in batches:
             body, offsets = utf8(batch.column("text"))
             if not len(body):
@@ -176,76 +200,36 @@ def entries(parts: int):
             hashes = prefixes.load(body).of(starts, ends)
             rows = np.repeat(np.arange(len(at) - 1), np.diff(at))
             for x in range(0, len(starts), SLICE):
-                y = min(x + SLICE, len(starts))
-                z = min(y + 2, len(starts))
-                kinds, first, ids = np.unique(hashes[x:z], return_index=True, return_inverse=True)
-                b, c = following(ids, rows[x:z], x, y)
-                keys, n = np.unique((ids[: y - x] + 1 << 42) | (b << 21) | c, return_counts=True)
-                a, b, c = keys >> 42, keys >> 21 & 0x1FFFFF, keys & 0x1FFFFF
-                part = (mix(kinds[a - 1] * np.uint64(3) + np.where(b > 0, kinds[b - 1], np.uint64(7))) % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                part, a, b, c, n = part[order], a[order], b[order], c[order], n[order]
+                keys, n = Features(crc, body, starts, ends, hashes, rows, x, min(x + SLICE, len(starts))).distinct()
+                part = (keys >> MORE_BITS) * parts >> 32
                 cut = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
-                names, blobs = [], []
-                for s, e in zip(cut[:-1], cut[1:]):
-                    own = np.unique(np.concatenate([a[s:e], b[s:e], c[s:e]]))
-                    own = own[own > 0]
-                    number = lambda v: np.where(v > 0, np.searchsorted(own, v) + 1, 0)  # noqa: B023,E731
-                    words = [body[starts[x + i] : ends[x + i]].tobytes() for i in first[own - 1]]
-                    names.append(int(part[s]))
-                    blobs.append(packed(words, number(a[s:e]), number(b[s:e]), number(c[s:e]), n[s:e]))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
+                blobs = [packed(keys[s:e], n[s:e]) for s, e in zip(cut[:-1], cut[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(part[cut[:-1]], pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
 
     return run
 
 
-def merge(window: list, crc: Crc, prefixes: Prefixes, sums: np.ndarray) -> None:
-    """Add the counts of a part's features to their buckets, each distinct feature hashed once."""
-    text = b" ".join(w[0] for w in window)
-    body, starts, ends, _ = tokens(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    kinds, first, ids = np.unique(prefixes.load(body).of(starts, ends), return_index=True, return_inverse=True)
-    base = np.concatenate([[0], np.cumsum([w[1] for w in window])])
-    lift = lambda k: np.concatenate([np.where(w[k] > 0, ids[np.maximum(w[k] - 1 + base[i], 0)] + 1, 0) for i, w in enumerate(window)])
-    a, b, c, n = lift(2), lift(3), lift(4), np.concatenate([w[5] for w in window])
-    pairs, pair = np.unique(a << 32 | b, return_inverse=True)
-    triples, triple = np.unique(pair.astype(np.int64) << 32 | c, return_inverse=True)
-    word, size = crc.of(body, starts[first], ends[first]), ends[first] - starts[first]
-    spaced = crc.behind(word, np.ones(len(word), np.int64)) ^ np.uint32(zlib.crc32(b" "))
-    n2, n3 = np.bincount(pair, n).astype(np.int64), np.bincount(triple, n).astype(np.int64)
-    a2, b2 = pairs >> 32, pairs & 0xFFFFFFFF
-    n1 = np.bincount(a2 - 1, n2, len(word)).astype(np.int64)
-    count(sums, word, n1)
-    two = b2 > 0
-    joined = np.zeros(len(pairs), np.uint32)
-    joined[two] = crc.behind(spaced[a2[two] - 1], size[b2[two] - 1]) ^ word[b2[two] - 1]
-    count(sums, joined[two], n2[two])
-    p3, c3 = triples >> 32, triples & 0xFFFFFFFF
-    three = c3 > 0
-    p3, c3 = p3[three], c3[three]
-    stem = crc.behind(spaced[a2[p3] - 1], size[b2[p3] - 1] + 1) ^ spaced[b2[p3] - 1]
-    count(sums, crc.behind(stem, size[c3 - 1]) ^ word[c3 - 1], n3[three])
-
-
-def count(sums: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> None:
-    np.add.at(sums, (hashes % np.uint32(len(sums))).astype(np.int64), n)
-
-
 def bucket_sums(buckets: int):
     """Bucket counts of the dictionary's parts as their entries stream in."""
 
     def run(batches):
-        crc, prefixes, sums, part, window, held = Crc(), Prefixes(), np.zeros(buckets, np.int64), None, [], 0
+        sums, part, window, held = np.zeros(buckets, np.int64), None, [], 0
+
+        def merge() -> None:
+            keys, n = summed(*(np.concatenate(x) for x in zip(*window)))
+            np.add.at(sums, (keys >> MORE_BITS) % buckets, n)
+
         for batch in batches:
             for p, blob in zip(batch.column("part").to_pylist(), batch.column("blob")):
                 entry = unpacked(blob.as_py())
-                if window and (p != part or held + len(entry[2]) > WINDOW):
-                    merge(window, crc, prefixes, sums)
+                if window and (p != part or held + len(entry[0]) > WINDOW):
+                    merge()
                     window, held = [], 0
                 part = p
                 window.append(entry)
-                held += len(entry[2])
+                held += len(entry[0])
         if window:
-            merge(window, crc, prefixes, sums)
+            merge()
         hit = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(sums[hit], pa.int64())], ["bucket", "n"])
 
@@ -295,17 +279,11 @@ def weigh(docs: DataFrame, gain: np.ndarray, *, id_col: str = "doc_id", text_col
             hashes = prefixes.load(body).of(starts, ends)
             for x in range(0, len(starts), SLICE):
                 y = min(x + SLICE, len(starts))
-                z = min(y + 2, len(starts))
-                _, first, ids = np.unique(hashes[x:z], return_index=True, return_inverse=True)
-                b, c = following(ids, rows[x:z], x, y)
-                a = ids[: y - x]
-                crcs, size = crc.of(body, starts[x + first], ends[x + first]), (ends - starts)[x + first]
-                spaced = crc.behind(crcs, np.ones(len(crcs), np.int64)) ^ np.uint32(zlib.crc32(b" "))
-                score = gain[crcs % buckets][a]
-                two, three = np.flatnonzero(b), np.flatnonzero(c)
-                score[two] += gain[(crc.behind(spaced[a[two]], size[b[two] - 1]) ^ crcs[b[two] - 1]) % buckets]
-                stem = crc.behind(spaced[a[three]], size[b[three] - 1] + 1) ^ spaced[b[three] - 1]
-                score[three] += gain[(crc.behind(stem, size[c[three] - 1]) ^ crcs[c[three] - 1]) % buckets]
+                f = Features(crc, body, starts, ends, hashes, rows, x, y)
+                score = gain[f.word % buckets][f.a]
+                two, three = np.flatnonzero(f.b), np.flatnonzero(f.c)
+                score[two] += gain[f.two(f.a[two], f.b[two]) % buckets]
+                score[three] += gain[f.three(f.a[three], f.b[three], f.c[three]) % buckets]
                 np.add.at(weight, rows[x:y], score)
             ids_ = batch.column("doc_id").to_pylist()
             score = [int(w) + noise(i, seed) for i, w in zip(ids_, weight)]

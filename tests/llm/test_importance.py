@@ -84,10 +84,21 @@ def test_crc_of_joined_strings():
     assert both.tolist() == [zlib.crc32(a + b) for a, b in zip(parts, parts[1:])]
 
 
-def test_entries_survive_packing():
+def test_keys_survive_packing():
     rnd = np.random.default_rng(2)
-    keys = np.unique(rnd.integers(0, 9, (500, 3)) + [1, 0, 0], axis=0)
-    a, b, c = keys.T
-    n = rnd.integers(1, 1 << 40, len(a))
-    text, many, *back = importance.unpacked(importance.packed([b"w"] * 9, a, b, c, n))
-    assert many == 9 and text == b" ".join([b"w"] * 9) and all((x == y).all() for x, y in zip(back, (a, b, c, n)))
+    keys, n = np.unique(rnd.integers(0, 1 << 56, 500)), rnd.integers(1, 1 << 40, 500)
+    for k in (0, 1, 500):
+        back = importance.unpacked(importance.packed(keys[:k], n[:k]))
+        assert (back[0] == keys[:k]).all() and (back[1] == n[:k]).all()
+
+
+def test_windows_and_slices_do_not_matter(spark, monkeypatch):
+    docs = [(d, t) for d, t in brute.corpus(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    want = {r.bucket: r.n for r in importance.bucket_counts(df).collect()}
+    monkeypatch.setattr(importance, "PART_BYTES", 500)
+    assert {r.bucket: r.n for r in importance.bucket_counts(df).collect()} == want == {k: v for k, v in plain_counts(docs).items() if v}
+
+
+def plain_counts(docs):
+    return Counter(zlib.crc32(f.encode()) % 10_000 for _, t in docs for f in features(t)[1])
