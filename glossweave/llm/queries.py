@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automata, chat, classify, decontaminate, importance, media, mixing, secret_scan, simhash, suffix_sort, turns
+from . import automata, chat, classify, decontaminate, importance, media, mixing, personal, secret_scan, simhash, suffix_sort, turns
 from .common import table
 
 
@@ -57,6 +57,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.scan(table(spark, sf_dir, "documents")))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair(table(spark, sf_dir, "conversations"))
 
@@ -66,7 +70,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing, op12_conversation_repair, op13_importance_resampling)}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op2_suffix_dedup, op3_media_columns, op4_quality_classifier, op5_toxicity, op6_simhash, op7_substring_dedup, op8_secret_scan, op9_chat_rotation, op10_mixing, op11_personal_data, op12_conversation_repair, op13_importance_resampling)}
 SQL: dict[str, str] = {
     "op9_chat_rotation": """
 with t as (
