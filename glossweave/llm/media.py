@@ -21,6 +21,8 @@ WIDTH = 192
 # Fixed values of the PNG format.
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 CHUNK = 1 << 20
+#: No zlib data grow more than so many times.
+MOST_RATIO = 1040
 
 
 def chunk(kind: bytes, body: bytes) -> bytes:
@@ -91,7 +93,11 @@ def decode(data: bytes) -> np.ndarray:
         kind, part = data[at + 4 : at + 8], data[at + 8 : at + 8 + n]
         if len(part) != n or len(data) < at + 12 + n or struct.unpack_from(">I", data, at + 8 + n)[0] != zlib.crc32(kind + part):
             raise ValueError(f"bad checksum in {kind!r}")
+        if (kind == b"IHDR") != (head is None):
+            raise ValueError("one header is needed, and first")
         if kind == b"IHDR":
+            if n != 13:
+                raise ValueError("bad header")
             head = struct.unpack(">IIBBBBB", part)
         elif kind == b"IDAT":
             body.append(part)
@@ -99,15 +105,19 @@ def decode(data: bytes) -> np.ndarray:
         at += 12 + n
     if head is None or not ended:
         raise ValueError("truncated")
-    width, height, depth, colour, _, _, interlace = head
+    width, height, depth, colour, packing, filtering, interlace = head
     channels = {0: 1, 2: 3, 4: 2, 6: 4}.get(colour)
-    if depth != 8 or interlace or not channels:
+    if depth != 8 or packing or filtering or interlace or not channels:
         raise ValueError("only 8-bit, non-interlaced grey or RGB is read")
+    size, packed = height * (1 + width * channels), b"".join(body)
+    if not width or not height or size > MOST_RATIO * len(packed):
+        raise ValueError("impossible size")
+    stream = zlib.decompressobj()
     try:
-        raw = zlib.decompress(b"".join(body))
+        raw = stream.decompress(packed, size + 1)  # no more memory than the header asks for
     except zlib.error as e:
         raise ValueError(str(e)) from e
-    if len(raw) != height * (1 + width * channels):
+    if len(raw) != size or not stream.eof:
         raise ValueError("wrong length")
     out = unfilter(np.frombuffer(raw, np.uint8).reshape(height, -1), channels)
     return out if channels == 1 else out.reshape(height, width, channels)

@@ -75,3 +75,39 @@ def test_clashing_columns(spark):
     assert out.columns == ["doc_id", "n_bytes", "other", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "error"]
     r = out.first()
     assert r.other == "x" and r.payload_bytes == 192 and r.feature != "old" and r.error is None
+
+
+def png(head, data, *more):
+    return media.SIGNATURE + b"".join(media.chunk(*c) for c in ((b"IHDR", head), *more, (b"IDAT", data), (b"IEND", b"")))
+
+
+BAD = [
+    png(b"\x00\x00\x01", zlib.compress(b"\x00" * 2)),  # a header of three bytes
+    png(struct.pack(">IIBBBBB", 0, 3, 8, 0, 0, 0, 0), zlib.compress(b"\x00" * 3)),  # no width
+    png(struct.pack(">IIBBBBB", 3, 0, 8, 0, 0, 0, 0), zlib.compress(b"")),  # no height
+    png(struct.pack(">IIBBBBB", 1 << 31, 1 << 31, 8, 6, 0, 0, 0), zlib.compress(b"\x00" * 9)),  # more than there can be
+    png(struct.pack(">IIBBBBB", 2, 1, 8, 0, 0, 0, 0), zlib.compress(bytes(3_000_000))),  # more data than the header says
+    png(struct.pack(">IIBBBBB", 2, 1, 8, 0, 0, 0, 0), zlib.compress(b"\x09ab")),  # an unknown filter
+    png(struct.pack(">IIBBBBB", 2, 1, 8, 0, 0, 0, 0), zlib.compress(b"\x00ab")[:-2]),
+    png(struct.pack(">IIBBBBB", 2, 1, 8, 0, 0, 0, 0), zlib.compress(b"\x00ab"), (b"IHDR", struct.pack(">IIBBBBB", 2, 1, 8, 0, 0, 0, 0))),
+    png(struct.pack(">IIBBBBB", 2, 1, 8, 3, 0, 0, 0), zlib.compress(b"\x00ab")),
+    media.SIGNATURE + media.chunk(b"IDAT", b"") + media.chunk(b"IEND", b""),
+    media.SIGNATURE, media.SIGNATURE + b"\xff" * 40, b"",
+]
+
+
+def test_no_bad_media_raises(spark):
+    """Whatever is wrong behind right checksums, the row says so and the others are read."""
+    rnd = np.random.default_rng(5)
+    good = media.encode(rnd.integers(0, 256, (2, 192), dtype=np.uint8))
+    odd = [png(rnd.integers(0, 4, int(rnd.integers(0, 20)), dtype=np.uint8).tobytes(), zlib.compress(rnd.integers(0, 5, int(rnd.integers(0, 60)), dtype=np.uint8).tobytes())) for _ in range(300)]
+    for data in [*BAD, *odd]:
+        try:
+            assert media.decode(data).size
+        except ValueError:
+            pass
+    for data in BAD:
+        with pytest.raises(ValueError):
+            media.decode(data)
+    rows = media.features(spark.createDataFrame([(i, bytearray(x)) for i, x in enumerate([good, *BAD, good])], "doc_id long, media binary")).orderBy("doc_id").collect()
+    assert rows[0].error is None and rows[-1].feature == rows[0].feature and all(r.error and r.feature is None for r in rows[1:-1])
