@@ -15,6 +15,7 @@ import bisect
 import hashlib
 import math
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,25 +32,34 @@ BASE_KINDS = ("assign", "access", "hex")
 SENSITIVE = ("password", "passwd", "passphrase", "pwd", "secret", "token", "apikey", "accesskey", "privatekey", "signingkey", "encryptionkey", "credential", "clientsecret", "authkey", "bearer", "connectionstring")
 HARMLESS = ("tokenizer", "tokenize", "tokens", "maxtoken", "passwordless", "secretary", "publickey", "hint", "policy", "length", "count", "field", "label", "placeholder", "example")
 
-LEXER = r"""
+#: Tokens of source and configuration: key blocks, strings of every kind of quote, words, line ends with what indents the next line, signs.
+TOKENS = r"""
 (?P<pem>-----BEGIN\ [A-Z ]*PRIVATE\ KEY-----[A-Za-z0-9+/=\s\\]+-----END\ [A-Z ]*PRIVATE\ KEY-----)
-|<(?P<tag>[A-Za-z_][\w.-]++)>(?P<inner>[^<>\s]{6,}+)</(?P=tag)>
-|(?<![\w-])--(?P<flag>[A-Za-z][\w-]*+)(?:=|[\x20\t]++)(?:"(?P<fdq>(?:[^"\\\n]++|\\.)++)"|'(?P<fsq>(?:[^'\\\n]++|\\.)++)'|(?P<fbare>[A-Za-z0-9_$+/.~][A-Za-z0-9_$+/.~=-]*+))
-|(?<![\w$.-])(?P<name>[A-Za-z_$][\w$.-]*+)["']?\]?[\x20\t]*+(?::=|=>|:|=)(?![=:])[\x20\t]*+
- (?:[fFrRbBuU]{1,2}(?=["']))?(?:"(?P<dq>(?:[^"\\\n]++|\\.)++)"|'(?P<sq>(?:[^'\\\n]++|\\.)++)'|`(?P<bq>[^`\n]++)`|(?P<bare>[A-Za-z0-9_$+/.~-][A-Za-z0-9_$+/.~=-]*+))
+|(?P<end>\n[\x20\t]*+)
+|(?:(?<!\w)[fFrRbBuU]{1,2}(?=["']))?(?:\"\"\"(?P<tdq>(?:[^"\\]++|\\.|"(?!\"\"))*+)\"\"\"|\'\'\'(?P<tsq>(?:[^'\\]++|\\.|'(?!\'\'))*+)\'\'\'|"(?P<dq>(?:[^"\\\n]++|\\.)*+)"|(?<![A-Za-z0-9_]')(?<![A-Za-z0-9_](?='))'(?P<sq>(?:[^'\\\n]++|\\.)*+)'|`(?P<bq>[^`\n]*+)`)
+|(?P<word>[A-Za-z_$][\w$.-]*+|[0-9][\w.]*+)
+|(?P<sign>:=|=>|==|!=|<=|>=|::|->|--(?=[A-Za-z])|</|/>|[^\w\s])
 """
-QUOTED, BARE = ("dq", "sq", "bq", "fdq", "fsq"), ("bare", "fbare")
-#: What goes on with a string: + or . or a backslash at the line's end, and another quoted literal or a name.
-MORE = r"""\s*+(?:\+|\.(?=\s*+["'])|\\\n)\s*+(?:[fFrRbBuU]{1,2}(?=["']))?(?:"(?P<dq>(?:[^"\\\n]++|\\.)++)"|'(?P<sq>(?:[^'\\\n]++|\\.)++)'|(?P<bare>[A-Za-z_$][\w$.]*+))"""
+QUOTED, BARE = ("dq", "sq", "bq"), ("bare", "fbare")
+VALUE = re.compile(r"[A-Za-z0-9_$+/.~-][A-Za-z0-9_$+/.~=-]*+", re.ASCII)
+#: Of a name that isn't sensitive, a value ends before an equals sign inside, as what stands there may be a name itself.
+MILD_VALUE = re.compile(r"[A-Za-z0-9_$+/.~-]++", re.ASCII)
+FLAG_VALUE = re.compile(r"[A-Za-z0-9_$+/.~][A-Za-z0-9_$+/.~=-]*+", re.ASCII)
+NAME = re.compile(r"[A-Za-z_$][\w$.-]*+", re.ASCII)
+TAG = re.compile(r"<([A-Za-z_][\w.-]*+)>([^<>\s]{6,}+)</([A-Za-z_][\w.-]*+)>", re.ASCII)
 PLACE = re.compile(r"\$?\{\s*([A-Za-z_$][\w$.]*)\s*\}", re.ASCII)
-#: A quoted literal of more characters that is no secret itself, such as a file in a string, is read for pairs inside.
-NESTED = 512
+ASSIGNS, OPENS, CLOSES = (":=", "=>", ":", "="), "([{", ")]}"
+#: What a declared type may hold between a name's colon and its equals sign.
+TYPED = set("&*<>[]?|.,") | {"::"}
+#: Attributes of a tag that name a setting, and those that hold its value.
+NAMING, HOLDING = ("name", "key", "id", "property"), ("value", "content")
 
 
 def lexer() -> re.Pattern:
-    return re.compile(LEXER, re.VERBOSE | re.ASCII)
+    return re.compile(TOKENS, re.VERBOSE | re.ASCII)
 
 
+@lru_cache(1 << 14)
 def sensitive(name: str) -> float:
     """1 for the name of a secret, 0 for any other."""
     plain = re.sub(r"[^a-z0-9]", "", name.lower())
@@ -70,32 +80,223 @@ def literal_score(text: str) -> float:
     return bits / 4 * (0.4 + 0.2 * kinds) * min(1.0, len(text) / 12)
 
 
-def pairs_of(text: str, pattern: re.Pattern, more: re.Pattern):
-    """The pairs of a text in order: (name, kind, parts), parts being (kind, start, end) of the literals and names that make the value."""
-    at = 0
-    while m := pattern.search(text, at):
-        at = m.end()
-        if m["pem"]:
-            yield "", "pem", [("pem", *m.span("pem"))]
-            continue
-        kind = next(k for k in ("inner", *QUOTED, *BARE) if m[k] is not None)
-        parts, end = [(kind, *m.span(kind))], m.end()
-        while kind not in ("inner", *BARE[1:]) and (n := more.match(text, end)):
-            k = next(k for k in ("dq", "sq", "bare") if n[k] is not None)
-            parts.append((k, *n.span(k)))
-            end = n.end()
-        yield m["tag"] or m["name"] or m["flag"], kind, parts
-        at = end
-        if kind in QUOTED and len(parts) == 1 and parts[0][2] - parts[0][1] > NESTED:
-            at = parts[0][1]
+#: A name whose letters and digits hold a sensitive part; a text without one has no pair that could count.
+ANY_SENSITIVE = re.compile("|".join(r"[^A-Za-z0-9\s]*".join(w) for w in SENSITIVE), re.IGNORECASE | re.ASCII)
+
+
+#: Stands for the backslash of an escaped sign.
+HOLE = "\0"
+
+
+class Token:
+    __slots__ = ("kind", "start", "end", "text", "right")
+
+    def __init__(self, kind: str, start: int, end: int, text: str, right: int) -> None:
+        self.kind, self.start, self.end, self.text, self.right = kind, start, end, text, right
+
+
+def tokens_of(text: str, pattern: re.Pattern) -> list[Token]:
+    """Tokens in order; of a string start and end leave out its quotes, which right takes in."""
+    out = []
+    for m in pattern.finditer(text):
+        kind = m.lastgroup
+        s, e = m.span(kind)
+        if e > s and text[e - 1] == HOLE:  # of the escaped quote that ends the string
+            e -= 1
+        out.append(Token({"tdq": "dq", "tsq": "sq"}.get(kind, kind), s, e, text[s:e], m.end()))
+    return out
+
+
+def unescaped(text: str) -> str:
+    """A string's text as it reads inside: escaped quotes and line ends as such, each of the same length as before, so that places stay."""
+    return re.sub(r"\\(.)", lambda m: " \n" if m[1] == "n" else "  " if m[1] in "rt" else HOLE + m[1], text, flags=re.DOTALL)
+
+
+def pairs_of(text: str, pattern: re.Pattern, base: int = 0):
+    """The pairs of a text: (name, kind, parts), parts being (kind, start, end, text) of the literals and names that make the value. Strings are read inside, too.
+
+    One pass over the tokens. A name and an assignment sign mark where its value begins; a bracket that opens there belongs to the name, as does one of a
+    call that is the value or that bears the name, and so do all strings inside that are no names themselves.
+    """
+    toks = tokens_of(text, pattern)
+    n = len(toks)
+    owner: dict[int, str] = {}  # token where a name's value begins
+    opened: dict[int, str] = {}  # bracket that belongs to a name
+    stack: list[str | None] = []
+    used: set[int] = set()
+    line_indent = line_first = 0
+
+    def is_name(i: int) -> str | None:
+        t = toks[i]
+        return t.text if t.kind == "word" and NAME.fullmatch(t.text) or t.kind in QUOTED and NAME.fullmatch(t.text) else None
+
+    def sign(i: int, *which: str) -> bool:
+        return i < n and toks[i].kind == "sign" and toks[i].text in which
+
+    def value_at(j: int, indent: int, colon: bool) -> int | None:
+        """Where the value behind an assignment sign begins; of a declaration with a type, behind the equals sign."""
+        if colon:
+            k, depth = j, 0
+            while k < n and k < j + 16 and (toks[k].kind == "word" or toks[k].kind == "sign" and toks[k].text in TYPED):
+                depth += (toks[k].text in "<[") - (toks[k].text in ">]") if toks[k].kind == "sign" else 0
+                if toks[k].text == "," and depth <= 0:
+                    break
+                k += 1
+            if k > j and sign(k, "=") and not sensitive(toks[k - 1].text):
+                return k + 1
+        return j if j < n else None
+
+    def value_of_kind(name: str) -> re.Pattern:
+        return VALUE if sensitive(name) else MILD_VALUE
+
+    def part(i: int) -> tuple[str, int, int, str]:
+        t = toks[i]
+        return t.kind, base + t.start, base + t.end, t.text
+
+    def joined(i: int, parts: list) -> list:
+        """What goes on with a value behind token i: strings next to strings, or joined by a sign."""
+        string = True
+        while True:
+            k = i + 1
+            while k < n and toks[k].kind == "end":
+                k += 1
+            if sign(k, "+", ".", "\\"):
+                k += 1
+                while k < n and toks[k].kind == "end":
+                    k += 1
+                if k < n and toks[k].kind in QUOTED:
+                    parts.append(part(k))
+                elif k < n and toks[k].kind == "word" and not toks[i + 1].text == "\\" and NAME.fullmatch(toks[k].text):
+                    parts.append(("bare", base + toks[k].start, base + toks[k].end, toks[k].text))
+                else:
+                    return parts
+            elif string and k == i + 1 and k < n and toks[k].kind in QUOTED and toks[i].kind in QUOTED and not sign(k + 1, ":", "=>"):
+                parts.append(part(k))
+            else:
+                return parts
+            used.add(k)
+            i = k
+
+    i = 0
+    while i < n:
+        t = toks[i]
+        if t.kind == "pem":
+            yield "", "pem", [part(i)]
+        elif t.kind == "end":
+            line_indent, line_first = t.end - t.start - 1, i + 1
+        elif t.kind == "sign" and t.text in OPENS:
+            stack.append(None if t.text == "{" else opened.get(i, owner.get(i, stack[-1] if stack else None)))
+        elif t.kind == "sign" and t.text in CLOSES:
+            if stack:
+                stack.pop()
+        elif t.kind == "sign" and t.text == "<" and (m := TAG.match(text, t.start)) and m[1] == m[3]:
+            yield m[1], "inner", [("inner", base + m.start(2), base + m.end(2), m[2])]
+        elif t.kind == "sign" and t.text == "<" and i + 1 < n and toks[i + 1].kind == "word":
+            # A tag that names a setting in one attribute and holds it in another.
+            k, named, held = i + 2, None, None
+            while k < n and k < i + 64 and not sign(k, ">", "/>", "<"):
+                if toks[k].kind == "word" and sign(k + 1, "=") and k + 2 < n and toks[k + 2].kind in QUOTED:
+                    if toks[k].text.lower() in NAMING:
+                        named = toks[k + 2].text
+                    elif toks[k].text.lower() in HOLDING:
+                        held = k + 2
+                k += 1
+            if named and held:
+                yield named, toks[held].kind, [part(held)]
+        elif t.kind == "sign" and t.text == "--" and i + 1 < n and toks[i + 1].kind == "word" and (not t.start or not re.match(r"[\w-]", text[t.start - 1], re.ASCII)):
+            w = toks[i + 1]
+            k = i + 3 if sign(i + 2, "=") and toks[i + 2].start == w.end else i + 2
+            if k < n and (toks[k].start > w.end or k == i + 3):
+                if toks[k].kind in QUOTED:
+                    yield w.text, f"f{toks[k].kind}", [part(k)]
+                    used.add(k)
+                elif toks[k].kind != "end" and (m := FLAG_VALUE.match(text, toks[k].start)):
+                    yield w.text, "fbare", [("fbare", base + m.start(), base + m.end(), m[0])]
+        if t.kind in ("word", *QUOTED):
+            name = is_name(i)
+            mine = owner.get(i)
+            k = i + 1
+            if sign(k, "]"):
+                k += 1
+            if name and sign(k, *ASSIGNS) and not sign(k + 1, "=", ":"):
+                j = value_at(k + 1, line_indent, toks[k].text == ":")
+                if j is not None:
+                    if sign(j, "|", ">") and toks[k].text == ":":
+                        # A block of deeper lines.
+                        e = j + 1
+                        while e < n and toks[e].kind != "end":
+                            e += 1
+                        block = []
+                        at = toks[e].start if e < n else len(text)
+                        for m in re.compile(r"\n([\x20\t]*)([^\n]*)").finditer(text, at):
+                            if m.start() != at or m[2].strip() and len(m[1]) <= line_indent:
+                                break
+                            at = m.end()
+                            if m[2].strip():
+                                s = m.start(2)
+                                block.append(("inner", base + s, base + s + len(m[2].rstrip()), m[2].rstrip()))
+                        if block:
+                            yield name, "inner", block
+                    elif toks[j].kind == "end":
+                        deep = toks[j].end - toks[j].start - 1
+                        if toks[k].text == ":" and (deep > line_indent or deep == line_indent and not sign(line_first, "-")) and sign(j + 1, "-"):
+                            # A list, one item a line.
+                            e = j
+                            while e < n and toks[e].kind == "end" and toks[e].end - toks[e].start - 1 == deep and sign(e + 1, "-"):
+                                if e + 2 < n:
+                                    owner.setdefault(e + 2, name)
+                                e += 2
+                                while e < n and toks[e].kind != "end":
+                                    e += 1
+                        elif toks[k].text != ":" and j + 1 < n and toks[j + 1].kind in QUOTED:
+                            owner.setdefault(j + 1, name)
+                    else:
+                        owner.setdefault(j, name)
+                # A string that is a name has been used as such.
+                used.add(i)
+            if mine is not None:
+                if t.kind in QUOTED and i not in used:
+                    used.add(i)
+                    yield mine, t.kind, joined(i, [part(i)])
+                elif t.kind == "word":
+                    k = i
+                    while k + 1 < n and toks[k + 1].kind == "word" and toks[k].text in ("new", "await", "const"):
+                        k += 1
+                    if sign(k + 1, "(") and toks[k + 1].start == toks[k].end:
+                        opened[k + 1] = mine
+                    elif sign(k + 1, "!") and sign(k + 2, "(", "["):
+                        opened[k + 2] = mine
+                    elif m := value_of_kind(mine).match(text, t.start):
+                        whole = i
+                        while whole + 1 < n and toks[whole + 1].right <= m.end():
+                            whole += 1
+                        yield mine, "bare", joined(whole, [("bare", base + m.start(), base + m.end(), m[0])])
+                        if sensitive(mine):
+                            i = whole
+            elif t.kind in QUOTED and i not in used and stack and stack[-1] is not None and not sign(i + 1, ":", "=>", "="):
+                used.add(i)
+                yield stack[-1], t.kind, joined(i, [part(i)])
+            if t.kind == "word" and mine is None and sign(i + 1, "(") and toks[i + 1].start == t.end and sensitive(t.text):
+                opened.setdefault(i + 1, t.text)
+        elif t.kind == "sign" and i in owner and t.text not in OPENS:
+            if m := value_of_kind(owner[i]).match(text, t.start):  # a value that begins with a sign, such as / or +
+                yield owner[i], "bare", [("bare", base + m.start(), base + m.end(), m[0])]
+                while sensitive(owner[i]) and i + 1 < n and toks[i + 1].right <= m.end():
+                    owner[i + 1] = owner[i]
+                    i += 1
+            elif t.text in "&*@" and i + 1 < n:
+                owner.setdefault(i + 1, owner[i])
+        if t.kind in QUOTED and t.end - t.start > 6 and ANY_SENSITIVE.search(t.text):
+            yield from pairs_of(unescaped(t.text), pattern, base + t.start)
+        i += 1
 
 
 def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[int, int]]:
     """Spans of literals that are secrets by their target names, constants propagated."""
-    if not any(x in text for x in ("=", ":", "-----BEGIN", "</", "--")):
+    if not ANY_SENSITIVE.search(text) and "-----BEGIN" not in text:
         return []
     found: set[tuple[int, int]] = set()
-    every = list(pairs_of(text, pattern, re.compile(MORE, re.ASCII)))
+    every = list(pairs_of(text, pattern))
     places: dict[str, list[int]] = {}
     for i, (name, kind, _) in enumerate(every):
         if kind != "pem":
@@ -117,8 +318,8 @@ def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[in
         while i not in ends:
             ends[i] = i
             path.append(i)
-            kind, s, e = every[i][2][0]
-            k = bound(text[s:e], i) if kind in BARE and len(every[i][2]) == 1 else None
+            kind, _, _, said = every[i][2][0]
+            k = bound(said, i) if kind in BARE and len(every[i][2]) == 1 else None
             if k is None:
                 break
             i = k
@@ -132,8 +333,7 @@ def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[in
         i = last_of(i)
         out, spans, todo, seen = [], [], [(i, p) for p in reversed(every[i][2])], {i}
         while todo:
-            j, (kind, s, e) = todo.pop()
-            part = text[s:e]
+            j, (kind, s, e, part) = todo.pop()
             if kind in BARE:
                 k = bound(part, j)
                 if k is not None:
@@ -161,12 +361,17 @@ def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[in
 
     for i, (name, kind, parts) in enumerate(every):
         if kind == "pem":
-            found.add(parts[0][1:])
+            found.add(parts[0][1:3])
         elif sensitive(name):
             value, spans = value_of(i)
             if literal_score(value) >= threshold:
                 found.update(spans)
-    return sorted(found)
+    # What lies inside a literal that is a secret itself is no other secret.
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(found, key=lambda x: (x[0], -x[1])):
+        if not out or e > out[-1][1]:
+            out.append((s, e))
+    return out
 
 
 def base_spans(text: str, assign: re.Pattern, access: re.Pattern, hexes: re.Pattern) -> list[tuple[str, int, int]]:

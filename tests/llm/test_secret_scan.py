@@ -97,3 +97,60 @@ def test_long_literals_and_names():
         start = time.process_time()
         lexed(part * (300_000 // len(part)))
         assert time.process_time() - start < 5, part
+
+
+KEY = "Zx9kQ2vLp0Rt5w"
+
+
+def test_forms_of_ten_syntaxes():
+    """Forms that a fixed place of the value behind its name can't read."""
+    for text in (
+        f'auth_key: string = "{KEY}"', f'let private_key: &str = "{KEY}";', f'const auth_key: Map<String, String> = "{KEY}"', f'auth_key: Optional[str] = "{KEY}"',
+        f'auth_key = """{KEY}"""', f"auth_key = \'\'\'{KEY}\'\'\'".replace("\\", ""), f'<add name="auth_key" value="{KEY}"/>', f"<property value='{KEY}' key='client_secret'>",
+        f"pwd: |\n  {KEY}\nname: x", f"pwd: >-\n    {KEY}\n", f"auth_key:\n  - {KEY}\n  - 'hello'\nname: x", f"auth_key:\n- \"{KEY}\"\n", f'credential = ["{KEY}"]',
+        f'auth_key = os.environ.get("X", "{KEY}")', f'auth_key = b64("{KEY}")', f'auth_key = decode(b64("{KEY}"), "utf")', f'set_auth_key("{KEY}")', f'client.set_auth_key(user, "{KEY}")',
+        f'auth_key = new Buffer("{KEY}")', f'env["auth_key"] = "{KEY}"', f'connect(host="h", auth_key="{KEY}")', f'auth_key =\n    "{KEY}"', f'auth_key = ("{KEY}")',
+        f'my $auth_key = "{KEY}";', f'define("auth_key", x); auth_key := "{KEY}"', f'"auth_key" => "{KEY}",', f"it's so: auth_key = '{KEY}' isn't it", f'auth_key = "Zx9kQ2v" "Lp0Rt5w"',
+    ):
+        found = lexed(text)
+        assert found == [KEY] or found == ["Zx9kQ2v", "Lp0Rt5w"], (text, found)
+    for text in (f'title: string = "{KEY}"', f'<add name="title" value="{KEY}"/>', f'set_title("{KEY}")', f'title = ["{KEY}"]', f"note: |\n  {KEY}\n", f'auth_key == "{KEY}"', f'x = f("{KEY}"); auth_key = 5', f'{{"auth_key": null, "title": "{KEY}"}}'):
+        assert lexed(text) == [], text
+
+
+def test_pairs_inside_strings_of_any_length():
+    """The same pair is found in a short string and in a long one, with other quotes or escaped ones, and once more inside."""
+    for n in (0, 1, 20, 600, 5000):
+        fill = "word " * n
+        for inner in (f"{{'auth_key': '{KEY}'}}", f"auth_key='{KEY}'", f"{fill}auth_key: '{KEY}' {fill}"):
+            assert lexed(f'body = "{inner}"') == [KEY], (n, inner[:30])
+        for escaped in (f'{{\\"auth_key\\": \\"{KEY}\\"}}', f'{fill}\\nauth_key = \\"{KEY}\\"\\n{fill}'):
+            assert lexed(f'body = "{escaped}"') == [KEY], (n, escaped[:30])
+        assert lexed(f'run("curl -d \'{{\\"auth_key\\": \\"{KEY}\\"}}\' {fill}")') == [KEY]
+    assert lexed(f'auth_key = "{KEY} auth_key=\'{KEY}\'"') == [f"{KEY} auth_key='{KEY}'"]  # itself a secret: one span
+
+
+def test_generated_files_against_what_was_put_in():
+    """Files of random lines in ten syntaxes: exactly the values of sensitive names come back, in order."""
+    import random
+
+    rnd = random.Random(11)
+    forms = [
+        '{n} = "{v}"', "{n}: '{v}'", '"{n}": "{v}",', "export {n}={v}", "<{n}>{v}</{n}>", '<add name="{n}" value="{v}"/>', "{n}: string = `{v}`", "let {n}: &str = \"{v}\";", "{n}:\n  - {v}", "{n}: |\n  {v}",
+        'set_{n}("{v}")', '{n} = load("{v}", 3)', "{n} = ['{v}']", '{n} = """{v}"""', "run --{n} '{v}'", 'x = "{{\\"{n}\\": \\"{v}\\"}}"',
+    ]
+    for _ in range(400):
+        lines, want = [], []
+        for _ in range(rnd.randint(1, 12)):
+            value = "".join(rnd.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(24)) + "7aB"
+            name, hit = rnd.choice([("auth_key", True), ("dbPassword", True), ("title", False), ("client_secret", True), ("colour", False), ("max_tokens", False)])
+            lines.append(rnd.choice(forms).format(n=name, v=value))
+            want += [value] * hit
+        assert lexed("\n".join(lines)) == want, lines
+
+
+def test_linear_time_with_sensitive_names():
+    for part in ('token="', "token='b=\"c=`", "token=(", "token=[", "token: x<", "token:\n - ", "token: |\n a\n", '<add name="token" ', 'token="\\', "token=a+", "token(", "--token ", "'token'", '"token":{'):
+        start = time.process_time()
+        lexed(part * (100_000 // len(part)))
+        assert time.process_time() - start < 6, part
