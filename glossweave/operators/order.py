@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import sequence
+from . import ranges, sequence
 
 BREAK_COST = 4.0
 
@@ -91,30 +94,131 @@ def products(df: DataFrame, word: str, confusable: tuple[tuple[str, str], ...],
     return out
 
 
-def viterbi(df: DataFrame, part: str, order: str, word: str, confusable: tuple[tuple[str, str], ...], cap: int = 48, cost: float = BREAK_COST) -> DataFrame:
-    """(part, order, word, chosen): one candidate respelling a row such that edits plus cost for each break of order are least over the group.
-
-    Sequential within a group by nature, so groups must be of bounded size. Candidates come by number of edits, then text; ties go to the first.
+class Respelling:
+    """Least-cost choice of one candidate a row: an edit costs 1, a word that stands before its predecessor costs `cost`. Words are compared in lower case."""
+
+    def __init__(self, confusable: tuple[tuple[str, str], ...], cap: int, cost: float) -> None:
+        self.cap, self.cost, self.swap, self.known = cap, cost, {}, {}
+        for a, b in confusable:
+            self.swap.setdefault(a, set()).add(b)
+            self.swap.setdefault(b, set()).add(a)
+
+    def layer(self, word: str | None) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Candidates of a word, their edits, their lower-case forms, and the order of those."""
+        if word not in self.known:
+            if len(self.known) > 4096:
+                self.known.clear()
+            found = candidates_of(word or "", self.swap, self.cap)
+            lower = np.array([c.lower() for _, c in found], object)
+            self.known[word] = [c for _, c in found], np.array([e for e, _ in found]), lower, np.argsort(lower, kind="stable")
+        return self.known[word]
+
+    def step(self, costs: np.ndarray, before: str | None, word: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Costs up to each candidate of the next word, and which candidate before gives them: the first of the cheapest."""
+        _, edits, here, _ = self.layer(word)
+        ways = costs[:, None] + np.where(here[None, :] < self.layer(before)[2][:, None], self.cost, 0.0)
+        choice = ways.argmin(axis=0)
+        return ways[choice, np.arange(len(edits))] + edits, choice
+
+    def onto(self, costs: np.ndarray, before: str | None, word: str | None) -> np.ndarray:
+        """The same costs for many rows of them at once: the least of those that stand no later, or the least of all and a break."""
+        _, edits, here, _ = self.layer(word)
+        _, _, there, order = self.layer(before)
+        least = np.minimum.accumulate(costs[:, order], axis=1)
+        many = np.searchsorted(there[order], here, "right")
+        kept = np.where(many > 0, least[:, np.maximum(many - 1, 0)], np.inf)
+        return np.minimum(kept, least[:, -1:] + self.cost) + edits
+
+    def effect(self, words: list[str | None]) -> bytes:
+        """A chunk's (min, +) matrix from the candidates of its first word to those of its last, with these words."""
+        edits = self.layer(words[0])[1]
+        costs = np.where(np.eye(len(edits), dtype=bool), edits[None, :], np.inf)
+        for a, b in zip(words, words[1:]):
+            costs = self.onto(costs, a, b)
+        return pickle.dumps((words[0], words[-1], costs))
+
+    def compose(self, effects: list[bytes]) -> bytes:
+        first, last, costs = pickle.loads(effects[0])
+        for e in effects[1:]:
+            begin, end, more = pickle.loads(e)
+            reached = self.onto(costs, last, begin) - self.layer(begin)[1]
+            costs, last = (reached[:, :, None] + more[None]).min(axis=1), end
+        return pickle.dumps((first, last, costs))
+
+    def arrive(self, state: bytes | None, effect: bytes) -> bytes:
+        """The costs up to each candidate of a chunk's last word, with that word, from those before the chunk."""
+        begin, end, costs = pickle.loads(effect)
+        if state is None:
+            return pickle.dumps((end, costs.min(axis=0)))
+        last, reached = pickle.loads(state)
+        onto, _ = self.step(reached, last, begin)
+        return pickle.dumps((end, ((onto - self.layer(begin)[1])[:, None] + costs).min(axis=0)))
+
+    def backs(self, words: list[str | None], state: bytes | None) -> tuple[list[np.ndarray], np.ndarray]:
+        """For each word of a chunk but a part's first, which candidate of the word before it comes from; and the costs at the last word."""
+        if state is None:
+            costs, out = self.layer(words[0])[1], []
+        else:
+            last, costs = pickle.loads(state)
+            costs, choice = self.step(costs, last, words[0])
+            out = [choice]
+        for a, b in zip(words, words[1:]):
+            costs, choice = self.step(costs, a, b)
+            out.append(choice)
+        return out, costs
+
+
+def viterbi(df: DataFrame, part: str, order: str, word: str, confusable: tuple[tuple[str, str], ...], cap: int = 48, cost: float = BREAK_COST, bits: int = ranges.BITS) -> DataFrame:
+    """(part, order, word, chosen): one candidate respelling a row such that edits plus cost for each break of order are least over the part.
+
+    A part may be of any length: it goes in chunks of 2^bits rows at most. A chunk's effect is a matrix in the semiring of least sums, from candidates of its
+    first row to those of its last; a tree of such products gives the costs before each chunk. With these every chunk knows for each way out
+    which way in it came from; those maps are joined from the end. Candidates come by number of edits, then text; ties go to the first, so the
+    result is that of one pass over the part, whatever the chunks. order may be any column that sorts, without ties; a null word is an empty one.
     """
-    swap: dict[str, set[str]] = {}
-    for a, b in confusable:
-        swap.setdefault(a, set()).add(b)
-        swap.setdefault(b, set()).add(a)
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable").reset_index(drop=True)
-        layers = [candidates_of(w or "", swap, cap) for w in rows[word]]
-        best, back = [c for c, _ in layers[0]], []
-        for prev, here in zip(layers, layers[1:]):
-            steps = [min(range(len(prev)), key=lambda j: best[j] + (cost if c.lower() < prev[j][1].lower() else 0)) for _, c in here]
-            best = [e + best[j] + (cost if c.lower() < prev[j][1].lower() else 0) for (e, c), j in zip(here, steps)]
-            back.append(steps)
-        at = min(range(len(best)), key=best.__getitem__)
+    way = Respelling(confusable, cap, cost)
+    kinds = dict(df.dtypes)
+    rows = ranges.numbered(df.select(part, order, word), [part], [order], "_place").withColumn("_chunk", ranges.chunk_of("_place", bits))
+    key, head = [part, "_chunk"], f"{part} {kinds[part]}, _chunk long"
+    words_of = lambda r: [w if isinstance(w, str) else None for w in r.sort_values("_place")[word]]
+
+    def one(rows: pd.DataFrame, **more) -> pd.DataFrame:
+        return pd.DataFrame({part: rows[part][:1].values, "_chunk": rows["_chunk"][:1].values, **more})
+
+    effects = rows.groupBy(*key).applyInPandas(lambda r: one(r, effect=[way.effect(words_of(r))]), f"{head}, effect binary")
+    before = ranges.scan(effects, part, "_chunk", "effect", way.compose, way.arrive)
+
+    def ways_in(rows: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        out, costs = way.backs(words_of(rows), before["state"].iloc[0])
+        at = np.arange(len(costs))
+        for choice in reversed(out):
+            at = choice[at]
+        return one(rows, effect=[pickle.dumps((at, int(costs.argmin())))])
+
+    entries = rows.groupBy(*key).cogroup(before.groupBy(*key)).applyInPandas(ways_in, f"{head}, effect binary")
+
+    def joined(effects: list[bytes]) -> bytes:
+        """From the part's end on: what the last of these chunks is entered by, for each way out of the first, and the best way out of the first."""
+        (at, best), *rest = [pickle.loads(e) for e in effects]
+        for more, _ in rest:
+            at = more[at]
+        return pickle.dumps((at, best))
+
+    def leave(state: bytes | None, effect: bytes) -> bytes:
+        at, best = pickle.loads(effect)
+        return pickle.dumps(int(at[best if state is None else pickle.loads(state)]))
+
+    exits = ranges.scan(entries, part, "_chunk", "effect", joined, leave, backwards=True)
+    both = before.withColumnRenamed("state", "before").join(exits.withColumnRenamed("state", "exit").withColumnRenamed(part, "_p").withColumnRenamed("_chunk", "_c"), F.col(part).eqNullSafe(F.col("_p")) & (F.col("_chunk") == F.col("_c"))).select(*key, "before", "exit")
+
+    def choose(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        rows, words = rows.sort_values("_place"), words_of(rows)
+        out, costs = way.backs(words, known["before"].iloc[0])
+        at = int(costs.argmin()) if known["exit"].iloc[0] is None else pickle.loads(known["exit"].iloc[0])
         path = [at]
-        for steps in reversed(back):
-            path.append(steps[path[-1]])
-        rows["chosen"] = [layer[i][1] for layer, i in zip(layers, reversed(path))]
-        return rows[[part, order, word, "chosen"]]
+        for choice in reversed(out):
+            path.append(int(choice[path[-1]]))
+        path = path[: len(words)][::-1]
+        return rows.assign(chosen=[way.layer(w)[0][i] for w, i in zip(words, path)])[[part, order, word, "chosen"]]
 
-    kinds = dict(df.dtypes)
-    return df.select(part, order, word).groupBy(part).applyInPandas(solve, f"{part} {kinds[part]}, {order} {kinds[order]}, {word} string, chosen string")
+    return rows.groupBy(*key).cogroup(both.groupBy(*key)).applyInPandas(choose, f"{part} {kinds[part]}, {order} {kinds[order]}, {word} string, chosen string")

@@ -1,4 +1,4 @@
 """All queries of the library by name, with their SQL."""
 
-from . import derive, lexical, relational, repairs, sequences, typed, udfs  # noqa: F401
+from . import derive, large, lexical, relational, repairs, sequences, typed, udfs  # noqa: F401
 from .base import QUERIES, SQL  # noqa: F401
