@@ -80,12 +80,18 @@ def literal_score(text: str) -> float:
     return bits / 4 * (0.4 + 0.2 * kinds) * min(1.0, len(text) / 12)
 
 
-#: A name whose letters and digits hold a sensitive part; a text without one has no pair that could count.
-ANY_SENSITIVE = re.compile("|".join(r"[^A-Za-z0-9\s]*".join(w) for w in SENSITIVE), re.IGNORECASE | re.ASCII)
-
-
 #: Stands for the backslash of an escaped sign.
 HOLE = "\0"
+#: The sensitive parts that hold no other of them.
+STEMS = tuple(w for w in SENSITIVE if not any(v != w and v in w for v in SENSITIVE))
+
+
+def may_name(text: str) -> bool:
+    """False if no name in a text can be sensitive: names are letters, digits and the signs _ $ . -, and are compared without signs."""
+    plain = text.lower()
+    for sign in "_$.-":
+        plain = plain.replace(sign, "")
+    return any(w in plain for w in STEMS)
 
 
 class Token:
@@ -286,14 +292,14 @@ def pairs_of(text: str, pattern: re.Pattern, base: int = 0):
                     i += 1
             elif t.text in "&*@" and i + 1 < n:
                 owner.setdefault(i + 1, owner[i])
-        if t.kind in QUOTED and t.end - t.start > 6 and ANY_SENSITIVE.search(t.text):
+        if t.kind in QUOTED and t.end - t.start > 6 and may_name(t.text):
             yield from pairs_of(unescaped(t.text), pattern, base + t.start)
         i += 1
 
 
 def lex_spans(text: str, pattern: re.Pattern, threshold: float) -> list[tuple[int, int]]:
     """Spans of literals that are secrets by their target names, constants propagated."""
-    if not ANY_SENSITIVE.search(text) and "-----BEGIN" not in text:
+    if not may_name(text) and "-----BEGIN" not in text:
         return []
     found: set[tuple[int, int]] = set()
     every = list(pairs_of(text, pattern))
