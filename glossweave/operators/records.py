@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text as T
-
-# Letters of language codes and what they stand for.
-LANGUAGES = {"D": "Germana", "E": "Angla", "F": "Franca", "I": "Italiana", "R": "Rusa", "S": "Hispana", "L": "Latina", "P": "Portugalana", "G": "Greka", "N": "Nederlandana"}
 HEAD = "^[*+«]?[a-zà-ÿ'’()-]+!?»?\\."
-SENSE = "(?:^|\\s)-?\\s*(?:I{1,3}|IV|VI{0,3}|IX|X)\\.\\s+"
 
 
 def starts(lines: DataFrame) -> Column:
@@ -40,25 +35,6 @@ def adopt(records: DataFrame, orphans: DataFrame) -> DataFrame:
     return records.join(met, ["page", "line"], "left").withColumn("text", F.concat_ws(" ", "text", "orphan")).drop("orphan")
 
 
-def parse(records: DataFrame) -> DataFrame:
-    """Adds vedetto, fako, senci, kodo, lingui, drapeli to records with a text."""
-    order = T.CODE_ORDER
-    head = F.regexp_extract("text", "^([^.]*?)\\s*\\.", 1)
-    out = records.withColumn("citita", head.startswith("«")).withColumn("vedetto", F.regexp_replace(head, "[«»]", "")).withColumn("rest", F.regexp_extract("text", "^[^.]*\\.\\s*(.*)$", 1))
-    tail = F.regexp_extract("rest", "[-–.]\\s*([A-Za-z]{1,12})\\.?\\s*$", 1)
-    code = T.read_code(F.upper(F.regexp_replace(tail, "l", "I")), order)
-    enough = F.length(F.regexp_replace(tail, "[^A-Z]", "")) * 10 >= F.length(tail) * 6
-    out = out.withColumn("kodo", F.when(enough & (tail != ""), code))
-    out = out.withColumn("rest", F.when(F.col("kodo").isNotNull(), F.regexp_replace("rest", "\\s*[-–.]?\\s*[-–]?\\s*[A-Za-z]{1,12}\\.?\\s*$", "")).otherwise(F.col("rest")))
-    names = F.create_map(*(F.lit(x) for kv in LANGUAGES.items() for x in kv))
-    out = out.withColumn("lingui", F.when(F.col("kodo").isNotNull(), F.transform(F.split("kodo", ""), lambda c: F.element_at(names, c))))
-    out = out.withColumn("fako", F.nullif(F.regexp_extract("rest", "^\\((.*?)\\)\\.?\\s*(?!\\()", 1), F.lit("")))
-    out = out.withColumn("rest", F.when(F.col("fako").isNotNull(), F.regexp_replace("rest", "^\\(.*?\\)\\.?\\s*(?!\\()", "")).otherwise(F.col("rest")))
-    out = out.withColumn("senci", F.filter(F.transform(F.split("rest", SENSE), lambda s: T.trim_end(F.trim(F.regexp_replace(s, "\\s*-\\s*$", "")))), lambda s: s != ""))
-    flags = [("sen-chefvorto", F.col("vedetto") == ""), ("finalo-nekustumala", ~F.col("vedetto").rlike(f"({'|'.join(T.ENDINGS)})!?$") & ~F.col("vedetto").rlike("^-|-!?$") & ~F.col("citita")), ("sen-lingua", F.col("kodo").isNull())]
-    return out.withColumn("drapeli", F.filter(F.array(*(F.when(t, n) for n, t in flags)), lambda x: x.isNotNull())).drop("rest")
-
-
 def compact(records: DataFrame) -> DataFrame:
     """Published form: short names, empty values null so that writers leave them out."""
     empty = lambda c: F.when(F.size(c) > 0, F.col(c))

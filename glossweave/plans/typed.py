@@ -1,4 +1,4 @@
-"""Repairs and grammar of typed text, each laid over every part's name with samples whose results are known: the SQL states the results."""
+"""Repairs and grammar of typed text over whole tables: documents are spoiled by replacements that both engines make, then repaired."""
 
 from __future__ import annotations
 
@@ -6,106 +6,128 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import repairs as R
+from ..functions.pieces import LETTER, Rules, quoted, sql_steps
 from ..operators import grammar, quality
 from ..operators import parentheticals as P
 from ..sources import sinks
 from .base import QUERIES, SQL, query, table
 
 
-def quoted(value: str | None) -> str:
-    return "null" if value is None else "'" + value.replace("'", "''") + "'"
+def spoil(*swaps: tuple[str, str], text: str = "text") -> str:
+    """SQL text, the same for both engines: the replacements in turn."""
+    for a, b in swaps:
+        text = f"replace({text}, {quoted(a)}, {quoted(b)})"
+    return text
 
 
-def sampled(spark, sf_dir, texts):
-    """Every part with one of the texts in turn."""
-    every = F.array(*(F.lit(x).cast("string") for x in texts))
-    return table(spark, sf_dir, "part").select("p_partkey", "p_name", F.element_at(every, (F.col("p_partkey") % len(texts) + 1).cast("int")).alias("sample"))
-
-
-def by_sample(values, of: str = "p_partkey") -> str:
-    return f"case {of} % {len(values)} " + " ".join(f"when {i} then {quoted(v)}" for i, v in enumerate(values)) + " end"
-
-
-def golden(name: str, change, samples: dict[str, str], tail: bool = True) -> None:
-    """Register a query: change() of each sample, with the part's name behind it where the repair looks at no end of the text."""
-    texts, results = list(samples), list(samples.values())
+def repaired(name: str, spoiled: str, change, sql: str | None = None, rules: tuple[Rules, ...] = ()) -> None:
+    """Register a query: the digest of every document's text, spoiled and then repaired. Its SQL is given, or made of the rules."""
 
     def run(spark, sf_dir):
-        d = sampled(spark, sf_dir, texts)
-        return d.select("p_partkey", change(F.concat("sample", F.lit(" # "), "p_name") if tail else F.col("sample")).alias("text"))
+        docs = table(spark, sf_dir, "documents").select("doc_id", F.expr(spoiled).alias("text"))
+        fixed = docs.select("doc_id", change(F.col("text")).alias("fixed"), "text")
+        return fixed.select("doc_id", F.md5("fixed").alias("digest"), (F.col("fixed") != F.col("text")).alias("changed"))
 
     run.__name__ = name
     QUERIES[name] = run
-    SQL[name] = f"select p_partkey, {by_sample(results)}{' || chr(32) || chr(35) || chr(32) || p_name' if tail else ''} as text from part"
-
-
-golden("typed_digits", R.to_digits, {
-    "lOO yari": "100 yari", "2O gradi e 3l metri": "20 gradi e 31 metri", "Al2O3 ne chanjas": "Al2O3 ne chanjas", "OOOO": "0000", "indikar : l. objekto": "indikar : 1. objekto",
-    "(l) unesme": "(1) unesme", "ye 20o C e 15o Celsius": "ye 20° C e 15° Celsius", "1000metri": "1000 metri", "punto O e l": "punto O e l",
-})
-golden("typed_formulas", R.formulas, {
-    "H2 O esas aquo": "H₂O esas aquo", "C6 H12 O6 esas sukro": "C₆H₁₂O₆ esas sukro", "La C5 H4 N4 quan ol havas": "La C₅H₄N₄ quan ol havas", "DEFIRS restas": "DEFIRS restas",
-    "equaciono ax2 + bx": "equaciono ax² + bx", "(CH3)2 restas": "(CH₃)₂ restas", "24 H2 restas": "24 H₂ restas", "I. La homo": "I. La homo",
-})
-golden("orphan_brackets", R.orphan_bracket, {"fino di texto)": "fino di texto", "fino (di texto)": "fino (di texto)", "(a) b) c)": "(a) b) c", "sen parentezo": "sen parentezo", "ek arboro.)": "ek arboro"}, tail=False)
-golden("closed_qualifiers", R.close_qualifier, {"(biol. Igar pasar": "(biol.) Igar pasar", "(bot.Frukto kapsula": "(bot.) Frukto kapsula", "(biol.) Igar": "(biol.) Igar", "sen (marko": "sen (marko"})
-golden("closed_brackets", R.close_bracket, {"anke (aludante penso": "anke (aludante penso)", "(a) e (b": "(a) e (b)", "(a (b": "(a (b", "nulo": "nulo", "(klozita) fino": "(klozita) fino"}, tail=False)
-golden("balanced_brackets", R.balance_brackets, {
-    "Gumo ek arboro) di India": "Gumo ek arboro di India", "Deprenar (per violento, koakto": "Deprenar per violento, koakto", "(trans. Kustumigar": "(trans.) Kustumigar", "(a (b) c) d": "(a (b) c) d", "sen": "sen",
-}, tail=False)
-golden("doubled_marks", R.tidy_punctuation, {"un,, du": "un, du", "un ,. du": "un, du", "201° C. , kontenata": "201° C., kontenata", "nekompleta , quan": "nekompleta, quan", "fino . . nova": "fino . nova", "ellipso ... restas": "ellipso ... restas"})
-golden("spaced_marks", R.space_out, {
-    "familio,labiacei": "familio, labiacei", "esas L.acarus": "esas L. acarus", "(a)(bb": "(a) (bb", "fino).Nova": "fino). Nova", "\"fino\".Nova": "\"fino\". Nova", "vorto( ula )": "vorto (ula)", "e c fino": "e c. fino", "fino) . e": "fino) e",
-    "esas,*nova": "esas, *nova", "(fako) : Texto": "(fako) Texto",
-})
-golden("set_dashes", R.dashes, {"un - du": "un – du", "un -- du": "un — du", "vorto -(noto) fino": "vorto – (noto) fino", "mar-baseno": "mar-baseno"})
-golden("stray_dashes", R.stray_dashes, {"direte.- (metaf.)": "direte. – (metaf.)", "longe.- Movo": "longe. – Movo", "adextere. -Movo": "adextere. – Movo", "rivo,-homi": "rivo, – homi", "mar-baseno": "mar-baseno"})
-golden("ellipses", R.ellipsis, {"fino....": "fino…", "un...du": "un… du", "fino.": "fino."})
-golden("multiplication_signs", R.multiplication, {"3 x 4": "3 × 4", "x e y": "x e y", "ax 2": "ax 2"})
-golden("hyphenated_compounds", lambda c: R.hyphenate(c, ("mar-baseno", "mar-nivelo")), {"la marbaseno e marnivelo": "la mar-baseno e mar-nivelo", "submarbaseno": "submarbaseno"})
-golden("pointed_metaphors", R.point_metaphor, {"(anke metaf)": "(anke metaf.)", "(Anke metaf.)": "(Anke metaf.)"})
-golden("pointed_abbreviations", R.point, {"bot, zool. e kem": "bot., zool. e kem.", "botaniko": "botaniko", "milit-arto": "milit-arto"})
-golden("lower_initials", R.lower_initial, {"Muziko": "muziko", "Italia": "Italia", "M : natro": "M : natro", "Roentgen-radii": "Roentgen-radii", "(fako)": "(fako)", "Na": "na", "Si O3": "Si O3", "Élekto": "élekto"}, tail=False)
-golden("uniform_domains", R.uniform, {"zoolog., botaniko": "zool., bot.", "netr.,an": "netrans., an", "Botaniko": "bot.", "olima botaniko": "olima botaniko", "kem. e anatom.": "kem. e anat.", "1,18 metro": "1,18 metro"}, tail=False)
-golden("pointed_senses", R.qualifiers, {"(Bot) La planto": "(bot.) La planto", "signo (,) indikas": "signo (,) indikas", "esas tala. (Dicesas pri homi)": "esas tala. (Dicesas pri homi)", "la (Muziko, zoolog) arto": "la (muziko, zool.) arto"}, tail=False)
-golden("highlighted_bodies", lambda c: R.body(c, "ma"), {
-    "(muziko) Marko & <b>": "<i>(muziko)</i> <mark>Ma</mark>rko &amp; &lt;b&gt;", "la homo ma": "la <i>homo</i> <mark>ma</mark>", "(a) unesma": "(a) unes<mark>ma</mark>", "(H2O) aquo": "(H2O) aquo", "nulo": "nulo",
-}, tail=False)
-golden("tex_italics", R.italics, {"(muziko) Ludo": "\\textit{(muziko)} Ludo", "(H₂O) aquo": "(H₂O) aquo", "Ludo": "Ludo", "\\textit{x} y": "\\textit{x} y"}, tail=False)
-golden("overstrikes", R.overstrikes, {"\\sur{\\textasciicircum{}}{a}mo e \\sur{\\textasciicircum{}}{o}": "âmo e ô", "nulo": "nulo"})
-
-CODES = {"DEFIRS": "Germana,Angla,Franca,Italiana,Rusa,Hispana", "dEFIRS": "Germana,Angla,Franca,Italiana,Rusa,Hispana", "DEFlS": "Germana,Angla,Franca,Italiana,Hispana", "gamo": None, "II": None, "DEFISued": "Sueda,Germana,Angla,Franca,Italiana", "FNed": "Nederlandana,Franca", "DX": None, "": None}
-
-
-@query(f"select p_partkey, {by_sample(list(CODES.values()))} as languages from part")
+    sql = sql_steps("t", rules) if rules else sql
+    if sql:
+        SQL[name] = f"with s as (select *, {spoiled} as t from documents), f as (select doc_id, t, {sql} as fixed from s) select doc_id, md5(fixed) as digest, fixed <> t as changed from f"
+
+
+COMPOUNDS = ("th-the", "en-le", "in-on", "de-la", "die-der")
+
+
+def cut_end_sql(x: str) -> str:
+    bare = f"regexp_replace({x}, '[\\s.\\-—–]+$', '')"
+    return f"({bare} || regexp_extract(substr({x}, length({bare}) + 1), '[.]{{3,}}'))"
+
+
+def counted(x: str, sign: str) -> str:
+    return f"(length({x}) - length(replace({x}, '{sign}', '')))"
+
+
+def depth_sql(x: str) -> str:
+    signs = f"string_split(regexp_replace({x}, '[^()]', '', 'g'), '')"
+    return f"list_reduce(list_prepend(0, list_transform({signs}, lambda c: case c when '(' then 1 when ')' then -1 else 0 end)), lambda d, y: greatest(0, d + y))"
+
+
+def html_sql(x: str) -> str:
+    return f"regexp_replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '(?i)(th)', '<mark>\\1</mark>', 'g')"
+
+
+_BEFORE_LAST, _LAST_PART = "substr(t, 1, length(t) - 1)", "string_split(t, '(')[-1]"
+_BEFORE_PART = f"substr(t, 1, length(t) - length({_LAST_PART}) - 1)"
+_NAME, _AFTER = "substr(t, 2, strpos(t, '.') - 2)", "substr(t, strpos(t, '.') + 1)"
+_FIRST = "regexp_replace(regexp_extract(t, '^\\S+'), '[.,)]+$', '')"
+_PROPER = ", ".join(map(quoted, R.PROPER))
+
+repaired("typed_digits", spoil(("1", "l"), ("0", "O"), (" the ", " 20o C 1500the "), (" de ", " : l. (l) ")), R.to_digits, rules=(R.DIGITS, R.UNITS))
+repaired("typed_formulas", spoil((", ", " H2 O, "), (". ", " La C5 H4 N4. (CH3)2 ")), R.formulas)
+repaired("orphan_brackets", "case when doc_id % 3 = 0 then text || ')' when doc_id % 3 = 1 then replace(text, ', ', ' (') || ' . )' else text end", R.orphan_bracket,
+         f"case when right(t, 1) = ')' and {depth_sql(_BEFORE_LAST)} = 0 then {cut_end_sql(_BEFORE_LAST)} else t end")
+repaired("closed_qualifiers", "case when doc_id % 2 = 0 then '(' || lang || '. ' else '(' || lang || '.' end || text", R.close_qualifier,
+         f"case when left(t, 1) = '(' and regexp_matches({_NAME}, '^[{LETTER}]+$') and length({_NAME}) between 2 and 12 and regexp_matches({_AFTER}, '^[\\sA-ZÀ-Ý]') and {counted('t', '(')} > {counted('t', ')')}"
+         f" then '(' || {_NAME} || '.)' || case when regexp_matches({_AFTER}, '^\\s') then '' else ' ' end || {_AFTER} else t end")
+repaired("closed_brackets", "case when doc_id % 2 = 0 then replace(text, '. ', ' (') || '  ' else replace(replace(text, ', ', ' ('), '. ', ') ') end", R.close_bracket,
+         f"case when contains(t, '(') and not contains({_LAST_PART}, ')') and {counted(_BEFORE_PART, '(')} = {counted(_BEFORE_PART, ')')} then rtrim(t) || ')' else t end")
+repaired("balanced_brackets", spoil((", ", " ("), (". ", ") ")), R.balance_brackets)
+repaired("doubled_marks", spoil((", ", " ,, "), (". ", " . . ")), R.tidy_punctuation, rules=(R.DOUBLED,))
+repaired("spaced_marks", spoil((", ", ","), (". ", ").(e c ), *"), (" the ", "(th) ( the- ajo L.")), lambda c: R.SPACED.column(c), rules=(R.SPACED,))
+repaired("set_dashes", spoil((", ", " - "), (". ", " -- "), (" the ", " -(the) ")), R.dashes, rules=R.DASHES)
+repaired("stray_dashes", spoil((". ", ".- "), (", ", ",-"), (" the ", ". -The ")), R.stray_dashes, rules=(R.STRAY,))
+repaired("ellipses", spoil((". ", "....")), R.ellipsis, rules=(R.DOTS,))
+repaired("multiplication_signs", spoil((", ", " x 4 ")), R.multiplication, rules=(R.TIMES,))
+repaired("hyphenated_compounds", spoil((" the ", " ththe "), (" en ", " enle "), (" die ", " dieder-")), lambda c: R.hyphenate(c, COMPOUNDS), rules=(R.welded(COMPOUNDS),))
+repaired("pointed_metaphors", spoil((". ", " (anke metaf) "), (", ", " (Anke  metaf) ")), R.point_metaphor, rules=(R.METAPHOR,))
+repaired("pointed_abbreviations", spoil((", ", ", bot, milit-"), (" the ", " Zool the.kem ")), R.point, rules=(R.POINTED,))
+repaired("lower_initials", "case doc_id % 4 when 0 then text when 1 then 'Roma-' || text when 2 then 'Na ' || text else 'Élekto' || text end", R.lower_initial,
+         f"case when not regexp_matches(t, '^[A-ZÀ-Ý]') or regexp_matches(regexp_replace({_FIRST}, '''+$', ''), '^[A-ZÀ-Ý]{{1,2}}$') or {_FIRST} in ({_PROPER}) or string_split({_FIRST}, '-')[1] in ({_PROPER})"
+         f" or regexp_matches({_FIRST}, '[0-9₀-₉]') then t else lower(left(t, 1)) || substr(t, 2) end")
+repaired("uniform_domains", spoil((". ", ",botaniko e Kem,"), (" the ", " the , trans.pri ")), R.uniform)
+repaired("pointed_senses", spoil((". ", ". (Bot) "), (", ", " (,) (Muziko, zoolog) "), text="text || '. (Remarko Zoolog)'"), R.qualifiers)
+_LEAD = "case when doc_id % 2 = 0 then '(' || source || ') ' else '(' || lang || ') ' end || text || ' <a & b>'"
+_OPEN = "regexp_extract(t, '^[(][^()]*[)] *')"
+_REST = f"substr(t, length({_OPEN}) + 1)"
+repaired("highlighted_bodies", _LEAD, lambda c: R.body(c, "th"), f"case when regexp_matches({_OPEN}, '[0-9]') then {html_sql('t')} else '<i>' || {html_sql(f'trim({_OPEN})')} || '</i> ' || {html_sql(_REST)} end")
+repaired("tex_italics", _LEAD, R.italics, f"case when regexp_matches({_OPEN}, '[0-9]') or regexp_matches({_REST}, '^[0-9]') then t else chr(92) || 'textit{{' || trim({_OPEN}) || '}} ' || regexp_replace({_REST}, '^\\s+', '') end")
+_SUR = "chr(92) || 'sur{' || chr(92) || 'textasciicircum{}}{"
+repaired("overstrikes", f"replace(replace(text, 'a', {_SUR}a}}'), 'th', {_SUR}th')", R.overstrikes, f"replace(t, {_SUR}a}}', 'â')")
+
+#: Tokens made of a key's digest, of letters of codes and some that aren't, so that all tests of a code come up.
+_TOKEN = "translate(substr(md5(cast(p_partkey as {0})), 1, cast(p_partkey % 7 + 1 as int)), '0123456789abcdef', 'DEFIRSLPGNdEFIRl')"
+_NAMED = "case x " + " ".join(f"when '{k}' then '{v}'" for k, v in grammar.LANGUAGES.items()) + " end"
+
+
+@query(f"""with c as (select p_partkey, {_TOKEN.format("varchar")} as token from part),
+ l as (select *, length(regexp_replace(token, '[^A-Z]', '', 'g')) as tops, string_split(upper(replace(token, 'l', 'I')), '') as ls from c),
+ n as (select *, list_transform(ls, lambda x: {_NAMED}) as names from l)
+ select p_partkey, case when tops >= greatest(1, floor(length(token) * 0.6)) and len(list_filter(names, lambda x: x is null)) = 0 and len(list_distinct(names)) = len(names) then array_to_string(names, ',') end as languages from n""")
 def language_codes(spark, sf_dir):
-    """What codes of languages stand for, one a part in turn; null for what is none."""
-    return sampled(spark, sf_dir, list(CODES)).select("p_partkey", F.array_join(grammar.read_code(F.col("sample")), ",").alias("languages"))
-
-
-FIELDS = ("vedetto", "fako", "kodo", "lingui", "latina", "simbolo", "senci", "noti", "drapeli")
-ARTICLES = {
-    "abaco. (arkit.) Supra parto di kapitelo. - DEFIRS.": ("abaco", "arkit.", "DEFIRS", "Germana,Angla,Franca,Italiana,Rusa,Hispana", "", None, "Supra parto di kapitelo", "", ""),
-    "abasar. (trans.) (metaf) Igar min alta - I. Desaltigar - II. Humiligar. - EFIS": ("abasar", "trans.) (metaf.", "EFIS", "Angla,Franca,Italiana,Hispana", "", None, "Igar min alta|Desaltigar|Humiligar", "", ""),
-    "an. Prepoziciono qua indikas relato. - DE": ("an", None, "DE", "Germana,Angla", "", None, "Prepoziciono qua indikas relato", "", ""),
-    "abelo. (Zoolog) Insekto qua donas mielo. L. apis mellifica - EFIS": ("abelo", "zool.", "EFIS", "Angla,Franca,Italiana,Hispana", "apis mellifica", None, "Insekto qua donas mielo", "", ""),
-    "palado. (kem.) Metalo blanka. Simbolo kemiala : Pd. - DEFIRS": ("palado", "kem.", "DEFIRS", "Germana,Angla,Franca,Italiana,Rusa,Hispana", "", "Pd", "Metalo blanka", "", ""),
-    "auroro. Lumo matinala. - Metaf.: La komenco di ulo granda. - FIS": ("auroro", None, "FIS", "Franca,Italiana,Hispana", "", None, "Lumo matinala.", "Metaf.: La komenco di ulo granda", ""),
-    "ah! Interjeciono qua expresas joyo.": ("ah!", None, None, None, "", None, "Interjeciono qua expresas joyo", "", "sen-lingua"),
-    "\"amen\". Vorto quotata. - L. amenus - DEF": ("amen", None, "DEF", "Germana,Angla,Franca", "amenus", None, "Vorto quotata", "", ""),
-    "kam. Vorto qua komparas. - Jap., Sanskr.": ("kam", None, "Jap., Sanskr", "Japoniana,Sanskrita", "", None, "Vorto qua komparas", "", "finalo-nekustumala"),
-    "": ("", None, None, None, "", None, "", "", "sen-chefvorto,sen-lingua"),
-    "a b a d o. (l) Unesma senco. - (2) Duesma. - ER": ("abado", None, "ER", "Angla,Rusa", "", None, "Unesma senco|Duesma", "", ""),
-    "a. (d) Letro. - DE": ("a(d)", None, "DE", "Germana,Angla", "", None, "Letro", "", "finalo-nekustumala"),
-}
+    """What the codes of languages stand for; null for what is none."""
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(grammar.read_code(F.expr(_TOKEN.format("string"))), ",").alias("languages"))
+
+
+FIELDS = ("vedetto", "fako", "kodo", "lingui", "latina", "simbolo", "senci", "noti", "strukt", "drapeli")
+#: Articles put together from a part's columns, in six shapes: w a word, s a sense, d a domain, n the shape.
+_PARTS = "select p_partkey, p_partkey % 6 as n, split_part(p_name, ' ', 2) || 'o' as w, upper(left(p_name, 1)) || substr(p_name, 2) as s, lower(p_type) as d from part"
+_TEXT = """case n when 0 then w || '. (' || d || ') ' || s || '. - DEFIRS.' when 1 then w || '. ' || s || ' - I. ' || s || ' una - II. Du ' || d || '. - EFIS'
+ when 2 then w || '. (' || d || ') ' || s || '. L. ' || d || ' alba - DE' when 3 then w || '. ' || s || '. Simbolo kemiala : Pd. - ER' when 4 then w || '. ' || s || '. - Remarko longa pri ' || d || '. - FIS'
+ else '"' || w || '". ' || s || '. - ' || s || ' : ' || d || ' klara' end"""
 
 
-@query("select p_partkey, " + ", ".join(f"{by_sample([v[i] for v in ARTICLES.values()])} as {f}" for i, f in enumerate(FIELDS)) + " from part")
+@query(f"""with p as ({_PARTS}) select p_partkey, w as vedetto, case when n in (0, 2) then d end as fako, case n when 0 then 'DEFIRS' when 1 then 'EFIS' when 2 then 'DE' when 3 then 'ER' when 4 then 'FIS' end as kodo,
+ case n when 0 then 'Germana,Angla,Franca,Italiana,Rusa,Hispana' when 1 then 'Angla,Franca,Italiana,Hispana' when 2 then 'Germana,Angla' when 3 then 'Angla,Rusa' when 4 then 'Franca,Italiana,Hispana' end as lingui,
+ case when n = 2 then d || ' alba' else '' end as latina, case when n = 3 then 'Pd' end as simbolo,
+ case n when 1 then s || '|' || s || ' una|Du ' || d when 4 then s || '.' when 5 then s || '. – ' || s || ' : ' || d || ' klara' else s end as senci,
+ case when n = 4 then 'Remarko longa pri ' || d else '' end as noti, case when n = 5 then '1 ' || s || ' = ' || d || ' klara' else '' end as strukt, case when n = 5 then 'sen-lingua' else '' end as drapeli from p""")
 def article_grammar(spark, sf_dir):
-    """Articles of every shape read into their fields, one a part in turn."""
-    got = grammar.parse(sampled(spark, sf_dir, list(ARTICLES)), "sample")
+    """Articles of every part read into their fields."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 6).alias("n"), F.expr("split_part(p_name, ' ', 2) || 'o'").alias("w"), F.expr("upper(left(p_name, 1)) || substr(p_name, 2)").alias("s"), F.lower("p_type").alias("d"))
+    got = grammar.parse(parts.withColumn("article", F.expr(_TEXT)), "article")
     lists = {"lingui": ",", "latina": ",", "senci": "|", "noti": "|", "drapeli": ","}
-    return got.select("p_partkey", *(F.array_join(f, lists[f]).alias(f) if f in lists else F.col(f) for f in FIELDS))
+    strukt = F.array_join(F.transform("strukt", lambda x: F.concat(x["sense"].cast("string"), F.lit(" "), x["label"], F.lit(" = "), x["text"])), "|").alias("strukt")
+    return got.select("p_partkey", *(strukt if f == "strukt" else F.array_join(f, lists[f]).alias(f) if f in lists else F.col(f) for f in FIELDS))
 
 
 @query("""with p as (select p_partkey, p_name, p_type from part)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from glossweave import schema
-from glossweave.operators import matching, order, overlay, records, search, sequence
+from glossweave.operators import grammar, matching, order, overlay, records, search, sequence
 from glossweave.sources import files, sinks
 from glossweave.streaming import overlays
 
@@ -30,11 +30,11 @@ def test_grid_to_records(spark, tmp_path):
     rows = lines.orderBy("k").collect()
     assert {len(r.text) for r in rows} == {max(len(r.text) for r in rows)} and rows[0].text.strip() == "93" and rows[0].page == 17
     assert [(u.a, u.b) for u in rows[2].underlines] == [(0, 4), (8, 11)]
-    parsed = records.parse(records.cut(lines)).orderBy("line").collect()
+    parsed = grammar.parse(records.cut(lines)).orderBy("line").collect()
     assert [(r.vedetto, r.fako, r.senci, r.kodo, r.citita) for r in parsed] == [
         ("amiko", "soc.", ["Ta qua amas; fortika"], "DEFIS", False), ("amen", None, ["Fino di prego", 'Tale esez & "yes"'], "L", True)]
     assert parsed[0].lingui == ["Germana", "Angla", "Franca", "Italiana", "Hispana"] and parsed[1].drapeli == []
-    sinks.write_jsonl(records.compact(records.parse(records.cut(lines))), str(tmp_path / "out"))
+    sinks.write_jsonl(records.compact(grammar.parse(records.cut(lines))), str(tmp_path / "out"))
     back = files.read_records(spark, str(tmp_path / "out"), schema.COMPACT).orderBy("v").collect()
     assert [r.v for r in back] == ["amen", "amiko"] and back[1].f == "soc." and back[1].c is None
 
