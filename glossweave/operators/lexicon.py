@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .tables import keep
 
 # Characters that are easily taken for each other.
 CONFUSABLE = (
@@ -48,10 +52,23 @@ def stems(c: Column, endings: tuple[str, ...] = T.ENDINGS, min_left: int = 2) ->
     return F.array_distinct(F.filter(F.array(c, *(F.when(c.endswith(e) & (F.length(c) - len(e) >= min_left), F.substring(c, F.lit(1), F.length(c) - len(e))) for e in endings)), lambda x: x.isNotNull()))
 
 
+#: Bytes up to which a lexicon is broadcast; its size is measured first, and beyond that both sides are shuffled.
+BROADCAST_BYTES = 32 << 20
+
+
+def sized(df: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df, marked for a broadcast if the strings of a column are measured to be that small."""
+    size = df.agg(F.sum(F.octet_length(column) + 24)).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def unknown(tokens: DataFrame, lexicon: DataFrame, token: str = "token", word: str = "word") -> DataFrame:
-    """Tokens of which neither the form nor a stem is in the lexicon: an anti join on exploded stems."""
-    met = tokens.select(token, F.explode(stems(F.col(token))).alias("_s")).join(lexicon.select(F.col(word).alias("_s")).distinct(), "_s", "left_semi").select(token).distinct()
-    return tokens.join(met, token, "left_anti")
+    """Distinct tokens of which neither the form nor a stem is in the lexicon: each is known if one of its stems is, in one aggregate over the stems."""
+    known = sized(lexicon.select(F.col(word).alias("_s")).where("_s is not null").distinct().withColumn("_known", F.lit(True)), "_s")
+    rest = [c for c in tokens.columns if c != token]
+    met = tokens.select("*", F.explode(stems(F.col(token))).alias("_s")).join(known, "_s", "left")
+    judged = met.groupBy(token).agg(F.bool_or(F.coalesce("_known", F.lit(False))).alias("_known"), *(F.first(c).alias(c) for c in rest))
+    return judged.where("not _known").select(*tokens.columns)
 
 
 def ngrams(c: Column, n: int) -> Column:
@@ -59,20 +76,38 @@ def ngrams(c: Column, n: int) -> Column:
 
 
 def ngram_scores(freq: DataFrame, n: int = 4, add: float = 0.2) -> DataFrame:
-    """(token, score): mean log10 of the n-grams' smoothed conditional probabilities, counts weighed by token frequency."""
+    """(token, score): mean log10 of the n-grams' smoothed conditional probabilities, counts weighed by token frequency. The frequencies are kept, as they are
+    read twice and are far fewer than the text; the probabilities are broadcast if they are small."""
+    freq = keep(freq.select("token", "n"), "frequency")
     grams = freq.select("n", F.explode(ngrams(F.concat(F.lit("^"), "token", F.lit("$")), n)).alias("g")).groupBy("g").agg(F.sum("n").alias("gn"))
     heads = grams.groupBy(F.expr(f"substring(g, 1, {n - 1})").alias("h")).agg(F.sum("gn").alias("hn"), F.count("*").alias("kinds"))
     prob = grams.withColumn("h", F.expr(f"substring(g, 1, {n - 1})")).join(heads, "h").select("g", F.log10((F.col("gn") + add) / (F.col("hn") + add * F.col("kinds"))).alias("lp"))
     each = freq.select("token", F.explode(ngrams(F.concat(F.lit("^"), "token", F.lit("$")), n)).alias("g"))
-    return each.join(prob, "g").groupBy("token").agg(F.avg("lp").alias("score"))
+    return each.join(sized(keep(prob, "probabilities"), "g"), "g").groupBy("token").agg(F.avg("lp").alias("score"))
 
 
 def first_context(df: DataFrame, doc: str, text: str, letters: str = "A-Za-z", least: int = 4, width: int = 42) -> DataFrame:
     """(token, doc, at, context): for each run of least letters or more the smallest doc that has it, its first place there as a whole run (one-based), and
-    what stands around it. The smallest docs are aggregated without texts; each then meets its text once, with all the tokens it owns."""
+    what stands around it. The smallest docs are aggregated without texts; each then meets its text once, with all the tokens it owns, and one pass
+    over the text finds them all: a search of the text for each token would cost tokens times text."""
     own = df.select(doc, F.explode(F.array_distinct(T.tokens(F.col(text), f"[{letters}]{{{least},}}"))).alias("token"))
     first = own.groupBy("token").agg(F.min(doc).alias(doc)).groupBy(doc).agg(F.collect_list("token").alias("_tokens"))
-    plain = F.concat(F.lit(" "), F.regexp_replace(text, f"[^{letters}]", " "), F.lit(" "))
-    met = df.select(doc, F.col(text).alias("_text"), plain.alias("_plain")).join(first, doc).select(doc, "_text", "_plain", F.explode("_tokens").alias("token"))
-    at = F.instr("_plain", F.concat(F.lit(" "), "token", F.lit(" ")))
-    return met.withColumn("at", at).select("token", doc, "at", T.context(F.col("_text"), F.col("at"), width).alias("context"))
+    kind = dict(df.dtypes)[doc]
+
+    def places(batches):
+        pattern = re.compile(f"[{letters}]{{{least},}}")
+        for rows in batches:
+            out = []
+            for d, t, owned in zip(rows[doc], rows["_text"], rows["_tokens"]):
+                left = set(owned)
+                for m in pattern.finditer(t):
+                    if m[0] in left:
+                        left.discard(m[0])
+                        start = max(0, m.start() - width)
+                        out.append((m[0], d, m.start() + 1, ("…" if start else "") + t[start : start + 2 * width] + ("…" if start + 2 * width < len(t) else "")))
+                        if not left:
+                            break
+            yield pd.DataFrame(out, columns=["token", doc, "at", "context"])
+
+    met = df.select(doc, F.col(text).alias("_text")).where("_text is not null").join(first, doc)
+    return met.mapInPandas(places, f"token string, {doc} {kind}, at int, context string")

@@ -17,15 +17,26 @@ def chunked(df: DataFrame, order: str, size: int) -> DataFrame:
     return df.withColumn("_chunk", F.floor(F.col(order) / size))
 
 
+def carried_on(d: DataFrame, part: list[str], local: str, carry, order: list[str]) -> DataFrame:
+    """d, whose column local holds a running value within (part, _chunk), with _before: carry() of the last values of all chunks before. The last rows are
+    taken from the windowed rows themselves, so both sides read one shuffle; they are one row a chunk."""
+    here = Window.partitionBy(*part, "_chunk").orderBy(*order)
+    ends = d.withColumn("_next", F.lead(F.lit(1)).over(here)).where("_next is null")
+    before = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*(F.col(p).alias(f"_p{i}") for i, p in enumerate(part)), F.col("_chunk").alias("_c"), carry(local).over(before).alias("_before"))
+    on = F.col("_chunk").eqNullSafe(F.col("_c"))
+    for i, p in enumerate(part):
+        on = on & F.col(p).eqNullSafe(F.col(f"_p{i}"))
+    return d.join(carried, on).drop("_c", *(f"_p{i}" for i in range(len(part))))
+
+
 def running_sum(df: DataFrame, part: str, order: str, value: Column, name: str, size: int = CHUNK) -> DataFrame:
     """Sum of value over a key's rows up to each row, by a numeric order column without ties."""
     d = chunked(df.withColumn("_v", value), order, size)
-    local = Window.partitionBy(part, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    sums = d.groupBy(part, "_chunk").agg(F.sum("_v").alias("_s"))
-    before = Window.partitionBy(part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = sums.select(F.col(part).alias("_p"), F.col("_chunk").alias("_c"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
-    met = d.withColumn("_local", F.sum("_v").over(local)).join(carried, F.col(part).eqNullSafe(F.col("_p")) & F.col("_chunk").eqNullSafe(F.col("_c")))
-    return met.withColumn(name, F.col("_local") + F.col("_before")).drop("_v", "_chunk", "_local", "_p", "_c", "_before")
+    local = Window.partitionBy(part, "_chunk").orderBy(order)
+    d = d.withColumn("_local", F.sum("_v").over(local.rowsBetween(Window.unboundedPreceding, 0)))
+    met = carried_on(d, [part], "_local", F.sum, [order])
+    return met.withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0))).drop("_v", "_chunk", "_local", "_before")
 
 
 def previous(df: DataFrame, part: str, order: str, columns: list[str], size: int = CHUNK) -> DataFrame:
@@ -82,21 +93,19 @@ def coalesce_ranges(df: DataFrame, part: list[str], lo: str, hi: str, gap: int =
     """Ranges that overlap or leave at most gap between them, as one: (part…, lo, hi, n). lo is a number; a key's rows are taken in chunks of it, and the
     farthest end and the last beginning of an island are carried on."""
 
-    def running_max(d: DataFrame, value: Column, name: str, last: int) -> DataFrame:
-        local = Window.partitionBy(*part, "_chunk").orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, last)
-        d = d.withColumn("_v", value)
-        ends = d.groupBy(*part, "_chunk").agg(F.max("_v").alias("_e"))
-        before = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carried = ends.select(*(F.col(p).alias(f"_p{i}") for i, p in enumerate(part)), F.col("_chunk").alias("_c"), F.max("_e").over(before).alias("_before"))
-        on = F.col("_chunk").eqNullSafe(F.col("_c"))
-        for i, p in enumerate(part):
-            on = on & F.col(p).eqNullSafe(F.col(f"_p{i}"))
-        met = d.withColumn("_local", F.max("_v").over(local)).join(carried, on)
-        return met.withColumn(name, F.greatest("_local", "_before")).drop("_v", "_local", "_c", "_before", *(f"_p{i}" for i in range(len(part))))
-
-    d = running_max(chunked(df.select(*part, lo, hi), lo, size), F.col(hi), "_far", -1)
+    def running_max(d: DataFrame, value: Column, name: str) -> DataFrame:
+        local = Window.partitionBy(*part, "_chunk").orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, 0)
+        met = carried_on(d.withColumn("_local", F.max(value).over(local)), part, "_local", F.max, [lo, hi])
+        return met.withColumn(name, F.greatest("_local", "_before")).drop("_local", "_before")
+
+    # An island's beginning is where no range before reaches; the farthest end before a row is that of the row before, in its chunk or carried from others.
+    d = chunked(df.select(*part, lo, hi), lo, size)
+    here = Window.partitionBy(*part, "_chunk").orderBy(lo, hi)
+    d = d.withColumn("_local", F.max(hi).over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.withColumn("_own", F.max(hi).over(here.rowsBetween(Window.unboundedPreceding, -1)))
+    d = carried_on(d, part, "_local", F.max, [lo, hi]).withColumn("_far", F.greatest("_own", "_before")).drop("_local", "_own", "_before")
     begins = F.when(F.col(lo) - F.col("_far") <= gap, None).otherwise(F.col(lo))
-    d = running_max(d, begins, "_island", 0)
+    d = running_max(d, begins, "_island")
     return d.groupBy(*part, "_island").agg(F.min(lo).alias(lo), F.max(hi).alias(hi), F.count("*").alias("n")).drop("_island")
 
 
@@ -162,10 +171,10 @@ def ranked(df: DataFrame, part: str, order: str, name: str = "rank") -> DataFram
     return running_sum(df, part, order, F.lit(1), name)
 
 
-def reservoir(df: DataFrame, part: str, keys: list[str], n: int, seed: int = 0) -> DataFrame:
+def reservoir(df: DataFrame, part: str, keys: list[str], n: int, seed: int = 0, by: Column | None = None) -> DataFrame:
     """n rows of each part at most, chosen by a seeded hash of the keys: the same rows on every run and under every partitioning. The smallest hashes are
-    found by a partial aggregate first, so a large part isn't sorted."""
-    named = df.withColumn("_h", F.xxhash64(F.lit(seed), *keys))
+    found by a partial aggregate first, so a large part isn't sorted. by: a hash of 64 bits of one's own, where other engines must draw the same rows."""
+    named = df.withColumn("_h", F.xxhash64(F.lit(seed), *keys) if by is None else by)
     share = named.groupBy(part).agg(F.count("*").alias("_m")).select(F.col(part).alias("_p"), "_m")
     # Of m rows with even hashes those under 4 n / m hold the n smallest but for odds of next to nothing; where they don't, all rows are looked at.
     low = F.lit(-(1 << 63)).cast("double") + F.least(F.lit(1.0), F.lit(4.0 * n + 64) / F.col("_m")) * F.lit(float(1 << 64))

@@ -211,10 +211,16 @@ def tidy_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.tidy(F.col("text")).alias("text"))
 
 
-@query("""select p_partkey, list_filter([lower(v)], lambda x: true)[1] as first, v as headword from (select p_partkey, case p_partkey % 3 when 0 then p_name else upper(p_name) end as v from part)""")
+_HEADS = "case p_partkey % 4 when 0 then p_name when 1 then '+' || upper(p_name) when 2 then '*' || replace(p_name, ' ', '(') || ')' else replace(p_name, ' ', '(') || ')O' end"
+
+
+@query(f"""with v as (select p_partkey, {_HEADS} as v from part), l as (select p_partkey, v, case when left(v, 1) in ('*', '+') then substr(lower(v), 2) else lower(v) end as w from v),
+ s as (select *, strpos(w, '(') as a, strpos(w, ')') as z from l)
+ select p_partkey, v as headword, case when a > 0 then substr(w, 1, a - 1) || substr(w, z + 1) || '|' || substr(w, 1, a - 1) || substr(w, a + 1, z - a - 1) || substr(w, z + 1) else w end as forms from s""")
 def search_forms(spark, sf_dir):
-    v = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(F.upper("p_name"))
-    return table(spark, sf_dir, "part").select("p_partkey", T.search_forms(F.concat(F.when(F.col("p_partkey") % 2 == 0, "*").otherwise(""), v))[0].alias("first"), v.alias("headword"))
+    """All forms of headwords with stars, crosses, capitals, and endings in brackets."""
+    v = F.expr(_HEADS)
+    return table(spark, sf_dir, "part").select("p_partkey", v.alias("headword"), F.array_join(T.search_forms(v), "|").alias("forms"))
 
 
 @query("""select c_custkey, replace(replace(replace(c_name || ' & <' || c_mktsegment || '>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;') as html,

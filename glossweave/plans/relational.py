@@ -241,19 +241,26 @@ def multi_key_order(spark, sf_dir):
     return part.orderBy(T.fold(F.lower("p_name")), F.desc("p_size"), "p_partkey").limit(100).select("p_partkey", "p_name")
 
 
-@query("""with v as (select doc_id, source, row_number() over (partition by source order by doc_id) as rn from documents) select source, count(*) as n from (select * from v where rn <= 30) group by 1""")
+@query("""with h as (select doc_id, source, substr(md5('7:' || doc_id), 1, 16) as h from documents), v as (select *, row_number() over (partition by source order by substr(h, 1, 1) < '8', h, doc_id) as rn from h)
+ select source, doc_id from v where rn <= 30""")
 def capped_groups(spark, sf_dir):
-    """Thirty rows a source, drawn by a seeded hash: how many there are."""
-    drawn = sequence.reservoir(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", ["doc_id"], 30, seed=7)
-    return drawn.groupBy("source").agg(F.count("*").alias("n"))
+    """Thirty rows a source, drawn by a seeded hash that both engines have."""
+    hashed = F.conv(F.substring(F.md5(F.concat(F.lit("7:"), "doc_id")), 1, 16), 16, -10).cast("long")
+    return sequence.reservoir(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", ["doc_id"], 30, by=hashed).select("source", "doc_id")
 
 
-@query("""with t as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) as w from documents) select case when w = 'the' then 'THE' when w = 'and' then '&' when w = 'der' then 'd.' else 'other' end as token, count(*) as n from t group by 1 having token <> 'other'""")
+PHRASES = {"of the": "O", "the": "T", "and": "A", "de la": "D", "la": "L", "der": "R"}
+
+
+@query("""with p as (select doc_id, list_concat(regexp_extract_all(text, '[A-Za-zÀ-ÿ0-9_]+|[^A-Za-zÀ-ÿ0-9_]'), ['', '']) as w from documents),
+ k as (select doc_id, i, w[i] as one, w[i] || w[i + 1] || w[i + 2] as two, case when i > 2 then w[i - 2] || w[i - 1] || w[i] else '' end as ending from p, unnest(range(1, len(w) - 1)) as r(i)),
+ f as (select case when two = 'of the' then 'O' when two = 'de la' then 'D' when ending in ('of the', 'de la') then null when one = 'the' then 'T' when one = 'and' then 'A' when one = 'la' then 'L' when one = 'der' then 'R' end as mark from k)
+ select mark, count(*) as n from f where mark is not null group by mark""")
 def phrase_replace_counts(spark, sf_dir):
-    """What replace_phrases puts in, counted: whole words only, as the longest phrase wins."""
-    done = matching.replace_phrases(F.col("text"), {"the": "\u0001THE\u0002", "and": "\u0001&\u0002", "der": "\u0001d.\u0002"})
-    found = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(done, F.lit("\u0001([^\u0002]*)\u0002"), F.lit(1))).alias("token"))
-    return found.groupBy("token").agg(F.count("*").alias("n"))
+    """What replace_phrases puts in, counted: whole words only, the longest phrase first, none inside another."""
+    done = matching.replace_phrases(F.col("text"), {k: f"\u0001{v}\u0002" for k, v in PHRASES.items()})
+    found = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(done, F.lit("\u0001([^\u0002]*)\u0002"), F.lit(1))).alias("mark"))
+    return found.groupBy("mark").agg(F.count("*").alias("n"))
 
 
 @query("""with c as (select *, row_number() over (partition by text order by n_chars desc, doc_id) as rn from documents) select doc_id, n_chars, source from c where rn = 1""")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import ranges, sequence
 
 
 def write_jsonl(df: DataFrame, path: str, without: tuple[str, ...] = ()) -> None:
@@ -42,8 +43,9 @@ def write_per_key(df: DataFrame, path: str) -> None:
 
 
 def write_batches(df: DataFrame, path: str, part: str, order: list[str], size: int, text: Column) -> None:
-    rn = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
-    df.select(part, F.floor(rn / size).cast("int").alias("batch"), text.alias("text")).write.mode("overwrite").partitionBy(part, "batch").text(path)
+    """Text files of so many rows each, by part and batch. Rows get their places by a sort over the cluster, so a part may be of any size."""
+    placed = sequence.batches(ranges.numbered(df.withColumn("_text", text), [part], order), part, "_place", size)
+    placed.select(part, F.col("batch").cast("int").alias("batch"), F.col("_text").alias("text")).write.mode("overwrite").partitionBy(part, "batch").text(path)
 
 
 def enclosed(df: DataFrame, order: list[str], text: Column, first: str, last: str, between: str = ",") -> DataFrame:
@@ -116,6 +118,24 @@ def verb_lines(verbs: DataFrame, head: str, kinds: str, governs: str) -> DataFra
     return verbs.select(head, F.concat(F.col(head), F.lit(" — "), said, ruled).alias("line"))
 
 
+def verb_counts(verbs: DataFrame, kinds: str, governs: str) -> DataFrame:
+    """(name, n): how many verbs there are of each class, several kinds being a class of their own, and how many govern something. kinds is a map of sense to
+    kind, governs an array."""
+    every = F.array_sort(F.array_distinct(F.map_values(F.col(kinds))))
+    name = F.when(F.size(every) > 1, "by sense").when(F.size(every) == 1, F.element_at(every, 1)).otherwise("none")
+    rows = verbs.select(F.explode(F.array_compact(F.array(name, F.when(F.size(governs) > 0, "governing"), F.lit("verbs")))).alias("name"))
+    return rows.groupBy("name").agg(F.count("*").alias("n"))
+
+
+def preposition_lines(verbs: DataFrame, head: str, governs: str) -> DataFrame:
+    """(preposition, n, line): an index of prepositions with the verbs that govern through them, by name."""
+    words = F.flatten(F.transform(F.coalesce(F.col(governs), F.array().cast("array<string>")), lambda g: F.split(F.lower(g), "[^a-z]+")))
+    found = F.array_intersect(words, F.array(*(F.lit(p) for p in T.PREPOSITIONS)))
+    each = verbs.select(F.explode(found).alias("preposition"), head).groupBy("preposition").agg(F.array_sort(F.collect_set(head)).alias("heads"))
+    n = F.size("heads")
+    return each.select("preposition", n.cast("long").alias("n"), F.concat(F.lit("**"), "preposition", F.lit("** ("), n.cast("string"), F.lit(") — "), F.array_join("heads", ", ")).alias("line"))
+
+
 def report(df: DataFrame, title: str, columns: list[str], order: list[str]) -> DataFrame:
     """(value): a Markdown report: title, number of rows, and a table of them in order; marks of tables inside values are escaped."""
     cells = F.concat(F.lit("| "), F.concat_ws(" | ", *(F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")) for c in columns)), F.lit(" |"))
