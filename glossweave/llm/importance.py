@@ -2,7 +2,7 @@
 
  1. Features are all runs of one to three words. A batch's distinct features are hashed once each, to the CRC that decides their bucket: that of a run of
     words follows from those of its words, as CRCs are linear. With their counts they are dealt out to the parts of one dictionary. A string travels as a key
-    of 56 bits, its CRC and 24 bits of another hash, since strings would be six times the text; keys go sorted, as differences.
+    of 48 bits, its CRC and 16 bits of another hash, since strings would be six times the text; keys go sorted, as differences.
  2. A part of the dictionary merges its entries, so each distinct feature is there once with its count in the corpus; counts are added up by
     bucket. Strings that had one key in common would have one bucket in common too, so sums are exact whatever the keys.
  3. Log ratios of bucket counts are the gains; the table of buckets has a fixed number of rows, so it goes to every task, where it joins the counts of
@@ -21,16 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, narrow, stash, thrifty, utf8
-from .hashing import Prefixes, mix
+from .common import arrow_limits, give_back, narrow, stash, thrifty, utf8
+from .hashing import Prefixes, chunks, mix
 
 BUCKETS = 10_000
 #: Bytes of text a part of the dictionary is laid out for, the most parts, and the entries a part merges at once. More entries go in turn, which
 #: gives the same sums, only some features are there once for each turn.
 PART_BYTES, MOST_PARTS, WINDOW = 8 << 20, 4096, 4_000_000
 SLICE = 1_000_000
-#: Bits of a key beside the CRC.
-MORE_BITS = 24
+#: Bits of a key beside the CRC, and bytes of text that are worked on at once.
+MORE_BITS = 16
+CHUNK_BYTES = 2 << 20
 LONG_WORD = 64
 POLY = 0xEDB88320
 
@@ -116,6 +117,13 @@ def tokens(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return body, starts, ends, np.searchsorted(starts, offsets)
 
 
+def pieces(texts):
+    """Rows of a text column, about CHUNK_BYTES at once, one row at least: (first row, row behind the last, and what tokens() gives)."""
+    body, offsets = utf8(texts)
+    for a, b in chunks(offsets, CHUNK_BYTES):
+        yield a, b, *tokens(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+
+
 def following(ids: np.ndarray, rows: np.ndarray, x: int, y: int) -> tuple[np.ndarray, np.ndarray]:
     """For places x to y, the numbers of the next word and the next but one plus 1, 0 where the row has ended; ids and rows go from x on, two further than y if they can."""
     n, out = y - x, []
@@ -193,18 +201,16 @@ def entries(parts: int):
     def run(batches):
         prefixes, crc = Prefixes(), Crc()
         for batch in batches:
-            body, offsets = utf8(batch.column("text"))
-            if not len(body):
-                continue
-            body, starts, ends, at = tokens(body, offsets)
-            hashes = prefixes.load(body).of(starts, ends)
-            rows = np.repeat(np.arange(len(at) - 1), np.diff(at))
-            for x in range(0, len(starts), SLICE):
-                keys, n = Features(crc, body, starts, ends, hashes, rows, x, min(x + SLICE, len(starts))).distinct()
-                part = (keys >> MORE_BITS) * parts >> 32
-                cut = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
-                blobs = [packed(keys[s:e], n[s:e]) for s, e in zip(cut[:-1], cut[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(part[cut[:-1]], pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
+            for _, _, body, starts, ends, at in pieces(batch.column("text")):
+                hashes = prefixes.load(body).of(starts, ends)
+                rows = np.repeat(np.arange(len(at) - 1), np.diff(at))
+                for x in range(0, len(starts), SLICE):
+                    keys, n = Features(crc, body, starts, ends, hashes, rows, x, min(x + SLICE, len(starts))).distinct()
+                    part = (keys >> MORE_BITS) * parts >> 32
+                    cut = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+                    blobs = [packed(keys[s:e], n[s:e]) for s, e in zip(cut[:-1], cut[1:])]
+                    yield pa.RecordBatch.from_arrays([pa.array(part[cut[:-1]], pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
+            give_back()
 
     return run
 
@@ -272,19 +278,21 @@ def weigh(docs: DataFrame, gain: np.ndarray, *, id_col: str = "doc_id", text_col
     def run(batches):
         crc, prefixes, buckets = Crc(), Prefixes(), np.uint32(len(gain))
         for batch in batches:
-            body, offsets = utf8(batch.column("text"))
-            body, starts, ends, at = tokens(body, offsets)
-            words, weight = np.diff(at), np.zeros(len(at) - 1, np.int64)
-            rows = np.repeat(np.arange(len(words)), words)
-            hashes = prefixes.load(body).of(starts, ends)
-            for x in range(0, len(starts), SLICE):
-                y = min(x + SLICE, len(starts))
-                f = Features(crc, body, starts, ends, hashes, rows, x, y)
-                score = gain[f.word % buckets][f.a]
-                two, three = np.flatnonzero(f.b), np.flatnonzero(f.c)
-                score[two] += gain[f.two(f.a[two], f.b[two]) % buckets]
-                score[three] += gain[f.three(f.a[three], f.b[three], f.c[three]) % buckets]
-                np.add.at(weight, rows[x:y], score)
+            n = batch.num_rows
+            words, weight = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            for first, last, body, starts, ends, at in pieces(batch.column("text")):
+                words[first:last] = np.diff(at)
+                rows = np.repeat(np.arange(last - first), np.diff(at))
+                hashes = prefixes.load(body).of(starts, ends)
+                for x in range(0, len(starts), SLICE):
+                    y = min(x + SLICE, len(starts))
+                    f = Features(crc, body, starts, ends, hashes, rows, x, y)
+                    score = gain[f.word % buckets][f.a]
+                    two, three = np.flatnonzero(f.b), np.flatnonzero(f.c)
+                    score[two] += gain[f.two(f.a[two], f.b[two]) % buckets]
+                    score[three] += gain[f.three(f.a[three], f.b[three], f.c[three]) % buckets]
+                    np.add.at(weight[first:last], rows[x:y], score)
+            give_back()
             ids_ = batch.column("doc_id").to_pylist()
             score = [int(w) + noise(i, seed) for i, w in zip(ids_, weight)]
             features = words + np.maximum(words - 1, 0) + np.maximum(words - 2, 0)
