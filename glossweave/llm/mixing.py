@@ -2,8 +2,8 @@
 
 Every document gets the rate nearest to 1 in relative entropy such that the words a source gives meet its target and no rate exceeds CAP:
 min(CAP, exp(lambda_source * size / mean size)). The multipliers solve the convex dual, one token constraint a source, by Newton iterations
-with brackets. An iteration is one aggregate over the counts of documents by source and size, which are far fewer than documents; multipliers
-stay in tables. Rates are then rounded to whole copies: within a source's buckets, from long to short documents, each document takes the
+with brackets, all sources side by side, over the counts of documents by source and size: a source has as many of them as it has different
+sizes, however many documents. Rates are then rounded to whole copies: within a source's buckets, from long to short documents, each document takes the
 whole number next to its rate that leaves the smaller error in words, and hands that error on.
 """
 
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_stash, stash
+from .common import stash
 
 CAP = 3
 BUCKET_ROWS = 2_000
@@ -53,42 +53,54 @@ def targets(counts: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: floa
     return own.select("source", "source_size", "docs", "least", "target")
 
 
-def solve(counts: DataFrame, goals: DataFrame, cap: float = CAP, rounds: int = 60) -> DataFrame:
-    """goals with mult: the multiplier of size in a document's log rate; null where all rates are at the cap."""
-    start = goals.withColumn("mean", F.col("source_size") / F.col("docs"))
-    start = start.withColumn("full", F.col("target") >= cap * F.col("source_size") * (1 - 1e-12))
-    # At 0 all rates are 1; at high every document of the source is at the cap.
-    start = start.withColumn("low", F.when(F.col("target") >= F.col("source_size"), F.lit(0.0))).withColumn("high", F.when(F.col("target") <= F.col("source_size"), F.lit(0.0)).otherwise(F.log(F.lit(float(cap))) * F.col("mean") / F.col("least")))
-    now = stash(start.withColumn("at", F.lit(0.0)).withColumn("done", F.col("full") | (F.col("target") == F.col("source_size"))), "dual")
-    keys = now.columns
+def newton(size: np.ndarray, n: np.ndarray, mean: float, target: float, cap: float, rounds: int) -> float:
+    """The dual's solution for one constraint: the multiplier of size over mean at which n documents of each size give target words, at rates that stop at cap.
+
+    Words rise with the multiplier, so every step tightens a bracket, and a Newton step that leaves it is replaced by the middle.
+    """
+    x, words, top = size / mean, n * size.astype(np.float64), math.log(cap)
+    own = float(words.sum())
+    low = 0.0 if target >= own else None
+    high = 0.0 if target <= own else top / float(x[x > 0].min())
+    at = 0.0
     for _ in range(rounds):
-        if not now.where("not done").limit(1).count():
-            break
-        met = counts.join(now.where("not done").select(F.col("source").alias("s"), "at", "mean"), F.col("source").eqNullSafe(F.col("s")))
-        rate = F.exp(F.least(F.col("at") * F.col("size") / F.col("mean"), F.lit(math.log(cap))))
-        words = F.col("n") * F.col("size") * rate
-        free = F.col("at") * F.col("size") / F.col("mean") < math.log(cap)
-        step = met.groupBy("s").agg(F.sum(words).alias("got"), F.sum(F.when(free, words * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope"))
-        both = now.join(step, F.col("source").eqNullSafe(F.col("s")), "left")
-        gap = F.col("got") - F.col("target")
-        low = F.when(gap <= 0, F.col("at")).otherwise(F.col("low"))
-        high = F.when(gap >= 0, F.col("at")).otherwise(F.col("high"))
-        both = both.withColumn("gap", gap).withColumn("lo", low).withColumn("hi", high).withColumn("newton", F.col("at") - F.when(F.col("slope") > 0, F.col("gap") / F.col("slope")))
-        inside = (F.col("newton") >= F.coalesce(F.col("lo"), F.lit(-1e300))) & (F.col("newton") <= F.coalesce(F.col("hi"), F.lit(1e300)))
-        bisect = F.when(F.col("lo").isNull(), F.col("hi") * 2 - 1).when(F.col("hi").isNull(), F.col("lo") * 2 + 1).otherwise((F.col("lo") + F.col("hi")) / 2)
-        close = (F.abs(F.col("gap")) <= 1e-9 * F.col("target")) | (F.abs(F.col("lo") - F.col("hi")) <= 1e-13 * F.abs(F.col("lo") + F.col("hi")))
-        close = F.coalesce(close, F.lit(False))
-        skip = F.col("done")
-        after = both.select(
-            *(c for c in keys if c not in ("low", "high", "at", "done")),
-            F.when(skip, F.col("low")).otherwise(F.col("lo")).alias("low"), F.when(skip, F.col("high")).otherwise(F.col("hi")).alias("high"),
-            F.when(skip | close, F.col("at")).when(inside, F.col("newton")).otherwise(bisect).alias("at"), (skip | close).alias("done"),
-        )
-        after = stash(after.select(*keys), "dual")
-        drop_stash(now)
-        now = after
-    # The order of sums leaves noise in the last digits, which must not decide a rounding.
-    return now.select("source", "source_size", "docs", "target", F.when(~F.col("full"), F.round(F.col("at") / F.col("mean"), 12)).alias("mult"))
+        free = at * x < top
+        got = words * np.exp(np.minimum(at * x, top))
+        gap, slope = float(got.sum()) - target, float((got * x)[free].sum())
+        low, high = at if gap <= 0 else low, at if gap >= 0 else high
+        if abs(gap) <= 1e-9 * target or (low is not None and high is not None and abs(low - high) <= 1e-13 * abs(low + high)):
+            return at
+        step = at - gap / slope if slope > 0 else math.nan
+        if (low is None or step >= low) and (high is None or step <= high):
+            at = step
+        else:
+            at = 2 * high - 1 if low is None else 2 * low + 1 if high is None else (low + high) / 2
+    raise ArithmeticError(f"no multiplier within {rounds} iterations: {gap} of {target} words are left")
+
+
+def solve(counts: DataFrame, goals: DataFrame, cap: float = CAP, rounds: int = 300) -> DataFrame:
+    """goals with mult: the multiplier of size in a document's log rate; null where all rates are at the cap.
+
+    The dual has one term a source, so the sources' iterations run side by side, each over its counts, which are one row a size and in order of size, so that
+    sums don't depend on how rows lie.
+    """
+    kind = pa.schema([("source", pa.string()), ("source_size", pa.int64()), ("docs", pa.int64()), ("target", pa.float64()), ("mult", pa.float64())])
+
+    def one(own: pa.Table, goal: pa.Table) -> pa.Table:
+        rows = goal.select(["source", "source_size", "docs", "target"]).to_pylist()
+        for g in rows:
+            full = g["target"] >= cap * g["source_size"] * (1 - 1e-12)
+            if full or g["target"] == g["source_size"]:
+                g["mult"] = None if full else 0.0
+                continue
+            own = own.sort_by("size")
+            mean = g["source_size"] / g["docs"]
+            at = newton(own["size"].to_numpy(), own["n"].to_numpy(), mean, g["target"], cap, rounds)
+            # The order of sums leaves noise in the last digits, which must not decide a rounding.
+            g["mult"] = round(at / mean, 12)
+        return pa.Table.from_pylist(rows, kind)
+
+    return counts.groupBy("source").cogroup(goals.groupBy("source")).applyInArrow(one, "source string, source_size long, docs long, target double, mult double")
 
 
 def rounded(size: np.ndarray, rate: np.ndarray) -> np.ndarray:
@@ -114,7 +126,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     """
     table = stash(sized(docs, id_col, text_col, source_col), "sizes")
     counts = stash(table.groupBy("source", "size").agg(F.count("*").alias("n")), "counts")
-    goals = solve(counts, stash(targets(counts, weights, cap), "targets"), cap)
+    goals = stash(solve(counts, stash(targets(counts, weights, cap), "targets"), cap), "dual")
     kind = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("size", pa.int64()), ("source_size", pa.int64()), ("target", pa.float64()), ("rate", pa.float64()), ("copies", pa.int64())])
 
     def round_off(group):

@@ -81,3 +81,20 @@ def test_rotation_masks(spark):
     late = rows[1, "unknown", None]
     assert late.start == len(rows[1, "unknown", 0].text) and [late.text[m.start : m.end] for m in late["mask"]] == ["late<|im_end|>"]
     assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_newton_meets_its_target():
+    """Random sources, targets up to just under the cap and down to next to nothing; too few iterations are an error."""
+    rnd = np.random.default_rng(6)
+    for _ in range(200):
+        size = np.unique(rnd.integers(0, rnd.choice([5, 300, 20_000]), rnd.integers(2, 60)))
+        if size[-1] == 0:
+            continue
+        n = rnd.integers(1, 1000, len(size))
+        own, mean = float((n * size).sum()), float((n * size).sum() / n.sum())
+        for share in (0.001, 0.3, 0.999, 1.001, 1.7, 2.9, 2.9999):
+            at = mixing.newton(size, n, mean, own * share, 3.0, 300)
+            got = float((n * size * np.minimum(3.0, np.exp(np.minimum(at * size / mean, 50)))).sum())
+            assert got == pytest.approx(own * share, rel=1e-6), (size, share)
+    with pytest.raises(ArithmeticError):
+        mixing.newton(np.array([1, 100]), np.array([5, 7]), 10.0, 1900.0, 3.0, 2)
