@@ -29,8 +29,9 @@ def restored_starts(spark, sf_dir):
 @query("""select a.p_name as word, b.p_name as variant from (select distinct p_name from part) a join (select distinct p_name from part) b on split_part(a.p_name, ' ', 1) = split_part(b.p_name, ' ', 1) and a.p_name <> b.p_name
  where right(a.p_name, 1) = right(b.p_name, 1) and not (regexp_matches(b.p_name, '(aa|ee|ii|oo|uu)') and not regexp_matches(a.p_name, '(aa|ee|ii|oo|uu)'))""")
 def plausible_respelling(spark, sf_dir):
-    n = table(spark, sf_dir, "part").select("p_name").distinct().withColumn("h", F.split_part("p_name", F.lit(" "), F.lit(1)))
-    both = n.withColumnRenamed("p_name", "word").join(n.withColumnRenamed("p_name", "variant"), "h").where("word <> variant")
+    # Both sides meet on the last letter too, which plausible forms share, so hardly a pair is made that isn't a result.
+    n = table(spark, sf_dir, "part").select("p_name").distinct().withColumn("h", F.split_part("p_name", F.lit(" "), F.lit(1))).withColumn("z", F.right("p_name", F.lit(1)))
+    both = n.withColumnRenamed("p_name", "word").join(n.withColumnRenamed("p_name", "variant"), ["h", "z"]).where("word <> variant")
     return both.where(repair.plausible(F.col("variant"), F.col("word"))).select("word", "variant")
 
 

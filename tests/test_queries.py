@@ -5,6 +5,9 @@ import pytest
 
 from glossweave.plans import registry
 
+#: Queries that find nothing at the smallest scale are held against their SQL at the next one.
+SPARSE = {"confusion_pairs", "lookalike_co"}
+
 
 @pytest.fixture(scope="module")
 def con(sf):
@@ -13,12 +16,14 @@ def con(sf):
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, sf, con, name):
+    if name in SPARSE:
+        sf = "/root/testdata/sf0.01"
+        con = oracle.connect(sf)
     df = registry.QUERIES[name](spark, sf)
     if name in registry.SQL:
-        found = oracle.differences(df, con, registry.SQL[name])
-        assert found in (None, "no rows"), found
+        assert oracle.differences(df, con, registry.SQL[name]) is None
     else:
-        assert df.columns and df.count() >= 0
+        assert df.columns and df.count() > 0
 
 
 def test_entry(spark):
