@@ -49,17 +49,26 @@ def insertion(odd: DataFrame, df: DataFrame, part: str, order: str, word: str) -
     return odd.join(found, [part, word])
 
 
-def sandwich(df: DataFrame, part: str, order: str, word: str, letters: tuple[str, ...], width: int | None = None) -> DataFrame:
-    """Rows out of order between two ordered neighbours, with the first single-letter change (by place, then letter) that puts them between.
+def sandwich(df: DataFrame, part: str, order: str, word: str, letters: tuple[str, ...], width: int | None = None, changes: int = 1) -> DataFrame:
+    """Rows out of order between two ordered neighbours, with the first change (by number of letters, up to changes of 1 or 2, then place, then letter) that puts
+    them between.
 
     width: only the first so many places are changed; None: all. order is numeric and without ties."""
     near = sequence.neighbours(df.select(part, order, word), part, order, [word], 1, 1)
     named = near.select(part, order, word, F.try_element_at("_before", F.lit(1))[word].alias("_b"), F.try_element_at("_after", F.lit(1))[word].alias("_a"))
     odd = named.where("_b is not null and _a is not null and _b <= _a").where(~F.col(word).between(F.col("_b"), F.col("_a")) & (F.length(word) > 0))
     last = F.length(word) if width is None else F.least(F.lit(width), F.length(word))
-    cands = F.flatten(F.transform(F.sequence(F.lit(1), last), lambda i: F.transform(F.array(*(F.lit(x) for x in letters)), lambda s: F.concat(F.substring(F.col(word), F.lit(1), i - 1), s, F.substring(F.col(word), i + 1, F.length(word))))))
-    good = F.filter(cands, lambda c: c.between(F.col("_b"), F.col("_a")) & (c != F.col(word)))
-    return odd.withColumn("fixed", F.try_element_at(good, F.lit(1))).where("fixed is not null").drop("_a", "_b")
+    alphabet = F.array(*(F.lit(x) for x in letters))
+    put = lambda w, i, s: F.concat(F.substring(w, F.lit(1), i - 1), s, F.substring(w, i + 1, F.length(w)))
+    w = F.col(word)
+    one = F.flatten(F.transform(F.sequence(F.lit(1), last), lambda i: F.transform(alphabet, lambda s: put(w, i, s))))
+    fits = lambda c: F.try_element_at(F.filter(c, lambda x: x.between(F.col("_b"), F.col("_a")) & (x != w)), F.lit(1))
+    fixed = fits(one)
+    if changes > 1:
+        pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(last - 1, F.lit(1))), lambda i: F.transform(F.sequence(i + 1, F.greatest(last, i + 1)), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+        two = F.flatten(F.transform(F.filter(pairs, lambda p: p["j"] <= last), lambda p: F.flatten(F.transform(alphabet, lambda s: F.transform(alphabet, lambda t: put(put(w, p["i"], s), p["j"], t))))))
+        fixed = F.coalesce(fixed, fits(two))
+    return odd.withColumn("fixed", fixed).where("fixed is not null").drop("_a", "_b")
 
 
 def candidates_of(word: str, swap: dict[str, set[str]], cap: int) -> list[tuple[float, str]]:

@@ -66,3 +66,13 @@ def ordered_distinct(df: DataFrame, key: str, item: str, order: str, into: str)
 def shift_keys(df: DataFrame, offsets: DataFrame, on: str, line: str, col: str) -> DataFrame:
     """Keys moved by the offsets of their page, none where there are none."""
     return df.join(offsets, on, "left").withColumn(line, F.col(line) + F.coalesce("d_line", F.lit(0))).withColumn(col, F.col(col) + F.coalesce("d_col", F.lit(0))).drop("d_line", "d_col")
+
+
+def set_changes(old: DataFrame, new: DataFrame, key: str, label: str) -> DataFrame:
+    """(key, every, kept, added, dropped): what became of each key's set of labels from old to new, as sorted arrays. Labels are told apart by one aggregate over
+    both tables, so neither set is gathered before its repeats are gone; null labels are no labels."""
+    both = old.select(key, F.col(label).alias("_l"), F.lit(1).alias("_o"), F.lit(0).alias("_n")).unionByName(new.select(key, F.col(label).alias("_l"), F.lit(0).alias("_o"), F.lit(1).alias("_n")))
+    each = both.groupBy(key, "_l").agg(F.max("_o").alias("_o"), F.max("_n").alias("_n"))
+    of = lambda test, name: F.array_sort(F.collect_set(F.when(test, F.col("_l")))).alias(name)
+    had, has = F.col("_o") == 1, F.col("_n") == 1
+    return each.groupBy(key).agg(of(had | has, "every"), of(had & has, "kept"), of(has & ~had, "added"), of(had & ~has, "dropped"))

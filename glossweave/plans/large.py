@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tabular
 from ..functions import text as T
-from ..operators import clusters, lexicon, order, phrases, regluing, repair, review, search_index, sketches
+from ..operators import clusters, lexicon, order, overlay, phrases, regluing, repair, review, search_index, sketches
 from ..operators.tables import keep
 from ..sources import sinks
 from .base import query, table
@@ -206,3 +206,15 @@ def verb_class_counts(spark, sf_dir):
 def preposition_index(spark, sf_dir):
     """Verbs by the prepositions through which they govern."""
     return sinks.preposition_lines(verbs(spark, sf_dir), "p_name", "governs")
+
+
+@query("""with e as (select o_custkey, o_orderstatus as l, max((o_orderdate <= (select max(o_orderdate) - interval 3 year from orders))::int) as o, max((o_orderdate > (select max(o_orderdate) - interval 3 year from orders))::int) as n from orders group by all)
+ select o_custkey, array_to_string(list_sort(list(l)), ',') as every, array_to_string(list_sort(coalesce(list(l) filter (where o = 1 and n = 1), [])), ',') as kept,
+  array_to_string(list_sort(coalesce(list(l) filter (where o = 0), [])), ',') as added, array_to_string(list_sort(coalesce(list(l) filter (where n = 0), [])), ',') as dropped from e group by 1""")
+def label_set_changes(spark, sf_dir):
+    """What became of each customer's set of order states in the last three years."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate")
+    mid = F.broadcast(orders.agg(F.expr("max(o_orderdate) - interval 3 years").alias("mid")))  # one row
+    both = orders.crossJoin(mid)
+    out = overlay.set_changes(both.where("o_orderdate <= mid"), both.where("o_orderdate > mid"), "o_custkey", "o_orderstatus")
+    return out.select("o_custkey", *(F.array_join(c, ",").alias(c) for c in ("every", "kept", "added", "dropped")))

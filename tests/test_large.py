@@ -161,3 +161,24 @@ def test_rare_word_sheets(spark, sf):
         for c in {w[0] for w in want}:
             order = [r.token for r in sorted((r for r in got if r.sheet == sheet and r.token[0] == c), key=lambda r: r.place)]
             assert order == sorted(order, key=lambda w: (freq[w], w))
+
+
+def test_sandwich_with_two_changes(spark):
+    """Every row against all changes of one and two letters."""
+    from glossweave.operators import order
+
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("abco") for _ in range(rnd.randint(1, 5))) for _ in range(120)]
+    df = spark.createDataFrame([("p", i, w) for i, w in enumerate(words)], "p string, o long, w string")
+    for most in (1, 2):
+        want = {}
+        for i in range(1, len(words) - 1):
+            b, w, a = words[i - 1], words[i], words[i + 1]
+            if b <= a and not b <= w <= a:
+                ones = [w[:k] + s + w[k + 1 :] for k in range(len(w)) for s in "co"]
+                twos = [w[:j] + s + w[j + 1 : k] + t + w[k + 1 :] for j in range(len(w)) for k in range(j + 1, len(w)) for s in "co" for t in "co"]
+                good = [x for x in ones + (twos if most == 2 else []) if b <= x <= a and x != w]
+                if good:
+                    want[i] = good[0]
+        got = {r.o: r.fixed for r in order.sandwich(df, "p", "o", "w", ("c", "o"), changes=most).collect()}
+        assert got == want and want
