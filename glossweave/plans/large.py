@@ -203,7 +203,7 @@ def verb_class_counts(spark, sf_dir):
 
 @query(f"""with v as ({_VERBS}), e as (select 'per' as preposition, p_name from v where g like 'per %' union select 'kun', p_name from v where g is not null), s as (select preposition, list_sort(list(p_name)) as heads from e group by 1)
  select preposition, len(heads) as n, '**' || preposition || '** (' || len(heads) || ') — ' || array_to_string(heads, ', ') as line from s""")
-def preposition_index(spark, sf_dir):
+def preposition_lines(spark, sf_dir):
     """Verbs by the prepositions through which they govern."""
     return sinks.preposition_lines(verbs(spark, sf_dir), "p_name", "governs")
 

@@ -26,6 +26,15 @@ def test_query(spark, sf, con, name):
         assert df.columns and df.count() > 0
 
 
+def test_no_query_hides_another():
+    """A second query of a name took the place of the first."""
+    from glossweave.plans import base, derive
+
+    assert registry.QUERIES["preposition_index"] is derive.preposition_index and "preposition_lines" in registry.QUERIES
+    with pytest.raises(ValueError):
+        base.query()(derive.preposition_index)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
