@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
  1. Document frequencies of the benchmark's words are counted over all documents.
- 2. TF-IDF rows of the benchmark items and of passages of SAMPLE_DOCS documents at most go through a distributed randomised SVD; the sample
-    decides only the axes of the latent space.
+ 2. TF-IDF rows of the benchmark items and of all passages of all documents go through a distributed randomised SVD. Each passage weighs the same, and all
+    together BALANCE times what the items weigh at most, so that a corpus of any size leaves the items their part in the axes.
  3. Every window of every whole text is projected and compared with all items: candidates have a cosine of at least `cosine` and cover at
     least `cover` of the item along its own direction.
     Items of words that most documents have, whose vectors say little, take every window that holds enough of their words; what they have in common
@@ -20,13 +20,18 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, narrow, stash, thrifty, utf8
+from .common import arrow_limits, drop_stash, narrow, stash, thrifty, utf8
 from .hashing import Prefixes, chunks, words
 
-BLOCK_ITEMS, SAMPLE_DOCS, RANK, OVERSAMPLE, STEP = 2000, 600, 96, 16, 16
+BLOCK_ITEMS, RANK, OVERSAMPLE, STEP = 2000, 96, 16, 16
+#: Words of a passage, passages that are multiplied at once, what an item weighs, what all passages weigh against all items at most.
+PASSAGE, SLAB, ITEM_WEIGHT, BALANCE = 64, 256, 9.0, 1.0
+#: Bytes of the slices in which the products of tasks are added up.
+SLICE_BYTES = 1 << 20
 SLOT_BITS = 20
 #: An item with fewer words that are rare enough to tell it (and one with less than a quarter of such words) isn't sought by its vector.
 FEW_ACTIVE = 3
@@ -125,51 +130,87 @@ def frequencies(docs: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, int]:
     return out, n
 
 
+def gram_times(words: np.ndarray, sizes: np.ndarray, idf: np.ndarray, q: np.ndarray, z: np.ndarray) -> None:
+    """Adds to z the product of X'X and q, X being the TF-IDF rows, of unit length, of passages: their words one behind the other, and how many each has."""
+    at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    for a in range(0, len(sizes), SLAB):
+        b = min(a + SLAB, len(sizes))
+        own, column = np.unique(words[at[a] : at[b]], return_inverse=True)
+        if not len(own):
+            continue
+        row = np.repeat(np.arange(b - a), sizes[a:b])
+        x = np.bincount(row * len(own) + column, minlength=(b - a) * len(own)).reshape(b - a, len(own)).astype(np.float32) * idf[own]
+        norm = np.sqrt(np.einsum("ij,ij->i", x, x))
+        x /= np.where(norm > 0, norm, 1)[:, None]
+        z[own] += x.T @ (x @ q[own])
+
+
 def latent(docs: DataFrame, lexicon: Lexicon, idf: np.ndarray, items: list[np.ndarray], rank: int) -> np.ndarray:
-    """Right singular vectors (word by axis) of the TF-IDF rows of items and sampled passages, by randomised range finding with two power steps."""
-    size, spark = len(lexicon.keys), docs.sparkSession
-    rank = max(1, min(rank, size, len(items) + SAMPLE_DOCS))
-    chosen = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
+    """Right singular vectors (word by axis) of the TF-IDF rows of items and of all passages, by randomised range finding with two power steps. The passages'
+    known words are written once and read three times; tasks' products are added up slice by slice, so what comes to the driver is one product."""
+    size = len(lexicon.keys)
+    rank = max(1, min(rank, size))
+    width = min(size, rank + OVERSAMPLE)
+    kind = np.uint16 if size <= 1 << 16 else np.int32
 
-    def sparse(batches):
+    def cut(batches):
         tokens = Tokens()
         for b in batches:
-            out = []
-            for h in tokens.of(b.column("text").to_pylist()):
-                idx = lexicon(h)
-                for i in range(0, len(idx), 64):
-                    got = idx[i : i + 64]
-                    out.append(got[got >= 0].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([x for x in out if x], pa.binary()), pa.array([1.0] * sum(map(bool, out)))], ["words", "weight"])
-
-    # The chosen ids are SAMPLE_DOCS at most.
-    passages = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select("text").mapInArrow(thrifty(sparse), "words binary, weight double")
-    own = spark.createDataFrame([(x.tobytes(), 3.0) for x in items if len(x)], "words binary, weight double")
-    rows = stash(passages.unionByName(own).coalesce(4), "passages")
-    width = min(size, rank + OVERSAMPLE)
-    q = np.random.default_rng(5).standard_normal((size, width)).astype(np.float32)
+            body, at = utf8(pc.utf8_lower(b.column("text")))
+            out, sizes = [], []
+            for lo, hi in chunks(at):
+                h, w_at = tokens(body[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
+                idx, n = lexicon(h), np.diff(w_at)
+                if not len(idx):
+                    continue
+                # Passages end with their text.
+                many = -(-n // PASSAGE)
+                first = np.concatenate([[0], np.cumsum(many)])[:-1]
+                row = np.repeat(np.arange(len(n)), n)
+                passage = first[row] + (np.arange(len(idx)) - w_at[row]) // PASSAGE
+                known = idx >= 0
+                held = np.bincount(passage[known], minlength=int(many.sum()))
+                out.append(idx[known].astype(kind).tobytes())
+                sizes.append(held[held > 0].astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(sizes, pa.binary())], ["words", "sizes"])
+
+    rows = stash(docs.select("text").mapInArrow(thrifty(cut), "words binary, sizes binary"), "passages")
+    passages = rows.agg(F.sum(F.octet_length("sizes"))).first()[0] or 0
+    own, sizes = [x for x in items if len(x)], [len(x) for x in items if len(x)]
+    share = min(1.0, BALANCE * ITEM_WEIGHT * len(own) / passages) if passages else 0.0
+    step = max(1, SLICE_BYTES // (4 * width))
+
+    def times(q: np.ndarray) -> np.ndarray:
+        def multiply(batches):
+            z = np.zeros((size, width), np.float32)
+            for b in batches:
+                for w, n in zip(b.column("words"), b.column("sizes")):
+                    gram_times(np.frombuffer(w.as_buffer(), kind), np.frombuffer(n.as_buffer(), np.uint8), idf, q, z)
+            parts = [z[a : a + step].tobytes() for a in range(0, size, step)]
+            of = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([of] * len(parts), pa.int32()), pa.array(parts, pa.binary())], ["slice", "part", "z"])
+
+        def added(t: pa.Table) -> pa.Table:
+            t = t.sort_by("part")  # in one order, so reruns agree
+            total = sum(np.frombuffer(z.as_buffer(), np.float32).astype(np.float64) for z in t.column("z"))
+            return pa.table({"slice": t.column("slice")[:1], "z": pa.array([total.tobytes()], pa.binary())})
 
-    def multiply(batches):
         z = np.zeros((size, width), np.float32)
-        for b in batches:
-            for x, weight in zip(b.column("words"), b.column("weight").to_pylist()):
-                at, n = np.unique(np.frombuffer(x.as_buffer(), np.int32), return_counts=True)
-                v = n * idf[at]
-                norm = np.sqrt(v @ v)
-                if norm:
-                    v = (v * (weight / norm)).astype(np.float32)
-                    z[at] += v[:, None] * (v @ q[at])
-        yield pa.RecordBatch.from_arrays([pa.array([z.tobytes()], pa.binary())], ["z"])
+        if own:
+            gram_times(np.concatenate(own), np.array(sizes), idf, q, z)
+        z = z * ITEM_WEIGHT
+        if passages:
+            got = rows.mapInArrow(thrifty(multiply), "slice int, part int, z binary").groupBy("slice").applyInArrow(added, "slice int, z binary")
+            for r in got.collect():  # one product: the block's words by width
+                part = np.frombuffer(r["z"], np.float64).reshape(-1, width)
+                z[r["slice"] * step : r["slice"] * step + len(part)] += share * part
+        return z
 
+    q = np.random.default_rng(5).standard_normal((size, width)).astype(np.float32)
     for _ in range(2):
-        z = np.zeros((size, width), np.float32)
-        for r in rows.mapInArrow(thrifty(multiply), "z binary").collect():  # four partial products, each of the block's words by width
-            z += np.frombuffer(r["z"], np.float32).reshape(size, width)
-        q = np.linalg.qr(z)[0].astype(np.float32)
-    z = np.zeros((size, width), np.float32)
-    for r in rows.mapInArrow(thrifty(multiply), "z binary").collect():
-        z += np.frombuffer(r["z"], np.float32).reshape(size, width)
-    values, turn = np.linalg.eigh(q.T @ z)
+        q = np.linalg.qr(times(q))[0].astype(np.float32)
+    values, turn = np.linalg.eigh(q.T @ times(q))
+    drop_stash(rows)
     return (q @ turn[:, np.argsort(-values)[:rank]]).astype(np.float32)
 
 

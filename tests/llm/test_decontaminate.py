@@ -107,3 +107,25 @@ def test_very_long_text(spark):
     text = "word other " * 150_000 + item + " tail" * 1000
     rows = decontaminate.search(spark.createDataFrame([(1, text), (2, "word other " * 50)], "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id, r.lcs) for r in rows] == [(1, 1, 1.0)]
+
+
+def test_axes_come_from_all_documents(spark):
+    """The axes are those of the singular value decomposition of every document's passages and the items; a sample of 600 documents gave others."""
+    rnd = np.random.default_rng(4)
+    names = [f"w{i}" for i in range(40)]
+    lexicon = decontaminate.Lexicon(np.concatenate(decontaminate.Tokens().of(names)))
+    code = {w: int(lexicon(decontaminate.Tokens().of([w])[0])[0]) for w in names}
+    texts = [" ".join(rnd.choice(names[10 * (k % 4) : 10 * (k % 4) + 10], 30 + 100 * (k % 2), p=np.arange(1, 11) / 55)) + " unknown" for k in range(1500)] + ["", None, "unknown"]
+    items = [np.array([code["w0"], code["w11"]], np.int32), np.zeros(0, np.int32)]
+    idf = np.linspace(0.5, 2, 40).astype(np.float32)
+    rows = [ws[i : i + 64] for t in texts for ws in [(t or "").split()] for i in range(0, len(ws), 64)]
+    rows = [[code[w] for w in r if w in code] for r in rows]
+    x = np.array([np.bincount(r, minlength=40) * idf for r in rows if r])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    own = np.bincount(items[0], minlength=40) * idf
+    own /= np.linalg.norm(own)
+    gram = min(1, decontaminate.BALANCE * 9 / len(x)) * x.T @ x + 9 * np.outer(own, own)
+    want = np.linalg.eigh(gram)[1][:, ::-1][:, :4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = decontaminate.latent(docs, lexicon, idf, items, 4)
+    assert got.shape == (40, 4) and np.abs((got * want).sum(axis=0)).min() > 0.9999
