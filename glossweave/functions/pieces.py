@@ -7,6 +7,7 @@ columns or as SQL text, so another engine can compute the same over whole tables
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -22,11 +23,16 @@ RUN = f"(?s)[{LETTER}0-9]+|[{BLANK}]+|."
 PAD = 4
 
 
+def ranges(chars: str) -> list[tuple[int, int]]:
+    """First and last codes of the ranges of a pattern's class."""
+    return [(ord(a), ord(b or a)) for a, b in re.findall(r"(?s)(.)(?:-(.))?", re.sub(r"\\x(..)", lambda m: chr(int(m[1], 16)), chars))]
+
+
 class Cells:
     """A piece and its neighbours as columns: 0 is the piece itself, -1 the one before."""
 
-    def __init__(self, padded: Column, i: Column) -> None:
-        self.padded, self.i = padded, i
+    def __init__(self, padded: Column, codes: Column, i: Column) -> None:
+        self.padded, self.codes, self.i = padded, codes, i
 
     def __getitem__(self, k: int) -> Column:
         return F.element_at(self.padded, self.i + (PAD + k))
@@ -34,6 +40,11 @@ class Cells:
     def like(self, k: int, pattern: str) -> Column:
         return self[k].rlike(pattern)
 
+    def begins(self, k: int, chars: str) -> Column:
+        """Does the piece begin with one of the characters (of a pattern's class)? By its first code, which is computed once a piece."""
+        code = F.element_at(self.codes, self.i + (PAD + k))
+        return reduce(lambda a, b: a | b, (code == a if a == b else code.between(a, b) for a, b in ranges(chars)))
+
     def one_of(self, k: int, *values: str) -> Column:
         return self[k].isin(*values)
 
@@ -79,6 +90,9 @@ class SqlCells:
     def like(self, k: int, pattern: str) -> Text:
         return Text(f"regexp_matches({self[k]}, {quoted(pattern)})")
 
+    def begins(self, k: int, chars: str) -> Text:
+        return self.like(k, f"^[{chars}]")
+
     def one_of(self, k: int, *values: str) -> Text:
         return Text(f"({self[k]} in ({', '.join(map(quoted, values))}))")
 
@@ -111,17 +125,23 @@ class Rules:
         pad = F.array(*[F.lit("")] * PAD)
 
         def one(padded: Column) -> Column:
+            return F.element_at(F.transform(F.array(F.transform(padded, F.ascii)), lambda codes: joined(padded, codes)), 1)
+
+        def joined(padded: Column, codes: Column) -> Column:
             def piece(i: Column) -> Column:
-                v = Cells(padded, i)
+                v = Cells(padded, codes, i)
                 told = [r(v) for r in self.rules]
                 out = reduce(lambda acc, t: acc.when(*t), told[1:], F.when(*told[0]))
                 return out.otherwise(v[0])
 
             return F.array_join(F.transform(F.sequence(F.lit(1), F.size(padded) - 2 * PAD), piece), "")
 
-        pieces = F.regexp_extract_all(c, F.lit(self.cut), F.lit(0))
-        # The pieces are bound to a variable, or they would be cut anew for each of them.
-        return F.when(c.isNull() | (c == ""), c).otherwise(F.element_at(F.transform(F.array(F.concat(pad, pieces, pad)), one), 1))
+        def whole(c: Column) -> Column:
+            pieces = F.regexp_extract_all(c, F.lit(self.cut), F.lit(0))
+            return F.when(c.isNull() | (c == ""), c).otherwise(F.element_at(F.transform(F.array(F.concat(pad, pieces, pad)), one), 1))
+
+        # Text and pieces are bound to variables, or they would be computed anew wherever they are read.
+        return F.element_at(F.transform(F.array(c), whole), 1)
 
     def sql(self, text: str) -> str:
         v, pad = SqlCells(), "[" + ", ".join(["''"] * PAD) + "]"
@@ -131,28 +151,28 @@ class Rules:
 
 
 def word(v, k: int):
-    return v.like(k, f"^[{LETTER}]")
+    return v.begins(k, LETTER)
 
 
 def capital(v, k: int):
-    return v.like(k, "^[A-ZÀ-Ý]")
+    return v.begins(k, "A-ZÀ-Ý")
 
 
 def small(v, k: int):
-    return v.like(k, "^[a-zà-ÿ]")
+    return v.begins(k, "a-zà-ÿ")
 
 
 def number(v, k: int):
-    return v.like(k, "^[0-9]")
+    return v.begins(k, "0-9")
 
 
 def blank(v, k: int):
-    return v.like(k, f"^[{BLANK}]")
+    return v.begins(k, BLANK)
 
 
 def edge(v, k: int):
     """A blank, or no piece at all."""
-    return v.like(k, f"^[{BLANK}]") | v.one_of(k, "")
+    return v.begins(k, BLANK) | v.one_of(k, "")
 
 
 def is_(v, k: int, *values: str):
