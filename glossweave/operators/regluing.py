@@ -23,10 +23,8 @@ BITS = 20
 
 def breaks(lines: Column) -> Column:
     """array<struct<at, left, right>> of the breaks: the number of the line behind, and the halves in lower case; at counts from one."""
-    trimmed = F.transform(lines, lambda s: F.trim(s))
-
     def one(i: Column) -> Column:
-        a, b = F.element_at(trimmed, i), F.element_at(trimmed, i + 1)
+        a, b = F.trim(F.element_at(lines, i)), F.trim(F.element_at(lines, i + 1))
         left, right = F.regexp_extract(a, f"([{LETTERS}-]*[A-Za-zÀ-ÿ])-$", 1), F.regexp_extract(b, f"^[a-zà-ÿ][{LETTERS}]*", 0)
         return F.struct((i + 1).alias("at"), F.lower(left).alias("left"), F.lower(right).alias("right"))
 
@@ -69,14 +67,16 @@ def reglue(df: DataFrame, key: str, lines: str, name: str = "text", bits: int =
     near = words.crossJoin(F.broadcast(keep(bitmap(keys.select("key").distinct(), bits), "bitmap"))).where(passes(F.col("key"), F.col("_map"), bits)).select("key").distinct()
     told = keys.join(near.withColumn("_known", F.lit(True)), "key", "left").groupBy("left", "right").agg(*(F.bool_or((F.col("kind") == k) & F.coalesce("_known", F.lit(False))).alias(f"_{k}") for k in ("whole", "left", "right", "both")))
     judged = told.select("left", "right", (F.col("_both") | (~F.col("_whole") & F.col("_left") & F.col("_right"))).alias("keep"))
-    kept = found.join(judged, ["left", "right"]).groupBy("_k").agg(F.map_from_entries(F.collect_list(F.struct("at", "keep"))).alias("_keep"))
-    met = df.join(kept, F.col(key).eqNullSafe(F.col("_k")), "left")
-
-    def joined(s: Column, i: Column) -> Column:
-        line, state = F.trim(s), F.try_element_at("_keep", i + 1)  # whether this line goes on with a broken word, and keeps the hyphen before
-        after = F.try_element_at("_keep", i + 2)
-        body = F.when(after.isNotNull() & ~after, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
-        return F.concat(F.when(state.isNotNull() | (line == ""), "").otherwise(" "), body)
-
-    text = F.ltrim(F.array_join(F.transform(lines, joined), ""))
+    kept = found.join(judged, ["left", "right"]).groupBy("_k").agg(F.sort_array(F.collect_list(F.struct("at", "keep"))).alias("_keep"))
+    met = df.join(kept, F.col(key).eqNullSafe(F.col("_k")), "left").withColumn("_keep", F.coalesce("_keep", F.array().cast("array<struct<at: int, keep: boolean>>")))
+
+    def stretch(j: Column) -> Column:
+        """The lines from one break to the next, without the next one's hyphen if it goes."""
+        at = F.when(j == 0, 1).otherwise(F.try_element_at("_keep", F.greatest(j, F.lit(1)))["at"])
+        after = F.try_element_at("_keep", j + 1)
+        own = F.slice(F.col(lines), at, F.coalesce(after["at"], F.size(lines) + 1) - at)
+        body = F.array_join(F.filter(F.transform(own, lambda s: F.trim(s)), lambda s: s != ""), " ")
+        return F.when(after.isNotNull() & ~after["keep"], F.substring(body, F.lit(1), F.length(body) - 1)).otherwise(body)
+
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.size("_keep")), stretch), "")
     return met.withColumn(name, F.when(F.col(lines).isNotNull(), text)).drop("_k", "_keep")
