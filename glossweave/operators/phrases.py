@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .tables import arrow_limits
+
 #: Word characters are those of Java's Unicode classes, so that JVM expressions cut texts alike.
 TOKENS = r"[\p{Alphabetic}\p{M}\p{Nd}\p{Pc}\u200c\u200d]+|[^\p{Alphabetic}\p{M}\p{Nd}\p{Pc}\u200c\u200d]"
 WORD = r"[\p{Alphabetic}\p{M}\p{Nd}\p{Pc}\u200c\u200d]"
@@ -128,6 +130,7 @@ def found(df: DataFrame, text: str, dictionary: DataFrame, phrase: str, value: s
     another; at and size count tokens. A phrase begins and ends with a word character (others never match, as do nulls); a null value is an empty one.
     """
     spark = df.sparkSession
+    arrow_limits(spark)
     kind = "array<struct<at: long, size: long, value: string>>"
     names = df.columns
     hit = pa.list_(pa.struct([("at", pa.int64()), ("size", pa.int64()), ("value", pa.string())]))

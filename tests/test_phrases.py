@@ -88,3 +88,14 @@ def test_query_over_benchmark_and_parts(spark, sf):
     want = {d: pattern.subn(lambda m: table[m[0]], t) for d, t in docs.items()}
     got = {r.doc_id: (r.replaced, r.replacements) for r in registry.QUERIES["dictionary_phrases"](spark, sf).collect()}
     assert got == want and sum(n for _, n in want.values()) > 0
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Python gets at most some MB of long texts at once, not 10,000 rows of any length."""
+    from glossweave.operators import lexicon, phrases
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df, words = spark.createDataFrame([(1, "some word")], "i long, t string"), spark.createDataFrame([("word", "x")], "p string, v string")
+    for made in (lambda: lexicon.first_context(df, "i", "t"), lambda: phrases.replace(df, "t", words, "p", "v")):
+        spark.conf.unset(name)
+        assert made().count() and int(spark.conf.get(name)) <= 8 << 20
