@@ -37,6 +37,27 @@ def test_leaders_of_all_embeddings(spark, sf):
     assert got == one_pass([(r.vec_id, r.vec_id, list(r.embedding)) for r in emb], 0.5)
 
 
+def test_no_vector_passes_the_driver(spark, monkeypatch):
+    """A round took its first block from every partition through the driver, and sent its leaders from there."""
+    def never(*args, **more):
+        raise AssertionError("vectors in the driver")
+
+    rnd = np.random.default_rng(5)
+    rows = [(i, i, v) for i, v in enumerate(rnd.normal(size=(300, 8)).tolist())]
+    df = spark.createDataFrame([(i, v) for i, _, v in rows], "k long, v array<double>")
+    monkeypatch.setattr(type(df), "toPandas", never)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", never)
+    assert {r.k: r.leader for r in clusters.leaders(df, "k", "v", ["k"], 0.6, 64).collect()} == one_pass(rows, 0.6)
+
+
+def test_settled_in_slabs():
+    v = clusters.unit(np.random.default_rng(4).normal(size=(120, 3)))
+    at = udfs.leaders(v, 0.7)
+    heads = [i for i, a in enumerate(at) if a not in at[:i]]
+    for slab in (1, 7, 500):
+        assert clusters.settle(v, 0.7, slab).tolist() == [heads[a] for a in at]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "k long, v array<double>")
     assert clusters.leaders(none, "k", "v", ["k"], 0.5).count() == 0
