@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import repairs as R
+
 
 def last_wins(layers: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
     """The value of the last row of each key, by order; a partial aggregate, no sort."""
@@ -49,12 +51,15 @@ def orphans(df: DataFrame, key: str, parent: Column) -> DataFrame:
 
 
 def distinct_ignoring_case(items: Column) -> Column:
-    """The items once each whatever their case, in the order and spelling of their first place: sorted by their small letters, so that equals stand together."""
-    named = F.array_sort(F.transform(items, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x"))))
-    before = F.concat(F.array(F.lit(None).cast("struct<k:string,i:int,x:string>")), named)
-    pairs = F.arrays_zip(named.alias("a"), before.alias("b"))
-    kept = F.filter(pairs, lambda p: p["a"].isNotNull() & ~p["a"]["k"].eqNullSafe(p["b"]["k"]))
-    return F.transform(F.array_sort(F.transform(kept, lambda p: F.struct(p["a"]["i"].alias("i"), p["a"]["x"].alias("x")))), lambda s: s["x"])
+    """The items once each whatever their case, in the order and spelling of their first place; nulls are left out. Spellings are told apart first, by a
+    hash; only where two of them have the same small letters are they sorted by these, so that equals stand together. Each step is computed once."""
+    def first_spellings(own: Column) -> Column:
+        named = F.array_sort(F.transform(own, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x"))))
+        kept = R.bound(named, lambda s: F.filter(s, lambda p, i: ~p["k"].eqNullSafe(F.get(s, i - 1)["k"])))
+        return F.transform(F.array_sort(F.transform(kept, lambda p: F.struct(p["i"].alias("i"), p["x"].alias("x")))), lambda s: s["x"])
+
+    once = F.array_distinct(F.filter(items, lambda x: x.isNotNull()))
+    return R.bound(once, lambda own: F.when(F.size(F.array_distinct(F.transform(own, F.lower))) == F.size(own), own).otherwise(first_spellings(own)))
 
 
 def ordered_distinct(df: DataFrame, key: str, item: str, order: str, into: str) -> DataFrame:
