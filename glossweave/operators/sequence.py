@@ -125,24 +125,23 @@ def single_key_breaks(df: DataFrame, part: str, order: str, key: str) -> DataFra
     return met.withColumn("broken", F.coalesce("_back", F.lit(False))).drop("_p", "_o", "_back")
 
 
-def binary_runs(c: Column, kind: str, least: int = 1, step: int = 64) -> Column:
-    """array<struct<at, length>> of the runs of least characters or more of a class of characters, places from one. The pieces of a text are gone through in
-    steps, whose places are summed up first, so that a very long one isn't quadratic."""
+def pieced_runs(c: Column, kind: str, least: int = 1, step: int = 64) -> Column:
+    """array<struct<at, length, text>> of the runs of least characters or more of a class of characters, places from one. The pieces of a text are gone through
+    in steps, whose places are summed up first, so that a very long one isn't quadratic; a run brings its own text, which needs no search for its place."""
     bound = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  x is computed once
-    size = lambda ps: F.aggregate(ps, F.lit(0), lambda n, p: n + F.length(p))
-    none = F.array().cast("array<struct<at:int,length:int>>")
+    size = lambda ps: F.length(F.array_join(ps, ""))
+    none = F.array().cast("array<struct<at:int,length:int,text:string>>")
 
     def begins(chunks: Column) -> Column:
         start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all"))
         return F.aggregate(chunks, start, lambda a, ps: F.struct((a["at"] + size(ps)).alias("at"), F.array_append(a["all"], a["at"]).alias("all")))["all"]
 
     def inner(pieces: Column, begin: Column) -> Column:
-        def one(a: Column, p: Column) -> Column:
-            here = F.struct(a["at"].alias("at"), F.length(p).alias("length"))
-            run = p.rlike(f"^[{kind}]") & (F.length(p) >= least)
-            return F.struct((a["at"] + F.length(p)).alias("at"), F.when(run, F.array_append(a["runs"], here)).otherwise(a["runs"]).alias("runs"))
-
-        return F.aggregate(pieces, F.struct(begin.alias("at"), none.alias("runs")), one)["runs"]
+        # Pieces are a run and what isn't one by turns; places are those behind each piece.
+        ends = F.aggregate(pieces, F.array(begin), lambda a, p: F.array_append(a, F.element_at(a, -1) + F.length(p)))
+        every = bound(ends, lambda e: F.zip_with(pieces, e, lambda p, at: F.struct(at.alias("at"), F.length(p).alias("length"), p.alias("text"))))
+        odd = F.element_at(pieces, 1).rlike(f"^[{kind}]").cast("int")
+        return bound(odd, lambda o: F.filter(every, lambda r, i: ((i + o) % 2 == 1) & (r["length"] >= least)))
 
     cut = lambda ps: F.transform(F.sequence(F.lit(0), F.floor((F.size(ps) - 1) / step).cast("int")), lambda j: F.slice(ps, j * step + 1, F.lit(step)))
     parts = F.regexp_extract_all(c, F.lit(f"[{kind}]+|[^{kind}]+"), F.lit(0))
@@ -150,12 +149,18 @@ def binary_runs(c: Column, kind: str, least: int = 1, step: int = 64) -> Column:
     return F.when(c.isNotNull(), every)
 
 
+def binary_runs(c: Column, kind: str, least: int = 1, step: int = 64) -> Column:
+    """array<struct<at, length>> of the runs of least characters or more of a class of characters, places from one."""
+    return F.transform(pieced_runs(c, kind, least, step), lambda r: F.struct(r["at"].alias("at"), r["length"].alias("length")))
+
+
 def islands(df: DataFrame, text: str, kind: str) -> DataFrame:
-    """A row (all columns of df but text, first, last, word) for each run of a class of characters in text, places from one, ends inclusive."""
+    """A row (all columns of df but text, first, last, word) for each run of a class of characters in text, places from one, ends inclusive. Rows don't carry
+    the text, and no run is looked for in it again, so a text's work grows with its length."""
     rest = [c for c in df.columns if c != text]
-    runs = df.select(*rest, text, F.explode(binary_runs(F.col(text), kind)).alias("_r"))
-    first, size = F.col("_r.at"), F.col("_r.length")
-    return runs.select(*rest, first.cast("long").alias("first"), (first + size - 1).cast("long").alias("last"), F.substring(F.col(text), first, size).alias("word"))
+    runs = df.select(*rest, F.explode(pieced_runs(F.col(text), kind)).alias("_r"))
+    first = F.col("_r.at")
+    return runs.select(*rest, first.cast("long").alias("first"), (first + F.col("_r.length") - 1).cast("long").alias("last"), F.col("_r.text").alias("word"))
 
 
 def majority(df: DataFrame, key: list[str], value: str, least: int = 3, share: float = 0.6) -> DataFrame:

@@ -56,3 +56,19 @@ def test_letter_islands_of_all_lines(spark, sf):
     want = {(d.doc_id, n, m.start() + 1, m.end(), m[0]) for d in docs for n, line in enumerate((d.text or "").split("\n"), 1) for m in re.finditer("[A-Za-zÀ-ÿ]+", line)}
     got = registry.QUERIES["letter_islands"](spark, sf).select("doc_id", "line", "first", "last", "word").collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want and any(w[1] > 1 for w in want)
+
+
+def test_runs_bring_their_own_text(spark):
+    """Each run's row carried the whole text and looked for its place in it again, which is quadratic in the text's length."""
+    texts = ["", "é", " aé-b", "1 2", "ab" * 40 + ("a1b " * 200), None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = sequence.islands(df, "t", "A-Za-zÀ-ÿ")
+    import re
+
+    want = {(i, m.start() + 1, m.end(), m[0]) for i, t in enumerate(texts) for m in re.finditer("[A-Za-zÀ-ÿ]+", t or "")}
+    assert {tuple(r) for r in got.collect()} == want
+    # What comes out of the explosion holds no text of the row.
+    lines = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Generate" in x]
+    assert len(lines) == 1 and "[1]" in lines[0] and "substring(t" not in got._jdf.queryExecution().optimizedPlan().toString()
+    runs = df.select("i", sequence.binary_runs(F.col("t"), "a-z", 2, 3).alias("r")).collect()
+    assert {(r.i, x.at, x.length) for r in runs for x in r.r or []} == {(i, m.start() + 1, len(m[0])) for i, t in enumerate(texts) for m in re.finditer("[a-z]{2,}", t or "")}
