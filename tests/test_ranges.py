@@ -44,6 +44,23 @@ def test_respelling_in_chunks_equals_one_pass(spark, monkeypatch, bits, fan):
         assert [got[p, d] for _, d, _ in mine] == sequential([w for _, _, w in mine], swap, 20, order.BREAK_COST)
 
 
+def test_short_parts_go_by_chunks(spark, monkeypatch):
+    """Each part went through six groups of its own, however short; now those of a chunk are solved in one call, and nothing is scanned for them."""
+    def never(*args, **more):
+        raise AssertionError("scanned")
+
+    rnd = random.Random(8)
+    rows = [(rnd.choice([0.5, 1.5, float("nan"), None]), i, rnd.choice(["abel", "acel", "bo", "ba", "cab", "", None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "p double, o int, w string").coalesce(1)
+    monkeypatch.setattr(ranges, "scan", never)
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, *by: self.coalesce(1))
+    got = {r.o: r.chosen for r in order.viterbi(df, "p", "o", "w", (("a", "c"), ("b", "d")), cap=20).collect()}
+    swap = {"a": {"c"}, "c": {"a"}, "b": {"d"}, "d": {"b"}}
+    for p in ("0.5", "1.5", "nan", "None"):
+        mine = [(o, w) for q, o, w in rows if str(q) == p]
+        assert [got[o] for o, _ in mine] == sequential([w for _, w in mine], swap, 20, order.BREAK_COST)
+
+
 def test_whole_table_as_one_part(spark, sf):
     """Names of all parts as one sequence, which lies in several ranges."""
     part = spark.read.parquet(f"{sf}/part.parquet").select(F.lit("all").alias("p"), "p_partkey", "p_name")
